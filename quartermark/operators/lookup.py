@@ -1,0 +1,81 @@
+"""Joins of a large table to a lookup table with one row per key.
+
+Two things go wrong at scale: a lookup table that is broadcast although it has
+grown, and a key that holds a large share of the rows, all of which a shuffle
+would send to one task. :func:`join_lookup` measures the lookup table before
+it broadcasts it. Beyond the limit it joins the few keys with a large share
+(and the rows without a key) by a broadcast of those keys' rows alone, and
+shuffles only the rest. The result is the same in all cases.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A key is hot when it holds more than 1/HOT_KEYS of the rows, so there are
+# fewer than HOT_KEYS of them, however large the table is.
+HOT_KEYS = 256
+SKETCH_ITEMS = 8 * HOT_KEYS
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df``, by one aggregation with tiny partial results."""
+    width = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        else:
+            width = width + 16
+    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return row["n"], row["bytes"]
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    rows, size = measured_size(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> list:
+    """Keys that hold more than 1/``limit`` of the rows: never more than ``limit``.
+
+    A frequent-items sketch finds them in one pass, without a shuffle of all
+    keys. It may name a key too many or too few near the border; that shifts
+    rows between two ways to join and changes no result.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {limit}, {max(SKETCH_ITEMS, 8 * limit)})")
+    row = df.filter(F.col(key).isNotNull()).agg(sketch.alias("top"), F.count("*").alias("n")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] * limit > row["n"]]
+
+
+def join_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str,
+    measured_by: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    hot_limit: int = HOT_KEYS,
+) -> DataFrame:
+    """``rows`` joined to ``lookup`` on ``key``; ``how`` keeps or drops left rows only.
+
+    ``measured_by`` may name a cheaper frame that is at least as large as
+    ``lookup``, for instance the lookup table before it was deduplicated.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join: {how}")
+    if fits_broadcast(measured_by if measured_by is not None else lookup, max_rows, max_bytes):
+        return rows.join(F.broadcast(lookup), key, how)
+
+    hot = hot_keys(rows, key, hot_limit)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    apart = F.col(key).isNull() | is_hot
+    spread = rows.filter(F.col(key).isNotNull() & ~is_hot).join(lookup.filter(~is_hot), key, how)
+    # At most hot_limit lookup rows, since lookup has one row per key.
+    held = rows.filter(apart).join(F.broadcast(lookup.filter(is_hot)), key, how)
+    return spread.unionByName(held)
