@@ -81,7 +81,10 @@ def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:
 
 
 def header_names(header: str, sep: str) -> list[str]:
-    return next(csv.reader([header.lstrip("﻿")], delimiter=sep))
+    """Header fields, without a UTF-8 byte order mark in either decoding."""
+    for mark in ("\ufeff", "\u00ef\u00bb\u00bf"):
+        header = header.removeprefix(mark)
+    return next(csv.reader([header], delimiter=sep))
 
 
 def header_groups(heads: DataFrame) -> dict[tuple[str | None, str | None], list[str]]:
