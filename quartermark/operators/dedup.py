@@ -8,22 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row per key in ``order``.
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The first row per key in ``order``, with the named columns (default: all).
 
     An aggregate, not ``row_number``: each task reduces its rows to one per
     key before the shuffle, so copies of one key never meet in one task.
     ``dropDuplicates`` would keep an arbitrary row.
     """
-    others = [c for c in df.columns if c not in keys]
+    columns = df.columns if columns is None else columns
+    others = [c for c in columns if c not in keys]
     if not others:
-        return df.distinct()
+        return df.select(*columns).distinct()
     packed = F.struct(*[F.col(f"`{c}`") for c in others])
     return (
         df.groupBy(*keys)
         .agg(F.min_by(packed, F.struct(*order)).alias("_row"))
         .select(*keys, "_row.*")
-        .select(*df.columns)
+        .select(*columns)
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quartermark.functions import numbers, periods, text
 from quartermark.operators.lookup import join_lookup
 from quartermark.schemas import CLAIM_KEYWORDS, MONEY
+from quartermark.session import written_once
 
 
 def keep_keywords(df: DataFrame, column: str = "descricao", pattern: str = CLAIM_KEYWORDS) -> DataFrame:
@@ -44,7 +45,8 @@ def with_locale_value(
     df: DataFrame, source: str = "source_file", value: str = "valor", out: str = "ValorDespesas", **limits
 ) -> DataFrame:
     """Parses money text with the decimal style of the row's whole source."""
-    marked = join_lookup(df, comma_sources(df, source, value), source, "left", **limits)
+    styles = written_once(comma_sources(df, source, value), "styles")
+    marked = join_lookup(df, styles, source, "left", **limits)
     style = F.coalesce(F.col("_comma"), F.lit(False))
     return marked.withColumn(out, numbers.locale_decimal(F.col(value), style, MONEY)).drop("_comma")
 

@@ -34,8 +34,7 @@ def typed_register(
     """
     wanted = ["registro_operadora", *[c for c in columns if c != "registro_operadora"]]
     typed = staged.select(*typed_columns(wanted), F.struct(*order).alias("_order"))
-    first = keep_first(typed, ["registro_operadora"], [F.col("_order")])
-    return first.select(*columns)
+    return keep_first(typed, ["registro_operadora"], [F.col("_order")], wanted).select(*columns)
 
 
 def keyed_register(aligned: DataFrame, order: Sequence[str], key: str = "registro_operadora") -> DataFrame:
@@ -47,5 +46,5 @@ def keyed_register(aligned: DataFrame, order: Sequence[str], key: str = "registr
     keyed = aligned.withColumn("reg_key", text.digits_key(F.col("registro_operadora")))
     if key != "registro_operadora":
         keyed = keep_first(keyed, [key], [F.col(c) for c in order])
-    first = keep_first(keyed.filter("reg_key <> 0"), ["reg_key"], [F.col(c) for c in order])
-    return first.select("reg_key", "cnpj", "razao_social", "modalidade", "uf")
+    columns = ["reg_key", "cnpj", "razao_social", "modalidade", "uf"]
+    return keep_first(keyed.filter("reg_key <> 0"), ["reg_key"], [F.col(c) for c in order], columns)

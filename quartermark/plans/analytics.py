@@ -10,29 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermark.functions.numbers import growth_percent
-from quartermark.functions.periods import period_key
+from quartermark.operators.periods import end_period, in_period
 from quartermark.schemas import TOTAL
 
 
 def growth_leaders(facts: DataFrame, register: DataFrame, n: int = 5) -> DataFrame:
     """Operators with the largest growth from the first to the last period.
 
-    Only rows of these two periods are grouped: the others cannot contribute,
-    and operators without positive values in both are left out anyway.
+    Only rows of these two periods are read and grouped: the others cannot
+    contribute, and operators without positive values in both are left out.
     """
-    key = period_key(F.col("ano"), F.col("trimestre"))
-    periods = facts.select(key.alias("periodo"))
-    first = periods.agg(F.min("periodo")).scalar()
-    last = periods.agg(F.max("periodo")).scalar()
-    ends = facts.select("registro_operadora", "valor_despesas", key.alias("periodo")).filter(
-        (F.col("periodo") == first) | (F.col("periodo") == last)
-    )
+    is_first = in_period(end_period(facts, F.min))
+    is_last = in_period(end_period(facts, F.max))
     value = F.col("valor_despesas")
     sums = (
-        ends.groupBy("registro_operadora")
+        facts.filter(is_first | is_last)
+        .groupBy("registro_operadora")
         .agg(
-            F.sum(F.when(F.col("periodo") == first, value)).cast(TOTAL).alias("valor_inicial"),
-            F.sum(F.when(F.col("periodo") == last, value)).cast(TOTAL).alias("valor_final"),
+            F.sum(F.when(is_first, value)).cast(TOTAL).alias("valor_inicial"),
+            F.sum(F.when(is_last, value)).cast(TOTAL).alias("valor_final"),
         )
         .filter("valor_inicial > 0 AND valor_final > 0")
     )

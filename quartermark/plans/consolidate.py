@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quartermark.operators.normalize import consolidated
 from quartermark.schemas import CLAIM_KEYWORDS
-from quartermark.session import shared_dir
+from quartermark.session import written_once
 from quartermark.sources.delimited import LATIN, DelimitedScan, scan
 
 
@@ -18,9 +18,7 @@ def write_bronze(
     Later steps read this table more than once; the raw text is parsed once.
     """
     files = scan(spark, root, encoding)
-    path = shared_dir(spark, "bronze")
-    files.bronze(pattern).write.parquet(path)
-    return spark.read.parquet(path), files
+    return written_once(files.bronze(pattern), "bronze"), files
 
 
 def consolidate(spark: SparkSession, root: str, encoding: str = LATIN, pattern: str = CLAIM_KEYWORDS) -> DataFrame:

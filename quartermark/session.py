@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time work (partition coalescing, switching to a
 # broadcast join once the real size is known, splitting skewed partitions).
@@ -46,3 +46,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="quartermark-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table, for results that are read more than once.
+
+    Unlike cached blocks, the files survive the loss of an executor.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

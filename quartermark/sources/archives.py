@@ -90,7 +90,7 @@ def read_errors(members: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
     """Delimited lines to text columns; the header line of each member is left out."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv(F.col("line"), schema, {"sep": sep})
+    parsed = F.from_csv(F.col("line"), schema, {"sep": sep, "escape": '"'})
     return lines.filter("line_no > 0 AND line <> ''").select("archive", "member", parsed.alias("_r")).select(
         "archive", "member", "_r.*"
     )

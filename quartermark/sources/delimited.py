@@ -8,10 +8,11 @@ each file, and each distinct header is then one ordinary Spark read.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,7 +78,8 @@ def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:
                 dtype="object",
             )
 
-    return files.select("path").mapInPandas(heads, HEAD_SCHEMA)
+    few = files.select("path").coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
+    return few.mapInPandas(heads, HEAD_SCHEMA)
 
 
 def header_names(header: str, sep: str) -> list[str]:
@@ -94,18 +96,23 @@ def header_groups(heads: DataFrame) -> dict[tuple[str | None, str | None], list[
     Spark read keeps in its file index.
     """
     groups: dict[tuple[str | None, str | None], list[str]] = {}
-    for row in heads.toLocalIterator():
+    for row in heads.collect():
         key = (row["sep"], row["header"]) if row["header"] is not None else (None, None)
         groups.setdefault(key, []).append(row["path"])
     return groups
 
 
+def literal_path(path: str) -> str:
+    """Keeps brackets and the like in a file name from acting as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def read_group(
     spark: SparkSession, paths: Sequence[str], sep: str, columns: int, encoding: str = LATIN
 ) -> DataFrame:
     """One header group as text columns ``c0, c1, …`` plus ``source_file``.
 
-    Lines with too many fields are dropped; short lines are filled with
+    A record is one line. Lines with too many fields are dropped; short lines are filled with
     nulls. The parser marks both as corrupt, so separators outside quotes are
     counted. Column pruning must stay off: a pruned parse marks nothing.
     """
@@ -115,11 +122,12 @@ def read_group(
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", True)
+        .option("escape", '"')
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("columnPruning", False)
-        .csv(list(paths))
+        .csv([literal_path(p) for p in paths])
     )
     unquoted = F.regexp_replace(F.col("_corrupt"), r'"[^"]*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
@@ -163,19 +171,17 @@ class DelimitedScan:
         schema = all_text("source_file", "motivo")
         rejected = self.spark.createDataFrame(self.rejected, schema)
         read = [(p,) for _, _, _, paths in self.usable for p in paths]
-        candidates = self.spark.createDataFrame(read, all_text("path")).select(
-            _same_path(F.col("path")).alias("source_file")
-        )
-        hits = bronze.select(_same_path(F.col("source_file")).alias("source_file")).distinct()
+        candidates = self.spark.createDataFrame(read, all_text("source_file"))
+        hits = bronze.select("source_file").distinct().select(listed_path(F.col("source_file")).alias("source_file"))
         silent = candidates.join(hits, "source_file", "left_anti").withColumn(
             "motivo", F.lit("no_keyword_match")
         )
         return rejected.unionByName(silent)
 
 
-def _same_path(path):
-    """``file:/x`` and ``file:///x`` name the same file."""
-    return F.regexp_replace(path, r"^file:/+", "file:/")
+def listed_path(path: Column) -> Column:
+    """The metadata column escapes what a file listing shows as it is."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> DelimitedScan:
@@ -184,14 +190,14 @@ def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> DelimitedScan
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
     """A well-formed file with a known header, every column as text."""
-    return spark.read.schema(schema).option("sep", sep).option("header", True).csv(path)
+    return spark.read.schema(schema).option("sep", sep).option("header", True).option("escape", '"').csv(path)
 
 
 def read_register(spark: SparkSession, path: str, encoding: str = LATIN, sep: str = ";") -> DataFrame:
     """Register file with its own header; the arrival columns order duplicates."""
     _, header = _head_of_first(spark, path, encoding)
     names = header_names(header, sep)
-    files = [r["path"] for r in list_files(spark, path).toLocalIterator()]
+    files = [r["path"] for r in list_files(spark, path).collect()]
     raw = read_group(spark, files, sep, len(names), encoding)
     return raw.select(
         *[F.col(f"c{i}").alias(n.strip().upper()) for i, n in enumerate(names)],

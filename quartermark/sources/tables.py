@@ -34,7 +34,8 @@ def append_expenses(consolidated: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
     """``;``-separated UTF-8 with a header and quoted fields, one file per task."""
-    writer = df.write.mode("overwrite").option("sep", ";").option("header", True).option("quoteAll", True)
+    writer = df.write.mode("overwrite").option("sep", ";").option("header", True)
+    writer = writer.option("quoteAll", True).option("escape", '"')
     if compressed:
         writer = writer.option("compression", "gzip")
     writer.csv(path)

@@ -1,0 +1,71 @@
+"""The three ways to join must agree, whatever the skew."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from quartermark.operators.lookup import fits_broadcast, hot_keys, join_lookup, measured_size
+
+TINY = {"max_rows": 0, "hot_limit": 8}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows share one key, a sixth have none, the rest are spread."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(7)).when(n % 6 == 1, F.lit(None)).otherwise(n % 500)
+    return spark.range(6000).select(key.cast("bigint").alias("k"), n.alias("v"))
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    return spark.range(0, 500, 2).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name")).unionByName(
+        spark.range(7, 8).select(F.col("id").alias("k"), F.lit("hot").alias("name"))
+    )
+
+
+def brute_force(rows, lookup, how):
+    names = {r["k"]: r["name"] for r in lookup.collect()}
+    out = []
+    for r in rows.collect():
+        name = names.get(r["k"])
+        if how == "left" or (how == "inner" and name is not None):
+            out.append((r["k"], r["v"], name))
+        elif how == "left_semi" and name is not None or how == "left_anti" and name is None:
+            out.append((r["k"], r["v"]))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("limits", [{}, TINY, {"max_bytes": 0}])
+def test_join_is_the_same_each_way(skewed, lookup, rows, how, limits):
+    assert rows(join_lookup(skewed, lookup, "k", how, **limits)) == brute_force(skewed, lookup, how)
+
+
+def test_hot_keys_are_found_and_bounded(skewed):
+    assert hot_keys(skewed, "k", 8) == [7]
+    assert len(hot_keys(skewed, "k", 256)) <= 256
+
+
+def test_no_rows(skewed, lookup, rows):
+    assert rows(join_lookup(skewed.filter("false"), lookup, "k", "left", **TINY)) == []
+
+
+def test_text_keys(skewed, lookup, rows):
+    as_text = lambda df: df.withColumn("k", F.col("k").cast("string"))
+    got = rows(join_lookup(as_text(skewed), as_text(lookup), "k", "inner", **TINY))
+    assert got == sorted(((str(k), v, n) for k, v, n in brute_force(skewed, lookup, "inner")), key=repr)
+
+
+def test_size_is_measured(lookup):
+    count, size = measured_size(lookup)
+    assert count == 251 and size > 251 * 16
+    assert fits_broadcast(lookup, 251) and not fits_broadcast(lookup, 250) and not fits_broadcast(lookup, 251, 10)
+
+
+def test_beyond_the_limit_only_hot_rows_are_broadcast(spark, skewed, lookup):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = join_lookup(skewed, lookup, "k", "left", **TINY)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
