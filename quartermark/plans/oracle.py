@@ -197,7 +197,8 @@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1""",
     ELSE LPAD(CAST(c_custkey * 1000003 AS VARCHAR), 8, '0') END AS sem_corte FROM customer""",
     "staging_cast": f"""WITH {STAGED}, typed AS (
   SELECT * REPLACE (LPAD(registro_operadora, 6, '0') AS registro_operadora, LPAD(cnpj, 14, '0') AS cnpj,
-      LPAD(cep, 8, '0') AS cep), ROW_NUMBER() OVER (PARTITION BY LPAD(registro_operadora, 6, '0') ORDER BY registro_operadora) AS rn FROM staged)
+      LPAD(cep, 8, '0') AS cep, COALESCE(complemento, '') AS complemento, COALESCE(fax, '') AS fax),
+    ROW_NUMBER() OVER (PARTITION BY LPAD(registro_operadora, 6, '0') ORDER BY registro_operadora) AS rn FROM staged)
 SELECT * EXCLUDE (arrival, rn) FROM typed WHERE rn = 1""",
     "dedup_first": """SELECT p_name, p_partkey, p_brand, p_retailprice FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part) WHERE rn = 1""",

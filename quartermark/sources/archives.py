@@ -28,7 +28,7 @@ def _members(path: str) -> list[tuple]:
     try:
         with open_stream(path) as stream, zipfile.ZipFile(stream) as archive:
             return [(path, i.filename, i.file_size, None) for i in archive.infolist() if not i.is_dir()]
-    except (zipfile.BadZipFile, OSError) as problem:
+    except (zipfile.BadZipFile, OSError, ValueError) as problem:
         return [(path, None, None, f"{type(problem).__name__}: {problem}")]
 
 

@@ -189,8 +189,13 @@ def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> DelimitedScan
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
-    """A well-formed file with a known header, every column as text."""
-    return spark.read.schema(schema).option("sep", sep).option("header", True).option("escape", '"').csv(path)
+    """A well-formed file with a known header, every column as text.
+
+    An empty field is null and a quoted empty field is blank text. Spark reads
+    both as its null text, so that text is set to one no file contains.
+    """
+    reader = spark.read.schema(schema).option("sep", sep).option("header", True)
+    return reader.option("escape", '"').option("nullValue", "\u0000").csv(path)
 
 
 def read_register(spark: SparkSession, path: str, encoding: str = LATIN, sep: str = ";") -> DataFrame:

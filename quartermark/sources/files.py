@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyarrow import fs
+import io
+from urllib.parse import quote
 
+from pyarrow import fs
 
-def open_stream(path: str):
-    """A seekable, buffered file object for a path as Spark reports it."""
-    system, inner = resolve(path)
-    return system.open_input_file(inner)
+BUFFER = 1024 * 1024
 
 
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:") :]
-    return fs.FileSystem.from_uri(path)
+    """File system and inner path for a path as a Spark file listing shows it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(quote(path, safe=":/@?=&%+,;~"))
+    return fs.LocalFileSystem(), path
+
+
+def open_stream(path: str) -> io.BufferedReader:
+    """A seekable file object; only what is read is fetched."""
+    system, inner = resolve(path)
+    return io.BufferedReader(system.open_input_file(inner), BUFFER)

@@ -33,7 +33,10 @@ def append_expenses(consolidated: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
-    """``;``-separated UTF-8 with a header and quoted fields, one file per task."""
+    """``;``-separated UTF-8 with a header and quoted fields, one file per task.
+
+    A null is written as a quoted blank, so it reads back as blank text.
+    """
     writer = df.write.mode("overwrite").option("sep", ";").option("header", True)
     writer = writer.option("quoteAll", True).option("escape", '"')
     if compressed:
