@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tried in this order. Guessing one format per column would read 01/04 as January.
-DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss")
-
 # A four-digit folder followed by a quarter folder (1T, T1, 1, 1T2025); each
 # may carry a ``name=`` prefix, as in a partitioned table.
 PERIOD_FOLDERS = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(?:\s|%20)*[tT]?([1-4])[tT]?(?:\d{4})?(?:/|$)"
 
 
-def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+def parse_date(text: Column) -> Column:
+    """``yyyy-MM-dd`` (also with a time) or ``dd/MM/yyyy``; anything else is null.
+
+    Guessing one format per column would read 01/04 as January. The text is
+    brought into ISO order and cast, because a cast returns null for bad text,
+    while a pattern parser raises and catches an exception for every such row.
+    """
+    def at(position: int, char: str) -> Column:
+        return F.substring(text, position, 1) == char
+
+    size = F.length(text)
+    day_first = (size == 10) & at(3, "/") & at(6, "/")
+    swapped = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
+    iso = (size == 10) & at(5, "-") & at(8, "-")
+    timed = (size == 19) & at(5, "-") & at(8, "-")
+    return (
+        F.when(day_first, swapped.try_cast("date"))
+        .when(iso, text.try_cast("date"))
+        .when(timed, text.try_cast("timestamp_ntz").cast("date"))
+    )
 
 
 def quarter_label(quarter: Column) -> Column:
-    return F.concat(quarter.cast("string"), F.lit("T"))
+    return F.elt(quarter, *[F.lit(f"{q}T") for q in range(1, 5)])
 
 
 def date_year(day: Column) -> Column:
@@ -36,7 +49,8 @@ def path_year(path: Column) -> Column:
 
 
 def path_quarter(path: Column) -> Column:
-    return quarter_label(F.nullif(F.regexp_extract(path, PERIOD_FOLDERS, 2), F.lit("")))
+    digit = F.nullif(F.regexp_extract(path, PERIOD_FOLDERS, 2), F.lit(""))
+    return F.concat(digit, F.lit("T"))
 
 
 def period_key(year: Column, quarter: Column) -> Column:

@@ -40,7 +40,8 @@ def lenient_int(text: Column) -> Column:
 
 
 def lenient_date(text: Column) -> Column:
-    return F.try_to_date(blank_to_null(text), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` only; a cast alone would also take ``2025``."""
+    return F.when(F.length(text) == 10, text.try_cast("date"))
 
 
 def comma_decimal(text: Column, kind: T.DecimalType) -> Column:

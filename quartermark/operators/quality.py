@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quartermark.functions import taxid
 from quartermark.functions.numbers import zero_if_null
+from quartermark.operators.enrich import fill_defaults
 from quartermark.schemas import MONEY, REPORT_COLUMNS
 
 
@@ -42,11 +43,27 @@ def with_flags(df: DataFrame) -> DataFrame:
     return with_value_flag(with_name_flag(with_cnpj_flag(df)))
 
 
+def flag_register(register: DataFrame) -> DataFrame:
+    """Register with default texts and both flags that depend on nothing else.
+
+    Flagging the register costs one check per operator instead of one per
+    expense.
+    """
+    return with_name_flag(with_cnpj_flag(fill_defaults(register)))
+
+
 def report(enriched: DataFrame) -> DataFrame:
-    """The 11 report columns; a column the input lacks becomes null."""
-    named = with_flags(enriched).withColumns(
-        {"REG_ANS": F.coalesce(F.col("reg_key"), F.lit(0).cast("bigint"))}
-    )
+    """The 11 report columns.
+
+    Flags the input already has are kept; the default texts of an unmatched
+    expense fail both checks. A column the input lacks becomes null.
+    """
+    named = fill_defaults(enriched)
+    if "FLAG_CNPJ_INVALIDO" in named.columns:
+        named = with_value_flag(named.fillna(True, ["FLAG_CNPJ_INVALIDO", "FLAG_RAZAO_SOCIAL_INVALIDA"]))
+    else:
+        named = with_flags(named)
+    named = named.withColumn("REG_ANS", F.coalesce(F.col("reg_key"), F.lit(0).cast("bigint")))
     named = named.withColumnsRenamed(
         {"cnpj": "CNPJ", "razao_social": "Razao_Social", "modalidade": "Modalidade", "uf": "UF"}
     )
