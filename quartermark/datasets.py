@@ -7,9 +7,9 @@ Everything is derived by Spark from whole tables.
 
 from __future__ import annotations
 
-import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import TaskContext
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from quartermark.functions.periods import quarter_label
 from quartermark.operators.align import align_register
 from quartermark.operators.register import keyed_register, typed_register
-from quartermark.schemas import MONEY
+from quartermark.schemas import MONEY, REGISTER_COLUMNS
 from quartermark.sources.delimited import LATIN
 from quartermark.sources.files import resolve
 
+# Rows per generated workbook; a sheet may hold about a million.
+SHEET_ROWS = 500_000
 # Large enough to make some expenses zero or negative after subtraction.
 SHIFT = 50_000
 
@@ -224,6 +226,13 @@ def write_csv_files(rows: DataFrame, path: str, sep: str, ending: str) -> None:
     )
 
 
+def write_register_file(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The register with all its columns, Latin-1."""
+    columns = [F.col(c).alias(c.upper()) for c in REGISTER_COLUMNS]
+    rows = staged_register(spark, sf_dir).select(*columns)
+    rows.write.option("sep", ";").option("header", True).option("encoding", LATIN).csv(root)
+
+
 def write_raw_files(orders: DataFrame, root: str) -> None:
     for status in ("O", "F", "P"):
         rows, sep, ending = raw_layout(orders, status)
@@ -250,11 +259,24 @@ def write_unusable_files(orders: DataFrame, root: str) -> None:
     write_csv_files(usable, f"{root}/usable", sep, ending)
 
 
-def write_archives(orders: DataFrame, root: str) -> None:
-    """Zip archives of bounded size, written by the tasks, and damaged ones.
+def task_files(rows: DataFrame, root: str, ending: str, write: Callable) -> None:
+    """One file per task, written as a stream by ``write(batches, stream)``.
 
-    A task that runs again writes the same names, so nothing doubles.
+    A task that runs again writes the same name, so nothing doubles.
     """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, inner = resolve(f"{root}/parte-{TaskContext.get().partitionId()}.{ending}")
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(inner) as stream:
+            write(batches, stream)
+        yield pd.DataFrame({"done": [1]})
+
+    rows.mapInPandas(run, "done long").write.format("noop").mode("overwrite").save()
+
+
+def write_archives(orders: DataFrame, root: str) -> None:
+    """One zip archive per task with a few members per batch, and damaged ones."""
     rows = orders.select(
         F.col("o_orderstatus").alias("status"),
         F.concat_ws(
@@ -266,23 +288,58 @@ def write_archives(orders: DataFrame, root: str) -> None:
         ).alias("line"),
     )
 
-    def put(path: str, data: bytes) -> None:
-        system, inner = resolve(path)
-        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(inner) as out:
-            out.write(data)
-
-    def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, written = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            packed = io.BytesIO()
-            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+    def pack(batches: Iterator[pd.DataFrame], stream) -> None:
+        with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+            for number, batch in enumerate(batches):
                 for status, group in batch.groupby("status"):
                     text = "\n".join(["REG;DATA;VALOR;DESCRICAO", *group["line"], ""])
-                    archive.writestr(f"2025/{status}.csv", text.encode("latin-1"))
-            put(f"{root}/lote-{part}-{written}.zip", packed.getvalue())
-            put(f"{root}/ruim-{part}-{written}.zip", packed.getvalue()[: len(packed.getvalue()) // 2])
-            written += 1
-        yield pd.DataFrame({"written": [written]})
+                    archive.writestr(f"2025/{status}-{number}.csv", text.encode("latin-1"))
+
+    def damage(batches: Iterator[pd.DataFrame], stream) -> None:
+        for batch in batches:
+            stream.write("\n".join(batch["line"]).encode("latin-1"))
 
-    rows.mapInPandas(archives, "written long").write.format("noop").mode("overwrite").save()
+    task_files(rows, f"{root}/bons", "zip", pack)
+    task_files(rows, f"{root}/ruins", "zip", damage)
+
+
+def write_workbooks(orders: DataFrame, root: str) -> None:
+    """Workbooks of a bounded number of rows; dates are numbers with a date style."""
+    rows = orders.select(
+        "o_orderkey",
+        as_text(F.col("o_custkey")).alias("Cd_Operadora"),
+        F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")).alias("DT_REGISTRO"),
+        F.coalesce(descriptions(), F.lit("")).alias("DESCRICAO"),
+        shifted_price().cast("double").alias("VL_SALDO_FINAL"),
+    )
+    files = rows.count() // SHEET_ROWS + 1
+    task_files(rows.repartition(files, "o_orderkey").drop("o_orderkey"), root, "xlsx", write_sheet)
+
+
+def write_sheet(batches: Iterator[pd.DataFrame], stream) -> None:
+    """A workbook with one sheet, in the smallest form that readers accept."""
+    space = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr(
+            "xl/workbook.xml",
+            f'<workbook xmlns="{space}" xmlns:r="{links}"><sheets><sheet name="a" r:id="r1"/></sheets></workbook>',
+        )
+        book.writestr("xl/_rels/workbook.xml.rels", '<R><Relationship Id="r1" Target="worksheets/s.xml"/></R>')
+        book.writestr(
+            "xl/styles.xml",
+            f'<styleSheet xmlns="{space}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
+        )
+        with book.open("xl/worksheets/s.xml", "w") as sheet:
+            put = lambda text: sheet.write(text.encode())
+            put(f'<worksheet xmlns="{space}"><sheetData>')
+            for number, batch in enumerate(batches):
+                if number == 0:
+                    put("<row>" + "".join(inline(c) for c in batch.columns) + "</row>")
+                for key, day, description, value in batch.itertuples(index=False):
+                    put(f'<row>{inline(key)}<c s="1"><v>{day}</v></c>{inline(description)}<c><v>{value}</v></c></row>')
+            put("</sheetData></worksheet>")
+
+
+def inline(text: str) -> str:
+    return f'<c t="inlineStr"><is><t>{escape(text)}</t></is></c>'

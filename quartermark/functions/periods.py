@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # A four-digit folder followed by a quarter folder (1T, T1, 1, 1T2025); each
 # may carry a ``name=`` prefix, as in a partitioned table.
-PERIOD_FOLDERS = r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?(?:\s|%20)*[tT]?([1-4])[tT]?(?:\d{4})?(?:/|$)"
+PERIOD_FOLDERS = r"[/=](\d{4})/(?:[^/=]++=)?(?:\s|%20)*[tT]?([1-4])[tT]?(?:\d{4})?(?:/|$)"
 
 
 def parse_date(text: Column) -> Column:

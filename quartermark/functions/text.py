@@ -22,8 +22,14 @@ def digits_only(text: Column) -> Column:
 
 
 def digits_key(text: Column) -> Column:
-    """Integer join key; 0 where the text holds no usable number."""
-    return F.coalesce(digits_only(text).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Integer join key; 0 where the text holds no usable number.
+
+    Most keys are plain digits; a cast reads those, and only the others go
+    through the regular expression.
+    """
+    plain = text.try_cast("bigint")
+    quick = F.when((plain >= 0) & ~F.contains(text, F.lit(".")), plain)
+    return F.coalesce(quick, digits_only(text).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def matchable_key(key: Column) -> Column:

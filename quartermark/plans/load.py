@@ -27,6 +27,17 @@ def load_expenses(staged: DataFrame, register: DataFrame, **limits) -> DataFrame
     return known_only(trusted, register, **limits)
 
 
+def facts_of(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+    """The same from consolidated expenses that are typed already."""
+    trusted = expenses.filter(~F.col("DespesasSuspeitas")).select(
+        text.zero_pad(F.col("REG_ANS"), 6).alias("registro_operadora"),
+        F.col("Trimestre").alias("trimestre"),
+        F.col("Ano").alias("ano"),
+        F.col("ValorDespesas").alias("valor_despesas"),
+    )
+    return known_only(trusted, register, **limits)
+
+
 def typed_statistics(staged: DataFrame) -> DataFrame:
     money = [text.comma_decimal(F.col(c), TOTAL).alias(c) for c in ("valor_total", "media_trimestral", "desvio_padrao")]
     return staged.select("razao_social", "uf", *money)

@@ -140,6 +140,13 @@ NAME_TOTALS = """totals AS (SELECT p_name AS razao_social, p_brand AS uf,
 ORACLE = {
     "scan_delimited": RAW_ROWS,
     "incremental_ingest": RAW_ROWS,
+    "scan_workbooks": RAW_ROWS,
+    "scan_register": f"WITH {REG} SELECT reg_key, cnpj, razao_social, modalidade, uf FROM reg",
+    "batch_facts": f"""WITH {OP}
+SELECT LPAD(CAST(o_custkey AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
+  CAST({PRICE} AS DOUBLE) AS valor_despesas FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_orderstatus <> 'P' AND {PRICE} > 0
+  AND EXISTS (SELECT 1 FROM op WHERE op.registro_operadora = LPAD(CAST(o_custkey AS VARCHAR), 6, '0'))""",
     "skipped_files": f"""SELECT DISTINCT ano, trimestre, motivo FROM (
   SELECT {YEAR} AS ano, {QUARTER} AS trimestre, CASE o_orderstatus WHEN 'O' THEN 'no_value_column'
     WHEN 'F' THEN 'no_key_column' ELSE 'no_description_column' END AS motivo FROM orders

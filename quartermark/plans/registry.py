@@ -12,8 +12,8 @@ from quartermark import datasets as d
 from quartermark.functions import labels, links, periods, text
 from quartermark.operators import aggregates, align, audit, dedup, enrich, normalize, quality, serving
 from quartermark.operators import periods as newest
-from quartermark.operators.register import typed_register
-from quartermark.plans import analytics, load, report
+from quartermark.operators.register import keyed_register, typed_register
+from quartermark.plans import analytics, batch, load, report
 from quartermark.plans.consolidate import consolidate, write_bronze
 from quartermark.schemas import (
     EXPENSE_REQUIRED,
@@ -27,7 +27,7 @@ from quartermark.schemas import (
 )
 from quartermark.session import shared_dir
 from quartermark.sources import archives, pages, tables
-from quartermark.sources.delimited import read_staged
+from quartermark.sources.delimited import read_register, read_staged
 from quartermark.streaming.ingest import ingest, ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,13 +97,39 @@ def scan_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = archives.parse_lines(lines, ["reg", "data", "valor", "descricao"])
     return rows.select(
         text.digits_key(F.col("reg")).alias("reg_key"),
-        F.col("member").alias("membro"),
+        F.regexp_replace("member", r"-\d+\.csv$", ".csv").alias("membro"),
         F.col("data"),
         F.col("valor").try_cast(MONEY).alias("valor"),
         "descricao",
     )
 
 
+@query
+def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "books")
+    d.write_workbooks(d.table(spark, sf_dir, "orders"), root)
+    return expense_rows(consolidate(spark, root))
+
+
+@query
+def scan_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "register")
+    d.write_register_file(spark, sf_dir, root)
+    return keyed_register(align.align_register(read_register(spark, root), batch.ARRIVAL), batch.ARRIVAL)
+
+
+def batch_target(spark: SparkSession, sf_dir: str) -> batch.Target:
+    raw, registered, target = (shared_dir(spark, n) for n in ("raw", "register", "batch"))
+    d.write_raw_files(d.table(spark, sf_dir, "orders"), raw)
+    d.write_register_file(spark, sf_dir, registered)
+    return batch.run_batch(spark, raw, registered, target)
+
+
+@query
+def batch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_table(spark, batch_target(spark, sf_dir).facts)
+
+
 @query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, checkpoint = (shared_dir(spark, n) for n in ("landing", "target", "offsets"))

@@ -22,6 +22,7 @@ ZIP_FILES = "*.[zZ][iI][pP]"
 MEMBER_SCHEMA = "archive string, member string, size long, error string"
 LINE_SCHEMA = "archive string, member string, line_no long, line string"
 LINES_PER_BATCH = 20_000
+TASKS_PER_CORE = 4
 
 
 def _members(path: str) -> list[tuple]:
@@ -49,7 +50,9 @@ def read_lines(members: DataFrame, encoding: str = LATIN) -> DataFrame:
     """Lines of all members, numbered from 0 within their member.
 
     The shuffle moves member names only; it spreads the members of one large
-    archive over tasks. Rows with an error are not read.
+    archive over tasks. Its number of partitions is fixed, because adaptive
+    execution would put all these short rows into one task. Rows with an error
+    are not read.
     """
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +66,8 @@ def read_lines(members: DataFrame, encoding: str = LATIN) -> DataFrame:
                     yield from _batches(path, member, io.TextIOWrapper(raw, encoding=encoding))
 
     names = members.filter("error IS NULL").select("archive", "member")
-    return names.repartition("archive", "member").mapInPandas(lines, LINE_SCHEMA)
+    tasks = TASKS_PER_CORE * members.sparkSession.sparkContext.defaultParallelism
+    return names.repartition(tasks, "archive", "member").mapInPandas(lines, LINE_SCHEMA)
 
 
 def _batches(path: str, member: str, text: io.TextIOWrapper) -> Iterator[pd.DataFrame]:

@@ -12,13 +12,12 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermark.operators.align import align, append_all, resolve_layout
-from quartermark.operators.normalize import keep_keywords
-from quartermark.schemas import CLAIM_KEYWORDS, all_text
+from quartermark.operators.align import align, resolve_layout
+from quartermark.schemas import all_text
 from quartermark.sources.files import open_stream
 
 # What a semicolon is searched in, and the fallback choices.
@@ -110,7 +109,7 @@ def literal_path(path: str) -> str:
 def read_group(
     spark: SparkSession, paths: Sequence[str], sep: str, columns: int, encoding: str = LATIN
 ) -> DataFrame:
-    """One header group as text columns ``c0, c1, …`` plus ``source_file``.
+    """One header group as text columns ``c0, c1, …`` plus ``source_file`` and ``block``.
 
     A record is one line. Lines with too many fields are dropped; short lines are filled with
     nulls. The parser marks both as corrupt, so separators outside quotes are
@@ -132,7 +131,8 @@ def read_group(
     unquoted = F.regexp_replace(F.col("_corrupt"), r'"[^"]*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
     overlong = F.coalesce(fields > columns, F.lit(False))
-    return raw.filter(~overlong).select(*names, F.col("_metadata.file_path").alias("source_file"))
+    place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block")]
+    return raw.filter(~overlong).select(*names, *place)
 
 
 class DelimitedScan:
@@ -142,7 +142,7 @@ class DelimitedScan:
         self.spark = spark
         self.encoding = encoding
         self.usable = []
-        self.rejected: list[tuple[str, str]] = []
+        self.rejected: list[tuple[str, str | None]] = []
         for (sep, header), paths in header_groups(read_heads(files, encoding)).items():
             if header is None:
                 self.rejected += [(p, "unreadable") for p in paths]
@@ -154,38 +154,17 @@ class DelimitedScan:
             else:
                 self.usable.append((sep, len(names), layout, paths))
 
-    def bronze(self, pattern: str = CLAIM_KEYWORDS) -> DataFrame:
-        """Aligned text rows of all usable files that match the keywords."""
-        parts = []
+    def groups(self) -> list[DataFrame]:
+        """Aligned text rows, one frame per usable header."""
+        frames = []
         for sep, width, layout, paths in self.usable:
             raw = read_group(self.spark, paths, sep, width, self.encoding)
-            names = [f"c{i}" for i in range(width)]
-            parts.append(align(raw, layout, names, [F.col("source_file")]))
-        if not parts:
-            empty = all_text("reg_ans", "data", "descricao", "valor", "source_file")
-            return self.spark.createDataFrame([], empty)
-        return keep_keywords(append_all(parts), "descricao", pattern)
+            frames.append(align(raw, layout, [f"c{i}" for i in range(width)], [F.col("source_file")]))
+        return frames
 
-    def skipped(self, bronze: DataFrame) -> DataFrame:
-        """Files that add nothing, and why."""
-        schema = all_text("source_file", "motivo")
-        rejected = self.spark.createDataFrame(self.rejected, schema)
-        read = [(p,) for _, _, _, paths in self.usable for p in paths]
-        candidates = self.spark.createDataFrame(read, all_text("source_file"))
-        hits = bronze.select("source_file").distinct().select(listed_path(F.col("source_file")).alias("source_file"))
-        silent = candidates.join(hits, "source_file", "left_anti").withColumn(
-            "motivo", F.lit("no_keyword_match")
-        )
-        return rejected.unionByName(silent)
-
-
-def listed_path(path: Column) -> Column:
-    """The metadata column escapes what a file listing shows as it is."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
-def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> DelimitedScan:
-    return DelimitedScan(spark, list_files(spark, root), encoding)
+    def files(self) -> list[tuple[str, str | None]]:
+        """All paths, each with the reason why it cannot be used, if any."""
+        return [*self.rejected, *[(p, None) for _, _, _, paths in self.usable for p in paths]]
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
@@ -199,7 +178,11 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str =
 
 
 def read_register(spark: SparkSession, path: str, encoding: str = LATIN, sep: str = ";") -> DataFrame:
-    """Register file with its own header; the arrival columns order duplicates."""
+    """Register files with their own header, all of one layout.
+
+    ``source_file``, ``block`` and ``arrival`` order duplicates as they stand
+    in the files.
+    """
     _, header = _head_of_first(spark, path, encoding)
     names = header_names(header, sep)
     files = [r["path"] for r in list_files(spark, path).collect()]
@@ -207,6 +190,7 @@ def read_register(spark: SparkSession, path: str, encoding: str = LATIN, sep: st
     return raw.select(
         *[F.col(f"c{i}").alias(n.strip().upper()) for i, n in enumerate(names)],
         "source_file",
+        "block",
         F.monotonically_increasing_id().alias("arrival"),
     )
 

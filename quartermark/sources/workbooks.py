@@ -1,0 +1,149 @@
+"""Spreadsheet files (xlsx): first sheet, one header row.
+
+A sheet holds at most 1,048,576 rows by its format, so one task per file is
+bounded work. Rows leave the task in batches and already aligned.
+"""
+
+from __future__ import annotations
+
+import re
+import zipfile
+from collections.abc import Iterator
+from datetime import datetime, timedelta
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quartermark.operators.align import resolve_layout
+from quartermark.sources.files import open_stream
+
+WORKBOOK_FILES = "*.[xX][lL][sS][xX]"
+ROW_SCHEMA = "reg_ans string, data string, descricao string, valor string, source_file string"
+ROWS_PER_BATCH = 20_000
+
+MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+# Built-in number formats that show a date, and the day that counts as 0.
+DATE_FORMAT_IDS = {14, 15, 16, 17, 22}
+DAY_ZERO = datetime(1899, 12, 30)
+
+
+def _parse(book: zipfile.ZipFile, name: str):
+    return ElementTree.fromstring(book.read(name)) if name in book.namelist() else ElementTree.Element("none")
+
+
+def _texts(item) -> str:
+    """Plain or formatted text, without phonetic hints."""
+    runs = [*item.findall(f"{MAIN}t"), *item.findall(f"{MAIN}r/{MAIN}t")]
+    return "".join(t.text or "" for t in runs)
+
+
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    first = _parse(book, "xl/workbook.xml").find(f"{MAIN}sheets/{MAIN}sheet")
+    targets = {r.get("Id"): r.get("Target") for r in _parse(book, "xl/_rels/workbook.xml.rels")}
+    target = targets[first.get(LINK)]
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[str]:
+    styles = _parse(book, "xl/styles.xml")
+    dates = set(DATE_FORMAT_IDS)
+    for custom in styles.iter(f"{MAIN}numFmt"):
+        code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", custom.get("formatCode", "")).lower()
+        if "y" in code or "d" in code:
+            dates.add(int(custom.get("numFmtId")))
+    formats = styles.findall(f"{MAIN}cellXfs/{MAIN}xf")
+    return {str(i) for i, f in enumerate(formats) if int(f.get("numFmtId", 0)) in dates}
+
+
+def _column(reference: str) -> int:
+    number = 0
+    for letter in re.match("[A-Z]+", reference).group():
+        number = number * 26 + ord(letter) - ord("A") + 1
+    return number - 1
+
+
+def _cell(cell, shared: list[str], dates: set[str]) -> str | None:
+    kind, value = cell.get("t", "n"), cell.findtext(f"{MAIN}v")
+    if kind == "inlineStr":
+        return _texts(cell.find(f"{MAIN}is"))
+    if value is None or kind == "e":
+        return None
+    if kind == "s":
+        return shared[int(value)]
+    if kind == "n" and cell.get("s") in dates:
+        return (DAY_ZERO + timedelta(days=float(value))).strftime("%Y-%m-%d")
+    return value
+
+
+def sheet_rows(book: zipfile.ZipFile) -> Iterator[list[str | None]]:
+    """Non-empty rows as text; missing cells are null."""
+    shared = [_texts(item) for item in _parse(book, "xl/sharedStrings.xml").findall(f"{MAIN}si")]
+    dates = _date_styles(book)
+    with book.open(_first_sheet(book)) as sheet:
+        for event, row in ElementTree.iterparse(sheet, ("start", "end")):
+            if event == "start" and row.tag == f"{MAIN}sheetData":
+                data = row
+            if event == "start" or row.tag != f"{MAIN}row":
+                continue
+            cells: list[str | None] = []
+            for place, cell in enumerate(row.findall(f"{MAIN}c")):
+                at = _column(cell.get("r")) if cell.get("r") else place
+                cells += [None] * (at + 1 - len(cells))
+                cells[at] = _cell(cell, shared, dates)
+            data.clear()
+            if any(c is not None for c in cells):
+                yield cells
+
+
+def _aligned(rows: Iterator[list[str | None]], path: str) -> Iterator[tuple]:
+    """Rows of a usable sheet in the aligned columns, the header left out."""
+    layout = resolve_layout([c or "" for c in next(rows, [])])
+    if layout.problem:
+        return
+    wanted = (layout.key, layout.date, layout.description, layout.value)
+    for cells in rows:
+        known = [[cells[i] for i in positions if i < len(cells) and cells[i] is not None] for positions in wanted]
+        yield (*[k[0] if k else None for k in known], path)
+
+
+def _problem(path: str) -> str | None:
+    try:
+        with open_stream(path) as stream, zipfile.ZipFile(stream) as book:
+            header = next(sheet_rows(book), None)
+    except Exception:  # noqa: BLE001 - whatever is wrong with a file, it is skipped and reported
+        return "unreadable"
+    return "unreadable" if header is None else resolve_layout([c or "" for c in header]).problem
+
+
+def workbook_problems(files: DataFrame) -> DataFrame:
+    """``path`` and why the file cannot be used, null for usable files."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            problems = [_problem(p) for p in batch["path"]]
+            yield pd.DataFrame({"path": batch["path"], "motivo": problems}, dtype="object")
+
+    return files.select("path").mapInPandas(check, "path string, motivo string")
+
+
+def read_workbooks(files: DataFrame) -> DataFrame:
+    """Aligned text rows of all usable workbooks."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["reg_ans", "data", "descricao", "valor", "source_file"]
+        for batch in batches:
+            for path in batch["path"]:
+                with open_stream(path) as stream, zipfile.ZipFile(stream) as book:
+                    held = []
+                    for row in _aligned(sheet_rows(book), path):
+                        held.append(row)
+                        if len(held) == ROWS_PER_BATCH:
+                            yield pd.DataFrame(held, columns=columns, dtype="object")
+                            held = []
+                    yield pd.DataFrame(held, columns=columns, dtype="object")
+
+    usable = workbook_problems(files).filter(F.col("motivo").isNull()).select("path")
+    return usable.mapInPandas(read, ROW_SCHEMA)

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quartermark.operators.normalize import consolidated
-from quartermark.sources.delimited import LATIN, TEXT_FILES, DelimitedScan
+from quartermark.sources.delimited import LATIN
+from quartermark.sources.raw import RAW_FILES, RawScan
 
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def arriving_files(spark: SparkSession, root: str, pattern: str = TEXT_FILES, per_batch: int = 1000) -> DataFrame:
+def arriving_files(spark: SparkSession, root: str, pattern: str = RAW_FILES, per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -37,7 +38,7 @@ def ingest(
     def write_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         bronze_path = f"{target}/bronze/batch={batch_id}"
-        DelimitedScan(session, files, encoding).bronze().write.mode("overwrite").parquet(bronze_path)
+        RawScan(session, files, encoding).bronze().write.mode("overwrite").parquet(bronze_path)
         rows = consolidated(session.read.parquet(bronze_path))
         rows.write.mode("overwrite").parquet(f"{target}/silver/batch={batch_id}")
 

@@ -18,8 +18,8 @@ def test_zero_pad_cuts_and_zero_fill_does_not(spark):
 
 
 def test_digits_key(spark):
-    cells = ["ANS-00041", "", None, "x", "12/3", "99999999999999999999"]
-    assert values(spark, cells, text.digits_key) == [41, 0, 0, 0, 123, 0]
+    cells = ["ANS-00041", "", None, "x", "12/3", "99999999999999999999", "-5", "4197.0", " 07 ", "1e5", "+3"]
+    assert values(spark, cells, text.digits_key) == [41, 0, 0, 0, 123, 0, 5, 41970, 7, 15, 3]
 
 
 def test_key_zero_matches_nothing(spark):

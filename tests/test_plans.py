@@ -9,8 +9,7 @@ from quartermark.plans.registry import QUERIES
 from quartermark.sources.tables import write_table
 
 # These read files that were first written for them.
-FILE_QUERIES = {"scan_delimited", "scan_archives", "incremental_ingest", "skipped_files"}
-PYTHON_QUERIES = {"scan_archives"}
+FILE_QUERIES = {"scan_delimited", "scan_register", "scan_archives", "scan_workbooks", "incremental_ingest", "skipped_files", "batch_facts"}
 TOP = {"growth_top5", "uf_total_avg", "dashboard_top5", "search_page", "lookup_identifier"}
 
 
