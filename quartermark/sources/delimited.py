@@ -1,8 +1,8 @@
 """Scan of delimited files whose headers, separators and quality differ.
 
 A CSV read binds columns by position to one schema, so files are first
-grouped by (separator, header): a small distributed job looks at the head of
-each file, and each distinct header is then one ordinary Spark read.
+grouped: a small distributed job looks at the head of each file, and the files
+of each distinct layout are then one ordinary Spark read.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermark.operators.align import align, resolve_layout
+from quartermark.operators.align import Layout, align, resolve_layout
 from quartermark.schemas import all_text
 from quartermark.sources.files import open_stream
 
@@ -141,7 +141,8 @@ class DelimitedScan:
     def __init__(self, spark: SparkSession, files: DataFrame, encoding: str = LATIN) -> None:
         self.spark = spark
         self.encoding = encoding
-        self.usable = []
+        # Columns are bound by position, so headers that differ only in wording share a read.
+        self.usable: dict[tuple[str, int, Layout], list[str]] = {}
         self.rejected: list[tuple[str, str | None]] = []
         for (sep, header), paths in header_groups(read_heads(files, encoding)).items():
             if header is None:
@@ -152,19 +153,19 @@ class DelimitedScan:
             if layout.problem:
                 self.rejected += [(p, layout.problem) for p in paths]
             else:
-                self.usable.append((sep, len(names), layout, paths))
+                self.usable.setdefault((sep, len(names), layout), []).extend(paths)
 
     def groups(self) -> list[DataFrame]:
-        """Aligned text rows, one frame per usable header."""
+        """Aligned text rows, one frame per usable layout."""
         frames = []
-        for sep, width, layout, paths in self.usable:
+        for (sep, width, layout), paths in self.usable.items():
             raw = read_group(self.spark, paths, sep, width, self.encoding)
             frames.append(align(raw, layout, [f"c{i}" for i in range(width)], [F.col("source_file")]))
         return frames
 
     def files(self) -> list[tuple[str, str | None]]:
         """All paths, each with the reason why it cannot be used, if any."""
-        return [*self.rejected, *[(p, None) for _, _, _, paths in self.usable for p in paths]]
+        return [*self.rejected, *[(p, None) for paths in self.usable.values() for p in paths]]
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:

@@ -9,7 +9,7 @@ from quartermark.operators.align import append_all
 from quartermark.operators.normalize import keep_keywords
 from quartermark.schemas import CLAIM_KEYWORDS, all_text
 from quartermark.sources.delimited import LATIN, DelimitedScan, list_files
-from quartermark.sources.workbooks import read_workbooks, workbook_problems
+from quartermark.sources.workbooks import ROW_SCHEMA, read_workbooks, workbook_problems
 
 RAW_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX]}"
 
@@ -26,18 +26,24 @@ class RawScan:
         is_workbook = F.lower("path").endswith(".xlsx")
         self.spark = spark
         self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding)
-        self.workbooks = files.filter(is_workbook)
+        workbooks = files.filter(is_workbook)
+        # Without any, no Python worker needs to start for them.
+        self.workbooks = None if workbooks.isEmpty() else workbooks
 
     def bronze(self, pattern: str = CLAIM_KEYWORDS) -> DataFrame:
         """Aligned text rows of all usable files that match the keywords."""
-        rows = append_all([*self.text.groups(), read_workbooks(self.workbooks)])
-        return keep_keywords(rows, "descricao", pattern)
+        parts = self.text.groups()
+        if self.workbooks is not None:
+            parts.append(read_workbooks(self.workbooks))
+        if not parts:
+            return self.spark.createDataFrame([], ROW_SCHEMA)
+        return keep_keywords(append_all(parts), "descricao", pattern)
 
     def skipped(self, bronze: DataFrame) -> DataFrame:
         """Files that add nothing, and why."""
-        heads = workbook_problems(self.workbooks).withColumnRenamed("path", "source_file")
-        text = self.spark.createDataFrame(self.text.files(), all_text("source_file", "motivo"))
-        files = text.unionByName(heads)
+        files = self.spark.createDataFrame(self.text.files(), all_text("source_file", "motivo"))
+        if self.workbooks is not None:
+            files = files.unionByName(workbook_problems(self.workbooks).withColumnRenamed("path", "source_file"))
         hits = bronze.select("source_file").distinct().select(
             # Workbook rows carry the path as listed, text rows the escaped one.
             F.when(F.lower("source_file").endswith(".xlsx"), F.col("source_file"))

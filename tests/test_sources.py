@@ -98,6 +98,15 @@ def test_rows_per_source(spark, raw):
     assert counts == {"semi%20colon.csv": 4, "COMMA.TXT": 2, "tab.txt": 1, "bar.csv": 1}
 
 
+def test_headers_that_differ_in_wording_share_a_read(spark, tmp_path, rows):
+    put(tmp_path / "2025" / "1T" / "a.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1\n")
+    put(tmp_path / "2025" / "1T" / "b.csv", " cd_operadora ;NM_CONTA;SALDO_FINAL\n2;despesa com evento;2\n")
+    put(tmp_path / "2025" / "1T" / "c.csv", "VALOR;REG_ANS;DESC\n3;3;despesa com evento\n")
+    files = scan(spark, str(tmp_path))
+    assert len(files.text.groups()) == 2
+    assert rows(files.bronze().select("reg_ans", "valor")) == [("1", "1"), ("2", "2"), ("3", "3")]
+
+
 def test_folder_without_usable_files(spark, tmp_path):
     put(tmp_path / "a.csv", "X;Y\n1;2\n")
     assert consolidate(spark, str(tmp_path)).count() == 0
