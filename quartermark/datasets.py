@@ -8,13 +8,14 @@ Everything is derived by Spark from whole tables.
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quartermark.functions.periods import quarter_label
 from quartermark.operators.align import align_register
@@ -29,57 +30,65 @@ SHEET_ROWS = 500_000
 SHIFT = 50_000
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is looked up once; every inference is a Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def as_text(column: Column) -> Column:
     return column.cast("string")
 
 
-def staged_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+REGISTER_TEXT = {
+    "registro_operadora": "string(c_custkey)",
+    "cnpj": "string(c_custkey * 7919)",
+    "razao_social": "c_name",
+    "nome_fantasia": "concat('Fantasia ', c_custkey % 97)",
+    "modalidade": "c_mktsegment",
+    "logradouro": "concat('Rua ', n_name)",
+    "numero": "string(c_custkey % 1000)",
+    "complemento": "CASE WHEN c_custkey % 3 = 0 THEN concat('Sala ', c_custkey % 40) END",
+    "bairro": "concat('Bairro ', c_custkey % 12)",
+    "cidade": "concat('Cidade ', c_nationkey)",
+    "uf": "n_name",
+    "cep": "string(c_custkey * 37)",
+    "ddd": "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE string(11 + c_custkey % 80) END",
+    "telefone": "concat('3', lpad(string(c_custkey), 7, '0'))",
+    "fax": "string(NULL)",
+    "endereco_eletronico": "concat('contato', c_custkey, '@example.com')",
+    "representante": "concat('Representante ', c_custkey % 50)",
+    "cargo_representante": "'DIRETOR'",
+    "regiao_comercializacao": "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE string(1 + c_custkey % 6) END",
+    "data_registro_ans": """CASE WHEN c_custkey % 7 = 0 THEN 'sem data' ELSE concat_ws('-', 1998 + c_custkey % 20,
+        lpad(string(1 + c_custkey % 12), 2, '0'), lpad(string(1 + c_custkey % 28), 2, '0')) END""",
+}
+
+
+def staged_register(spark: SparkSession, sf_dir: str, columns: Sequence[str] = REGISTER_COLUMNS) -> DataFrame:
     """The register as text, plus ``arrival`` (its order in the file).
 
     One market segment is left out, so that some expenses have no operator.
     """
     customers = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'HOUSEHOLD'")
     rows = customers.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    k = F.col("c_custkey")
-    two = lambda c: F.lpad(as_text(c), 2, "0")
-    registered = F.concat(as_text(1998 + k % 20), F.lit("-"), two(1 + k % 12), F.lit("-"), two(1 + k % 28))
-    return rows.select(
-        as_text(k).alias("registro_operadora"),
-        as_text(k * 7919).alias("cnpj"),
-        F.col("c_name").alias("razao_social"),
-        F.concat(F.lit("Fantasia "), as_text(k % 97)).alias("nome_fantasia"),
-        F.col("c_mktsegment").alias("modalidade"),
-        F.concat(F.lit("Rua "), F.col("n_name")).alias("logradouro"),
-        as_text(k % 1000).alias("numero"),
-        F.when(k % 3 == 0, F.concat(F.lit("Sala "), as_text(k % 40))).alias("complemento"),
-        F.concat(F.lit("Bairro "), as_text(k % 12)).alias("bairro"),
-        F.concat(F.lit("Cidade "), as_text(F.col("c_nationkey"))).alias("cidade"),
-        F.col("n_name").alias("uf"),
-        as_text(k * 37).alias("cep"),
-        F.when(k % 4 == 0, F.lit("")).otherwise(as_text(11 + k % 80)).alias("ddd"),
-        F.concat(F.lit("3"), F.lpad(as_text(k), 7, "0")).alias("telefone"),
-        F.lit(None).cast("string").alias("fax"),
-        F.concat(F.lit("contato"), as_text(k), F.lit("@example.com")).alias("endereco_eletronico"),
-        F.concat(F.lit("Representante "), as_text(k % 50)).alias("representante"),
-        F.lit("DIRETOR").alias("cargo_representante"),
-        F.when(k % 5 == 0, F.lit("")).otherwise(as_text(1 + k % 6)).alias("regiao_comercializacao"),
-        F.when(k % 7 == 0, F.lit("sem data")).otherwise(registered).alias("data_registro_ans"),
-        k.alias("arrival"),
-    )
+    return rows.selectExpr(*[f"{REGISTER_TEXT[c]} AS {c}" for c in columns], "c_custkey AS arrival")
 
 
 def register(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Typed dimension with the named columns, one row per register number."""
-    return typed_register(staged_register(spark, sf_dir), ["arrival"], columns)
+    return typed_register(staged_register(spark, sf_dir, columns), ["arrival"], columns)
 
 
 def report_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register for the report, one row per integer key."""
-    return keyed_register(align_register(staged_register(spark, sf_dir), ["arrival"]), ["arrival"])
+    columns = ("registro_operadora", "cnpj", "razao_social", "modalidade", "uf")
+    return keyed_register(align_register(staged_register(spark, sf_dir, columns), ["arrival"]), ["arrival"])
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,26 +20,24 @@ def clean_cnpj(text: Column) -> Column:
     return zero_fill(digits_only(F.coalesce(text, F.lit(""))), LENGTH)
 
 
-def digit_at(digits: Column, position: int) -> Column:
-    return F.ascii(F.substring(digits, position + 1, 1)) - F.lit(ord("0"))
+def digit_at(clean: str, position: int) -> str:
+    return f"(ascii(substring(`{clean}`, {position + 1}, 1)) - 48)"
 
 
-def check_digit(digits: Column, weights: Sequence[int]) -> Column:
-    total = sum((digit_at(digits, i) * w for i, w in enumerate(weights)), F.lit(0))
-    rest = total % 11
-    return F.when(rest < 2, F.lit(0)).otherwise(F.lit(11) - rest)
+def check_digit(clean: str, weights: Sequence[int]) -> str:
+    total = " + ".join(f"{digit_at(clean, i)} * {w}" for i, w in enumerate(weights))
+    return f"if(({total}) % 11 < 2, 0, 11 - ({total}) % 11)"
 
 
-def cnpj_is_valid(clean: Column) -> Column:
-    """Expects the output of :func:`clean_cnpj`.
+def cnpj_is_valid(clean: str) -> Column:
+    """Expects the name of a column with the output of :func:`clean_cnpj`.
 
-    Callers put that output into a column of its own first, so that the
-    cleaning runs once per row and not once per digit.
+    A column of its own, so that the cleaning runs once per row and not once
+    per digit.
     """
-    repeated = clean == F.repeat(F.substring(clean, 1, 1), LENGTH)
-    return (
-        (F.length(clean) == LENGTH)
-        & ~repeated
-        & (check_digit(clean, FIRST_WEIGHTS) == digit_at(clean, LENGTH - 2))
-        & (check_digit(clean, SECOND_WEIGHTS) == digit_at(clean, LENGTH - 1))
+    return F.expr(
+        f"""length(`{clean}`) = {LENGTH}
+        AND `{clean}` <> repeat(substring(`{clean}`, 1, 1), {LENGTH})
+        AND {check_digit(clean, FIRST_WEIGHTS)} = {digit_at(clean, LENGTH - 2)}
+        AND {check_digit(clean, SECOND_WEIGHTS)} = {digit_at(clean, LENGTH - 1)}"""
     )

@@ -14,7 +14,7 @@ from quartermark.schemas import MONEY, REPORT_COLUMNS
 def with_cnpj_check(df: DataFrame, column: str = "cnpj", out: str = "cnpj_valido") -> DataFrame:
     return (
         df.withColumn("_clean", taxid.clean_cnpj(F.col(column)))
-        .withColumn(out, taxid.cnpj_is_valid(F.col("_clean")))
+        .withColumn(out, taxid.cnpj_is_valid("_clean"))
         .drop("_clean")
     )
 

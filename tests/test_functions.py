@@ -3,7 +3,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from quartermark.functions import labels, links, numbers, periods, taxid, text
+from quartermark.functions import labels, links, numbers, periods, text
+from quartermark.operators.quality import with_cnpj_check
 
 
 def values(spark, cells, expression, kind="string"):
@@ -95,7 +96,8 @@ def test_keywords_ignore_case_and_null(spark):
 
 def test_cnpj(spark):
     cells = ["11.222.333/0001-81", "11222333000182", "11222333000191", "00000000000000", "1" * 14, "112223330001811", "191", None]
-    got = values(spark, cells, lambda c: taxid.cnpj_is_valid(taxid.clean_cnpj(c)))
+    df = spark.createDataFrame(list(enumerate(cells)), "i int, cnpj string").orderBy("i")
+    got = [r["cnpj_valido"] for r in with_cnpj_check(df).collect()]
     assert got == [True, False, False, False, False, False, True, False]
 
 

@@ -6,8 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quartermark.functions import labels, numbers, taxid
+from quartermark.functions import labels, numbers
 from quartermark.operators.lookup import join_lookup
+from quartermark.operators.quality import with_cnpj_check
 from quartermark.operators.serving import state_totals, top_states_and_rest
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -32,7 +33,7 @@ def test_check_digits(spark, codes, position, shift):
     good = [complete(b) for b in codes]
     bad = [c[:position] + str((int(c[position]) + shift) % 10) + c[position + 1 :] for c in good]
     df = spark.createDataFrame([(c, True) for c in good] + [(c, False) for c in bad], "c string, ok boolean")
-    checked = df.select("ok", taxid.cnpj_is_valid(taxid.clean_cnpj(F.col("c"))).alias("valid"))
+    checked = with_cnpj_check(df, "c", "valid")
     assert checked.filter("ok <> valid").count() == 0
 
 
