@@ -25,7 +25,7 @@ from quartermark.sources.delimited import LATIN
 from quartermark.sources.files import resolve
 
 # Rows per generated workbook; a sheet may hold about a million.
-SHEET_ROWS = 500_000
+SHEET_ROWS = 40_000
 # Large enough to make some expenses zero or negative after subtraction.
 SHIFT = 50_000
 

@@ -154,7 +154,8 @@ WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_orderstatus <>
     "scan_archives": f"""SELECT o_custkey AS reg_key, '2025/' || o_orderstatus || '.csv' AS membro,
   STRFTIME(o_orderdate, '%Y-%m-%d') AS data, CAST({PRICE} AS DOUBLE) AS valor, 'Provisão' AS descricao FROM orders""",
     "html_links": f"""WITH {LINKS}, found AS (SELECT page_id, UNNEST(links) AS href FROM page_links)
-SELECT page_id, href FROM found WHERE REGEXP_MATCHES(href, '^/[A-Z]') ORDER BY href DESC, page_id""",
+SELECT page_id, CAST(ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY href DESC) - 1 AS INT) AS ordem, href
+FROM found WHERE REGEXP_MATCHES(href, '^/[A-Z]')""",
     "html_link_class": f"""WITH {ENTRIES}
 SELECT page_id, CAST(pos AS INT) AS pos, href,
   CASE WHEN href IN ('', './', '../') OR href LIKE '?%' THEN 'ignored'

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,17 +21,22 @@ from quartermark.sources.files import open_stream
 
 ZIP_FILES = "*.[zZ][iI][pP]"
 MEMBER_SCHEMA = "archive string, member string, size long, error string"
-LINE_SCHEMA = "archive string, member string, line_no long, line string"
+LINE_SCHEMA = "archive string, member string, line_no long, line string, error string"
 LINES_PER_BATCH = 20_000
+DAMAGE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, RuntimeError)
 TASKS_PER_CORE = 4
 
 
+def describe(problem: Exception) -> str:
+    return f"{type(problem).__name__}: {problem}"
+
+
 def _members(path: str) -> list[tuple]:
     try:
         with open_stream(path) as stream, zipfile.ZipFile(stream) as archive:
             return [(path, i.filename, i.file_size, None) for i in archive.infolist() if not i.is_dir()]
-    except (zipfile.BadZipFile, OSError, ValueError) as problem:
-        return [(path, None, None, f"{type(problem).__name__}: {problem}")]
+    except DAMAGE as problem:
+        return [(path, None, None, describe(problem))]
 
 
 def list_members(spark: SparkSession, root: str, pattern: str = ZIP_FILES) -> DataFrame:
@@ -49,42 +55,46 @@ def list_members(spark: SparkSession, root: str, pattern: str = ZIP_FILES) -> Da
 def read_lines(members: DataFrame, encoding: str = LATIN) -> DataFrame:
     """Lines of all members, numbered from 0 within their member.
 
-    The shuffle moves member names only; it spreads the members of one large
-    archive over tasks. Its number of partitions is fixed, because adaptive
-    execution would put all these short rows into one task. Rows with an error
-    are not read.
+    A member that is damaged inside gives the lines before the damage and one
+    row with ``error``. The shuffle moves member names only; it spreads the
+    members of one large archive over tasks. Its number of partitions is
+    fixed, because adaptive execution would put all these short rows into one
+    task.
     """
 
+    columns = ["archive", "member", "line_no", "line", "error"]
+
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, member in zip(batch["archive"], batch["member"]):
-                with (
-                    open_stream(path) as stream,
-                    zipfile.ZipFile(stream) as archive,
-                    archive.open(member) as raw,
-                ):
-                    yield from _batches(path, member, io.TextIOWrapper(raw, encoding=encoding))
+                for start, held, error in _numbered(path, member, encoding):
+                    numbered = [(path, member, start + i, line, error) for i, line in enumerate(held)]
+                    yield pd.DataFrame(numbered, columns=columns, dtype="object")
 
     names = members.filter("error IS NULL").select("archive", "member")
     tasks = TASKS_PER_CORE * members.sparkSession.sparkContext.defaultParallelism
     return names.repartition(tasks, "archive", "member").mapInPandas(lines, LINE_SCHEMA)
 
 
-def _batches(path: str, member: str, text: io.TextIOWrapper) -> Iterator[pd.DataFrame]:
+def _numbered(path: str, member: str, encoding: str) -> Iterator[tuple[int, list, str | None]]:
+    """Batches of lines with the number of their first one, and an error row at the end."""
     start, held = 0, []
-
-    def frame() -> pd.DataFrame:
-        return pd.DataFrame(
-            {"archive": path, "member": member, "line_no": range(start, start + len(held)), "line": held}
-        )
-
-    for line in text:
-        held.append(line.rstrip("\r\n"))
-        if len(held) == LINES_PER_BATCH:
-            yield frame()
-            start, held = start + len(held), []
-    if held:
-        yield frame()
+    try:
+        with (
+            open_stream(path) as stream,
+            zipfile.ZipFile(stream) as archive,
+            archive.open(member) as raw,
+        ):
+            for line in io.TextIOWrapper(raw, encoding=encoding):
+                held.append(line.rstrip("\r\n"))
+                if len(held) == LINES_PER_BATCH:
+                    yield start, held, None
+                    start, held = start + len(held), []
+    except DAMAGE as problem:
+        yield start, held, None
+        yield start + len(held), [None], describe(problem)
+        return
+    yield start, held, None
 
 
 def read_errors(members: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     if "://" in path:
+        path = path.replace("s3a://", "s3://", 1)
         return fs.FileSystem.from_uri(quote(path, safe=":/@?=&%+,;~"))
     return fs.LocalFileSystem(), path
 

@@ -15,9 +15,13 @@ def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def matching_links(pages: DataFrame, pattern: str) -> DataFrame:
-    """Links that match from their first character, in descending text order."""
-    found = page_links(pages.select("page_id", "html")).filter(F.col("href").rlike(f"^(?:{pattern})"))
-    return found.orderBy(F.desc("href"), "page_id", "pos").select("page_id", "href")
+    """Links that match from their first character, newest (last in text order) first.
+
+    Each page is a listing of its own, so the order is one within the row:
+    no shuffle and no global sort, which would extract all links twice.
+    """
+    found = F.filter(links.hrefs(F.col("html")), lambda href: href.rlike(f"^(?:{pattern})"))
+    return pages.select("page_id", F.posexplode(F.sort_array(found, False)).alias("ordem", "href"))
 
 
 def classified(found: DataFrame) -> DataFrame:

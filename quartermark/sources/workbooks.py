@@ -112,7 +112,11 @@ def _aligned(rows: Iterator[list[str | None]], path: str) -> Iterator[tuple]:
 def _problem(path: str) -> str | None:
     try:
         with open_stream(path) as stream, zipfile.ZipFile(stream) as book:
-            header = next(sheet_rows(book), None)
+            rows = sheet_rows(book)
+            header = next(rows, None)
+            # Read to the end: damage may show only there, and then the whole file is skipped.
+            for _ in rows:
+                pass
     except Exception:  # noqa: BLE001 - whatever is wrong with a file, it is skipped and reported
         return "unreadable"
     return "unreadable" if header is None else resolve_layout([c or "" for c in header]).problem

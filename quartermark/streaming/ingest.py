@@ -3,7 +3,8 @@
 The stream runs over files, not lines: a micro-batch is a bounded set of whole
 files, so rules that need a whole file (its header, its decimal style) hold
 exactly as in a batch run. Each batch overwrites a folder of its own, so a
-batch that is run again after a failure adds nothing twice.
+batch that is run again after a failure adds nothing twice. The folders are
+named by batch number: a target belongs to one checkpoint location.
 """
 
 from __future__ import annotations

@@ -194,6 +194,7 @@ def test_workbooks(spark, tmp_path, rows):
     put_workbook(tmp_path / "2025" / "1T" / "no_value.xlsx", HEADER.replace("<v>3</v>", "<v>4</v>"))
     put_workbook(tmp_path / "2025" / "1T" / "quiet.xlsx", HEADER)
     put(tmp_path / "2025" / "1T" / "bad.xlsx", "no workbook")
+    put_workbook(tmp_path / "2025" / "1T" / "torn.xlsx", HEADER + "<row><c><v>1</v>")
     put(tmp_path / "2025" / "1T" / "c.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1,5\n")
     bronze, files = write_bronze(spark, str(tmp_path))
     assert rows(consolidated(bronze).drop("source_file")) == sorted(
@@ -205,7 +206,23 @@ def test_workbooks(spark, tmp_path, rows):
         key=repr,
     )
     reasons = {r["source_file"].rsplit("/", 1)[1]: r["motivo"] for r in files.skipped(bronze).collect()}
-    assert reasons == {"no_value.xlsx": "no_value_column", "quiet.xlsx": "no_keyword_match", "bad.xlsx": "unreadable"}
+    assert reasons == {"no_value.xlsx": "no_value_column", "quiet.xlsx": "no_keyword_match", "bad.xlsx": "unreadable", "torn.xlsx": "unreadable"}
+
+
+def test_damage_inside_a_member_is_reported(spark, tmp_path, rows):
+    good = "".join(f"{i};{i * i}\n" for i in range(30_000))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("bad.csv", good)
+        archive.writestr("good.csv", "x\n1\n")
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    middle = 60_000
+    data[middle : middle + 50] = b"\xff" * 50
+    (tmp_path / "a.zip").write_bytes(data)
+    lines = archives.read_lines(archives.list_members(spark, str(tmp_path))).persist()
+    assert rows(lines.filter("member = 'good.csv'").select("line")) == [("1",), ("x",)]
+    broken = lines.filter("error IS NOT NULL").collect()
+    assert [r["member"] for r in broken] == ["bad.csv"]
+    assert lines.filter("member = 'bad.csv' AND error IS NULL").count() > 0
 
 
 def test_archive_batches_keep_counting(spark, tmp_path):
