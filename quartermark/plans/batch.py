@@ -15,6 +15,7 @@ from quartermark.plans.consolidate import consolidate
 from quartermark.plans.load import facts_of
 from quartermark.plans.report import validated_report
 from quartermark.schemas import REGISTER_COLUMNS
+from quartermark.session import written_once
 from quartermark.sources import tables
 from quartermark.sources.delimited import LATIN, read_register
 
@@ -74,7 +75,7 @@ def run_batch(
     expenses = tables.read_table(spark, target.expenses)
 
     register = read_register(spark, register_path, encoding)
-    keyed = keyed_register(align_register(register, ARRIVAL), ARRIVAL)
+    keyed = written_once(keyed_register(align_register(register, ARRIVAL), ARRIVAL), "register")
     tables.export_csv(validated_report(expenses, keyed), target.report, compressed=True)
 
     tables.write_table(operator_statistics(expenses, keyed), f"{target.gold}/por_estado")

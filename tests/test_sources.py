@@ -249,6 +249,21 @@ def test_stream_takes_each_file_once(spark, tmp_path, rows):
     assert ingested(spark, target).count() == 3
 
 
+def test_listing_reads_no_content(spark, tmp_path):
+    """A listing that read file contents would fail for files above this limit."""
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    put(tmp_path / "landing" / "2025" / "1T" / "a.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1\n")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 10)
+    try:
+        assert consolidate(spark, landing).count() == 1
+        ingest(spark, landing, target, str(tmp_path / "offsets")).awaitTermination()
+        assert ingested(spark, target).count() == 1
+        with pytest.raises(Exception, match="(?i)length"):
+            spark.read.format("binaryFile").load(f"{landing}/2025/1T").select("content").collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
     put(tmp_path / "landing" / "2025" / "1T" / "a.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1\n")
