@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermark.llm import decontaminate
+from quartermark.llm import decontaminate, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +16,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_report(decontaminate.mark_hits(docs, benchmark))
 
 
+def public_tokenizer(name: str) -> str:
+    """Place of a public tokenizer file on this machine; the files are installed on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.piece_report(packing.pack(docs, public_tokenizer("word_bpe_49k.json")))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_packing": op2_packing,
 }
 
 ORACLE: dict[str, str] = {}
