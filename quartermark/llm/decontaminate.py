@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermark.llm.words import LETTER_WORDS_LOWER, Words, binary, covered, shingles, slices
+from quartermark.llm.words import LETTER_WORDS_LOWER, Words, binary, covered, keep_rows, shingles, slices
 
 WINDOW = 10
 SHINGLE = 3
@@ -185,9 +185,6 @@ def mark_hits(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Per document row: key, word count, a byte per word (1: hit) and the items whose windows occur."""
-    items = item_words(benchmark)
-    total = items.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-total // block_words))
     chosen = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, hits binary, items array<string>"
@@ -198,6 +195,26 @@ def mark_hits(
             "items": F.lit(None).cast("array<string>"),
         }
     )
+    shared = benchmark_blocks(docs, benchmark, text, window, shingle, block_words)
+    for number, block in enumerate(shared):
+        last = number == len(shared) - 1
+        out = out.mapInArrow(_marker(block, last), schema if last else f"{schema}, text string")
+    return out
+
+
+def benchmark_blocks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    block_words: int = BLOCK_WORDS,
+) -> list:
+    """The benchmark in bounded blocks, each with the rarest shingle of its windows, as broadcasts."""
+    items = item_words(benchmark)
+    total = items.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-total // block_words))
+    shared = []
     for number in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == number).collect()
         block = Block(rows, window, shingle) if rows else None
@@ -206,12 +223,10 @@ def mark_hits(
             keys: dict[int, list] = {}
             for (size, _), (_, grid) in block.tokens().items():
                 keys.setdefault(size, []).append(grid.ravel())
-            counts = shingle_counts(chosen, {s: np.unique(np.concatenate(k)) for s, k in keys.items()}, "text")
+            counts = shingle_counts(docs, {s: np.unique(np.concatenate(k)) for s, k in keys.items()}, text)
             prefixes = block.rarest(counts)
-        shared = docs.sparkSession.sparkContext.broadcast((block, prefixes))
-        last = number == blocks - 1
-        out = out.mapInArrow(_marker(shared, last), schema if last else f"{schema}, text string")
-    return out
+        shared.append(docs.sparkSession.sparkContext.broadcast((block, prefixes)))
+    return shared
 
 
 def _marker(shared, last: bool):
@@ -277,7 +292,21 @@ def hit_report(marked: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the rows in which an item window occurs; columns unchanged."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
-    marked = mark_hits(rows, benchmark, key="row", text="text")
-    clean = marked.filter(~F.contains(F.col("hits"), F.lit(b"\x01")))
-    return clean.select("doc_id.*")
+
+    def masks(shared):
+        block, prefixes = shared.value
+        filters = {size: Filter(np.unique(keys)) for size, (keys, _, _) in prefixes.items()}
+
+        def clean(texts):
+            found = Words(texts, LETTER_WORDS_LOWER)
+            kept = np.ones(len(texts), bool)
+            if block is not None and len(found.starts):
+                start, _ = contained(found, found.hashes(), block, prefixes, filters)
+                kept[np.searchsorted(found.last, start, "right")] = False
+            return kept
+
+        return clean
+
+    for shared in benchmark_blocks(docs, benchmark, text):
+        docs = keep_rows(docs, text, lambda shared=shared: masks(shared))
+    return docs

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quartermark.llm import decontaminate, packing
+from quartermark.llm import decontaminate, licences, packing, quality_mil, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,51 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_report(packing.pack(docs, public_tokenizer("word_bpe_49k.json")))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents")).drop("places")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read_records(warc.archive(_table(spark, sf_dir, "pages")))
+    return found.select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    network = quality_mil.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_mil.score(docs, network).select(
+        "doc_id",
+        quality_mil.held_out("doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality_mil.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op7_licence_scan": op7_licence_scan,
+    "op8_warc": op8_warc,
+    "op9_quality": op9_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH page AS (
+            SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+        ), kept AS (
+            SELECT sha1(body) AS digest, max(page_id) AS page_id
+            FROM page WHERE octet_length(body) >= 1000 GROUP BY 1
+        )
+        SELECT p.page_id, CAST(octet_length(p.body) AS BIGINT) AS payload_bytes, sha1(p.body) AS payload_digest,
+               CASE WHEN k.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN k.page_id <> p.page_id THEN k.page_id END AS refers_to
+        FROM page p LEFT JOIN kept k ON octet_length(p.body) >= 1000 AND k.digest = sha1(p.body)
+    """,
+}

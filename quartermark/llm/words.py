@@ -7,9 +7,12 @@ few megabytes; only a single text longer than that makes a slice larger.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 
@@ -154,5 +157,18 @@ def covered(starts: np.ndarray, lengths, n: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def int64s(column: pa.Array) -> pa.Array:
-    return column.cast(pa.int64())
+def keep_rows(docs: DataFrame, text: str, masks: Callable[[], Callable[[list[bytes]], np.ndarray]]) -> DataFrame:
+    """``docs`` with the rows whose text a mask keeps; all columns stay, whatever their names.
+
+    ``masks`` runs once in each task and gives the function that decides on a slice of texts.
+    """
+    names, place = docs.columns, docs.columns.index(text)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def run(batches):
+        mask = masks()
+        for batch in batches:
+            for part in slices(batch, f"c{place}"):
+                yield part.filter(pa.array(mask(binary(part.column(place)).to_pylist())))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
