@@ -27,6 +27,7 @@ repeated rows are packed as often as they occur. Only key and text are read.
 from __future__ import annotations
 
 import heapq
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,37 +39,47 @@ from quartermark.llm.words import BLANKS, _translation, binary, slices, span_has
 
 CAPACITY = 4096
 PIECE = 256
-GROUP = 2048
+GROUP = 1024
 ROOM = 8
 END_ID = 2
 CACHED = 1_000_000
 
 _LOWER = _translation(BLANKS, lower=True)
-_LETTER = np.zeros(256, bool)
-_LETTER[97:123] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
-_MARK = np.zeros(256, bool)
-_MARK[0x21:0x7F] = True
-_MARK &= ~(_LETTER | _DIGIT)
-_APOSTROPHE = 39
+_BLANK, _LETTER, _DIGIT, _MARK, _APOSTROPHE, _OTHER = range(6)
+_KIND = bytearray([_OTHER] * 256)
+_KIND[0x20] = _BLANK
+for _b in range(0x21, 0x7F):
+    _KIND[_b] = _LETTER if 97 <= _b < 123 else _DIGIT if 48 <= _b < 58 else _APOSTROPHE if _b == 39 else _MARK
+_KINDS = bytes(_KIND)
 
 
-def piece_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans between places where the tokenizer's pattern always cuts; blanks are left out.
+def _always_cut(x: int, y: int) -> bool:
+    """Whether the pattern cuts between characters of these kinds, whatever stands around them.
 
     An apostrophe before a letter may belong to a contraction and is no such place.
     """
-    x, y = data[:-1], data[1:]
-    visible = _LETTER | _DIGIT | _MARK
-    cut = (_LETTER[x] & _MARK[y]) | (_MARK[x] & _LETTER[y] & (x != _APOSTROPHE))
-    cut |= (_DIGIT[x] & visible[y]) | (visible[x] & _DIGIT[y])
-    blank = data == 0x20
-    edge = np.ones(len(data) + 1, bool)
-    edge[1:-1] = cut | (blank[1:] != blank[:-1])
+    if _BLANK in (x, y):
+        return x != y
+    if _OTHER in (x, y):
+        return False
+    marks = (_MARK, _APOSTROPHE)
+    return _DIGIT in (x, y) or (x == _LETTER and y in marks) or (x == _MARK and y == _LETTER)
+
+
+_CUTS = np.zeros(64, bool)
+for _x in range(6):
+    for _y in range(6):
+        _CUTS[_x * 8 + _y] = _always_cut(_x, _y)
+
+
+def piece_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Spans between places where the tokenizer's pattern always cuts; blanks are left out."""
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+    edge = np.ones(len(kind) + 1, bool)
+    edge[1:-1] = _CUTS[(kind[:-1] << 3) | kind[1:]]
     places = np.flatnonzero(edge)
     starts, ends = places[:-1], places[1:]
-    kept = ~blank[starts]
+    kept = kind[starts] != _BLANK
     return starts[kept], ends[kept]
 
 
@@ -85,20 +96,22 @@ class Encoder:
 
     def clear(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.where = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.slot = np.empty(0, np.int64)
+        self.first = np.zeros(1, np.int64)
         self.flat = np.empty(0, np.uint32)
 
     def learn(self, keys: np.ndarray, texts: list[str]) -> None:
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(size.sum()))
-        where = len(self.flat) + np.cumsum(size) - size
-        place = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, place, keys)
-        self.where = np.insert(self.where, place, where)
-        self.size = np.insert(self.size, place, size)
+        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(size.sum()))
+        known = len(self.keys)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
         self.flat = np.concatenate([self.flat, flat])
+        every = np.concatenate([self.keys, keys])
+        # Both parts are sorted, which a stable sort merges in one pass.
+        order = np.argsort(every, kind="stable")
+        self.keys = every[order]
+        self.slot = np.concatenate([self.slot, known + np.arange(len(keys))])[order]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text, without special tokens of the library's own."""
@@ -106,19 +119,26 @@ class Encoder:
             whole = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, np.uint32) for e in whole]
         joined = b"\n".join(texts)
-        data = np.frombuffer(joined.translate(_LOWER), np.uint8)
-        starts, ends = piece_spans(data) if len(data) else (np.empty(0, np.int64),) * 2
-        keys, first, code = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        clean = joined.translate(_LOWER)
+        starts, ends = piece_spans(clean)
+        hashes = span_hashes(np.frombuffer(clean, np.uint8), starts, ends)
+        order = np.argsort(hashes)
+        new_key = np.diff(hashes[order], prepend=~hashes[order][:1]) != 0
+        keys, first = hashes[order][new_key], order[new_key]
+        code = np.empty(len(order), np.int64)
+        code[order] = np.cumsum(new_key) - 1
         if len(self.keys) + len(keys) > CACHED:
             self.clear()
-        new = keys[~np.isin(keys, self.keys, assume_unique=True)]
-        if len(new):
-            spans = first[np.searchsorted(keys, new)]
+        at = np.searchsorted(self.keys, keys)
+        known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        if not known.all():
+            spans = first[~known]
             # Spans are UTF-8 of whole characters, since all cuts are at ASCII bytes.
-            clean = data.tobytes()
-            self.learn(new, [clean[a:b].decode() for a, b in zip(starts[spans].tolist(), ends[spans].tolist())])
-        entry = np.searchsorted(self.keys, keys)[code]
-        size, where = self.size[entry], self.where[entry]
+            texts_new = [clean[a:b].decode() for a, b in zip(starts[spans].tolist(), ends[spans].tolist())]
+            self.learn(keys[~known], texts_new)
+            at = np.searchsorted(self.keys, keys)
+        slot = self.slot[at][code]
+        where, size = self.first[slot], self.first[slot + 1] - self.first[slot]
         done = np.cumsum(size)
         ids = self.flat[np.repeat(where - (done - size), size) + np.arange(done[-1] if len(done) else 0)]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
