@@ -40,7 +40,9 @@ from quartermark.llm.words import BLANKS, _translation, binary, slices, span_has
 CAPACITY = 4096
 PIECE = 256
 GROUP = 1024
+# Tokens left free in each window on average, and windows held back for a rising count.
 ROOM = 8
+SPARE = 4
 END_ID = 2
 CACHED = 1_000_000
 
@@ -223,34 +225,36 @@ class Packer:
         self.next += 1
 
     def divide(self) -> None:
-        """Divides the pending pieces; those that would leave a window part empty stay pending."""
-        pieces = self.pending
-        total = sum(len(p[2]) for p in pieces)
-        bins = total // self.capacity
-        kept: list[tuple] = []
-        # A little room in each window makes it likely that the near-equal windows fit.
-        while pieces and total > bins * (self.capacity - ROOM):
-            kept.append(pieces.pop())
-            total -= len(kept[-1][2])
-        self.pending = kept
-        if not pieces:
-            return
-        sizes = [len(p[2]) for p in pieces]
-        bins = max(1, -(-total // self.capacity))
-        home, fullest = differencing(sizes, bins)
-        while fullest > self.capacity:
-            bins += 1
-            home, fullest = differencing(sizes, bins)
+        """Divides the pending pieces; those that would leave a window part empty stay pending.
+
+        Each time that capacity is exceeded the window count rises by one, and the
+        new window takes further pieces, but leaves more room in all windows.
+        """
+        upto = np.cumsum([len(p[2]) for p in self.pending])
+        bins, room, used = max(0, int(upto[-1]) // self.capacity - SPARE) if len(upto) else 0, min(ROOM, self.capacity // 512), 0
+        while True:
+            used = max(used, int(np.searchsorted(upto, bins * (self.capacity - room), "right")))
+            if not used:
+                if bins * self.capacity >= (upto[-1] if len(upto) else 0):
+                    return
+                bins += 1
+                continue
+            home, fullest = differencing([len(p[2]) for p in self.pending[:used]], bins)
+            if fullest <= self.capacity:
+                break
+            bins, room = bins + 1, min(room + ROOM // 2, self.capacity // 2)
         windows: list[list] = [[] for _ in range(bins)]
-        for piece, w in zip(pieces, home.tolist()):
+        for piece, w in zip(self.pending[:used], home.tolist()):
             windows[w].append(piece)
+        self.pending = self.pending[used:]
         for window in windows:
             if window:
                 self.emit(window)
 
     def finish(self) -> None:
         """Divides what is left, then cuts the rest at powers of two."""
-        self.divide()
+        while len(self.pending) > self.capacity // self.piece * SPARE * 2:
+            self.divide()
         rest = sum(len(p[2]) for p in self.pending)
         queue = self.pending[::-1]
         self.pending = []
@@ -282,6 +286,8 @@ def pack(
 
     Sequence ids are unique over all tasks; a task numbers its own.
     """
+    if piece > capacity // 2:
+        raise ValueError("a piece may have at most half of a window's tokens")
     chosen = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
 

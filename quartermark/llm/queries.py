@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermark.llm import decontaminate, licences, packing, quality_mil, warc
+from quartermark.llm import decontaminate, licences, packing, quality_mil, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_report(packing.pack(docs, public_tokenizer("word_bpe_49k.json")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents")).drop("places")
 
@@ -58,6 +62,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_licence_scan": op7_licence_scan,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
