@@ -111,15 +111,30 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return rows.select("doc_id", F.xxhash64("doc_id", "text").alias("rk1"), F.hash("text", "doc_id").alias("rk2"), "text")
 
 
-def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict]) -> DataFrame:
+RUN = ("anchor", "first", "last", "often")
+
+
+def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict], once: bool = False) -> DataFrame:
     """(rk1, rk2, places): the runs of each row whose anchor occurs more than once anywhere.
 
     ``runs`` gives for some texts the columns text, anchor, first, last (window
     starts of the run within the text) and again (the anchor repeats within the
-    run). ``places`` packs anchor, first and last.
+    run); it may give rk1 and rk2 for each text instead of those of the rows.
+    With ``once``, rows of equal hashes count as one. ``places`` packs anchor,
+    first, last and often (how often the anchor was met, at least).
     """
     n = partitions(rows)
 
+    def told_of(c: dict, at: np.ndarray) -> bytes:
+        # Runs name their row by its place in a table, which is shorter than two hashes.
+        who, place = np.unique(c["row"][at], return_inverse=True)
+        return pack(**{k: c[k][at] for k in RUN}, row=place.astype(np.int32), rk1=c["rk1"][who], rk2=c["rk2"][who])
+
+    def read(blob: bytes) -> dict:
+        c = unpack(blob)
+        row = c.pop("row")
+        return c | {"rk1": c["rk1"][row], "rk2": c["rk2"][row]}
+
     def find(batches):
         task = TaskContext.get().partitionId()
         held: list[dict] = []
@@ -127,37 +142,46 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict]) -> DataFra
 
         def flush():
             nonlocal held, count, turn
-            c = joined(held)
+            rows_before = np.cumsum([0, *(len(h["rk1"]) for h in held)])
+            c = joined([{k: v for k, v in h.items() if k not in ("rk1", "rk2")} for h in held])
+            c["row"] = c["text"] + np.repeat(rows_before[:-1], [len(h["text"]) for h in held])
+            table = joined([{k: h[k] for k in ("rk1", "rk2")} for h in held])
             held, count = [], 0
+            if once:
+                _, first, same = np.unique(np.stack([table["rk1"], table["rk2"]]), axis=1, return_index=True, return_inverse=True)
+                row = first[same.ravel()][c["row"]]
+                _, kept = np.unique(np.stack([c["anchor"], row.astype(np.uint64)]), axis=1, return_index=True)
+                c = {k: v[kept] for k, v in c.items()}
+                c["row"] = row[kept]
             order = np.argsort(c["anchor"], kind="stable")
             c = {k: v[order] for k, v in c.items()}
             new = np.flatnonzero(np.diff(c["anchor"], prepend=~c["anchor"][:1]))
             size = np.diff(np.append(new, len(order)))
-            known = np.repeat(size > 1, size) | c["again"]
+            c["often"] = np.repeat(size, size).astype(np.int32)
+            known = (c["often"] > 1) | c["again"]
+            c |= table
             out = []
             keep = np.flatnonzero(~known)
             told = c["anchor"][new[known[new]]]
             for b, at in dealt(buckets_of(c["anchor"][keep], n), n):
-                at = keep[at]
-                out.append((b, 0, pack(**{k: c[k][at] for k in ("anchor", "rk1", "rk2", "first", "last")})))
+                out.append((b, 0, told_of(c, keep[at])))
             for b, at in dealt(buckets_of(told, n), n):
                 out.append((b, 1, pack(anchor=told[at])))
             at = np.flatnonzero(known)
             if len(at):
-                out.append(((task + turn) % n, 2, pack(**{k: c[k][at] for k in ("anchor", "rk1", "rk2", "first", "last")})))
+                out.append(((task + turn) % n, 2, told_of(c, at)))
             turn += 1
             return packed_batch(out)
 
         for batch in batches:
             for part in slices(batch, "text"):
                 c = runs(binary(part.column("text")).to_pylist())
-                text = c.pop("text")
-                if not len(text):
+                if not len(c["text"]):
                     continue
-                c["rk1"] = part.column("rk1").to_numpy(zero_copy_only=False)[text]
-                c["rk2"] = part.column("rk2").to_numpy(zero_copy_only=False)[text]
+                for k in ("rk1", "rk2"):
+                    c.setdefault(k, part.column(k).to_numpy(zero_copy_only=False))
                 held.append(c)
-                count += len(text)
+                count += len(c["text"])
                 if count >= FLUSH_ROWS:
                     yield flush()
         if count:
@@ -167,12 +191,19 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict]) -> DataFra
         singles, told, kept = [], [], []
         for batch in batches:
             for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist()):
-                (singles, told, kept)[kind].append(unpack(blob))
+                (singles, told, kept)[kind].append(unpack(blob) if kind == 1 else read(blob))
         if singles:
             c = joined(singles)
-            every = np.concatenate([c["anchor"], *(t["anchor"] for t in told)])
+            alone = c["anchor"]
+            if once:
+                order = np.lexsort((c["rk2"], c["rk1"], c["anchor"]))
+                same = np.ones(len(order), bool)
+                same[1:] = np.any([c[k][order][1:] != c[k][order][:-1] for k in ("anchor", "rk1", "rk2")], axis=0)
+                alone = c["anchor"][order[same]]
+            every = np.concatenate([alone, *(t["anchor"] for t in told)])
             values, counts = np.unique(every, return_counts=True)
-            more = counts[np.searchsorted(values, c["anchor"])] > 1
+            c["often"] = counts[np.searchsorted(values, c["anchor"])].astype(np.int32)
+            more = c["often"] > 1
             kept.append({k: v[more] for k, v in c.items()})
         if not kept:
             return
@@ -185,11 +216,11 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict]) -> DataFra
         if not parts:
             return
         c = joined(parts)
-        order = np.lexsort((c["first"], c["rk2"], c["rk1"]))
+        order = np.lexsort((c["anchor"], c["first"], c["rk2"], c["rk1"]))
         c = {k: v[order] for k, v in c.items()}
         # Repeated rows report each run once for every copy.
         same = np.ones(len(order), bool)
-        same[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("rk1", "rk2", "first")], axis=0)
+        same[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("rk1", "rk2", "first", "anchor")], axis=0)
         c = {k: v[same] for k, v in c.items()}
         new = np.flatnonzero(np.diff(c["rk1"], prepend=~c["rk1"][:1]) | np.diff(c["rk2"], prepend=~c["rk2"][:1]))
         ends = np.append(new[1:], len(c["rk1"]))
@@ -200,7 +231,7 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict]) -> DataFra
                     pa.array(c["rk2"][new[at : at + 1000]]),
                     pa.array(
                         [
-                            pack(anchor=c["anchor"][a:b], first=c["first"][a:b], last=c["last"][a:b])
+                            pack(**{k: c[k][a:b] for k in RUN})
                             for a, b in zip(new[at : at + 1000], ends[at : at + 1000])
                         ],
                         pa.binary(),
