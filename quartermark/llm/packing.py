@@ -27,6 +27,7 @@ repeated rows are packed as often as they occur. Only key and text are read.
 from __future__ import annotations
 
 import heapq
+import os
 from itertools import chain
 
 import numpy as np
@@ -45,6 +46,7 @@ ROOM = 8
 SPARE = 4
 END_ID = 2
 CACHED = 1_000_000
+SLICE_BYTES = 1 << 20
 
 _LOWER = _translation(BLANKS, lower=True)
 _BLANK, _LETTER, _DIGIT, _MARK, _APOSTROPHE, _OTHER = range(6)
@@ -89,6 +91,8 @@ class Encoder:
     """Ids of whole texts by a tokenizer file that splits at blanks and lower-cases."""
 
     def __init__(self, path: str):
+        # Spark runs the tasks in parallel already; threads of the library's own only cost memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -314,7 +318,7 @@ def pack(
 
         for batch in batches:
             doc_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 for doc, ids in zip(part.column("doc_id"), encode(binary(part.column("text")).to_pylist())):
                     packer.add(doc, np.concatenate([ids, end]))
                 if packer.rows:
