@@ -97,6 +97,16 @@ def packed_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
+def first_of(*columns: np.ndarray) -> np.ndarray:
+    """For each row, the first row that has the same values."""
+    order = np.lexsort(columns)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    out = np.empty(len(order), np.int64)
+    out[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return out
+
+
 PACKED = "bucket int, kind int, blob binary"
 
 
@@ -148,9 +158,8 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict], once: bool
             table = joined([{k: h[k] for k in ("rk1", "rk2")} for h in held])
             held, count = [], 0
             if once:
-                _, first, same = np.unique(np.stack([table["rk1"], table["rk2"]]), axis=1, return_index=True, return_inverse=True)
-                row = first[same.ravel()][c["row"]]
-                _, kept = np.unique(np.stack([c["anchor"], row.astype(np.uint64)]), axis=1, return_index=True)
+                row = first_of(table["rk1"], table["rk2"])[c["row"]]
+                kept = np.flatnonzero(first_of(c["anchor"], row) == np.arange(len(row)))
                 c = {k: v[kept] for k, v in c.items()}
                 c["row"] = row[kept]
             order = np.argsort(c["anchor"], kind="stable")
