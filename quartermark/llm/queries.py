@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermark.llm import decontaminate, fm_dedup, jaccard_trees, licences, packing, quality_mil, suffix_dedup, warc
+from quartermark.llm import decontaminate, fm_dedup, jaccard_trees, kneser_ney, licences, packing, quality_mil, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = quality_mil.held_out("doc_id", 10)
+    scored = kneser_ney.score(docs, kneser_ney.train(docs.filter(~out)))
+    return scored.select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -76,6 +85,7 @@ QUERIES = {
     "op7_licence_scan": op7_licence_scan,
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
+    "op10_language_model": op10_language_model,
 }
 
 ORACLE: dict[str, str] = {

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartermark.llm.files import Writer, store
 from quartermark.session import shared_dir
 
 SMALL = 1000
@@ -39,13 +40,6 @@ DATE = "2000-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
 
 
-def store(uri: str):
-    """File system and path of a shared folder, for tasks."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def with_roles(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Pages with the digest of their payload and the id that they refer to (null: a response)."""
     body = F.coalesce(F.encode(F.col(payload).cast("string"), "UTF-8"), F.lit(b""))
@@ -79,27 +73,6 @@ def record(page, url: str | None, payload: bytes, digest: str, refers) -> bytes:
     return b"\r\n".join(headers) + _END + payload + _END
 
 
-class Writer:
-    """A file in the shared folder that gets its name when it is whole."""
-
-    def __init__(self, folder: str, name: str):
-        self.files, base = store(folder)
-        self.path, self.uri = posixpath.join(base, name), posixpath.join(folder, name)
-        self.files.create_dir(base, recursive=True)
-        self.draft = f"{self.path}.{TaskContext.get().taskAttemptId()}.draft"
-        self.out = self.files.open_output_stream(self.draft, compression=None)
-        self.size = 0
-
-    def write(self, data: bytes) -> None:
-        self.out.write(data)
-        self.size += len(data)
-
-    def close(self) -> str:
-        self.out.close()
-        self.files.move(self.draft, self.path)
-        return self.uri
-
-
 def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes rows of :func:`with_roles` as whole-file gzip streams when evaluated; one row per file."""
 
