@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermark.llm import decontaminate, fm_dedup, jaccard_trees, kneser_ney, licences, packing, quality_mil, suffix_dedup, warc
+from quartermark.llm import decontaminate, fm_dedup, jaccard_trees, kneser_ney, licences, packing, quality_mil, sketches, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_trees.similar(_table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("removed")
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_fingerprints": op5_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_licence_scan": op7_licence_scan,
     "op8_warc": op8_warc,
