@@ -275,7 +275,7 @@ def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     spans = with_spans(plain, key, text, window).filter("spans IS NOT NULL").select("rk1", "rk2", "spans").distinct()
     found = keyed.join(spans, (F.col("k1") == F.col("rk1")) & (F.col("k2") == F.col("rk2")), "left")
     found = found.select(*plain.columns, "spans")
-    place = plain.columns.index(text)
+    columns_out, place = plain.columns, plain.columns.index(text)
 
     def run(batches):
         for batch in batches:
@@ -287,6 +287,6 @@ def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
                         _, gone, words, _ = kept_words(texts[i].encode(), blob)
                         texts[i], kept[i] = b" ".join(words).decode(), bool(words)
                 columns = [pa.array(texts, column.type) if i == place else part.column(i) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays(columns, plain.columns).filter(pa.array(kept))
+                yield pa.RecordBatch.from_arrays(columns, columns_out).filter(pa.array(kept))
 
     return found.mapInArrow(run, plain.schema).toDF(*names)
