@@ -7,25 +7,45 @@ from pyspark.sql import functions as F
 
 # Parts of a page whose text is not markup.
 INERT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# Group 2 is the target, whichever quotes the page uses.
-ANCHOR = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*(["']?)(.*?)\1(?=[\s>]|/>)"""
+# Group 1 is the target with its quotes; an unquoted one ends at a blank or the tag's end.
+ANCHOR = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 # File endings that are downloaded, and entries that are skipped.
 FILE_ENDINGS = ("zip", "csv", "pdf", "rar")
 SKIPPED_ENTRIES = ("../", "./", "")
+ENTITIES = (
+    ("&quot;", '"'),
+    ("&#34;", '"'),
+    ("&apos;", "'"),
+    ("&#39;", "'"),
+    ("&#x27;", "'"),
+    ("&#47;", "/"),
+    ("&#x2F;", "/"),
+    ("&#x2f;", "/"),
+    ("&nbsp;", "\u00a0"),
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&#38;", "&"),
+    ("&amp;", "&"),
+)
 
 
 def unescape(text: Column) -> Column:
-    """``&amp;`` comes last so that ``&amp;lt;`` is decoded only once."""
-    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    """Entities that occur in addresses. ``&amp;`` comes last so that ``&amp;lt;`` is decoded only once."""
+    for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
+def unquoted(target: Column) -> Column:
+    quoted = F.startswith(target, F.lit('"')) | F.startswith(target, F.lit("'"))
+    return F.when(quoted, F.substr(target, F.lit(2), F.length(target) - 2)).otherwise(target)
+
+
 def hrefs(html: Column) -> Column:
     """All anchor targets of a page, in page order."""
     markup = F.regexp_replace(html, INERT, " ")
-    return F.transform(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(2)), unescape)
+    return F.transform(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(1)), lambda t: unescape(unquoted(t)))
 
 
 def link_kind(href: Column) -> Column:

@@ -10,26 +10,23 @@ from pyspark.sql import functions as F
 PERIOD_FOLDERS = r"[/=](\d{4})/(?:[^/=]++=)?(?:\s|%20)*[tT]?([1-4])[tT]?(?:\d{4})?(?:/|$)"
 
 
+# Year first with dashes or slashes, eight digits, or day first; each may carry a time.
+DATE_FORMS = (
+    r"^\s*(?:(\d{4})([-/])(\d{1,2})\2(\d{1,2})|(\d{4})(\d{2})(\d{2})|(\d{1,2})/(\d{1,2})/(\d{4}))"
+    r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?\s*$"
+)
+
+
 def parse_date(text: Column) -> Column:
-    """``yyyy-MM-dd`` (also with a time) or ``dd/MM/yyyy``; anything else is null.
+    """Dates with the year first (dashes, slashes or eight digits) or the day first (slashes); else null.
 
     Guessing one format per column would read 01/04 as January. The text is
     brought into ISO order and cast, because a cast returns null for bad text,
     while a pattern parser raises and catches an exception for every such row.
+    Of the three forms one takes part in a match; the groups of the others are empty.
     """
-    def at(position: int, char: str) -> Column:
-        return F.substring(text, position, 1) == char
-
-    size = F.length(text)
-    day_first = (size == 10) & at(3, "/") & at(6, "/")
-    swapped = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
-    iso = (size == 10) & at(5, "-") & at(8, "-")
-    timed = (size == 19) & at(5, "-") & at(8, "-")
-    return (
-        F.when(day_first, swapped.try_cast("date"))
-        .when(iso, text.try_cast("date"))
-        .when(timed, text.try_cast("timestamp_ntz").cast("date"))
-    )
+    ordered = F.regexp_replace(text, DATE_FORMS, "#$1$5$10-$3$6$9-$4$7$8")
+    return F.when(F.startswith(ordered, F.lit("#")), F.substr(ordered, F.lit(2)).try_cast("date"))
 
 
 def quarter_label(quarter: Column) -> Column:

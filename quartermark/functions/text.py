@@ -46,8 +46,8 @@ def lenient_int(text: Column) -> Column:
 
 
 def lenient_date(text: Column) -> Column:
-    """``yyyy-MM-dd`` only; a cast alone would also take ``2025``."""
-    return F.when(F.length(text) == 10, text.try_cast("date"))
+    """Year, month and day with dashes, one or two digits each; a cast alone would also take ``2025``."""
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"), F.btrim(text).try_cast("date"))
 
 
 def comma_decimal(text: Column, kind: T.DecimalType) -> Column:

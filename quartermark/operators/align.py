@@ -81,23 +81,33 @@ def append_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+# How the register file may name its columns. A name matches a rule
+# if it equals one of the words, or holds all parts of one of the part lists.
+REGISTER_RULES = {
+    "registro_operadora": [{"equals": ["REGISTRO_OPERADORA"]}, {"parts": [["REGISTRO", "OPERADORA"]], "never": "DATA"}],
+    "cnpj": [{"parts": [["CNPJ"]]}],
+    "razao_social": [{"parts": [["RAZAO"], ["NOME"]]}],
+    "modalidade": [{"parts": [["MODALIDADE"]]}],
+    "uf": [{"equals": ["UF"], "parts": [["ESTADO"], ["SIGLA"]]}],
+}
+
+
+def rule_matches(name: str, rule: dict) -> bool:
+    if rule.get("never") and rule["never"] in name:
+        return False
+    return name in rule.get("equals", ()) or any(all(p in name for p in parts) for parts in rule.get("parts", ()))
+
+
 def resolve_register(headers: Sequence[str]) -> dict[str, str]:
-    """Canonical name to actual header, by the substring rules of the register file."""
-
-    def first(test) -> str | None:
-        return next((h for h in headers if test(h.strip().upper())), None)
-
-    found = {
-        "registro_operadora": first(lambda n: n == "REGISTRO_OPERADORA")
-        or first(lambda n: "DATA" not in n and "REGISTRO" in n and "OPERADORA" in n),
-        "cnpj": first(lambda n: "CNPJ" in n),
-        "razao_social": first(lambda n: "RAZAO" in n or "NOME" in n),
-        "modalidade": first(lambda n: "MODALIDADE" in n),
-        "uf": first(lambda n: n == "UF" or "ESTADO" in n or "SIGLA" in n),
-    }
-    if found["registro_operadora"] is None:
+    """Canonical name to actual header; an earlier rule wins, then the earlier column."""
+    found = {}
+    for canonical, rules in REGISTER_RULES.items():
+        matches = [h for rule in rules for h, n in zip(headers, normal_headers(headers)) if rule_matches(n, rule)]
+        if matches:
+            found[canonical] = matches[0]
+    if "registro_operadora" not in found:
         raise ValueError("no register number column")
-    return {canonical: header for canonical, header in found.items() if header is not None}
+    return found
 
 
 def align_register(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

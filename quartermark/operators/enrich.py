@@ -1,4 +1,9 @@
-"""Expenses joined to the register."""
+"""Expenses joined to the register.
+
+Plain joins: adaptive execution broadcasts a register that turns out small and
+splits an operator that holds a large share of the rows. Where an aggregate by
+the same key follows, set ``spark.sql.adaptive.forceOptimizeSkewedJoin``.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermark.functions import text
-from quartermark.operators.lookup import join_lookup
 from quartermark.schemas import MISSING_CNPJ, MISSING_NAME, MISSING_UF
 
 
@@ -19,28 +23,27 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.fillna({"razao_social": MISSING_NAME, "uf": MISSING_UF, "cnpj": MISSING_CNPJ})
 
 
-def enrich(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def enrich(expenses: DataFrame, register: DataFrame) -> DataFrame:
     """Keeps every expense; those without a register entry get the default texts.
 
     ``register`` has one row per ``reg_key``, so no expense is repeated.
     """
-    return fill_defaults(join_lookup(with_key(expenses), register, "reg_key", "left", **limits))
+    return fill_defaults(with_key(expenses).join(register, "reg_key", "left"))
 
 
-def unmatched(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def unmatched(expenses: DataFrame, register: DataFrame) -> DataFrame:
     """Expenses without a register entry."""
-    keys = register.select("reg_key")
-    return join_lookup(with_key(expenses), keys, "reg_key", "left_anti", **limits)
+    return with_key(expenses).join(register.select("reg_key"), "reg_key", "left_anti")
 
 
-def known_only(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def known_only(expenses: DataFrame, register: DataFrame) -> DataFrame:
     """Expenses with a register entry, by padded register number."""
-    return join_lookup(expenses, register.select("registro_operadora"), "registro_operadora", "left_semi", **limits)
+    return expenses.join(register.select("registro_operadora"), "registro_operadora", "left_semi")
 
 
-def operator_history(register: DataFrame, expenses: DataFrame, **limits) -> DataFrame:
+def operator_history(register: DataFrame, expenses: DataFrame) -> DataFrame:
     """The one-to-many relation as flat rows: each expense next to its operator.
 
     Flat on purpose: a list per operator would have to fit into one task.
     """
-    return join_lookup(expenses, register, "registro_operadora", "inner", **limits)
+    return expenses.join(register, "registro_operadora")

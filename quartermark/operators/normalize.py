@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermark.functions import numbers, periods, text
-from quartermark.operators.lookup import join_lookup
 from quartermark.schemas import CLAIM_KEYWORDS, MONEY
-from quartermark.session import written_once
 
 
 def keep_keywords(df: DataFrame, column: str = "descricao", pattern: str = CLAIM_KEYWORDS) -> DataFrame:
@@ -42,11 +40,10 @@ def comma_sources(df: DataFrame, source: str = "source_file", value: str = "valo
 
 
 def with_locale_value(
-    df: DataFrame, source: str = "source_file", value: str = "valor", out: str = "ValorDespesas", **limits
+    df: DataFrame, source: str = "source_file", value: str = "valor", out: str = "ValorDespesas"
 ) -> DataFrame:
     """Parses money text with the decimal style of the row's whole source."""
-    styles = written_once(comma_sources(df, source, value), "styles")
-    marked = join_lookup(df, styles, source, "left", **limits)
+    marked = df.join(comma_sources(df, source, value), source, "left")
     style = F.coalesce(F.col("_comma"), F.lit(False))
     return marked.withColumn(out, numbers.locale_decimal(F.col(value), style, MONEY)).drop("_comma")
 
@@ -55,9 +52,9 @@ def with_suspicion(df: DataFrame, value: str = "ValorDespesas") -> DataFrame:
     return df.withColumn("DespesasSuspeitas", numbers.is_suspicious(F.col(value)))
 
 
-def consolidated(bronze: DataFrame, **limits) -> DataFrame:
+def consolidated(bronze: DataFrame) -> DataFrame:
     """Keyword-filtered aligned rows to the consolidated expense table."""
-    typed = with_suspicion(with_locale_value(with_period(bronze), **limits))
+    typed = with_suspicion(with_locale_value(with_period(bronze)))
     return typed.select(
         F.col("reg_ans").alias("REG_ANS"),
         "Trimestre",

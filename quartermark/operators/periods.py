@@ -36,7 +36,11 @@ def newest_periods(facts: DataFrame, n: int = 3) -> DataFrame:
 
 
 def latest_only(facts: DataFrame, n: int = 3) -> DataFrame:
-    """Rows of the ``n`` newest periods: a filter, so no join and no shuffle of rows."""
+    """Rows of the ``n`` newest periods: a filter, so no join and no shuffle of rows.
+
+    Rows without a year or a quarter belong to no period.
+    """
     oldest = newest_periods(facts, n).agg(F.min(F.struct("ano", "trimestre")).alias("p")).scalar()
     same_year = (F.col("ano") == oldest["ano"]) & (F.col("trimestre") >= oldest["trimestre"])
-    return facts.filter((F.col("ano") > oldest["ano"]) | same_year)
+    known = F.col("ano").isNotNull() & F.col("trimestre").isNotNull()
+    return facts.filter(known & ((F.col("ano") > oldest["ano"]) | same_year))

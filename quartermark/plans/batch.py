@@ -14,7 +14,7 @@ from quartermark.operators.register import keyed_register, typed_register
 from quartermark.plans.consolidate import consolidate
 from quartermark.plans.load import facts_of
 from quartermark.plans.report import validated_report
-from quartermark.schemas import REGISTER_COLUMNS
+from quartermark.schemas import EXPENSE_TABLE, REGISTER_COLUMNS
 from quartermark.session import written_once
 from quartermark.sources import tables
 from quartermark.sources.delimited import LATIN, read_register
@@ -72,9 +72,10 @@ def run_batch(
         target.expenses,
         partitions=("Ano", "Trimestre"),
     )
-    expenses = tables.read_table(spark, target.expenses)
+    expenses = tables.read_table(spark, target.expenses, EXPENSE_TABLE)
 
-    register = read_register(spark, register_path, encoding)
+    # Parsed once: the report's register and the dimension both read the stored rows.
+    register = written_once(read_register(spark, register_path, encoding), "register-text")
     keyed = written_once(keyed_register(align_register(register, ARRIVAL), ARRIVAL), "register")
     tables.export_csv(validated_report(expenses, keyed), target.report, compressed=True)
 

@@ -21,13 +21,13 @@ def typed_expenses(staged: DataFrame) -> DataFrame:
     )
 
 
-def load_expenses(staged: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def load_expenses(staged: DataFrame, register: DataFrame) -> DataFrame:
     """Facts: unsuspicious rows of registered operators."""
     trusted = typed_expenses(staged).filter(~F.col("suspeita")).drop("suspeita")
-    return known_only(trusted, register, **limits)
+    return known_only(trusted, register)
 
 
-def facts_of(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def facts_of(expenses: DataFrame, register: DataFrame) -> DataFrame:
     """The same from consolidated expenses that are typed already."""
     trusted = expenses.filter(~F.col("DespesasSuspeitas")).select(
         text.zero_pad(F.col("REG_ANS"), 6).alias("registro_operadora"),
@@ -35,7 +35,7 @@ def facts_of(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
         F.col("Ano").alias("ano"),
         F.col("ValorDespesas").alias("valor_despesas"),
     )
-    return known_only(trusted, register, **limits)
+    return known_only(trusted, register)
 
 
 def typed_statistics(staged: DataFrame) -> DataFrame:

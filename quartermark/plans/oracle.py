@@ -9,6 +9,8 @@ from __future__ import annotations
 PRICE = "(CAST(o_totalprice AS DECIMAL(15,2)) - 50000)"
 QUARTER = "CONCAT(CAST(QUARTER(o_orderdate) AS VARCHAR), 'T')"
 YEAR = "CAST(YEAR(o_orderdate) AS INT)"
+# Every ninth order names an operator that the register does not have.
+KEY = "(o_custkey + CASE WHEN o_orderkey % 9 = 0 THEN 500000 ELSE 0 END)"
 
 STAGED = """staged AS (
   SELECT CAST(c_custkey AS VARCHAR) AS registro_operadora, CAST(c_custkey * 7919 AS VARCHAR) AS cnpj,
@@ -26,8 +28,7 @@ STAGED = """staged AS (
       LPAD(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0'), '-',
       LPAD(CAST(1 + c_custkey % 28 AS VARCHAR), 2, '0')) END AS data_registro_ans,
     c_custkey AS arrival
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_mktsegment <> 'HOUSEHOLD')"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 OP = (
     STAGED
@@ -49,12 +50,12 @@ REG = (
 )
 
 FACTS = f"""dp AS (
-  SELECT LPAD(CAST(o_custkey AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
+  SELECT LPAD(CAST({KEY} AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
     CAST(o_totalprice AS DECIMAL(15,2)) AS valor_despesas FROM orders)"""
 
 EXPENSES = f"""expenses AS (
-  SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'S/N' ELSE CAST(o_custkey AS VARCHAR) END AS "REG_ANS",
-    CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE o_custkey END AS clean_key,
+  SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'S/N' ELSE CAST({KEY} AS VARCHAR) END AS "REG_ANS",
+    CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE {KEY} END AS clean_key,
     {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
     CASE WHEN o_orderkey % 40 <> 0 THEN {PRICE} END AS "ValorDespesas" FROM orders)"""
 
@@ -103,6 +104,7 @@ STATE_LABEL = "CASE WHEN uf IS NULL OR uf = '' THEN 'N/A' ELSE uf END"
 
 def cnpj_valid(text: str) -> str:
     """Check-digit test over a subquery column ``c`` that holds the clean digits."""
+    # The weights of the two check digits.
     digit = "CAST(SUBSTR(c, CAST(i AS INT), 1) AS INT)"
     first = f"LIST_SUM(LIST_TRANSFORM(RANGE(1, 13), lambda i: {digit} * [5,4,3,2,9,8,7,6,5,4,3,2][i])) % 11"
     second = f"LIST_SUM(LIST_TRANSFORM(RANGE(1, 14), lambda i: {digit} * [6,5,4,3,2,9,8,7,6,5,4,3,2][i])) % 11"
@@ -130,7 +132,7 @@ entries AS (
     WHEN 2 THEN h || '/' WHEN 3 THEN '?C=' || h ELSE h END AS href FROM raw_entries)"""
 )
 
-RAW_ROWS = f"""SELECT o_custkey AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
+RAW_ROWS = f"""SELECT {KEY} AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
   CAST({PRICE} AS DOUBLE) AS "ValorDespesas", {PRICE} <= 0 AS "DespesasSuspeitas"
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
@@ -143,10 +145,10 @@ ORACLE = {
     "scan_workbooks": RAW_ROWS,
     "scan_register": f"WITH {REG} SELECT reg_key, cnpj, razao_social, modalidade, uf FROM reg",
     "batch_facts": f"""WITH {OP}
-SELECT LPAD(CAST(o_custkey AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
+SELECT LPAD(CAST({KEY} AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
   CAST({PRICE} AS DOUBLE) AS valor_despesas FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_orderstatus <> 'P' AND {PRICE} > 0
-  AND EXISTS (SELECT 1 FROM op WHERE op.registro_operadora = LPAD(CAST(o_custkey AS VARCHAR), 6, '0'))""",
+  AND EXISTS (SELECT 1 FROM op WHERE op.registro_operadora = LPAD(CAST({KEY} AS VARCHAR), 6, '0'))""",
     "skipped_files": f"""SELECT DISTINCT ano, trimestre, motivo FROM (
   SELECT {YEAR} AS ano, {QUARTER} AS trimestre, CASE o_orderstatus WHEN 'O' THEN 'no_value_column'
     WHEN 'F' THEN 'no_key_column' ELSE 'no_description_column' END AS motivo FROM orders
@@ -166,10 +168,11 @@ SELECT page_id, CAST(pos AS INT) AS pos, href,
   SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM entries WHERE LOWER(href) LIKE '%.csv')
 SELECT page_id, CASE WHEN href LIKE 'http%' THEN href ELSE url || href END AS address,
   STRING_SPLIT(url || href, '/')[-1] AS file_name FROM ranked WHERE rn = 1""",
-    "latest_n_periods": f"""WITH {FACTS}
-SELECT registro_operadora, trimestre, ano, CAST(valor_despesas AS DOUBLE) AS valor_despesas FROM dp
+    "latest_n_periods": f"""WITH {FACTS}, known AS (
+  SELECT * FROM dp WHERE NOT (CAST(registro_operadora AS INT) % 11 = 0 AND RIGHT(trimestre, 1) = 'T'))
+SELECT registro_operadora, trimestre, ano, CAST(valor_despesas AS DOUBLE) AS valor_despesas FROM known
 WHERE (ano, trimestre) IN (SELECT (ano, trimestre) FROM (
-  SELECT DISTINCT ano, trimestre FROM dp ORDER BY ano DESC, trimestre DESC LIMIT 3))""",
+  SELECT DISTINCT ano, trimestre FROM known ORDER BY ano DESC, trimestre DESC LIMIT 3))""",
     "sink_roundtrip": f"WITH {STATS} SELECT {STATS_COLUMNS} FROM stats",
     "partitioned_append": f"""WITH {EXPENSES}
 SELECT "Ano", "Trimestre", COALESCE("ValorDespesas", 0) <= 0 AS "DespesasSuspeitas", COUNT(*) AS linhas,
@@ -183,8 +186,8 @@ SELECT "Ano", "Trimestre", COALESCE("ValorDespesas", 0) <= 0 AS "DespesasSuspeit
     "keyword_filter": """SELECT p_partkey, UPPER(p_name) AS descricao FROM part
 WHERE REGEXP_MATCHES(p_name, '(?i)red widgets?|small bolts?')""",
     "date_to_period": """SELECT o_orderkey,
-  CASE WHEN o_orderkey % 3 <> 2 THEN CAST(YEAR(o_orderdate) AS VARCHAR) END AS ano,
-  CASE WHEN o_orderkey % 3 <> 2 THEN CONCAT(QUARTER(o_orderdate), 'T') END AS trimestre FROM orders""",
+  CASE WHEN o_orderkey % 10 < 8 THEN CAST(YEAR(o_orderdate) AS VARCHAR) END AS ano,
+  CASE WHEN o_orderkey % 10 < 8 THEN CONCAT(QUARTER(o_orderdate), 'T') END AS trimestre FROM orders""",
     "path_period": """SELECT o_orderkey,
   CASE WHEN o_orderkey % 4 = 0 THEN '1999' WHEN o_orderkey % 6 <> 5 THEN CAST(YEAR(o_orderdate) AS VARCHAR) END AS ano,
   CASE WHEN o_orderkey % 4 = 0 THEN '4T' WHEN o_orderkey % 6 <> 5 THEN CONCAT(QUARTER(o_orderdate), 'T') END
@@ -221,10 +224,10 @@ SELECT "REG_ANS", cnpj, razao_social, modalidade, uf, "Trimestre", "Ano",
 SELECT "REG_ANS", "Trimestre", "Ano", CAST("ValorDespesas" AS DOUBLE) AS "ValorDespesas" FROM expenses e
 WHERE NOT EXISTS (SELECT 1 FROM reg r WHERE r.reg_key = e.clean_key)""",
     "fact_load": f"""WITH {OP}
-SELECT LPAD(CAST(o_custkey AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
+SELECT LPAD(CAST({KEY} AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,
   CAST({PRICE} AS DOUBLE) AS valor_despesas FROM orders
 WHERE o_orderkey % 40 <> 0 AND {PRICE} > 0
-  AND EXISTS (SELECT 1 FROM op WHERE op.registro_operadora = LPAD(CAST(o_custkey AS VARCHAR), 6, '0'))""",
+  AND EXISTS (SELECT 1 FROM op WHERE op.registro_operadora = LPAD(CAST({KEY} AS VARCHAR), 6, '0'))""",
     "cnpj_check": f"""WITH t AS (SELECT c_custkey, LPAD(CAST(c_custkey * 7919 AS VARCHAR), 14, '0') AS base FROM customer),
 u AS (SELECT c_custkey, CASE c_custkey % 5
     WHEN 0 THEN SUBSTR(base, 1, 8) || '/' || SUBSTR(base, 9, 4) || '-' || SUBSTR(base, 13, 2)
@@ -246,17 +249,15 @@ SELECT razao_social, uf, ano, trimestre, CAST(valor AS DOUBLE) AS valor FROM qua
     "operator_stats": f"WITH {STATS} SELECT {STATS_COLUMNS} FROM stats ORDER BY valor_total DESC, razao_social, uf",
     "operator_stats_unflagged": f"""WITH {STATS}
 SELECT {STATS_COLUMNS} FROM stats WHERE NOT CONTAINS(razao_social, 'NAO LOCALIZADA')""",
-    "growth_top5": f"""WITH {OP}, {FACTS}, ends AS (
-  SELECT MIN(CONCAT(ano, trimestre)) AS first_p, MAX(CONCAT(ano, trimestre)) AS last_p FROM dp),
-sums AS (
-  SELECT registro_operadora,
-    COALESCE(SUM(valor_despesas) FILTER (WHERE CONCAT(ano, trimestre) = (SELECT first_p FROM ends)), 0) AS a,
-    COALESCE(SUM(valor_despesas) FILTER (WHERE CONCAT(ano, trimestre) = (SELECT last_p FROM ends)), 0) AS b
-  FROM dp GROUP BY registro_operadora)
-SELECT razao_social, CAST(a AS DOUBLE) AS valor_inicial, CAST(b AS DOUBLE) AS valor_final,
-  ROUND((CAST(b AS DOUBLE) - a) / a * 100, 2) AS crescimento_percentual
-FROM sums JOIN op USING (registro_operadora) WHERE a > 0 AND b > 0
-ORDER BY crescimento_percentual DESC, razao_social LIMIT 5""",
+    "growth_top5": f"""WITH {OP}, {FACTS}, sums AS (
+  SELECT registro_operadora, ano * 10 + CAST(LEFT(trimestre, 1) AS INT) AS p, SUM(valor_despesas) AS v,
+    DENSE_RANK() OVER (ORDER BY ano, trimestre) AS up, DENSE_RANK() OVER (ORDER BY ano DESC, trimestre DESC) AS down
+  FROM dp GROUP BY registro_operadora, ano, trimestre),
+pairs AS (SELECT registro_operadora, o.v AS v0, n.v AS v1 FROM sums o JOIN sums n USING (registro_operadora)
+  WHERE o.up = 1 AND n.down = 1 AND LEAST(o.v, n.v) > 0)
+SELECT razao_social, CAST(v0 AS DOUBLE) AS valor_inicial, CAST(v1 AS DOUBLE) AS valor_final,
+  ROUND((CAST(v1 AS DOUBLE) - v0) / v0 * 100, 2) AS crescimento_percentual
+FROM pairs JOIN op USING (registro_operadora) ORDER BY 4 DESC, 1 LIMIT 5""",
     "uf_total_avg": f"""WITH {OP}, {FACTS}
 SELECT uf, CAST(SUM(valor_despesas) AS DOUBLE) AS despesas_totais,
   COUNT(DISTINCT op.registro_operadora) AS qtd_operadoras,

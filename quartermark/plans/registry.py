@@ -17,7 +17,9 @@ from quartermark.plans import analytics, batch, load, report
 from quartermark.plans.consolidate import consolidate, write_bronze
 from quartermark.schemas import (
     EXPENSE_REQUIRED,
+    EXPENSE_TABLE,
     EXPENSE_WIDTHS,
+    FACT_TABLE,
     MONEY,
     REGISTER_COLUMNS,
     REGISTER_REQUIRED,
@@ -127,7 +129,7 @@ def batch_target(spark: SparkSession, sf_dir: str) -> batch.Target:
 
 @query
 def batch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, batch_target(spark, sf_dir).facts)
+    return tables.read_table(spark, batch_target(spark, sf_dir).facts, FACT_TABLE)
 
 
 @query
@@ -163,7 +165,10 @@ def html_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_n_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest.latest_only(d.facts(spark, sf_dir))
+    # Some rows have no quarter.
+    lost = F.col("registro_operadora").cast("int") % 11 == 0
+    rows = d.facts(spark, sf_dir)
+    return newest.latest_only(rows.withColumn("trimestre", F.when(~lost, F.col("trimestre"))))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -184,7 +189,7 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = d.expenses(spark, sf_dir)
     for suspicious in (False, True):
         tables.append_expenses(rows.filter(F.col("DespesasSuspeitas") == suspicious), path)
-    stored = tables.read_table(spark, path)
+    stored = tables.read_table(spark, path, EXPENSE_TABLE)
     return stored.groupBy("Ano", "Trimestre", "DespesasSuspeitas").agg(
         F.count("*").alias("linhas"), F.sum("ValorDespesas").alias("valor")
     )
@@ -224,11 +229,19 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def date_to_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    written = (
-        F.when(key % 3 == 0, F.date_format(day, "dd/MM/yyyy"))
-        .when(key % 3 == 1, F.date_format(day, "yyyy-MM-dd"))
-        .otherwise(F.concat(F.date_format(day, "yyyy-MM"), F.lit("-xx")))
+    forms = (
+        "dd/MM/yyyy",
+        "yyyy-MM-dd",
+        " yyyy-MM-dd",
+        "yyyyMMdd",
+        "yyyy/MM/dd",
+        "yyyy-MM-dd'T'HH:mm:ss.SSS",
+        "d/M/yyyy HH:mm:ss",
+        "yyyy-M-d",
+        "yyyy-MM'-xx'",
+        "yyyy",
     )
+    written = F.elt(key % 10 + 1, *[F.date_format(day, f) for f in forms])
     parsed = periods.parse_date(written)
     return d.table(spark, sf_dir, "orders").select(
         "o_orderkey",

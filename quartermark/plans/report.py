@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame
 from quartermark.operators.aggregates import largest_first, operator_statistics
 from quartermark.operators.dedup import keep_largest_state
 from quartermark.operators.enrich import with_key
-from quartermark.operators.lookup import join_lookup
 from quartermark.operators.quality import flag_register, report
 
 
-def validated_report(expenses: DataFrame, register: DataFrame, **limits) -> DataFrame:
+def validated_report(expenses: DataFrame, register: DataFrame) -> DataFrame:
     """Every expense with its operator and three quality flags."""
     flagged = flag_register(register)
-    return report(join_lookup(with_key(expenses), flagged, "reg_key", "left", **limits))
+    return report(with_key(expenses).join(flagged, "reg_key", "left"))
 
 
 def ranked_statistics(expenses: DataFrame, register: DataFrame) -> DataFrame:

@@ -86,3 +86,20 @@ REPORT_COLUMNS = (
 
 MONEY = T.DecimalType(15, 2)
 TOTAL = T.DecimalType(20, 2)
+
+# The consolidated table; its folders name year and quarter.
+EXPENSE_TABLE = (
+    T.StructType()
+    .add("REG_ANS", T.StringType())
+    .add("ValorDespesas", MONEY)
+    .add("DespesasSuspeitas", T.BooleanType())
+    .add("Ano", T.IntegerType())
+    .add("Trimestre", T.StringType())
+)
+FACT_TABLE = (
+    T.StructType()
+    .add("registro_operadora", T.StringType())
+    .add("valor_despesas", MONEY)
+    .add("ano", T.IntegerType())
+    .add("trimestre", T.StringType())
+)

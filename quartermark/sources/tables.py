@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PERIOD = ("ano", "trimestre")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table; a partitioned one needs its schema, since folder names carry no types."""
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partitions: Sequence[str] = ()) -> None:

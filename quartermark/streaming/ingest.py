@@ -4,11 +4,14 @@ The stream runs over files, not lines: a micro-batch is a bounded set of whole
 files, so rules that need a whole file (its header, its decimal style) hold
 exactly as in a batch run. Each batch overwrites a folder of its own, so a
 batch that is run again after a failure adds nothing twice. The folders are
-named by batch number: a target belongs to one checkpoint location.
+named by checkpoint and batch number, so streams with other checkpoints may
+write to the same target.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,12 +39,15 @@ def ingest(
 ) -> StreamingQuery:
     """Processes what has arrived since the last run with this checkpoint, then stops."""
 
+    owner = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
     def write_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
-        bronze_path = f"{target}/bronze/batch={batch_id}"
+        place = f"stream={owner}/batch={batch_id}"
+        bronze_path = f"{target}/bronze/{place}"
         RawScan(session, files, encoding).bronze().write.mode("overwrite").parquet(bronze_path)
         rows = consolidated(session.read.parquet(bronze_path))
-        rows.write.mode("overwrite").parquet(f"{target}/silver/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{target}/silver/{place}")
 
     return (
         arriving_files(spark, root, per_batch=per_batch)
@@ -53,4 +59,4 @@ def ingest(
 
 
 def ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/silver").drop("batch")
+    return spark.read.parquet(f"{target}/silver").drop("stream", "batch")

@@ -124,3 +124,35 @@ def test_labels(spark):
     assert values(spark, [Decimal("0.125")], labels.currency_label, "decimal(15,3)") == ["R$\u00a00,13"]
     assert values(spark, [None, 11], lambda c: labels.phone_label(c, F.lit("33")), "int") == ["() 33", "(11) 33"]
     assert values(spark, ["1T"], labels.quarter_title) == ["1Tº Trimestre"]
+
+
+def test_dates_in_every_form(spark):
+    from pyspark.sql import functions as F
+
+    from quartermark.functions import periods, text
+
+    forms = [" 2025-04-01", "20250401", "2025/04/01", "2025-04-01T10:00:00.000", "01/04/2025 00:00:00", "1/4/2025", "2025-4-1"]
+    bad = ["2025", "2025-04", "2025-13-01", "31/02/2025", "x", "", None, "202504011", "2025-04/01"]
+    df = spark.createDataFrame([(f,) for f in forms + bad], "t string")
+    got = [r[0] for r in df.select(periods.parse_date(F.col("t")).cast("string")).collect()]
+    assert got == ["2025-04-01"] * len(forms) + [None] * len(bad)
+    plain = spark.createDataFrame([("2020-1-5",), ("2020-01-05",), ("2020",), ("05/01/2020",), (None,)], "t string")
+    assert [r[0] for r in plain.select(text.lenient_date(F.col("t")).cast("string")).collect()] == ["2020-01-05"] * 2 + [None] * 3
+
+
+def test_targets_end_with_their_quotes(spark):
+    from pyspark.sql import functions as F
+
+    from quartermark.functions import links
+
+    html = """<a href="x"class="y"> <a class=z href='b c'> <a href=d/e> <a title="t" href="&#x2F;q?a=1&amp;b"> <a href="">"""
+    got = spark.createDataFrame([(html,)], "h string").select(links.hrefs(F.col("h"))).first()[0]
+    assert got == ["x", "b c", "d/e", "/q?a=1&b", ""]
+
+
+def test_rows_without_a_quarter_belong_to_no_period(spark):
+    from quartermark.operators.periods import latest_only
+
+    rows = [(2024, "1T"), (2024, "2T"), (2025, None), (None, "3T"), (2025, "1T")]
+    df = spark.createDataFrame(rows, "ano int, trimestre string")
+    assert sorted(tuple(r) for r in latest_only(df, 2).collect()) == [(2024, "2T"), (2025, "1T")]

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quartermark.functions import labels, numbers
-from quartermark.operators.lookup import join_lookup
+from quartermark.operators.enrich import known_only
 from quartermark.operators.quality import with_cnpj_check
 from quartermark.operators.serving import state_totals, top_states_and_rest
 
@@ -66,12 +66,11 @@ keys = st.one_of(st.none(), st.sampled_from([1, 1, 1, 2, 3]), st.integers(0, 50)
 
 
 @FEW
-@given(st.lists(keys, min_size=1, max_size=60), st.sets(st.integers(0, 50)), st.booleans())
-def test_semi_and_anti_split_all_rows(spark, left, right, broadcast):
-    rows = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k long, v long")
-    lookup = spark.createDataFrame([(k,) for k in right], "k long")
-    limits = {} if broadcast else {"max_rows": -1, "hot_limit": 3}
-    semi = {r["v"] for r in join_lookup(rows, lookup, "k", "left_semi", **limits).collect()}
-    anti = {r["v"] for r in join_lookup(rows, lookup, "k", "left_anti", **limits).collect()}
+@given(st.lists(keys, min_size=1, max_size=60), st.sets(st.integers(0, 50)))
+def test_semi_and_anti_split_all_rows(spark, left, right):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "registro_operadora long, v long")
+    register = spark.createDataFrame([(k,) for k in right], "registro_operadora long")
+    semi = {r["v"] for r in known_only(rows, register).collect()}
+    anti = {r["v"] for r in rows.join(register, "registro_operadora", "left_anti").collect()}
     assert semi == {i for i, k in enumerate(left) if k in right}
     assert semi | anti == set(range(len(left))) and not semi & anti

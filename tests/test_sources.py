@@ -264,12 +264,25 @@ def test_listing_reads_no_content(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
-def test_a_repeated_batch_adds_nothing(spark, tmp_path):
-    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
-    put(tmp_path / "landing" / "2025" / "1T" / "a.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1\n")
-    for attempt in ("offsets1", "offsets2"):
-        ingest(spark, landing, target, str(tmp_path / attempt)).awaitTermination()
-    assert ingested(spark, target).count() == 1
+def test_another_checkpoint_overwrites_nothing(spark, tmp_path):
+    target = str(tmp_path / "target")
+    for number in ("11", "22"):
+        landing = tmp_path / f"landing{number}"
+        put(landing / "2025" / "1T" / "a.csv", f"REG_ANS;DESC;VALOR\n{number};despesa com evento;1\n")
+        ingest(spark, str(landing), target, str(tmp_path / f"offsets{number}")).awaitTermination()
+    assert sorted(r["REG_ANS"] for r in ingested(spark, target).collect()) == ["11", "22"]
+
+
+def test_periods_without_rows_keep_their_types(spark, tmp_path):
+    from quartermark.schemas import EXPENSE_TABLE
+
+    path = str(tmp_path / "silver")
+    row = [("1", None, None, D(1), False)]
+    df = spark.createDataFrame(row, "REG_ANS string, Trimestre string, Ano int, ValorDespesas decimal(15,2), DespesasSuspeitas boolean")
+    tables.append_expenses(df, path)
+    back = tables.read_table(spark, path, EXPENSE_TABLE)
+    assert dict(back.dtypes)["Ano"] == "int" and dict(back.dtypes)["Trimestre"] == "string"
+    assert back.first()["Ano"] is None
 
 
 def test_exports_read_back(spark, tmp_path, rows):
