@@ -4,8 +4,8 @@ Two documents link when their sets of shingles agree to at least ``PERCENT``
 (intersection over union). Equal sets are one class from the start.
 
 Candidates: in any fixed order of shingles, linked sets of n shingles share at
-least a known number of the first n - ceil(n * PERCENT / 100) + n / 10 (by hash; see
-:func:`prefix_sizes`). A class stays only if that many of its prefix shingles
+least a known number of the first n - ceil(n * PERCENT / 100) + n / 10 or more (by hash;
+see :func:`prefix_sizes`). A class stays only if that many of its prefix shingles
 occur in other classes, and each may leave out its most frequent ones up to
 half of that number, which keeps passages that many texts share from tying
 them together. Classes that share a remaining shingle are tied through its
@@ -46,6 +46,7 @@ PERCENT = 85
 BLOCK = 2048
 HUBS = 32
 LEAF = 16
+SMALL = 48
 FANOUT = 8
 
 
@@ -89,12 +90,19 @@ def prefix_sizes(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Prefix length of a set, and how many of its prefix shingles any linked set's prefix has.
 
     A set of n shares at least ceil(n p) shingles with a linked one, so at most
-    n - ceil(n p) of its first shingles are not common. With s(n) = max(1, n / 10)
-    further ones in each prefix, both hold the first min(s) common shingles. A
-    linked set has at least ceil(n p) shingles, so that is at least s(ceil(n p)).
+    n - ceil(n p) of its first shingles are not common. With s(n) further ones in
+    each prefix, both hold the first min(s) common shingles. A linked set has at
+    least ceil(n p) shingles, so that is at least s(ceil(n p)), as far as there
+    are that many. A small set takes part whole: few shared shingles of a few
+    would say too little.
     """
     least = least_overlap(n, percent)
-    return np.minimum(n, n - least + np.maximum(1, n // 10)), np.minimum(n, np.maximum(1, least // 10))
+    return np.minimum(n, n - least + further(n)), np.minimum(least, further(least))
+
+
+def further(n: np.ndarray) -> np.ndarray:
+    """Prefix shingles beyond those that may be uncommon; grows with n."""
+    return np.maximum(SMALL, n // 10)
 
 
 def prefix_runs(texts: list[bytes], size: int, percent: int, letters: bool) -> dict:
@@ -356,15 +364,15 @@ def similar(
         several = several.withColumn("group", F.coalesce("label", "id"))
         by_group = several.groupBy("tie", "group").agg(F.count("*").alias("n"))
         largest = by_group.groupBy("tie").agg(F.max_by("group", F.struct("n", "group")).alias("largest"))
-        outside = several.join(largest, "tie").filter("group <> largest").select("tie", "id", "tokens", "blocks")
+        outside = several.join(largest, "tie").filter("group <> largest").select("tie", "id", "tokens", "block", "blocks")
         count = outside.groupBy("tie").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("outer_blocks"))
         outside = outside.join(count, "tie").withColumn("outer", F.pmod(F.xxhash64("id"), F.col("outer_blocks")))
         inner = several.join(count, "tie").withColumn("outer", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)))
-        outer = outside.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        outer = outside.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("at <> block")
         pairs = inner.select(task(F.col("block"), F.col("outer")), "id", "tokens").unionByName(
             outer.select(task(F.col("at"), F.col("outer")), "id", "tokens")
         )
-        links = links.unionByName(written_once(block_links(pairs.dropDuplicates(["task", "id"]), percent), "links"))
+        links = links.unionByName(written_once(block_links(pairs, percent), "links"))
         groups = components(links)
 
     # Rows that share an id are one document, so their classes belong together.
