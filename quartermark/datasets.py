@@ -7,6 +7,7 @@ Everything is derived by Spark from whole tables.
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from xml.sax.saxutils import escape
@@ -314,6 +315,55 @@ def write_archives(orders: DataFrame, root: str) -> None:
     task_files(rows, f"{root}/ruins", "zip", damage)
 
 
+def write_raw_archives(orders: DataFrame, root: str) -> None:
+    """Raw expense files as members of zip archives, one archive per task."""
+    value = as_text(shifted_price())
+    rows = orders.select(
+        F.concat_ws(
+            ",",
+            as_text(operator_key()),
+            F.date_format("o_orderdate", "dd/MM/yyyy"),
+            F.coalesce(descriptions(), F.lit("")),
+            value,
+        ).alias("line")
+    )
+
+    def pack(batches: Iterator[pd.DataFrame], stream) -> None:
+        with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive:
+            for number, batch in enumerate(batches):
+                text = "\n".join(["CD_OPERADORA,DT_REGISTRO,NM_CONTA,VALOR", *batch["line"], ""])
+                archive.writestr(f"parte-{number}.csv", text.encode("latin-1"))
+
+    task_files(rows, f"{root}/2025/1T", "zip", pack)
+
+
+def write_damaged_archives(orders: DataFrame, root: str) -> None:
+    """An archive per status and month, with a whole member and one whose bytes were changed."""
+
+    def write(month: pd.DataFrame) -> pd.DataFrame:
+        status, folder = month["status"].iloc[0], month["mes"].iloc[0]
+        system, inner = resolve(f"{root}/{status}/{folder}.zip")
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        text = "\n".join(["PEDIDO", *month["key"], ""]).encode()
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_STORED) as archive:
+            archive.writestr("bom.csv", text)
+            archive.writestr("ruim.csv", text)
+        data = bytearray(held.getvalue())
+        second = data.rindex(text)
+        data[second : second + 6] = b"******"
+        with system.open_output_stream(inner) as stream:
+            stream.write(bytes(data))
+        return pd.DataFrame({"done": [1]})
+
+    rows = orders.select(
+        F.col("o_orderstatus").alias("status"),
+        F.date_format("o_orderdate", "yyyyMM").alias("mes"),
+        as_text(F.col("o_orderkey")).alias("key"),
+    )
+    rows.groupBy("status", "mes").applyInPandas(write, "done long").write.format("noop").mode("overwrite").save()
+
+
 def write_workbooks(orders: DataFrame, root: str) -> None:
     """Workbooks of a bounded number of rows; dates are numbers with a date style."""
     rows = orders.select(

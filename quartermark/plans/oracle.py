@@ -143,6 +143,11 @@ ORACLE = {
     "scan_delimited": RAW_ROWS,
     "incremental_ingest": RAW_ROWS,
     "scan_workbooks": RAW_ROWS,
+    "archive_consolidate": RAW_ROWS,
+    "archive_errors": """WITH months AS (
+  SELECT o_orderstatus || '/' || STRFTIME(o_orderdate, '%Y%m') AS arquivo, COUNT(*) AS n FROM orders GROUP BY 1)
+SELECT arquivo, 'bom.csv' AS membro, false AS danificado, n AS linhas FROM months
+UNION ALL SELECT arquivo, 'ruim.csv', true, NULL FROM months""",
     "scan_register": f"WITH {REG} SELECT reg_key, cnpj, razao_social, modalidade, uf FROM reg",
     "batch_facts": f"""WITH {OP}
 SELECT LPAD(CAST({KEY} AS VARCHAR), 6, '0') AS registro_operadora, {QUARTER} AS trimestre, {YEAR} AS ano,

@@ -106,6 +106,28 @@ def scan_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def archive_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "zip")
+    d.write_raw_archives(d.table(spark, sf_dir, "orders"), root)
+    return expense_rows(consolidate(spark, root))
+
+
+@query
+def archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, target = shared_dir(spark, "zip"), shared_dir(spark, "unpacked")
+    d.write_damaged_archives(d.table(spark, sf_dir, "orders"), root)
+    log = archives.unpack(spark, root, target)
+    place = F.regexp_extract("archive", r"([^/]+/[^/]+)\.zip$", 1)
+    found = spark.read.text(target, recursiveFileLookup=True).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)/([^/]+)$", 1).alias("arquivo"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)/([^/]+)$", 2).alias("membro"),
+    )
+    lines = found.groupBy("arquivo", "membro").agg((F.count("*") - 1).alias("linhas"))
+    log = log.select(place.alias("arquivo"), F.col("member").alias("membro"), F.col("error").isNotNull().alias("danificado"))
+    return log.join(lines, ["arquivo", "membro"], "left")
+
+
 @query
 def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "books")

@@ -1,4 +1,4 @@
-"""Zip archives: members as rows of lines.
+"""Zip archives: members unpacked to plain files, or as rows of lines.
 
 The archive list and the member list are metadata. Each member is then a unit
 of work of its own and is decompressed as a stream, so memory use does not
@@ -13,11 +13,13 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartermark.session import written_once
 from quartermark.sources.delimited import LATIN, list_files
-from quartermark.sources.files import open_stream
+from quartermark.sources.files import copy_stream, open_stream, resolve
 
 ZIP_FILES = "*.[zZ][iI][pP]"
 MEMBER_SCHEMA = "archive string, member string, size long, error string"
@@ -52,6 +54,47 @@ def list_members(spark: SparkSession, root: str, pattern: str = ZIP_FILES) -> Da
     return list_files(spark, root, pattern).mapInPandas(members, MEMBER_SCHEMA)
 
 
+def member_place(root: str, archive: str, member: str) -> str:
+    """Where a member goes below the target: the archive's own folders, its name, the member's path.
+
+    ``2025/1T.zip`` gives ``2025/1T/…``, so the folders still tell the period.
+    """
+    base, inner = resolve(root)[1].rstrip("/"), resolve(archive)[1]
+    folders = inner.removeprefix(base).lstrip("/")
+    parts = [p for p in member.replace("\\", "/").split("/") if p not in ("", ".", "..")]
+    return "/".join([folders[: -len(".zip")], *parts])
+
+
+def unpack(spark: SparkSession, root: str, target: str, pattern: str = ZIP_FILES) -> DataFrame:
+    """Copies every member of all archives below ``root`` to a file below ``target``, once.
+
+    One row per member, with the error of a damaged archive or member. Damaged
+    ones leave no file. A member is a unit of work and is copied as a stream;
+    the shuffle moves names only and spreads the members of one archive.
+    """
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        attempt = str(TaskContext.get().taskAttemptId())
+        for batch in batches:
+            errors = []
+            for path, member in zip(batch["archive"], batch["member"]):
+                try:
+                    with open_stream(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as raw:
+                        copy_stream(raw, f"{target}/{member_place(root, path, member)}", attempt)
+                    errors.append(None)
+                except DAMAGE as problem:
+                    errors.append(describe(problem))
+            yield batch.assign(error=pd.Series(errors, index=batch.index, dtype="object"))
+
+    # Listed once; the names are read for the good and for the damaged archives.
+    listed = written_once(list_members(spark, root, pattern), "archive-members")
+    names = listed.filter("error IS NULL").select("archive", "member")
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    copied = names.repartition(tasks, "archive", "member").mapInPandas(copy, "archive string, member string, error string")
+    damaged = listed.filter("error IS NOT NULL").select("archive", "member", "error")
+    return written_once(copied.unionByName(damaged), "archive-log")
+
+
 def read_lines(members: DataFrame, encoding: str = LATIN) -> DataFrame:
     """Lines of all members, numbered from 0 within their member.
 

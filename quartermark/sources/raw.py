@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quartermark.operators.align import append_all
 from quartermark.operators.normalize import keep_keywords
 from quartermark.schemas import CLAIM_KEYWORDS, all_text
+from quartermark.session import shared_dir
+from quartermark.sources.archives import ZIP_FILES, unpack
 from quartermark.sources.delimited import LATIN, DelimitedScan, list_files
 from quartermark.sources.workbooks import ROW_SCHEMA, read_workbooks, workbook_problems
 
@@ -22,7 +24,10 @@ def listed_path(path: Column) -> Column:
 class RawScan:
     """Headers are resolved on creation; rows are read when the result is used."""
 
-    def __init__(self, spark: SparkSession, files: DataFrame, encoding: str = LATIN) -> None:
+    def __init__(
+        self, spark: SparkSession, files: DataFrame, encoding: str = LATIN, members: DataFrame | None = None
+    ) -> None:
+        self.members = members
         is_workbook = F.lower("path").endswith(".xlsx")
         self.spark = spark
         self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding)
@@ -50,6 +55,11 @@ class RawScan:
             .otherwise(listed_path(F.col("source_file")))
             .alias("source_file")
         )
+        if self.members is not None:
+            damaged = self.members.filter("error IS NOT NULL").select(
+                F.concat_ws("!", "archive", "member").alias("source_file"), F.lit("damaged_archive").alias("motivo")
+            )
+            files = files.unionByName(damaged)
         silent = files.filter(F.col("motivo").isNull()).join(hits, "source_file", "left_anti")
         return files.filter(F.col("motivo").isNotNull()).unionByName(
             silent.withColumn("motivo", F.lit("no_keyword_match"))
@@ -57,4 +67,11 @@ class RawScan:
 
 
 def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> RawScan:
-    return RawScan(spark, list_files(spark, root, RAW_FILES), encoding)
+    """Files and members of zip archives below ``root``; members are read like plain files."""
+    files, members = list_files(spark, root, RAW_FILES), None
+    if not list_files(spark, root, ZIP_FILES).isEmpty():
+        target = shared_dir(spark, "unpacked")
+        members = unpack(spark, root, target)
+        if not members.filter("error IS NULL").isEmpty():
+            files = files.unionByName(list_files(spark, target, RAW_FILES))
+    return RawScan(spark, files, encoding, members)

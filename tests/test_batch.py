@@ -70,3 +70,30 @@ def test_views_read_the_stored_tables(spark, target):
     assert tuple(serving.dashboard_totals(gold).first()) == (D("3011.00"), D("1505.50"))
     history = serving.expense_history(spark.read.parquet(target.facts), "1").collect()
     assert [r["trimestre"] for r in history] == ["2T", "1T"]
+
+
+def test_archives_give_what_their_files_give(spark, tmp_path, rows):
+    import zipfile
+
+    from quartermark.plans.consolidate import write_bronze
+
+    files = {
+        "2025/1T/a.csv": "REG_ANS;DESC;VALOR\n1;despesa com evento;1,50\n2;despesa com evento;2.000,00\n",
+        "2024/2T/b.txt": "CD_OPERADORA,NM_CONTA,SALDO_FINAL\n3,despesa com evento,4.25\n",
+    }
+    for name, text in files.items():
+        plain = tmp_path / "plain" / name
+        plain.parent.mkdir(parents=True)
+        plain.write_bytes(text.encode("latin-1"))
+        archive = tmp_path / "zipped" / f"{name.rsplit('/', 1)[0]}.zip"
+        archive.parent.mkdir(parents=True)
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(name.rsplit("/", 1)[1], text.encode("latin-1"))
+    (tmp_path / "zipped" / "broken.zip").write_bytes(b"no archive")
+    from quartermark.plans.consolidate import consolidate
+
+    columns = ["REG_ANS", "Ano", "Trimestre", "ValorDespesas"]
+    plain = consolidate(spark, str(tmp_path / "plain")).select(*columns)
+    assert rows(plain) == rows(consolidate(spark, str(tmp_path / "zipped")).select(*columns)) and plain.count() == 3
+    bronze, scan = write_bronze(spark, str(tmp_path / "zipped"))
+    assert [(r["source_file"].rsplit("/", 1)[1], r["motivo"]) for r in scan.skipped(bronze).collect()] == [("broken.zip", "damaged_archive")]
