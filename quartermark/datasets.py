@@ -239,10 +239,20 @@ def write_csv_files(rows: DataFrame, path: str, sep: str, ending: str) -> None:
 
 
 def write_register_file(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """The register with all its columns, Latin-1."""
-    columns = [F.col(c).alias(c.upper()) for c in REGISTER_COLUMNS]
-    rows = staged_register(spark, sf_dir).select(*columns)
-    rows.write.option("sep", ";").option("header", True).option("encoding", LATIN).csv(root)
+    """The register with all its columns, Latin-1, in two layouts."""
+    rows = staged_register(spark, sf_dir)
+    for part, (sep, names) in enumerate(((";", REGISTER_COLUMNS), (",", REGISTER_COLUMNS[::-1]))):
+        chosen = rows.filter(F.col("arrival") % 2 == part).select(*[F.col(c).alias(c.upper()) for c in names])
+        chosen.write.option("sep", sep).option("header", True).option("encoding", LATIN).csv(f"{root}/{part}")
+
+
+def write_multiline_files(orders: DataFrame, root: str) -> None:
+    """Two layouts; in every third row of one, the description runs over two lines."""
+    rows, sep, ending = raw_layout(orders.filter("o_orderstatus <> 'P'").withColumn("o_orderstatus", F.lit("O")), "O")
+    note = F.when(F.col("CD_CONTA_CONTABIL").cast("long") % 3 == 0, F.lit("\nsegunda linha; com \"aspas\"")).otherwise("")
+    write_csv_files(rows.withColumn("DESCRICAO", F.concat("DESCRICAO", note)), f"{root}/O", sep, ending)
+    rows, sep, ending = raw_layout(orders, "P")
+    write_csv_files(rows, f"{root}/P", sep, ending)
 
 
 def write_raw_files(orders: DataFrame, root: str) -> None:

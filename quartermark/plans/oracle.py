@@ -144,6 +144,9 @@ ORACLE = {
     "incremental_ingest": RAW_ROWS,
     "scan_workbooks": RAW_ROWS,
     "archive_consolidate": RAW_ROWS,
+    "scan_multiline": f"""SELECT {KEY} AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
+  CAST({PRICE} AS DOUBLE) AS "ValorDespesas", {PRICE} <= 0 AS "DespesasSuspeitas"
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
     "archive_errors": """WITH months AS (
   SELECT o_orderstatus || '/' || STRFTIME(o_orderdate, '%Y%m') AS arquivo, COUNT(*) AS n FROM orders GROUP BY 1)
 SELECT arquivo, 'bom.csv' AS membro, false AS danificado, n AS linhas FROM months

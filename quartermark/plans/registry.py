@@ -106,6 +106,13 @@ def scan_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "raw")
+    d.write_multiline_files(d.table(spark, sf_dir, "orders"), root)
+    return expense_rows(consolidate(spark, root))
+
+
 @query
 def archive_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "zip")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermark.operators.align import Layout, align, resolve_layout
+from quartermark.operators.align import Layout, align, append_all, resolve_layout
 from quartermark.schemas import all_text
 from quartermark.sources.files import open_stream
 
@@ -111,10 +111,30 @@ def read_group(
 ) -> DataFrame:
     """One header group as text columns ``c0, c1, …`` plus ``source_file`` and ``block``.
 
-    A record is one line. Lines with too many fields are dropped; short lines are filled with
+    Files in which a quoted field runs over the end of a line are read whole,
+    all others are split at lines. Records with too many fields are dropped; short lines are filled with
     nulls. The parser marks both as corrupt, so separators outside quotes are
     counted. Column pruning must stay off: a pruned parse marks nothing.
     """
+    several = lines_cut_in_fields(spark, paths, sep, encoding)
+    whole = [p for p in paths if p in several]
+    lines = [p for p in paths if p not in several]
+    parts = [_read(spark, p, sep, columns, encoding, m) for p, m in ((lines, False), (whole, True)) if p]
+    return append_all(parts)
+
+
+def lines_cut_in_fields(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str) -> set[str]:
+    """Files with a line that ends inside a quoted field."""
+    lines = spark.read.option("encoding", encoding).text([literal_path(p) for p in paths])
+    opened = F.col("value").rlike(rf'(?:^|{re.escape(sep)})"(?:[^"]|"")*$')
+    cut = lines.filter(opened).select(F.col("_metadata.file_path").alias("path")).distinct()
+    # The metadata column escapes what a listing shows as it is.
+    found = {r["path"] for r in cut.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")).collect()}
+    plain = {p.replace("file:///", "file:/") for p in found}
+    return {p for p in paths if p.replace("file:///", "file:/") in plain}
+
+
+def _read(spark: SparkSession, paths: Sequence[str], sep: str, columns: int, encoding: str, multi: bool) -> DataFrame:
     names = [f"c{i}" for i in range(columns)]
     schema = all_text(*names).add(T.StructField("_corrupt", T.StringType()))
     raw = (
@@ -126,9 +146,12 @@ def read_group(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
         .option("columnPruning", False)
+        .option("multiLine", multi)
         .csv([literal_path(p) for p in paths])
     )
-    unquoted = F.regexp_replace(F.col("_corrupt"), r'"[^"]*"', "")
+    # Only a quote at the start of a field opens one.
+    mark = re.escape(sep)
+    unquoted = F.regexp_replace(F.col("_corrupt"), rf'(^|{mark})"(?:[^"]|"")*"(?={mark}|\s*$)', "$1")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
     overlong = F.coalesce(fields > columns, F.lit(False))
     place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block")]
@@ -178,26 +201,21 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str =
     return reader.option("escape", '"').option("nullValue", "\u0000").csv(path)
 
 
-def read_register(spark: SparkSession, path: str, encoding: str = LATIN, sep: str = ";") -> DataFrame:
-    """Register files with their own header, all of one layout.
+def read_register(spark: SparkSession, path: str, encoding: str = LATIN) -> DataFrame:
+    """Register files with their own headers, which may differ in order, separator and columns.
 
-    ``source_file``, ``block`` and ``arrival`` order duplicates as they stand
-    in the files.
+    Columns are matched by name; those a file lacks are null. ``source_file``,
+    ``block`` and ``arrival`` order duplicates as they stand in the files.
     """
-    _, header = _head_of_first(spark, path, encoding)
-    names = header_names(header, sep)
-    files = [r["path"] for r in list_files(spark, path).collect()]
-    raw = read_group(spark, files, sep, len(names), encoding)
-    return raw.select(
-        *[F.col(f"c{i}").alias(n.strip().upper()) for i, n in enumerate(names)],
-        "source_file",
-        "block",
-        F.monotonically_increasing_id().alias("arrival"),
-    )
-
-
-def _head_of_first(spark: SparkSession, path: str, encoding: str) -> tuple[str, str]:
-    row = read_heads(list_files(spark, path), encoding).filter("header IS NOT NULL").first()
-    if row is None:
+    groups = header_groups(read_heads(list_files(spark, path), encoding))
+    frames = []
+    for (sep, header), paths in sorted(groups.items(), key=lambda g: g[1][0]):
+        if header is None:
+            continue
+        names = [n.strip().upper() for n in header_names(header, sep)]
+        raw = read_group(spark, paths, sep, len(names), encoding)
+        columns = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+        frames.append(raw.select(*columns, "source_file", "block", F.monotonically_increasing_id().alias("arrival")))
+    if not frames:
         raise FileNotFoundError(f"no register file below {path}")
-    return row["sep"], row["header"]
+    return append_all(frames)

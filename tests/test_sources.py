@@ -315,3 +315,26 @@ def test_staged_file_distinguishes_blank_and_missing(spark, tmp_path, rows):
 def test_consolidated_from_any_bronze_table(spark):
     df = spark.createDataFrame([("1", None, "d", "5", "/2024/4T/x")], "reg_ans string, data string, descricao string, valor string, source_file string")
     assert tuple(consolidated(df).first())[:4] == ("1", "4T", 2024, D("5.00"))
+
+
+def test_quoted_fields_over_several_lines(spark, tmp_path, rows):
+    put(tmp_path / "2025" / "1T" / "a.csv", 'REG_ANS;DESC;VALOR\n1;"despesa com evento\nsegunda";1\n2;despesa com evento;2\n3;5" despesa com evento;3\n')
+    put(tmp_path / "2025" / "1T" / "b.csv", 'REG_ANS;DESC;VALOR\n4;"despesa com evento; ""x""";4\n')
+    files = scan(spark, str(tmp_path))
+    bronze = files.bronze()
+    assert rows(bronze.select("reg_ans", "valor")) == [("1", "1"), ("2", "2"), ("3", "3"), ("4", "4")]
+    assert files.skipped(bronze).count() == 0
+
+
+def test_inner_quotes_hide_no_separators(spark, tmp_path, rows):
+    put(tmp_path / "2025" / "1T" / "a.csv", 'REG_ANS;X;DESC;VALOR\n1;5" x;despesa com evento 6" y;1;extra\n2;a;despesa com evento;2\n')
+    assert rows(scan(spark, str(tmp_path)).bronze().select("reg_ans", "valor")) == [("2", "2")]
+
+
+def test_register_files_of_two_layouts(spark, tmp_path, rows):
+    from quartermark.sources.delimited import read_register
+
+    put(tmp_path / "a.csv", "REGISTRO_OPERADORA;CNPJ;RAZAO_SOCIAL;UF\n7;1;ALFA;SP\n")
+    put(tmp_path / "b.csv", "UF,RAZAO_SOCIAL,REGISTRO_OPERADORA,CNPJ\nRJ,BETA,8,2\n")
+    read = read_register(spark, str(tmp_path)).select("REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "UF")
+    assert rows(read) == [("7", "1", "ALFA", "SP"), ("8", "2", "BETA", "RJ")]
