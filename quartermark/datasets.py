@@ -10,7 +10,6 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
-from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import TaskContext
@@ -25,8 +24,6 @@ from quartermark.schemas import MONEY, REGISTER_COLUMNS
 from quartermark.sources.delimited import LATIN
 from quartermark.sources.files import resolve
 
-# Rows per generated workbook; a sheet may hold about a million.
-SHEET_ROWS = 40_000
 # Large enough to make some expenses zero or negative after subtraction.
 SHIFT = 50_000
 
@@ -375,42 +372,16 @@ def write_damaged_archives(orders: DataFrame, root: str) -> None:
 
 
 def write_workbooks(orders: DataFrame, root: str) -> None:
-    """Workbooks of a bounded number of rows; dates are numbers with a date style."""
-    rows = orders.select(
-        "o_orderkey",
-        as_text(operator_key()).alias("Cd_Operadora"),
-        F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")).alias("DT_REGISTRO"),
-        F.coalesce(descriptions(), F.lit("")).alias("DESCRICAO"),
-        shifted_price().cast("double").alias("VL_SALDO_FINAL"),
-    )
-    files = rows.count() // SHEET_ROWS + 1
-    task_files(rows.repartition(files, "o_orderkey").drop("o_orderkey"), root, "xlsx", write_sheet)
-
-
-def write_sheet(batches: Iterator[pd.DataFrame], stream) -> None:
-    """A workbook with one sheet, in the smallest form that readers accept."""
-    space = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as book:
-        book.writestr(
-            "xl/workbook.xml",
-            f'<workbook xmlns="{space}" xmlns:r="{links}"><sheets><sheet name="a" r:id="r1"/></sheets></workbook>',
-        )
-        book.writestr("xl/_rels/workbook.xml.rels", '<R><Relationship Id="r1" Target="worksheets/s.xml"/></R>')
-        book.writestr(
-            "xl/styles.xml",
-            f'<styleSheet xmlns="{space}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
-        )
-        with book.open("xl/worksheets/s.xml", "w") as sheet:
-            put = lambda text: sheet.write(text.encode())
-            put(f'<worksheet xmlns="{space}"><sheetData>')
-            for number, batch in enumerate(batches):
-                if number == 0:
-                    put("<row>" + "".join(inline(c) for c in batch.columns) + "</row>")
-                for key, day, description, value in batch.itertuples(index=False):
-                    put(f'<row>{inline(key)}<c s="1"><v>{day}</v></c>{inline(description)}<c><v>{value}</v></c></row>')
-            put("</sheetData></worksheet>")
+    """A workbook for every year and quarter, which a scan names and does not read."""
 
+    def write(quarter: pd.DataFrame) -> pd.DataFrame:
+        system, inner = resolve(f"{root}/{quarter['ano'].iloc[0]}/{quarter['trimestre'].iloc[0]}/livro.xlsx")
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(inner) as stream, zipfile.ZipFile(stream, "w") as book:
+            book.writestr("linhas.txt", str(quarter["linhas"].iloc[0]))
+        return pd.DataFrame({"done": [1]})
 
-def inline(text: str) -> str:
-    return f'<c t="inlineStr"><is><t>{escape(text)}</t></is></c>'
+    day = F.col("o_orderdate")
+    quarters = orders.groupBy(F.year(day).alias("ano"), quarter_label(F.quarter(day)).alias("trimestre"))
+    counted = quarters.agg(F.count("*").alias("linhas"))
+    counted.groupBy("ano", "trimestre").applyInPandas(write, "done long").write.format("noop").mode("overwrite").save()

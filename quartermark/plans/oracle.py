@@ -142,7 +142,7 @@ NAME_TOTALS = """totals AS (SELECT p_name AS razao_social, p_brand AS uf,
 ORACLE = {
     "scan_delimited": RAW_ROWS,
     "incremental_ingest": RAW_ROWS,
-    "scan_workbooks": RAW_ROWS,
+    "scan_workbooks": f"""SELECT DISTINCT {YEAR} AS ano, {QUARTER} AS trimestre, 'workbook' AS motivo FROM orders""",
     "archive_consolidate": RAW_ROWS,
     "scan_multiline": f"""SELECT {KEY} AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
   CAST({PRICE} AS DOUBLE) AS "ValorDespesas", {PRICE} <= 0 AS "DespesasSuspeitas"

@@ -139,7 +139,11 @@ def archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "books")
     d.write_workbooks(d.table(spark, sf_dir, "orders"), root)
-    return expense_rows(consolidate(spark, root))
+    bronze, files = write_bronze(spark, root)
+    path = F.col("source_file")
+    return files.skipped(bronze).select(
+        periods.path_year(path).alias("ano"), periods.path_quarter(path).alias("trimestre"), "motivo"
+    )
 
 
 @query

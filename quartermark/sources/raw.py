@@ -1,4 +1,4 @@
-"""All raw files below a folder: delimited text and workbooks."""
+"""All raw files below a folder: delimited text, also inside archives; workbooks are named as skipped."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from quartermark.schemas import CLAIM_KEYWORDS, all_text
 from quartermark.session import shared_dir
 from quartermark.sources.archives import ZIP_FILES, unpack
 from quartermark.sources.delimited import LATIN, DelimitedScan, list_files
-from quartermark.sources.workbooks import ROW_SCHEMA, read_workbooks, workbook_problems
 
 RAW_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX]}"
 
@@ -31,29 +30,24 @@ class RawScan:
         is_workbook = F.lower("path").endswith(".xlsx")
         self.spark = spark
         self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding)
-        workbooks = files.filter(is_workbook)
-        # Without any, no Python worker needs to start for them.
-        self.workbooks = None if workbooks.isEmpty() else workbooks
+        self.workbooks = files.filter(is_workbook)
 
     def bronze(self, pattern: str = CLAIM_KEYWORDS) -> DataFrame:
         """Aligned text rows of all usable files that match the keywords."""
         parts = self.text.groups()
-        if self.workbooks is not None:
-            parts.append(read_workbooks(self.workbooks))
         if not parts:
-            return self.spark.createDataFrame([], ROW_SCHEMA)
+            return self.spark.createDataFrame([], all_text("reg_ans", "data", "descricao", "valor", "source_file"))
         return keep_keywords(append_all(parts), "descricao", pattern)
 
     def skipped(self, bronze: DataFrame) -> DataFrame:
         """Files that add nothing, and why."""
         files = self.spark.createDataFrame(self.text.files(), all_text("source_file", "motivo"))
-        if self.workbooks is not None:
-            files = files.unionByName(workbook_problems(self.workbooks).withColumnRenamed("path", "source_file"))
+        # Workbooks have no splittable text form; they are named, so that someone exports them.
+        files = files.unionByName(
+            self.workbooks.select(F.col("path").alias("source_file"), F.lit("workbook").alias("motivo"))
+        )
         hits = bronze.select("source_file").distinct().select(
-            # Workbook rows carry the path as listed, text rows the escaped one.
-            F.when(F.lower("source_file").endswith(".xlsx"), F.col("source_file"))
-            .otherwise(listed_path(F.col("source_file")))
-            .alias("source_file")
+            listed_path(F.col("source_file")).alias("source_file")
         )
         if self.members is not None:
             damaged = self.members.filter("error IS NOT NULL").select(

@@ -154,59 +154,13 @@ SPACE = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 LINKS = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
 
 
-def put_workbook(path, sheet_rows):
-    path.parent.mkdir(parents=True, exist_ok=True)
-    with zipfile.ZipFile(path, "w") as book:
-        book.writestr(
-            "xl/workbook.xml",
-            f'<workbook {SPACE} {LINKS}><sheets><sheet r:id="r7"/><sheet r:id="r1"/></sheets></workbook>',
-        )
-        book.writestr(
-            "xl/_rels/workbook.xml.rels",
-            '<R><Relationship Id="r1" Target="worksheets/no.xml"/>'
-            '<Relationship Id="r7" Target="/xl/worksheets/first.xml"/></R>',
-        )
-        book.writestr(
-            "xl/styles.xml",
-            f'<s {SPACE}><numFmts><numFmt numFmtId="170" formatCode="dd/mm/yyyy"/>'
-            '<numFmt numFmtId="171" formatCode="0.00&quot;d&quot;"/></numFmts>'
-            '<cellXfs><xf numFmtId="0"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></s>',
-        )
-        book.writestr(
-            "xl/sharedStrings.xml",
-            f"<sst {SPACE}><si><t>REG_ANS</t></si><si><t>DATA</t></si><si><t>DESCRICAO</t></si><si><t>VALOR</t></si>"
-            "<si><r><t>Despesa </t></r><r><t>com evento</t></r><rPh><t>x</t></rPh></si></sst>",
-        )
-        book.writestr("xl/worksheets/first.xml", f"<worksheet {SPACE}><sheetData>{sheet_rows}</sheetData></worksheet>")
-
-
-HEADER = '<row r="2">' + "".join(f'<c r="{c}2" t="s"><v>{i}</v></c>' for c, i in zip("ABCE", (0, 1, 2, 3))) + "</row>"
-
-
-def test_workbooks(spark, tmp_path, rows):
-    put_workbook(
-        tmp_path / "2025" / "1T" / "a b.XLSX",
-        '<row r="1"/>' + HEADER
-        + '<row r="3"><c r="A3"><v>7</v></c><c r="B3" s="1"><v>45823</v></c><c r="C3" t="s"><v>4</v></c><c r="E3" s="2"><v>1234.5</v></c></row>'
-        + '<row r="4"><c r="A4" t="str"><v>8</v></c><c r="C4" t="inlineStr"><is><t>Despesa com sinistro</t></is></c><c r="E4" t="e"><v>#N/A</v></c></row>'
-        + '<row r="5"><c r="A5"><v>9</v></c><c r="C5" t="inlineStr"><is><t>Receita</t></is></c></row>',
-    )
-    put_workbook(tmp_path / "2025" / "1T" / "no_value.xlsx", HEADER.replace("<v>3</v>", "<v>4</v>"))
-    put_workbook(tmp_path / "2025" / "1T" / "quiet.xlsx", HEADER)
-    put(tmp_path / "2025" / "1T" / "bad.xlsx", "no workbook")
-    put_workbook(tmp_path / "2025" / "1T" / "torn.xlsx", HEADER + "<row><c><v>1</v>")
-    put(tmp_path / "2025" / "1T" / "c.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1,5\n")
-    bronze, files = write_bronze(spark, str(tmp_path))
-    assert rows(consolidated(bronze).drop("source_file")) == sorted(
-        [
-            ("1", "1T", 2025, D("1.50"), False),
-            ("7", "2T", 2025, D("1234.50"), False),
-            ("8", "1T", 2025, None, True),
-        ],
-        key=repr,
-    )
-    reasons = {r["source_file"].rsplit("/", 1)[1]: r["motivo"] for r in files.skipped(bronze).collect()}
-    assert reasons == {"no_value.xlsx": "no_value_column", "quiet.xlsx": "no_keyword_match", "bad.xlsx": "unreadable", "torn.xlsx": "unreadable"}
+def test_workbooks_are_named_as_skipped(spark, tmp_path):
+    put(tmp_path / "2025" / "1T" / "a b.XLSX", "a workbook")
+    put(tmp_path / "2025" / "1T" / "a.csv", "REG_ANS;DESC;VALOR\n1;despesa com evento;1\n")
+    files = scan(spark, str(tmp_path))
+    bronze = files.bronze()
+    assert bronze.count() == 1
+    assert [(r["source_file"].rsplit("/", 1)[1], r["motivo"]) for r in files.skipped(bronze).collect()] == [("a b.XLSX", "workbook")]
 
 
 def test_damage_inside_a_member_is_reported(spark, tmp_path, rows):
