@@ -22,6 +22,9 @@ from quartermark.llm.shared import partitions
 K = 128
 SHINGLE = 5
 BITS = 40
+# For the bounds of ranges: hashed groups, and quantiles of each.
+GROUPS = 64
+FINE = 500
 
 
 def sketch(text: Column, k: int = K, size: int = SHINGLE) -> Column:
@@ -70,18 +73,31 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.lower(F.hex(x)), BITS // 4, "0")), "")
 
 
-def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
+def range_bounds(rows: DataFrame, key: str, n: int) -> list:
+    """At most ``n`` - 1 ascending bounds that split the keys about evenly.
+
+    Quantiles of hashed groups first, then quantiles of those, so no task merges
+    the summaries of all others. Bounds decide how even the ranges are, not what
+    is found in them.
+    """
+    fine = [i / FINE for i in range(FINE + 1)]
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("g")
+    quantiles = rows.groupBy(group).agg(F.percentile_approx(key, fine, 2 * FINE).alias("q"))
+    shares = [i / n for i in range(1, n)] or [0.5]
+    found = quantiles.select(F.explode("q").alias("q")).agg(F.percentile_approx("q", shares, 100 * n).alias("b"))
+    return sorted(set(found.first()["b"] or []))
+
+
+def with_next(rows: DataFrame, key: str, carried: list[str], prepare=lambda df: df) -> DataFrame:
     """``rows`` with ``next_<column>`` of the row that follows by ``key``, the first row's after the last.
+    ``prepare`` adds columns to the rows just before they are dealt out.
 
     Rows are dealt to ranges of the key. Each range also gets the first row of
     the next one, so the following row is found within a range: one shuffle,
     and no task that holds more than one range. Rows of equal key share a range.
     """
-    n = partitions(rows)
-    # Bounds of at most n ranges: that many numbers reach the driver.
-    shares = [i / n for i in range(1, n)] or [0.5]
-    bounds = rows.agg(F.percentile_approx(key, shares, 100 * n).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
+    # Several ranges for each partition, so that partitions come out even.
+    bounds = range_bounds(rows, key, 4 * partitions(rows))
     low = F.lit(0)
     # Binary search for the range, written out as nested conditions.
 
@@ -105,7 +121,7 @@ def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
     heads = placed.join(F.broadcast(targets), same).dropDuplicates(["target"])
     heads = heads.select(*[F.col("target").alias("part") if c == "part" else placed[c] for c in placed.columns], F.lit(True).alias("extra"))
     window = Window.partitionBy("part").orderBy("extra", *order)
-    every = placed.withColumn("extra", F.lit(False)).unionByName(heads)
+    every = prepare(placed.withColumn("extra", F.lit(False)).unionByName(heads))
     followed = every.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in carried])
     return followed.filter(~F.col("extra")).drop("part", "tie", "late", "extra")
 
@@ -117,7 +133,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     start of the next document.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("sketch", sketch(F.col("text"), k)), "doc_id", ["text", "sketch"])
+    rows = with_next(
+        rows, "doc_id", ["text", "sketch"], lambda df: df.withColumn("sketch", sketch(F.col("text"), k))
+    )
     n = F.char_length("text")
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn(
         "edited",
