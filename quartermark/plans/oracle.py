@@ -136,6 +136,18 @@ RAW_ROWS = f"""SELECT {KEY} AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano
   CAST({PRICE} AS DOUBLE) AS "ValorDespesas", {PRICE} <= 0 AS "DespesasSuspeitas"
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
+# The same plans over the expenses of raw files instead of the prepared table.
+RAW_EXPENSES = f"""expenses AS (
+  SELECT CAST({KEY} AS VARCHAR) AS "REG_ANS", {KEY} AS clean_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
+    {PRICE} AS "ValorDespesas" FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))"""
+ONE_STATE = """SELECT razao_social, uf, CAST(valor_total AS DOUBLE) AS valor_total, media_trimestral, desvio_padrao
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY razao_social ORDER BY valor_total DESC, uf) AS rn FROM stats)
+WHERE rn = 1"""
+REPORT = f"""SELECT CAST(clean_key AS BIGINT) AS "REG_ANS", cnpj AS "CNPJ", razao_social AS "Razao_Social",
+  modalidade AS "Modalidade", uf AS "UF", "Trimestre", "Ano",
+  CAST(COALESCE("ValorDespesas", 0) AS DOUBLE) AS "ValorDespesas", {FLAGS},
+  COALESCE("ValorDespesas", 0) <= 0 AS "FLAG_VALOR_INVALIDO" FROM enriched"""
+
 NAME_TOTALS = """totals AS (SELECT p_name AS razao_social, p_brand AS uf,
   SUM(CAST(p_retailprice AS DECIMAL(15,2))) AS valor_total FROM part GROUP BY p_name, p_brand)"""
 
@@ -247,11 +259,15 @@ SELECT c_custkey, cnpj, {cnpj_valid("cnpj")} AS cnpj_valido FROM u""",
     CASE c_custkey % 10 WHEN 1 THEN '  ' WHEN 2 THEN 'RAZAO SOCIAL NAO LOCALIZADA' ELSE c_name END AS razao_social,
     CASE WHEN c_custkey % 10 = 3 THEN 0 ELSE CAST(c_acctbal AS DECIMAL(15,2)) END AS valor FROM customer)
 SELECT c_custkey, CAST(valor AS DOUBLE) AS "ValorDespesas", {FLAGS}, valor <= 0 AS "FLAG_VALOR_INVALIDO" FROM t""",
-    "quality_report": f"""WITH {ENRICHED}
-SELECT CAST(clean_key AS BIGINT) AS "REG_ANS", cnpj AS "CNPJ", razao_social AS "Razao_Social",
-  modalidade AS "Modalidade", uf AS "UF", "Trimestre", "Ano",
-  CAST(COALESCE("ValorDespesas", 0) AS DOUBLE) AS "ValorDespesas", {FLAGS},
-  COALESCE("ValorDespesas", 0) <= 0 AS "FLAG_VALOR_INVALIDO" FROM enriched""",
+    "quality_report": f"WITH {ENRICHED} {REPORT}",
+    "batch_report": f"WITH {ENRICHED.replace(EXPENSES, RAW_EXPENSES)} {REPORT}",
+    "batch_statistics": f"WITH {STATS.replace(EXPENSES, RAW_EXPENSES)} SELECT {STATS_COLUMNS} FROM stats",
+    "batch_gold": f"WITH {STATS.replace(EXPENSES, RAW_EXPENSES)} {ONE_STATE}",
+    "load_statistics": f"WITH {STATS} {ONE_STATE}",
+    "batch_register": f"""WITH {OP}
+SELECT registro_operadora, cnpj, razao_social, modalidade, cidade, uf, cep, representante FROM op""",
+    "kept_value_flag": """SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS VARCHAR) AS "ValorDespesas",
+  c_custkey % 3 = 0 AS "FLAG_VALOR_INVALIDO" FROM customer""",
     "quarterly_sum": f"""WITH {QUARTERS}
 SELECT razao_social, uf, ano, trimestre, CAST(valor AS DOUBLE) AS valor FROM quarters""",
     "operator_stats": f"WITH {STATS} SELECT {STATS_COLUMNS} FROM stats ORDER BY valor_total DESC, razao_social, uf",

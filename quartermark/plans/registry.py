@@ -165,6 +165,39 @@ def batch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, batch_target(spark, sf_dir).facts, FACT_TABLE)
 
 
+@query
+def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exported = spark.read.option("sep", ";").option("header", True).csv(batch_target(spark, sf_dir).report)
+    flags = [F.col(c).cast("boolean").alias(c) for c in exported.columns if c.startswith("FLAG_")]
+    return exported.select(
+        F.col("REG_ANS").cast("bigint").alias("REG_ANS"),
+        "CNPJ",
+        "Razao_Social",
+        F.nullif(F.col("Modalidade"), F.lit("")).alias("Modalidade"),
+        "UF",
+        "Trimestre",
+        F.col("Ano").cast("int").alias("Ano"),
+        F.col("ValorDespesas").cast("double").alias("ValorDespesas"),
+        *flags,
+    )
+
+
+@query
+def batch_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load.typed_statistics(read_staged(spark, batch_target(spark, sf_dir).statistics, STAGED_STATISTICS))
+
+
+@query
+def batch_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_table(spark, f"{batch_target(spark, sf_dir).gold}/por_operadora")
+
+
+@query
+def batch_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("registro_operadora", "cnpj", "razao_social", "modalidade", "cidade", "uf", "cep", "representante")
+    return tables.read_table(spark, batch_target(spark, sf_dir).register).select(*columns)
+
+
 @query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, checkpoint = (shared_dir(spark, n) for n in ("landing", "target", "offsets"))
@@ -216,6 +249,14 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.typed_statistics(read_staged(spark, exported, STAGED_STATISTICS))
 
 
+@query
+def load_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = aggregates.operator_statistics(d.expenses(spark, sf_dir), d.report_register(spark, sf_dir))
+    path = shared_dir(spark, "export")
+    tables.export_csv(stats, path)
+    return load.load_statistics(read_staged(spark, path, STAGED_STATISTICS))
+
+
 @query
 def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "silver")
@@ -434,6 +475,17 @@ def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_flags(rows).drop("cnpj", "razao_social")
 
 
+@query
+def kept_value_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A flag that the input has is read as it is, whatever the value says.
+    rows = d.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        d.as_text(F.col("c_acctbal").cast(MONEY)).alias("ValorDespesas"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("true")).otherwise(F.lit("false")).alias("FLAG_VALOR_INVALIDO"),
+    )
+    return quality.with_value_flag(rows)
+
+
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.validated_report(d.expenses(spark, sf_dir), d.report_register(spark, sf_dir))

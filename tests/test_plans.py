@@ -9,7 +9,7 @@ from quartermark.plans.registry import QUERIES
 from quartermark.sources.tables import write_table
 
 # These read files that were first written for them.
-FILE_QUERIES = {"scan_delimited", "scan_register", "scan_archives", "scan_workbooks", "incremental_ingest", "skipped_files", "batch_facts", "archive_consolidate", "archive_errors", "scan_multiline"}
+FILE_QUERIES = {"scan_delimited", "scan_register", "scan_archives", "scan_workbooks", "incremental_ingest", "skipped_files", "batch_facts", "batch_report", "batch_statistics", "batch_gold", "batch_register", "archive_consolidate", "archive_errors", "scan_multiline"}
 TOP = {"growth_top5", "uf_total_avg", "dashboard_top5", "search_page", "lookup_identifier"}
 
 
