@@ -214,9 +214,24 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, hidden: np.ndarray |
     return links
 
 
+def band_starts(percent: int, bits: int = 40) -> np.ndarray:
+    """Set sizes at which bands begin: sets of two bands that are not neighbours cannot link."""
+    starts = [1]
+    while starts[-1] < 1 << bits:
+        starts.append(starts[-1] * 100 // percent + 1)
+    return np.array(starts)
+
+
 def ties(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes (id, places) that share a prefix shingle, through the smallest class that has it."""
+    """(a, b): classes (id, places) that share a prefix shingle, through the smallest class that has it.
+
+    Linked sets lie in one band of sizes or in neighbouring ones. So every class
+    is two nodes, 2 id and 2 id + 1: one among its own band and the one below,
+    one among its own and the one above. Sets of quite different sizes are
+    never tied together by others in between.
+    """
     n = shared.partitions(classes)
+    starts = band_starts(percent)
 
     def stars(anchor, node):
         """Smallest node of each anchor, and the links of the others to it."""
@@ -247,9 +262,11 @@ def ties(classes: DataFrame, percent: int) -> DataFrame:
                 if needed > 2:
                     order = np.argsort(place["often"], kind="stable")
                     anchor = anchor[order[: len(order) - (needed - 1) // 2]]
-                anchors.append(anchor)
-                nodes.append(np.full(len(anchor), node, np.int64))
-                count += len(anchor)
+                band = int(np.searchsorted(starts, size[0], "right")) - 1
+                for upper in (0, 1):
+                    anchors.append(mix(anchor + np.uint64(0x9E3779B97F4A7C15) * np.uint64(band + upper)))
+                    nodes.append(np.full(len(anchor), 2 * node + upper, np.int64))
+                    count += len(anchor)
                 if count >= shared.FLUSH_ROWS:
                     yield rows(*stars(np.concatenate(anchors), np.concatenate(nodes)))
                     anchors, nodes, count = [], [], 0
@@ -332,7 +349,11 @@ def similar(
     )
     tied = components(ties(classes.join(runs, ["rk1", "rk2"]), percent))
 
-    wanted = tied.join(classes, tied["node"] == classes["id"]).select("id", F.col("label").alias("tie"), "rk1", "rk2")
+    tied = tied.select(F.shiftright("node", 1).alias("id"), F.col("label").alias("tie"))
+    # Blocks are settled before the sets are there, so that only numbers are shuffled for it.
+    ties_size = tied.groupBy("tie").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("blocks"))
+    tied = written_once(tied.join(ties_size, "tie"), "tied")
+    wanted = tied.join(classes, "id")
 
     def tokens(batches):
         for batch in batches:
@@ -342,13 +363,15 @@ def similar(
                 same = (d1 == part.column("rk1").to_numpy()) & (d2 == part.column("rk2").to_numpy())
                 b = np.cumsum(sizes)
                 sets = [values[x:y].tobytes() for x, y in zip(b - sizes, b)]
-                out = pa.RecordBatch.from_arrays([part.column("id"), part.column("tie"), pa.array(sets, pa.binary())], ["id", "tie", "tokens"])
+                out = pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("id", "tie", "blocks")), pa.array(sets, pa.binary())],
+                    ["id", "tie", "blocks", "tokens"],
+                )
                 yield out.filter(pa.array(same))
 
-    texts = rows.join(wanted, rows["doc_id"] == wanted["id"]).select("id", "tie", "rk1", "rk2", "text")
-    members = written_once(texts.mapInArrow(tokens, "id long, tie long, tokens binary"), "members")
-    ties_size = members.groupBy("tie").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("blocks"))
-    placed = members.join(ties_size, "tie").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    texts = rows.join(wanted, rows["doc_id"] == wanted["id"]).select("id", "tie", "blocks", "rk1", "rk2", "text")
+    members = written_once(texts.mapInArrow(tokens, "id long, tie long, blocks long, tokens binary"), "members")
+    placed = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
 
     def task(a, b):
         return F.concat_ws("/", "tie", a, b).alias("task")
@@ -359,15 +382,17 @@ def similar(
     hubs = hub.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("at <> block")
     links = written_once(block_links(own.unionByName(hubs.select(task(F.col("at"), F.lit("h")), "id", "tokens")), percent), "links")
     groups = components(links)
-    if not ties_size.filter("blocks > 1").isEmpty():
-        several = placed.filter("blocks > 1").join(groups, placed["id"] == groups["node"], "left")
-        several = several.withColumn("group", F.coalesce("label", "id"))
+    if not tied.filter("blocks > 1").isEmpty():
+        several = tied.filter("blocks > 1").join(groups, tied["id"] == groups["node"], "left")
+        several = several.select("tie", "id", F.coalesce("label", "id").alias("group"))
         by_group = several.groupBy("tie", "group").agg(F.count("*").alias("n"))
         largest = by_group.groupBy("tie").agg(F.max_by("group", F.struct("n", "group")).alias("largest"))
-        outside = several.join(largest, "tie").filter("group <> largest").select("tie", "id", "tokens", "block", "blocks")
+        outside = several.join(largest, "tie").filter("group <> largest").select("tie", "id")
         count = outside.groupBy("tie").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("outer_blocks"))
-        outside = outside.join(count, "tie").withColumn("outer", F.pmod(F.xxhash64("id"), F.col("outer_blocks")))
-        inner = several.join(count, "tie").withColumn("outer", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)))
+        wide = placed.filter("blocks > 1")
+        outside = wide.join(outside.join(count, "tie"), ["tie", "id"])
+        outside = outside.withColumn("outer", F.pmod(F.xxhash64("id"), F.col("outer_blocks")))
+        inner = wide.join(count, "tie").withColumn("outer", F.explode(F.sequence(F.lit(0), F.col("outer_blocks") - 1)))
         outer = outside.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("at <> block")
         pairs = inner.select(task(F.col("block"), F.col("outer")), "id", "tokens").unionByName(
             outer.select(task(F.col("at"), F.col("outer")), "id", "tokens")
