@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney language model of word pairs.
+"""Interpolated modified Kneser-Ney language model of three words (order 3), or of word pairs (order 2).
 
 Counting runs in Spark. Tasks count words and pairs of consecutive words in
 bounded steps and send packed counts to ranges of a hash, where they are added
@@ -9,13 +9,20 @@ distinct neighbours (for continuation and for the weight of a context) are
 gathered in the same way. The driver sees one row per file and the counts of
 counts, from which the discounts come.
 
+Order 3 counts words after a pair, known by the pair's place among all pairs.
+They lie in the range of their pair, in order, so a pair's followers need no
+keys of their own. The middle level then has counts of distinct words before a
+pair; a pair met once has one, so only the others are told to each other.
+
 Scoring maps the files into memory and looks a slice of text up at once, in
 sorted order. Nothing is pruned: the model grows with the corpus, and workers
 read the pages they need.
 
-P(v|u) = max(c(uv) - D(c), 0) / c(u) + g(u) P(v), where P(v) has the same form
-over continuation counts and ends in a uniform share for each known word and
-one unknown word. A text begins in a start context and ends in an end token.
+P(w|uv) = max(c(uvw) - D(c), 0) / c(uv) + g(uv) P(w|v), where P(w|v) and P(w)
+have the same form over continuation counts and end in a uniform share for each
+known word and one unknown word. A text begins in one start context and ends in
+an end token: its first word has that context alone, and pairs that begin with
+it keep their own counts, as nothing stands before them.
 
 Defined results: a null text is empty and has the end token alone. An empty
 training part gives every token the share of the unknown word. Every input
@@ -40,6 +47,7 @@ END = np.uint64(0x0123456789ABCDEF)
 SLICE_BYTES = 4 << 20
 COUNTED = 3_000_000
 ALPHA = 0.1
+ORDER = 3
 
 
 def range_of(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -68,6 +76,9 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
 
 
+SMALL = "small"
+
+
 class Ranges:
     """Sorted hashes with their columns, one file for each range and column."""
 
@@ -81,7 +92,8 @@ class Ranges:
 
     def column(self, number: int, name: str) -> np.ndarray:
         if (number, name) not in self.open:
-            self.open[number, name] = array_at(f"{self.folder}/{name}-{number:05d}", self.kinds[name])
+            kind = "<u1" if self.kinds.get(name) == SMALL else self.kinds.get(name, "<u8")
+            self.open[number, name] = array_at(f"{self.folder}/{name}-{number:05d}", kind)
         return self.open[number, name]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -99,12 +111,26 @@ class Ranges:
 
     def take(self, name: str, places: np.ndarray) -> np.ndarray:
         """Values at sorted places (-1: 0)."""
-        out = np.zeros(len(places), self.kinds[name])
+        small = self.kinds[name] == SMALL
+        out = np.zeros(len(places), np.int64 if small else self.kinds[name])
+        for r, a, b in self.parts(places):
+            at = places[a:b] - self.first[r]
+            out[a:b] = self.small(r, name, at) if small else self.column(r, name)[at]
+        return out
+
+    def parts(self, places: np.ndarray):
+        """Range, begin and end of the sorted places that lie in each range."""
         edges = np.searchsorted(places, self.first)
-        for r in range(len(self.sizes)):
-            a, b = edges[r], edges[r + 1]
-            if a < b:
-                out[a:b] = self.column(r, name)[places[a:b] - self.first[r]]
+        for r in np.flatnonzero(edges[:-1] < edges[1:]):
+            yield int(r), edges[r], edges[r + 1]
+
+    def small(self, number: int, name: str, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Values of a column of mostly small numbers, see :func:`saved_small`."""
+        out = self.column(number, name)[at].astype(np.int64)
+        over = np.flatnonzero(out == 255)
+        if len(over):
+            place = over if isinstance(at, slice) else at[over]
+            out[over] = self.column(number, f"{name}_large")[np.searchsorted(self.column(number, f"{name}_at"), place)]
         return out
 
 
@@ -115,10 +141,46 @@ def saved(folder: str, number: int, **columns: np.ndarray) -> None:
         out.close()
 
 
+def saved_small(folder: str, number: int, **columns: np.ndarray) -> None:
+    """Columns of one byte, with the values that need more in columns beside them."""
+    for name, values in columns.items():
+        over = np.flatnonzero(values >= 255)
+        large = {f"{name}_at": over.astype(np.uint64), f"{name}_large": values[over].astype(np.uint64)}
+        saved(folder, number, **{name: np.minimum(values, 255).astype(np.uint8)}, **large)
+
+
+class Followers:
+    """The words after each pair, in ascending order, in the range of their pair."""
+
+    def __init__(self, pairs: Ranges, words: Ranges):
+        self.pairs, self.words = pairs, words
+
+    def find(self, places: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many different words follow each pair (sorted places), and how often the given word does."""
+        kinds, times = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        for r, a, b in self.pairs.parts(places):
+            begin, column = self.pairs.column(r, "begin"), self.words.column(r, "word")
+            at = places[a:b] - self.pairs.first[r]
+            low, end = begin[at].astype(np.int64), begin[at + 1].astype(np.int64)
+            kinds[a:b] = end - low
+            high, wanted = end.copy(), words[a:b]
+            live = np.flatnonzero(low < high)
+            while len(live):
+                middle = (low[live] + high[live]) >> 1
+                less = column[middle] < wanted[live]
+                low[live[less]] = middle[less] + 1
+                high[live[~less]] = middle[~less]
+                live = live[low[live] < high[live]]
+            hit = np.flatnonzero(low < end)
+            hit = hit[column[low[hit]] == wanted[hit]]
+            times[a:b][hit] = self.words.small(r, "count", low[hit])
+        return kinds, times
+
+
 @dataclass
 class Model:
     words: Ranges  # key, count
-    pairs: Ranges  # key, count
+    pairs: Ranges  # key, count; in order 3 also before, n1, n2 and the begin of its followers
     about: Ranges  # by word number: before, total, n1, n2, n3
     tokens: int
     vocabulary: int
@@ -126,6 +188,8 @@ class Model:
     word_discounts: np.ndarray
     kinds: int  # distinct pairs
     rest: float  # weight of the uniform share
+    followers: Followers | None = None  # in order 3
+    triple_discounts: np.ndarray | None = None
 
     def __post_init__(self):
         self.start = self.vocabulary
@@ -160,14 +224,15 @@ class Model:
         context_lost = lost[left_code.clip(0, len(total) - 1)]
         context[first], context_lost[first] = start_total, start_lost
         known = (left >= 0) & (word >= 0)
-        pair = np.zeros(len(word))
+        pair = np.zeros(len(word), np.int64)
+        pair_place = np.full(len(word), -1, np.int64)
         if known.any():
             wanted, pair_code = np.unique(pair_keys(left[known], word[known]), return_inverse=True)
             found = self.pairs.find(wanted)
-            times = np.zeros(len(wanted))
-            times[found >= 0] = self.pairs.take("count", found[found >= 0])
+            times = np.zeros(len(wanted), np.int64)
+            times[found >= 0] = self.pairs.take("before" if self.followers else "count", found[found >= 0])
             pair[known] = times[pair_code]
-        pair = pair.astype(np.int64)
+            pair_place[known] = found[pair_code]
         seen = context > 0
         safe = np.where(seen, context, 1.0)
         chance = np.where(
@@ -175,6 +240,8 @@ class Model:
             self.discounted(pair, self.pair_discounts) / safe + context_lost / safe * low[code],
             low[code],
         )
+        if self.followers:
+            chance = self.after_pairs(chance, pair_place, word, first)
         base = np.log10((count + ALPHA) / (self.tokens + ALPHA * (self.vocabulary + 1)))
         return (
             np.add.reduceat((count[code] > 0).astype(np.int64), first),
@@ -182,6 +249,24 @@ class Model:
             np.add.reduceat(np.log10(chance), first),
         )
 
+    def after_pairs(self, lower: np.ndarray, pair_place: np.ndarray, word: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Chances after two words, from those after one; ``first`` words have one start context only."""
+        context = np.full(len(word), -1, np.int64)
+        context[1:] = pair_place[:-1]
+        context[first] = -1
+        order = np.argsort(context, kind="stable")
+        order = order[np.searchsorted(context[order], 0) :]
+        place = context[order]
+        kinds, times = self.followers.find(place, word[order])
+        few = [self.pairs.take(c, place) for c in ("n1", "n2")]
+        lost = sum(d * n for d, n in zip(self.triple_discounts[1:], (*few, kinds - few[0] - few[1])))
+        # Every pair but those with the end token has a word after each of its occurrences.
+        total = self.pairs.take("count", place)
+        seen = kinds > 0
+        out = lower.copy()
+        out[order[seen]] = ((self.discounted(times, self.triple_discounts) + lost * lower[order]) / np.maximum(total, 1))[seen]
+        return out
+
     def start_context(self) -> tuple[float, float]:
         number = len(self.about.sizes) - 1
         values = {k: self.about.column(number, k)[-1] for k in ("total", "n1", "n2", "n3")}
@@ -193,6 +278,18 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64))
 
 
+_UNMIX = [np.uint64(pow(k, -1, 1 << 64)) for k in (0x94D049BB133111EB, 0xBF58476D1CE4E5B9)]
+
+
+def pairs_of_keys(keys: np.ndarray) -> np.ndarray:
+    """The left and right word in one number, from the hash of :func:`pair_keys`."""
+    x = keys ^ (keys >> np.uint64(31)) ^ (keys >> np.uint64(62))
+    x = x * _UNMIX[0]
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x = x * _UNMIX[1]
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more, from how many have counts 1 to 4."""
     n1, n2, n3, n4 = (float(x) for x in counts_of_counts[:4])
@@ -227,20 +324,22 @@ def blobs(batches) -> dict[int, list[dict]]:
     return out
 
 
-def train(texts: DataFrame, text: str = "text") -> Model:
+def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     """A model of all given texts; its files lie in the shared folder."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: models of order 2 and 3 are built")
     spark = texts.sparkSession
     rows = texts.select(F.col(text).cast("string").alias("text"))
     n = shared.partitions(rows)
     folder = shared_dir(spark, "model")
 
-    def summed(held, make_row):
+    def summed(held, home, columns):
         keys, counts = counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
         return shared.packed_batch(
-            [(b, 0, shared.pack(key=keys[at], count=counts[at].astype(np.uint32))) for b, at in shared.dealt(make_row(keys), n)]
+            [(b, 0, shared.pack(**columns(keys[at], b), count=counts[at].astype(np.uint32))) for b, at in shared.dealt(home(keys), n)]
         )
 
-    def counting(keys_of):
+    def counting(keys_of, home, columns=lambda keys, b: {"key": keys}):
         """A task that counts the keys of its slices and sends them to their ranges."""
 
         def run(batches):
@@ -250,10 +349,10 @@ def train(texts: DataFrame, text: str = "text") -> Model:
                     held.append(counted(keys_of(binary(part.column("text")).to_pylist())))
                     size += len(held[-1][0])
                     if size >= COUNTED:
-                        yield summed(held, lambda keys: range_of(keys, n))
+                        yield summed(held, home, columns)
                         held, size = [], 0
             if size:
-                yield summed(held, lambda keys: range_of(keys, n))
+                yield summed(held, home, columns)
 
         return run
 
@@ -267,66 +366,156 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     def run(df, work):
         return {r["number"]: r for r in written_once(df.mapInArrow(work, STATS), "model-files").collect()}
 
-    counted_words = rows.mapInArrow(counting(lambda t: token_hashes(t)[0]), shared.PACKED)
+    counted_words = rows.mapInArrow(counting(lambda t: token_hashes(t)[0], lambda keys: range_of(keys, n)), shared.PACKED)
     # One row for each range, so at most as many as there are partitions.
     found = run(shared.exchange(counted_words, n), keep_words)
     sizes = [found[i]["size"] if i in found else 0 for i in range(n)]
     words = Ranges(f"{folder}/words", sizes, {"key": "<u8", "count": "<u8"})
     vocabulary, tokens = sum(sizes), sum(r["total"] for r in found.values())
 
-    def pairs_of(texts_):
+    def numbers_of(texts_):
+        """Word numbers, the number before each (the start context before first words), and where texts begin."""
         hashes, lengths = token_hashes(texts_)
         keys, code = np.unique(hashes, return_inverse=True)
         word = words.find(keys)[code]
+        begin = np.cumsum(lengths) - lengths
         left = np.empty(len(word), np.int64)
         left[1:] = word[:-1]
-        left[np.cumsum(lengths) - lengths] = vocabulary
+        left[begin] = vocabulary
+        return word, left, begin
+
+    def pairs_of(texts_):
+        word, left, _ = numbers_of(texts_)
         # Sorted by the plain pair, left words repeat and compress well; the hash is taken again where it is needed.
         return (left.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
 
-    def count_pairs(batches):
-        held, size = [], 0
-
-        def flush():
-            return summed(held, lambda keys: range_of(mix(keys), n))
-
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                held.append(counted(pairs_of(binary(part.column("text")).to_pylist())))
-                size += len(held[-1][0])
-                if size >= COUNTED:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
-
     first = words.first.copy()
     first[-1] += 1  # the start context is one more word, in the last range
 
+    def neighbours(number, pairs, counts):
+        """Packed rows of one range of sorted pairs: its tally, and what its words have beside them."""
+        left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        rows_out = [(0, 9, shared.pack(number=np.array([number]), size=np.array([len(pairs)]), tally=np.array(tally(counts))))]
+        word, before = counted(right)
+        for b, at in shared.dealt(np.searchsorted(first, word, "right") - 1, n):
+            rows_out.append((b, 0, shared.pack(word=word[at], before=before[at])))
+        new = np.flatnonzero(np.diff(left, prepend=-1))
+        sums = {
+            "total": np.add.reduceat(counts, new),
+            "n1": np.add.reduceat((counts == 1).astype(np.int64), new),
+            "n2": np.add.reduceat((counts == 2).astype(np.int64), new),
+            "n3": np.add.reduceat((counts >= 3).astype(np.int64), new),
+        }
+        for b, at in shared.dealt(np.searchsorted(first, left[new], "right") - 1, n):
+            rows_out.append((b, 1, shared.pack(word=left[new][at], **{k: v[at] for k, v in sums.items()})))
+        return rows_out
+
     def keep_pairs(batches):
         for number, parts in blobs(batches).items():
             c = shared.joined(parts)
             pairs, counts = counted(c["key"], c["count"].astype(np.int64))
             keys = mix(pairs)
-            order = np.argsort(keys)
-            saved(f"{folder}/pairs", number, key=keys[order], count=counts[order].astype(np.uint32))
-            left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            rows_out = [(0, 9, shared.pack(number=np.array([number]), size=np.array([len(pairs)]), tally=np.array(tally(counts))))]
-            word, before = counted(right)
-            for b, at in shared.dealt(np.searchsorted(first, word, "right") - 1, n):
-                rows_out.append((b, 0, shared.pack(word=word[at], before=before[at])))
-            new = np.flatnonzero(np.diff(left, prepend=-1))
-            sums = {
-                "total": np.add.reduceat(counts, new),
-                "n1": np.add.reduceat((counts == 1).astype(np.int64), new),
-                "n2": np.add.reduceat((counts == 2).astype(np.int64), new),
-                "n3": np.add.reduceat((counts >= 3).astype(np.int64), new),
-            }
-            for b, at in shared.dealt(np.searchsorted(first, left[new], "right") - 1, n):
-                rows_out.append((b, 1, shared.pack(word=left[new][at], **{k: v[at] for k, v in sums.items()})))
-            yield shared.packed_batch(rows_out)
-
-    stored = written_once(shared.exchange(rows.mapInArrow(count_pairs, shared.PACKED), n).mapInArrow(keep_pairs, shared.PACKED), "neighbours")
+            order_ = np.argsort(keys)
+            saved(f"{folder}/pairs", number, key=keys[order_])
+            saved_small(f"{folder}/pairs", number, count=counts[order_])
+            if order == 2:
+                yield shared.packed_batch(neighbours(number, pairs, counts))
+            else:
+                yield stats_batch(number, len(pairs), int(counts.sum()), [])
+
+    every = spark.range(n).selectExpr("CAST(id AS INT) AS bucket", "2 AS kind", "CAST(NULL AS BINARY) AS blob")
+    pair_columns = {"key": "<u8", "count": SMALL, "before": SMALL, "n1": SMALL, "n2": SMALL, "begin": "<u4"}
+    counted_pairs = shared.exchange(rows.mapInArrow(counting(pairs_of, lambda keys: range_of(mix(keys), n)), shared.PACKED), n)
+    followers, triple_tally = None, np.zeros(5, np.int64)
+    if order == 2:
+        stored = written_once(counted_pairs.mapInArrow(keep_pairs, shared.PACKED), "neighbours")
+    else:
+        found = run(counted_pairs, keep_pairs)
+        pairs = Ranges(f"{folder}/pairs", [found[i]["size"] if i in found else 0 for i in range(n)], pair_columns)
+        base = np.uint64(max(vocabulary, 1))
+        if int(pairs.first[-1]) * vocabulary >= 1 << 64:
+            raise OverflowError("pairs and words do not fit into one number")
+
+        def triples_of(texts_):
+            word, left, begin = numbers_of(texts_)
+            keys, code = np.unique(pair_keys(left, word), return_inverse=True)
+            place = pairs.find(keys)[code]
+            inside = np.ones(len(word), bool)
+            inside[begin] = False
+            at = np.flatnonzero(inside)
+            return place[at - 1].astype(np.uint64) * base + word[at].astype(np.uint64)
+
+        def pair_range(places):
+            return np.searchsorted(pairs.first, places.astype(np.int64), "right") - 1
+
+        def steps(places, b):
+            """Sorted places of a range as steps, which compress well."""
+            return np.diff(places.astype(np.int64), prepend=pairs.first[b])
+
+        def triple_columns(keys, b):
+            return {"step": steps(keys // base, b), "word": (keys % base).astype(np.uint32)}
+
+        def parts_of(batches):
+            """All parts of each range; every range has one, if only an empty one."""
+            out: dict[int, list] = {}
+            for batch in batches:
+                for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
+                    out.setdefault(b, []).extend([shared.unpack(blob)] if blob else [])
+            return out.items()
+
+        def keep_triples(batches):
+            for number, parts in parts_of(batches):
+                for c in parts:
+                    c["key"] = np.cumsum(c.pop("step")).astype(np.uint64) * base + c.pop("word")
+                c = shared.joined(parts) or {"key": np.empty(0, np.uint64), "count": np.empty(0, np.int64)}
+                keys, counts = counted(c["key"], c["count"].astype(np.int64))
+                at, word = (keys // base).astype(np.int64), keys % base
+                if len(keys) >= 1 << 32:
+                    raise OverflowError("more than 2^32 triples in one range; use more shuffle partitions")
+                saved(f"{folder}/triples", number, word=word.astype(np.uint32))
+                saved_small(f"{folder}/triples", number, count=counts)
+                size = pairs.sizes[number]
+                saved(f"{folder}/pairs", number, begin=np.searchsorted(at, np.arange(size + 1)).astype(np.uint32))
+                few = {f"n{k}": np.bincount(at[counts == k], minlength=size) for k in (1, 2)}
+                saved_small(f"{folder}/pairs", number, **few)
+                rows_out = [(0, 9, shared.pack(number=np.array([number]), size=np.array([len(keys)]), tally=np.array(tally(counts))))]
+                if len(keys):
+                    middle = pairs_of_keys(np.asarray(pairs.column(number, "key"))) & np.uint64(0xFFFFFFFF)
+                    wanted, before = counted(pair_keys(middle[at], word))
+                    place = pairs.find(wanted)
+                    # A pair met once has one word before it.
+                    more = np.flatnonzero(pairs.take("count", place) > 1)
+                    place, before = place[more], before[more].astype(np.uint32)
+                    for b, rows_of in shared.dealt(pair_range(place), n):
+                        rows_out.append((b, 0, shared.pack(step=steps(place[rows_of], b), before=before[rows_of])))
+                yield shared.packed_batch(rows_out)
+
+        counted_triples = rows.mapInArrow(counting(triples_of, lambda keys: pair_range(keys // base), triple_columns), shared.PACKED)
+        told = written_once(shared.exchange(counted_triples.unionByName(every), n).mapInArrow(keep_triples, shared.PACKED), "middles")
+        triple_sizes = [0] * n
+        for r in told.filter("kind = 9").select("blob").collect():  # one short row for each range
+            c = shared.unpack(bytes(r["blob"]))
+            triple_sizes[int(c["number"][0])] = int(c["size"][0])
+            triple_tally += c["tally"]
+        followers = Followers(pairs, Ranges(f"{folder}/triples", triple_sizes, {"word": "<u4", "count": SMALL}))
+
+        def keep_before(batches):
+            for number, parts in parts_of(batches):
+                if not pairs.sizes[number]:
+                    continue
+                count = pairs.small(number, "count")
+                before = (count == 1).astype(np.int64)
+                for c in parts:
+                    before[np.cumsum(c["step"])] += c["before"]
+                both = pairs_of_keys(np.asarray(pairs.column(number, "key")))
+                # Nothing stands before a start context: its pairs keep their counts.
+                before = np.where(both >> np.uint64(32) == vocabulary, count, before)
+                saved_small(f"{folder}/pairs", number, before=before)
+                order_ = np.argsort(both)
+                yield shared.packed_batch(neighbours(number, both[order_], before[order_]))
+
+        stored = written_once(shared.exchange(told.filter("kind = 0").unionByName(every), n).mapInArrow(keep_before, shared.PACKED), "neighbours")
+
     pair_sizes, pair_tally = [0] * n, np.zeros(5, np.int64)
     for r in stored.filter("kind = 9").select("blob").collect():  # one short row for each range
         c = shared.unpack(bytes(r["blob"]))
@@ -348,7 +537,6 @@ def train(texts: DataFrame, text: str = "text") -> Model:
             saved(f"{folder}/about", number, **columns)
             yield stats_batch(number, size, int(columns["before"].sum()), tally(columns["before"]))
 
-    every = spark.range(n).selectExpr("CAST(id AS INT) AS bucket", "2 AS kind", "CAST(NULL AS BINARY) AS blob")
     about = run(shared.exchange(stored.filter("kind < 2").unionByName(every), n), keep_about)
     word_tally = np.sum([r["tally"] for r in about.values()], axis=0)
     kinds = sum(pair_sizes)
@@ -356,7 +544,7 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     lost = word_discounts[1] * word_tally[0] + word_discounts[2] * word_tally[1] + word_discounts[3] * word_tally[4]
     return Model(
         words=words,
-        pairs=Ranges(f"{folder}/pairs", pair_sizes, {"key": "<u8", "count": "<u4"}),
+        pairs=Ranges(f"{folder}/pairs", pair_sizes, pair_columns),
         about=Ranges(f"{folder}/about", [int(x) for x in np.diff(first)], dict.fromkeys(("before", "total", "n1", "n2", "n3"), "<i8")),
         tokens=tokens,
         vocabulary=vocabulary,
@@ -364,6 +552,8 @@ def train(texts: DataFrame, text: str = "text") -> Model:
         word_discounts=word_discounts,
         kinds=kinds,
         rest=lost / kinds if kinds else 1.0,
+        followers=followers,
+        triple_discounts=discounts(triple_tally) if followers else None,
     )
 
 

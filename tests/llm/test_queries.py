@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quartermark.llm import queries
+from quartermark.llm import kneser_ney, quality_mil, queries
 from quartermark.llm.queries import QUERIES, ORACLE, public_tokenizer
 from tests import compare
 from tests.llm import brute
@@ -199,5 +199,67 @@ def test_language_model(spark, odd):
     np.testing.assert_allclose([r[5:] for r in rows], [w[5:] for w in wanted], rtol=1e-9)
 
 
+def trigram_scores(docs, held):
+    """log10 of interpolated modified Kneser-Ney over three words, level by level from the formulas."""
+    texts = [["\t", *brute.blank_words(brute.lower(t)), "\n"] for _, t in docs]
+    train = [w for (k, _), w in zip(docs, texts) if not held(k)]
+    triples = Counter(g for w in train for g in zip(w, w[1:], w[2:]))
+    raw = Counter(g for w in train for g in zip(w, w[1:]))
+    pairs = Counter(g[1:] for g in triples)
+    pairs.update({g: c for g, c in raw.items() if g[0] == "\t"})
+    words = Counter(g[1] for g in raw)
+
+    def level(counts):
+        n = [sum(c == i for c in counts.values()) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if min(n) > 0 else 0
+        few = [min(max(i - (i + 1) * y * n[i] / n[i - 1], 0.05), i - 0.05) for i in (1, 2, 3)] if min(n) > 0 else [0.5, 0.75, 1.0]
+        d, after, lost = [0, *few], Counter(), Counter()
+        for g, c in counts.items():
+            after[g[:-1]] += c
+            lost[g[:-1]] += d[min(c, 3)]
+        return counts, d, after, lost
+
+    levels = [level(Counter({(w,): c for w, c in words.items()})), level(pairs), level(triples)]
+
+    def chance(gram):
+        if not gram:
+            return 1 / (len(words) + 1)
+        counts, d, after, lost = levels[len(gram) - 1]
+        if not after[gram[:-1]]:
+            return chance(gram[1:])
+        c = counts.get(gram, 0)
+        return (max(c - d[min(c, 3)], 0) + lost[gram[:-1]] * chance(gram[1:])) / after[gram[:-1]]
+
+    for context in [("\t",), next(g for g in raw if g[1] != "\n"), max(raw, key=raw.get)]:
+        assert abs(sum(chance((*context, v)) for v in [*words, "never seen"]) - 1) < 1e-9
+    return [sum(math.log10(chance(tuple(w[max(i - 2, 0) : i + 1]))) for i in range(1, len(w))) for w in texts]
+
+
+def test_language_model_of_three_words(spark, odd):
+    folder, docs = odd
+
+    def held(key):
+        return zlib.crc32(str(key).encode()) % 10 == 0
+
+    wanted = sorted(zip((k for k, _ in docs), trigram_scores(docs, held)))
+    rows = sorted((r.doc_id, r.score) for r in QUERIES["op10_language_model"](spark, folder).collect())
+    assert [r[0] for r in rows] == [w[0] for w in wanted]
+    np.testing.assert_allclose([r[1] for r in rows], [w[1] for w in wanted], rtol=1e-9)
+
+
+def test_language_model_of_pairs(spark, odd):
+    folder, docs = odd
+
+    def held(key):
+        return zlib.crc32(str(key).encode()) % 10 == 0
+
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    model = kneser_ney.train(frame.filter(~quality_mil.held_out("doc_id", 10)), order=2)
+    wanted = sorted((k, *s) for (k, _), s in zip(docs, model_scores(docs, held)))
+    rows = sorted(tuple(r)[:6] for r in kneser_ney.score(frame, model).collect())
+    assert [r[:4] for r in rows] == [w[:4] for w in wanted]
+    np.testing.assert_allclose([r[4:] for r in rows], [w[4:] for w in wanted], rtol=1e-9)
+
+
 def test_all_numbers_are_registered():
     assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 11))
