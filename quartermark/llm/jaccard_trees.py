@@ -23,6 +23,10 @@ block is joined with a few hubs, which links what belongs together, and only
 classes that end up outside the largest group of their tie are compared with
 all blocks.
 
+Those shortcuts give groups (:func:`similar`). The join itself (:func:`links`,
+:func:`link_counts`) compares each block of a tie with itself and with every
+other one and leaves out no pair because its members are linked already.
+
 Defined results: null and blank texts have no shingles, are linked with
 nothing and are their own component. Fewer words than a shingle make one
 shingle. Rows that share an id are one document. Rows without an id are linked
@@ -48,6 +52,7 @@ HUBS = 32
 LEAF = 16
 SMALL = 48
 FANOUT = 8
+LINKS_PER_BATCH = 100_000
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE, letters: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -214,6 +219,30 @@ def linked(sets: list[np.ndarray], percent: int = PERCENT, hidden: np.ndarray |
     return links
 
 
+def every_link(sets: list[np.ndarray], percent: int = PERCENT, sides: np.ndarray | None = None):
+    """All linked pairs, in arrays of places; with ``sides``, only those between different sides."""
+    tree = Tree(sets)
+    sides = None if sides is None else sides[tree.order]
+    for a, b in zip(*(x.tolist() for x in tree.leaf_pairs(percent))):
+        i = np.arange(a * LEAF, min((a + 1) * LEAF, len(sets)))
+        j = np.arange(b * LEAF, min((b + 1) * LEAF, len(sets)))
+        x, y = np.repeat(i, len(j)), np.tile(j, len(i))
+        kept = x < y if a == b else np.ones(len(x), bool)
+        if sides is not None:
+            kept &= sides[x] != sides[y]
+        x, y = x[kept], y[kept]
+        kept = tree.possible((tree.maps, tree.sizes, tree.sizes, tree.extra), x, y, percent)
+        x, y = x[kept], y[kept]
+        for p in np.unique(x).tolist():
+            one, others = tree.sets[p], y[x == p]
+            values = np.concatenate([tree.sets[q] for q in others])
+            hit = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+            common = np.bincount(np.repeat(np.arange(len(others)), tree.sizes[others])[hit], minlength=len(others))
+            found = tree.order[others[100 * common >= percent * (len(one) + tree.sizes[others] - common)]]
+            if len(found):
+                yield np.full(len(found), tree.order[p]), found
+
+
 def band_starts(percent: int, bits: int = 40) -> np.ndarray:
     """Set sizes at which bands begin: sets of two bands that are not neighbours cannot link."""
     starts = [1]
@@ -319,16 +348,55 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.mapInArrow(join, "a long, b long")
 
 
-def similar(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    size: int = SHINGLE,
-    percent: int = PERCENT,
-    letters: bool = False,
-    block: int = BLOCK,
-) -> DataFrame:
-    """Per document row: key, set size and component (the smallest id reachable by links)."""
+def all_block_links(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) all links among rows (task key, side, id, tokens) that share a key; keys are bounded groups.
+
+    Side -1 is a block compared with itself; of sides 0 and 1 only links across count.
+    """
+
+    def join(batches):
+        key, ids, sides, sets = None, [], [], []
+
+        def found():
+            names, side, held, size = np.array(ids, np.int64), np.array(sides), [], 0
+            across = side[0] >= 0
+            if len(sets) < 2 or (across and (side == side[0]).all()):
+                return
+            for pair in every_link(sets, percent, side if across else None):
+                held.append(pair)
+                size += len(pair[0])
+                if size >= LINKS_PER_BATCH:
+                    yield batch_of(names, held)
+                    held, size = [], 0
+            if held:
+                yield batch_of(names, held)
+
+        def batch_of(names, held):
+            a, b = (names[np.concatenate(x)] for x in zip(*held))
+            return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in ("task", "side", "id", "tokens")]
+            for task, side, node, tokens in zip(*columns):
+                if task != key:
+                    if sets:
+                        yield from found()
+                    key, ids, sides, sets = task, [], [], []
+                ids.append(node)
+                sides.append(side)
+                sets.append(np.frombuffer(tokens, np.uint64))
+        if sets:
+            yield from found()
+
+    n = shared.partitions(members)
+    return members.repartition(n, "task").sortWithinPartitions("task", "id").mapInArrow(join, "a long, b long")
+
+
+def tied_sets(docs: DataFrame, key: str, text: str, size: int, percent: int, letters: bool, block: int, by_class: bool = False):
+    """Sets of all rows, their classes, the ties of classes, and the tokens of tied classes in their blocks.
+
+    Tokens are named by the smallest id of their class, or with ``by_class`` by its hash rk1.
+    """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def digest(batches):
@@ -364,18 +432,31 @@ def similar(
                 b = np.cumsum(sizes)
                 sets = [values[x:y].tobytes() for x, y in zip(b - sizes, b)]
                 out = pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("id", "tie", "blocks")), pa.array(sets, pa.binary())],
+                    [*(part.column(c) for c in ("rk1" if by_class else "id", "tie", "blocks")), pa.array(sets, pa.binary())],
                     ["id", "tie", "blocks", "tokens"],
                 )
                 yield out.filter(pa.array(same))
 
     texts = rows.join(wanted, rows["doc_id"] == wanted["id"]).select("id", "tie", "blocks", "rk1", "rk2", "text")
     members = written_once(texts.mapInArrow(tokens, "id long, tie long, blocks long, tokens binary"), "members")
-    placed = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    return base, classes, tied, members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
 
-    def task(a, b):
-        return F.concat_ws("/", "tie", a, b).alias("task")
 
+def task(a, b):
+    return F.concat_ws("/", "tie", a, b).alias("task")
+
+
+def similar(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    letters: bool = False,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Per document row: key, set size and component (the smallest id reachable by links)."""
+    base, classes, tied, placed = tied_sets(docs, key, text, size, percent, letters, block)
     own = placed.select(task(F.col("block"), F.lit("h")), "id", "tokens")
     # Hubs: about HUBS classes of a tie that has several blocks, chosen by hash, in each of its blocks.
     hub = placed.filter((F.col("blocks") > 1) & (F.pmod(F.hash("id"), F.ceil(F.col("blocks") * block / HUBS)) == 0))
@@ -409,6 +490,61 @@ def similar(
     return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def class_links(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: all links of classes; each block of a tie meets itself and every other one."""
+    every = placed.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("at"), -1).otherwise((F.col("block") > F.col("at")).cast("int")).alias("side")
+    pairs = every.select(task(F.least("block", "at"), F.greatest("block", "at")), side, "id", "tokens")
+    # Classes may share two ties.
+    return all_block_links(pairs, percent).filter("a <> b").distinct()
+
+
+def links(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    letters: bool = False,
+    block: int = BLOCK,
+) -> DataFrame:
+    """(a, b): all links between different sets, each set named by its hash. Equal sets are one."""
+    return class_links(tied_sets(docs, key, text, size, percent, letters, block, by_class=True)[3], percent)
+
+
+def link_counts(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    letters: bool = False,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Per document row: key, set size and how many other documents its set links with.
+
+    Links are kept by class, so equal documents are counted and never paired.
+    """
+    base, _, _, placed = tied_sets(docs, key, text, size, percent, letters, block, by_class=True)
+    found = written_once(class_links(placed, percent), "class-links")
+    named = base.filter("n > 0 AND doc_id IS NOT NULL").select("rk1", "doc_id").distinct()
+    sizes = named.groupBy("rk1").agg(F.count("*").alias("size"))
+    near = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = near.unionByName(sizes.select(F.col("rk1").alias("a"), F.col("rk1").alias("b")))
+    total = near.join(sizes, F.col("b") == F.col("rk1")).groupBy("a").agg(F.sum("size").alias("total"))
+    # An id with several texts may be in several of these classes; it counts once.
+    several = named.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1").select("doc_id").join(named, "doc_id")
+    twice = near.join(several, F.col("b") == F.col("rk1")).groupBy("a", "doc_id").agg((F.count("*") - 1).alias("more"))
+    twice = twice.groupBy("a").agg(F.sum("more").alias("more"))
+    counted = total.join(twice, "a", "left").select(
+        F.col("a").alias("rk1"), (F.col("total") - F.coalesce("more", F.lit(0)) - 1).alias("n_links")
+    )
+    taking_part = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return base.join(counted, "rk1", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(taking_part, F.col("n_links")).otherwise(0).alias("n_links")
+    )
+
+
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; rows without an id stay."""
     found = similar(docs, key, text, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()

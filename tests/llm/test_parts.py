@@ -154,3 +154,19 @@ def test_model_without_training_rows(spark):
     model = kneser_ney.train(frame(spark, []))
     row = kneser_ney.score(frame(spark, [(1, "a b")]), model).first()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.score == 0.0
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_links_inside_groups(spark, block):
+    words = [f"w{i}" for i in range(400)]
+    near = [" ".join(words[:k] + [f"new{k}"] + words[k + 1 :]) for k in (50, 120, 200, 280, 350)]
+    odd = [(1, near[0]), (1, near[1]), (7, near[0]), (7, near[0]), (8, "a b"), (9, "a b"), (None, near[2]), (10, None), (11, "alone")]
+    rows = [(20 + i, t) for i, t in enumerate(near)] + odd
+    sets = [(k, brute.shingle_set(t)) for k, t in rows]
+    wanted = []
+    for k, x in sets:
+        linked = {o for o, y in sets if o not in (k, None) and x and y and 100 * len(x & y) >= 85 * len(x | y)}
+        wanted.append((k, len(x), 0 if k is None else len(linked)))
+    found = jaccard_trees.link_counts(frame(spark, rows), block=block).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
+    assert jaccard_trees.links(frame(spark, rows), block=block).count() == 10
