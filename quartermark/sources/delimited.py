@@ -20,7 +20,7 @@ from quartermark.operators.align import Layout, align, append_all, resolve_layou
 from quartermark.schemas import all_text
 from quartermark.sources.files import open_stream
 
-# What a semicolon is searched in, and the fallback choices.
+# How much of a file a semicolon is searched in, and the fallback choices.
 SAMPLE_CHARACTERS = 2048
 SEPARATORS = (";", ",", "\t", "|")
 
@@ -40,11 +40,11 @@ def list_files(spark: SparkSession, root: str, pattern: str = TEXT_FILES) -> Dat
     )
 
 
-def choose_separator(sample: str) -> str:
-    """A semicolon anywhere in the sample wins; else the most frequent one in the header."""
-    if ";" in sample:
+def choose_separator(text: str) -> str:
+    """A semicolon anywhere in the sample wins; else the most frequent one in the whole header."""
+    if ";" in text[:SAMPLE_CHARACTERS]:
         return ";"
-    header = sample.split("\n", 1)[0]
+    header = text.split("\n", 1)[0]
     counts = {s: header.count(s) for s in SEPARATORS}
     best = max(SEPARATORS, key=lambda s: counts[s])
     return best if counts[best] else ";"
@@ -63,7 +63,7 @@ def _head(path: str, encoding: str) -> tuple[str | None, str | None]:
         return None, None
     text = data.decode(encoding, errors="ignore")
     header = text.splitlines()[0] if text.strip() else None
-    return choose_separator(text[:SAMPLE_CHARACTERS]), header
+    return choose_separator(text), header
 
 
 def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:

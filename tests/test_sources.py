@@ -122,6 +122,15 @@ def test_long_header_and_separators(spark, tmp_path):
     assert header_names("﻿A;B", ";") == ["A", "B"]
 
 
+def test_separator_counts_the_whole_header(spark, tmp_path):
+    names = ['"' + "a|" * 1100 + '"', *(f"COLUNA_{i}" for i in range(1500))]
+    put(tmp_path / "wide.csv", ",".join(names) + "\n1\n")
+    row = read_heads(list_files(spark, str(tmp_path))).first()
+    assert row["sep"] == "," and len(header_names(row["header"], row["sep"])) == 1501
+    # A semicolon beyond the sample does not win.
+    assert choose_separator("a," * 1100 + "b;c") == ","
+
+
 def test_register_file_order_decides(spark, tmp_path, rows):
     put(
         tmp_path / "cadop.csv",
