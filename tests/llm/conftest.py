@@ -51,6 +51,20 @@ def odd_documents():
     return rows
 
 
+def odd_vectors():
+    """Vectors with common beginnings, copies, ties, and some that cannot be used."""
+    rows = []
+    for k in range(700):
+        x = [((k * (i + 3) * 7919) % 41 - 20) / 64 for i in range(16)]
+        if k % 3 == 0:
+            x[:3] = [0.25, -0.125, k % 2 / 8]
+        if k % 50 == 0:
+            x = [0.5] * 16
+        rows.append((k, x, None if k % 7 == 0 else k % 5))
+    rows += [(3, [0.1] * 16, 1), (3, [0.1] * 16, 1), (None, [-0.3] * 16, 2), (800, None, 1), (801, [None] + [0.0] * 15, 1)]
+    return rows + [(802, [float("nan")] * 16, 1), (803, [float("-inf")] * 16, None), (804, [], 1), (805, [1.0] * 9, 4)]
+
+
 def frame(spark, rows):
     schema = T.StructType.fromDDL(f"{DOCUMENT}, {CLASHING}")
     return spark.createDataFrame([(k, t, None, None, None, *["x"] * 10) for k, t in rows], schema)
@@ -69,12 +83,15 @@ def write(spark, folder, documents):
     labels = [(k, int(k % 3 != 0), 0) for k, _ in documents[:30] if k is not None] + [(None, 1, 0), (3, None, None)]
     page = "<p>" + "same page " * 200 + "</p>"
     pages = [(1, "http://a/é b", page), (2, None, page), (3, "u\r\nX: 1", "short"), (4, "u", "short"), (5, "u", None), (6, "u", ""), (7, "u", page), (7, "u", page), (8, "u", "ü" * 700)]
+    vectors = odd_vectors()
     if not documents:
-        bench, labels, pages = [], [], []
+        bench, labels, pages, vectors = [], [], [], []
     frame(spark, documents).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    kinds = T.StructType.fromDDL("vec_id long, embedding array<float>, label int, code string, tries string, vector string, n string")
+    spark.createDataFrame([(*v, *["x"] * 4) for v in vectors], kinds).write.parquet(f"{folder}/embeddings.parquet")
     return documents
 
 
