@@ -11,18 +11,21 @@ frequent (or one of ``LONGEST`` characters). Blanks beyond the end of the word
 count as characters, so every place has a gram. A gram depends on its own
 characters only.
 
-Bound: an edit changes no gram but those that contain the edited place. The
-most grams that one place of a word lies in, its affected grams, are counted
-for each word. Two words that differ by one edit therefore share all but that
-many grams, and, with grams in one order for all words (frequent ones last), a
-common one is among the first of either word: one more than may be affected.
-Only those lists are merged.
-
-Merging: beside a common gram that the edit leaves alone, all that stands on
-one side of it is equal as well. So lists are kept by gram with all that
-precedes it, and by gram with all that follows it, and by the length of the
-word, and a list is joined with those of equal and of next larger length. What
-meets is verified by the edit distance, and each pair counts once.
+Bound: an edit changes no gram but those that contain the edited place (for an
+insertion, those that reach over the gap). The most grams that one place lies
+in, the affected grams, are counted for each word: of so many grams and one
+more, at least one is left alone wherever the edit is. So with the grams of a
+word in one order for all words (frequent ones last), the first one that a
+given edit leaves alone is among those, and it is the same gram in both words.
+A word is listed under that gram for each of its places.
+
+Merging: all that stands on the far side of the edited place from the gram is
+not known to be equal, but all on the gram's own side up to it is, and so are
+the characters beyond the place. A list therefore is kept by gram, by all
+that stands between it and its end of the word, by up to ``BEYOND`` characters
+at the other end, and by the length of the word. Lists of equal key are merged
+with those of equal and of next larger length. What meets is verified by the
+edit distance, and each pair counts once.
 
 Words need more than ``LONGEST`` characters, else an edit may change all grams.
 
@@ -56,6 +59,9 @@ FORM_FACTOR = 5
 SHORTEST = 2
 LONGEST = 5
 FREQUENT = 100_000
+BEYOND = 2
+# Words up to this length travel in the lists and are compared there; others are looked up.
+CARRIED = 64
 # Lists below this length are short enough, whatever share of all grams they are.
 SHORT_LIST = 8
 END = " "
@@ -104,7 +110,8 @@ def run_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
             for i, name in enumerate(batch.column("doc_id").to_pylist()):
                 start = zlib.crc32(f"{name}:".encode())
                 for piece in pieces(texts[i].as_py().lower()):
-                    for word, n in Counter(RUN.findall(piece)).items():
+                    # Damage only shortens a run, and a code point has at least a byte.
+                    for word, n in Counter([w for w in RUN.findall(piece) if len(w) >= least]).items():
                         h = zlib.crc32(word, start)
                         held[word if h % DAMAGED_ONE_IN else without(word, h)] += n
                     if len(held) >= HELD_WORDS:
@@ -157,29 +164,41 @@ def most_affected(ends: list[int], length: int) -> int:
     return most
 
 
-def listed_grams(word: str, frequent: dict[str, int], shortest: int = SHORTEST, longest: int = LONGEST) -> list[tuple[int, int]]:
-    """(start, end) of the grams under which a word is listed: its first ones in the common order, wherever they stand."""
-    grams = decompose(word, frequent, shortest, longest)
-    affected = most_affected([end for end, _ in grams], len(word))
-    order = sorted((frequent.get(gram, 0), gram) for _, gram in grams)
-    chosen = {gram for _, gram in order[: affected + 1]}
-    return [(start, end) for start, (end, gram) in enumerate(grams) if gram in chosen]
+_BASE, _PRIME = 0x100000001B3, (1 << 61) - 1
+
+
+def longer_hash(start: int, text: str) -> int:
+    for c in text:
+        start = (start * _BASE + ord(c) + 1) % _PRIME
+    return start
 
 
 def reach_hashes(text: str) -> list[int]:
     """A hash of each beginning of a text, by its length."""
-    out, now = [0], 0
+    out = [0]
     for c in text:
-        now = (now * 0x100000001B3 + ord(c) + 1) % ((1 << 61) - 1)
-        out.append(now)
+        out.append(longer_hash(out[-1], c))
     return out
 
 
-def list_keys(word: str, grams: list[tuple[int, int]]) -> set[int]:
-    """Hashes of each gram with all that precedes it (even), and with all that follows it (odd)."""
+def list_keys(word: str, frequent: dict[str, int], shortest: int = SHORTEST, longest: int = LONGEST) -> set[int]:
+    """The lists in which a word stands, for each place where an edit may be: those of the first gram it leaves alone."""
+    length = len(word)
+    grams = decompose(word, frequent, shortest, longest)
+    order = sorted((frequent.get(gram, 0), gram, start, end) for start, (end, gram) in enumerate(grams))
+    # At most so many grams contain one place, so one more always has one that does not.
+    first = [(start, end) for _, _, start, end in order[: most_affected([end for end, _ in grams], length) + 1]]
     ahead, behind = reach_hashes(word), reach_hashes(word[::-1])
-    left = {2 * ahead[end] for _, end in grams if end <= len(word)}
-    return left | {2 * behind[len(word) - start] + 1 for start, _ in grams}
+    keys = set()
+    # The edit replaces or deletes a character, or inserts one between two.
+    for left, right in [(i, i + 1) for i in range(length)] + [(i, i) for i in range(length + 1)]:
+        start, end = next((s, e) for s, e in first if e <= left or s >= right)
+        if end <= left:
+            key, beyond = 2 * ahead[end], word[max(right, length - BEYOND) :]
+        else:
+            key, beyond = 2 * behind[length - start] + 1, word[: min(left, BEYOND)]
+        keys.add(longer_hash(key % _PRIME, beyond) * (BEYOND + 1) + len(beyond))
+    return keys
 
 
 def near_pairs(words: DataFrame, shortest: int = SHORTEST, longest: int = LONGEST, most: int = FREQUENT) -> DataFrame:
@@ -190,21 +209,27 @@ def near_pairs(words: DataFrame, shortest: int = SHORTEST, longest: int = LONGES
         for batch in batches:
             keys, owners = [], []
             for i, word in enumerate(batch.column("word").to_pylist()):
-                found = list_keys(word, listed_grams(word, frequent.value, shortest, longest))
+                found = list_keys(word, frequent.value, shortest, longest)
                 keys += found
                 owners += [i] * len(found)
             at = pa.array(owners, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column("id").take(at), batch.column("len").take(at)], ["key", "id", "len"]
+                [pa.array(keys, pa.int64()), *(batch.column(c).take(at) for c in ("id", "len", "short"))],
+                ["key", "id", "len", "short"],
             )
 
-    # Lists hold words by their hash; the words themselves are compared once for each pair.
     named = words.select("word", "n", F.xxhash64("word").alias("id"), F.length("word").alias("len"))
-    entries = written_once(named.select("word", "id", "len").mapInArrow(lists, "key long, id long, len int"), "gram-lists")
-    probes = entries.select("key", F.col("id").alias("ida"), F.col("len").alias("own"), F.explode(F.array("len", F.col("len") + 1)).alias("len"))
-    index = entries.select("key", "len", F.col("id").alias("idb"))
-    # Of two words of one length, one probes.
-    met = probes.join(index, ["key", "len"]).filter("own < len OR ida <= idb").select("ida", "idb").distinct()
+    short = F.when(F.col("len") <= CARRIED, F.col("word")).alias("short")
+    entries = written_once(
+        named.select("word", "id", "len", short).mapInArrow(lists, "key long, id long, len int, short string"), "gram-lists"
+    )
+    probes = entries.select(
+        "key", F.col("id").alias("ida"), F.col("short").alias("a"), F.col("len").alias("own"), F.explode(F.array("len", F.col("len") + 1)).alias("len")
+    )
+    index = entries.select("key", "len", F.col("id").alias("idb"), F.col("short").alias("b"))
+    # Of two words of one length, one probes. The edit distance of a word that is looked up is not known yet.
+    near = F.coalesce(F.levenshtein("a", "b", 1) == 1, F.lit(True))
+    met = probes.join(index, ["key", "len"]).filter(F.expr("own < len OR ida <= idb") & near).select("ida", "idb").distinct()
     one = named.select(F.col("id").alias("ida"), F.col("word").alias("a"), F.col("n").alias("an"))
     two = named.select(F.col("id").alias("idb"), F.col("word").alias("b"), F.col("n").alias("bn"))
     ordered = (F.col("ida") != F.col("idb")) | (F.col("a") < F.col("b"))
