@@ -8,12 +8,12 @@ least a known number of the first n - ceil(n * PERCENT / 100) + n / 10 or more (
 see :func:`prefix_sizes`). A class stays only if that many of its prefix shingles
 occur in other classes, and each may leave out its most frequent ones up to
 half of that number, which keeps passages that many texts share from tying
-them together. Classes that share a remaining shingle are tied through its
-smallest class, so ties are as many as shingles, never pairs. Tied classes are
-the only possible partners.
+them together. Classes that share a remaining shingle are tied by spanning
+forests, so ties are at most as many as classes and tasks, never pairs. Tied
+classes are the only possible partners.
 
-Join: the sets of tied classes come together in blocks of bounded size. A
-block is a tree whose nodes hold the union of token bitmaps and the range of
+Join: the sets of tied classes come together in blocks of bounded size; small
+ties share a block, where the traversal keeps them apart. A block is a tree whose nodes hold the union of token bitmaps and the range of
 set sizes. Pairs of nodes are visited from the root; a pair is left out if
 the sizes or the common bits rule out enough overlap, or if all its members
 are linked already. What remains is compared exactly.
@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 
 from quartermark.llm import shared
 from quartermark.llm.components import components
-from quartermark.llm.words import BLANK_WORDS_LOWER, LETTER_WORDS_LOWER, Words, binary, mix, shingles, slices
+from quartermark.llm.forests import spanning_forest
+from quartermark.llm.words import BLANK_WORDS_LOWER, LETTER_WORDS_LOWER, Words, binary, mix, shingles, slices, tidy
 from quartermark.session import written_once
 
 SHINGLE = 4
@@ -252,7 +253,10 @@ def band_starts(percent: int, bits: int = 40) -> np.ndarray:
 
 
 def ties(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes (id, places) that share a prefix shingle, through the smallest class that has it.
+    """(a, b): classes (id, places) connected by shared prefix shingles, as spanning forests.
+
+    A task connects what it sees and tells the others which of its groups has
+    which shingle, so a frequent shingle costs a row for each task.
 
     Linked sets lie in one band of sizes or in neighbouring ones. So every class
     is two nodes, 2 id and 2 id + 1: one among its own band and the one below,
@@ -262,15 +266,11 @@ def ties(classes: DataFrame, percent: int) -> DataFrame:
     n = shared.partitions(classes)
     starts = band_starts(percent)
 
-    def stars(anchor, node):
-        """Smallest node of each anchor, and the links of the others to it."""
-        order = np.lexsort((node, anchor))
-        anchor, node = anchor[order], node[order]
-        new = np.ones(len(order), bool)
-        new[1:] = anchor[1:] != anchor[:-1]
-        least = node[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        pairs = np.unique(np.stack([least, node], axis=1)[least != node], axis=0)
-        return anchor[new], node[new], pairs
+    def connected(anchor, node):
+        """Which group of nodes has which anchor, and a forest that connects the nodes of each group."""
+        label, edges = spanning_forest(anchor, node)
+        pairs = np.unique(np.stack([anchor.view(np.int64), label]), axis=1)
+        return pairs[0].copy().view(np.uint64), pairs[1].copy(), edges
 
     def rows(anchor, node, pairs):
         out = [(b, 0, shared.pack(anchor=anchor[at], node=node[at])) for b, at in shared.dealt(shared.buckets_of(anchor, n), n)]
@@ -278,6 +278,7 @@ def ties(classes: DataFrame, percent: int) -> DataFrame:
             out.append((0, 1, shared.pack(a=pairs[:, 0].copy(), b=pairs[:, 1].copy())))
         return shared.packed_batch(out)
 
+    @tidy
     def local(batches):
         anchors, nodes, count = [], [], 0
         for batch in batches:
@@ -293,22 +294,24 @@ def ties(classes: DataFrame, percent: int) -> DataFrame:
                     anchor = anchor[order[: len(order) - (needed - 1) // 2]]
                 band = int(np.searchsorted(starts, size[0], "right")) - 1
                 for upper in (0, 1):
-                    anchors.append(mix(anchor + np.uint64(0x9E3779B97F4A7C15) * np.uint64(band + upper)))
+                    anchors.append(mix(anchor + np.uint64(0x9E3779B97F4A7C15 * (band + upper) % (1 << 64))))
                     nodes.append(np.full(len(anchor), 2 * node + upper, np.int64))
                     count += len(anchor)
                 if count >= shared.FLUSH_ROWS:
-                    yield rows(*stars(np.concatenate(anchors), np.concatenate(nodes)))
+                    yield rows(*connected(np.concatenate(anchors), np.concatenate(nodes)))
                     anchors, nodes, count = [], [], 0
         if anchors:
-            yield rows(*stars(np.concatenate(anchors), np.concatenate(nodes)))
+            yield rows(*connected(np.concatenate(anchors), np.concatenate(nodes)))
 
+    @tidy
     def merge(batches):
         parts = [shared.unpack(blob) for batch in batches for blob in batch.column("blob").to_pylist()]
         if parts:
             c = shared.joined(parts)
-            _, _, pairs = stars(c["anchor"], c["node"])
+            _, pairs = spanning_forest(c["anchor"], c["node"])
             yield pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
+    @tidy
     def spread(batches):
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
@@ -322,8 +325,9 @@ def ties(classes: DataFrame, percent: int) -> DataFrame:
 def block_links(members: DataFrame, percent: int) -> DataFrame:
     """(a, b) links among rows (task key, id, tokens) that share a key; keys are bounded groups."""
 
+    @tidy
     def join(batches):
-        key, ids, sets = None, [], []
+        key, ids, sets, last = None, [], [], None
 
         def found():
             pairs = linked(sets, percent) if len(sets) > 1 else []
@@ -337,7 +341,10 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
                 if task != key:
                     if len(sets) > 1:
                         yield found()
-                    key, ids, sets = task, [], []
+                    key, ids, sets, last = task, [], [], None
+                if (node, tokens) == last:  # a class of two ties that share the tree
+                    continue
+                last = (node, tokens)
                 ids.append(node)
                 sets.append(np.frombuffer(tokens, np.uint64))
         if len(sets) > 1:
@@ -354,6 +361,7 @@ def all_block_links(members: DataFrame, percent: int) -> DataFrame:
     Side -1 is a block compared with itself; of sides 0 and 1 only links across count.
     """
 
+    @tidy
     def join(batches):
         key, ids, sides, sets = None, [], [], []
 
@@ -399,6 +407,7 @@ def tied_sets(docs: DataFrame, key: str, text: str, size: int, percent: int, let
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
+    @tidy
     def digest(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -423,6 +432,7 @@ def tied_sets(docs: DataFrame, key: str, text: str, size: int, percent: int, let
     tied = written_once(tied.join(ties_size, "tie"), "tied")
     wanted = tied.join(classes, "id")
 
+    @tidy
     def tokens(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -457,7 +467,11 @@ def similar(
 ) -> DataFrame:
     """Per document row: key, set size and component (the smallest id reachable by links)."""
     base, classes, tied, placed = tied_sets(docs, key, text, size, percent, letters, block)
-    own = placed.select(task(F.col("block"), F.lit("h")), "id", "tokens")
+    # Ties of one block share trees of about half a block's sets.
+    bins = max(1, tied.filter("blocks = 1").count() // max(1, block // 2))
+    shared_tree = F.concat(F.lit("tree/"), F.pmod(F.xxhash64("tie"), F.lit(bins)))
+    place = F.when(F.col("blocks") == 1, shared_tree).otherwise(F.concat_ws("/", "tie", "block", F.lit("h")))
+    own = placed.select(place.alias("task"), "id", "tokens")
     # Hubs: about HUBS classes of a tie that has several blocks, chosen by hash, in each of its blocks.
     hub = placed.filter((F.col("blocks") > 1) & (F.pmod(F.hash("id"), F.ceil(F.col("blocks") * block / HUBS)) == 0))
     hubs = hub.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("at <> block")
