@@ -2,24 +2,44 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartermark.llm.forests import spanning_forest
 from quartermark.session import written_once
 
 ROUNDS = 100
+# Links that one task connects at once.
+TASK_LINKS = 500_000
+
+
+def thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the same nodes: in each task the smallest node of a group with all others of it."""
+
+    def forest(batches):
+        held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+        if held:
+            a, b = (np.concatenate(x) for x in zip(*held))
+            _, edges = spanning_forest(np.tile(np.arange(len(a)), 2), np.concatenate([a, b]))
+            yield pa.RecordBatch.from_pydict({"a": edges[:, 0], "b": edges[:, 1]})
+
+    tasks = max(1, -(-links.count() // TASK_LINKS))
+    return links.repartition(tasks).mapInArrow(forest, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for every node of ``links`` (a, b).
 
+    Links are first thinned out in tasks of bounded size, which leaves few rounds.
     Each round gives a node the smallest label among its neighbours and itself,
     then the label of that label, so distances shrink by more than half. Rounds
     are written tables, which cuts lineage. A node with very many links is one
     row on the label side of the join, and its links are split by adaptive
     execution.
     """
-    both = links.filter("a <> b").select("a", "b")
+    both = thinned(written_once(links.filter("a <> b").select("a", "b"), "links"))
     both = written_once(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = written_once(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     for _ in range(ROUNDS):
