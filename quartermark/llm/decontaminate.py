@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermark.llm.words import LETTER_WORDS_LOWER, Words, binary, covered, keep_rows, shingles, slices
+from quartermark.llm.words import LETTER_WORDS_LOWER, Words, binary, covered, keep_rows, shingles, slices, tidy
 
 WINDOW = 10
 SHINGLE = 3
@@ -40,6 +40,7 @@ ITEM_SCHEMA = "item string, n_words long, words binary"
 def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
     """Word hashes of every item that has words."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -124,6 +125,7 @@ def shingle_counts(docs: DataFrame, keys: dict[int, np.ndarray], text: str) -> d
     """How often each of the given shingles occurs in all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(keys)
 
+    @tidy
     def run(batches):
         filters = {size: Filter(k) for size, k in shared.value.items()}
         totals = {size: np.zeros(len(k), np.int64) for size, k in shared.value.items()}
@@ -230,6 +232,7 @@ def benchmark_blocks(
 
 
 def _marker(shared, last: bool):
+    @tidy
     def run(batches):
         block, prefixes = shared.value
         filters = {size: Filter(np.unique(keys)) for size, (keys, _, _) in prefixes.items()}
@@ -268,6 +271,7 @@ def hit_report(marked: DataFrame) -> DataFrame:
     """The digest of :func:`mark_hits` per document row."""
     kind = marked.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def run(batches):
         for batch in batches:
             hits = [x.count(1) if x else 0 for x in batch.column("hits").to_pylist()]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quartermark.llm import shared
 from quartermark.llm.suffix_arrays import suffix_array, with_sentinels
 from quartermark.llm.suffix_dedup import kept_ranges, sliding_minimum
-from quartermark.llm.words import BLANK_WORDS, Words, binary, mix, shingles, slices
+from quartermark.llm.words import BLANK_WORDS, Words, binary, mix, shingles, slices, tidy
 from quartermark.session import written_once
 
 WINDOW = 13
@@ -182,6 +182,7 @@ def repeated_spans(shared_rows: DataFrame, window: int = WINDOW, shard_bytes: in
         words = text.split()
         return [b" ".join(words[a : b + window]) for a, b in zip(first.tolist(), last.tolist())]
 
+    @tidy
     def work(batches):
         for shard, wide in shared.shards(batches, shard_bytes):
             segment, place, value, h1, h2 = smallest(shard, window)
@@ -200,6 +201,7 @@ def repeated_spans(shared_rows: DataFrame, window: int = WINDOW, shard_bytes: in
                 )
             yield shared.packed_batch(rows)
 
+    @tidy
     def merge(batches):
         parts = [shared.unpack(blob) for batch in batches for blob in batch.column("blob").to_pylist()]
         if not parts:
@@ -245,6 +247,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     rows = with_spans(docs, key, text, window).select("doc_id", "text", "spans")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def report(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -277,6 +280,7 @@ def rewrite(docs: DataFrame, key: str = "doc_id", text: str = "text", window: in
     found = found.select(*plain.columns, "spans")
     columns_out, place = plain.columns, plain.columns.index(text)
 
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, text):

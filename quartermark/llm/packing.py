@@ -27,6 +27,7 @@ repeated rows are packed as often as they occur. Only key and text are read.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 from itertools import chain
 
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermark.llm.words import BLANKS, _translation, binary, slices, span_hashes
+from quartermark.llm.words import BLANKS, _translation, binary, slices, span_hashes, tidy
 
 CAPACITY = 4096
 PIECE = 256
@@ -87,8 +88,22 @@ def piece_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts[kept], ends[kept]
 
 
+# Fixed value: the splitting pattern for which the cuts above hold.
+PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_hold(path: str) -> bool:
+    """Whether a tokenizer file lower-cases and splits by the known pattern."""
+    with open(path, encoding="utf-8") as source:
+        rules = json.load(source)
+    normal, split = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+    steps = [s.get("type") for s in normal.get("normalizers", [normal])]
+    patterns = [(s.get("pattern") or {}).get("Regex") for s in split.get("pretokenizers", [split])]
+    return "Lowercase" in steps and patterns[:1] == [PIECE_PATTERN]
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer file that splits at blanks and lower-cases."""
+    """Ids of whole texts by a tokenizer file; texts are cut and known pieces kept where its rules allow that."""
 
     def __init__(self, path: str):
         # Spark runs the tasks in parallel already; threads of the library's own only cost memory.
@@ -98,6 +113,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in added]
+        self.cuts_hold = cuts_hold(path)
         self.clear()
 
     def clear(self) -> None:
@@ -121,7 +137,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text, without special tokens of the library's own."""
-        if any(s in t for t in texts for s in self.special):
+        if not self.cuts_hold or any(s in t for t in texts for s in self.special):
             whole = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, np.uint32) for e in whole]
         joined = b"\n".join(texts)
@@ -154,16 +170,6 @@ class Encoder:
         return np.split(ids, cuts[:-1]) if len(texts) else []
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def differencing(sizes: list[int], bins: int) -> tuple[np.ndarray, int]:
     """Karmarkar-Karp: the bin of each size, and the sum of the fullest bin."""
     left: list[int] = []
@@ -295,9 +301,11 @@ def pack(
     chosen = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
 
+    @tidy
     def run(batches):
         packer = Packer(TaskContext.get().partitionId() << 33, capacity, piece, group)
-        encode = encoder(tokenizer).encode
+        # One for each task, so that idle workers do not keep it.
+        encode = Encoder(tokenizer).encode
         end = np.array([end_id], np.uint32)
         doc_type = None
 

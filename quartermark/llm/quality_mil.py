@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermark.llm.words import BLANK_WORDS, Words, binary, keep_rows, shingles, slices
+from quartermark.llm.words import BLANK_WORDS, Words, binary, keep_rows, shingles, slices, tidy
 
 PASSAGE = 64
 TRAIN_ROWS = 4000
@@ -204,6 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     # At most ``rows`` ids; of repeated rows of an id the join keeps all, they are few by the same bound.
     joined = texts.join(F.broadcast(sample), "id").select("id", "text", "y")
 
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -227,6 +228,7 @@ def score(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(network)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):

@@ -28,9 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermark.llm.words import binary, mix, slices
+from quartermark.llm.words import binary, mix, slices, tidy
 
-FLUSH_ROWS = 2_000_000
+FLUSH_ROWS = 1_000_000
 FLUSH_BYTES = 24 << 20
 # An anchor with more runs in one task is dealt out as a shard of its own.
 HOT_RUNS = 256
@@ -145,6 +145,7 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict], once: bool
         row = c.pop("row")
         return c | {"rk1": c["rk1"][row], "rk2": c["rk2"][row]}
 
+    @tidy
     def find(batches):
         task = TaskContext.get().partitionId()
         held: list[dict] = []
@@ -196,6 +197,7 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict], once: bool
         if count:
             yield flush()
 
+    @tidy
     def settle(batches):
         singles, told, kept = [], [], []
         for batch in batches:
@@ -220,6 +222,7 @@ def shared_runs(rows: DataFrame, runs: Callable[[list[bytes]], dict], once: bool
         home = buckets_of(c["rk1"].view(np.uint64), n)
         yield packed_batch([(b, 0, pack(**{k: v[at] for k, v in c.items()})) for b, at in dealt(home, n)])
 
+    @tidy
     def gather(batches):
         parts = [unpack(blob) for batch in batches for blob in batch.column("blob").to_pylist()]
         if not parts:
@@ -265,6 +268,7 @@ def segments(shared: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], l
     rank = F.coalesce(F.col(order).cast("long"), F.lit((1 << 63) - 1)) if order else F.lit(0).cast("long")
     rows = shared.select("rk1", "rk2", rank.alias("rank"), "text", "places")
 
+    @tidy
     def deal(batches):
         task = TaskContext.get().partitionId()
         held: list[dict] = []
@@ -364,6 +368,7 @@ def by_document(spans: DataFrame) -> DataFrame:
     """(rk1, rk2, spans): all spans of a row, merged; ``spans`` packs start and end."""
     n = partitions(spans)
 
+    @tidy
     def gather(batches):
         parts = [unpack(blob) for batch in batches for blob in batch.column("blob").to_pylist()]
         if not parts:

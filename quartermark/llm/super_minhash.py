@@ -39,7 +39,7 @@ from quartermark.llm import shared
 from quartermark.llm.components import components
 from quartermark.llm.forests import spanning_forest
 from quartermark.llm.jaccard_trees import digests, shingle_sets
-from quartermark.llm.words import binary, mix, slices
+from quartermark.llm.words import binary, mix, slices, tidy
 from quartermark.session import written_once
 
 SHINGLE = 3
@@ -108,6 +108,7 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def signed(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, rk1, rk2, n, bands): two hashes of each row's set, its size, and its packed band keys."""
+    @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -133,6 +134,7 @@ def ties(classes: DataFrame) -> DataFrame:
             out.append((0, 1, shared.pack(a=edges[:, 0].copy(), b=edges[:, 1].copy())))
         return shared.packed_batch(out)
 
+    @tidy
     def local(batches):
         keys, nodes, count = [], [], 0
 
@@ -155,6 +157,7 @@ def ties(classes: DataFrame) -> DataFrame:
         if keys:
             yield flush()
 
+    @tidy
     def merge(batches):
         parts = [shared.unpack(blob) for batch in batches for blob in batch.column("blob").to_pylist()]
         if parts:
@@ -162,6 +165,7 @@ def ties(classes: DataFrame) -> DataFrame:
             _, edges = spanning_forest(c["key"], c["node"])
             yield pa.RecordBatch.from_pydict({"a": edges[:, 0], "b": edges[:, 1]})
 
+    @tidy
     def spread(batches):
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
@@ -225,6 +229,7 @@ def union_links(sets: list[np.ndarray], keys: np.ndarray, percent: int) -> list[
 def block_links(members: DataFrame, percent: int, bands: int) -> DataFrame:
     """(a, b) links among rows (task key, id, bands, tokens) that share a key; keys are bounded groups."""
 
+    @tidy
     def join(batches):
         key, ids, keys, sets = None, [], [], []
 
@@ -254,6 +259,7 @@ def block_links(members: DataFrame, percent: int, bands: int) -> DataFrame:
 def tied_members(rows: DataFrame, classes: DataFrame, tied: DataFrame, size: int) -> DataFrame:
     """(id, tie, blocks, block, bands, tokens) of the tied classes, from the text of one row of each."""
 
+    @tidy
     def tokens(batches):
         for batch in batches:
             for part in slices(batch, "text"):

@@ -7,7 +7,9 @@ few megabytes; only a single text longer than that makes a slice larger.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,28 @@ def shingles(word_hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+def give_back() -> None:
+    """Returns memory that is free but still held by the allocators of this process to the system."""
+    _TABLES.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function that leaves nothing behind: Python workers live on, idle, beside those of later stages."""
+
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def binary(column: pa.Array) -> pa.Array:
     """A text column as bytes without nulls; null is empty."""
     if pa.types.is_null(column.type):
@@ -165,6 +189,7 @@ def keep_rows(docs: DataFrame, text: str, masks: Callable[[], Callable[[list[byt
     names, place = docs.columns, docs.columns.index(text)
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
+    @tidy
     def run(batches):
         mask = masks()
         for batch in batches:
