@@ -137,8 +137,8 @@ def staged_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def double_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two register files in which numbers and tax ids occur twice."""
+def register_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two register files, whose numbers and tax ids overlap."""
     customers = table(spark, sf_dir, "customer").select(
         as_text(F.col("c_custkey")).alias("registro_operadora"),
         as_text(F.col("c_custkey") * 7919).alias("cnpj"),
@@ -149,6 +149,12 @@ def double_register(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_text(F.col("s_suppkey") * 7919 * 2).alias("cnpj"),
         F.col("s_name").alias("razao_social"),
     )
+    return customers, suppliers
+
+
+def double_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both register files in one, so that numbers and tax ids occur twice."""
+    customers, suppliers = register_loads(spark, sf_dir)
     return customers.unionByName(suppliers)
 
 

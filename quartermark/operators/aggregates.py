@@ -90,3 +90,43 @@ def report_statistics(report: DataFrame) -> DataFrame:
         zero_if_null(F.col("ValorDespesas").try_cast(MONEY)).alias("valor"),
     )
     return statistics(quarterly_sum(positive_only(rows)))
+
+
+def statistics_state(quarterly: DataFrame) -> DataFrame:
+    """What the statistics of (name, state) need of some quarters: count, sum and squared deviations."""
+    value = F.col("valor").cast("double")
+    return quarterly.groupBy(*GROUP).agg(
+        F.count("valor").alias("n"),
+        F.sum("valor").cast(TOTAL).alias("soma"),
+        (F.var_pop(value) * F.count("valor")).alias("desvios"),
+    )
+
+
+def merged_state(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The state over the quarters of both; no quarter of a name and state may be in both."""
+    a, b = stored.alias("a"), new.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in GROUP]
+    joined = a.join(b, same[0] & same[1], "full_outer")
+    zero = F.lit(0).cast(TOTAL)
+    n1, n2 = (F.coalesce(F.col(f"{s}.n"), F.lit(0)) for s in "ab")
+    s1, s2 = (F.coalesce(F.col(f"{s}.soma"), zero) for s in "ab")
+    d1, d2 = (F.coalesce(F.col(f"{s}.desvios"), F.lit(0.0)) for s in "ab")
+    # The distance of the two means adds to the deviations; a side without rows has none.
+    apart = F.coalesce(F.try_divide(s1.cast("double"), n1) - F.try_divide(s2.cast("double"), n2), F.lit(0.0))
+    return joined.select(
+        *[F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in GROUP],
+        (n1 + n2).alias("n"),
+        (s1 + s2).cast(TOTAL).alias("soma"),
+        (d1 + d2 + apart * apart * n1 * n2 / (n1 + n2)).alias("desvios"),
+    )
+
+
+def statistics_of_state(state: DataFrame) -> DataFrame:
+    """The same figures as :func:`statistics`, from a stored state."""
+    deviation = F.sqrt(F.try_divide(F.col("desvios"), F.col("n") - 1))
+    return state.select(
+        *GROUP,
+        F.col("soma").alias("valor_total"),
+        F.round(F.col("soma") / F.col("n"), 2).cast(TOTAL).alias("media_trimestral"),
+        F.coalesce(F.round(deviation, 2), F.lit(0.0)).cast(TOTAL).alias("desvio_padrao"),
+    )

@@ -55,17 +55,23 @@ def resolve_layout(headers: Sequence[str]) -> Layout:
 def align(df: DataFrame, layout: Layout, headers: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:
     """Projects one layout to ``reg_ans, data, descricao, valor`` (all text)."""
 
+    columns = [F.col(f"`{h}`").cast("string") for h in headers]
+    return df.select(*picked(layout, columns), *keep)
+
+
+def picked(layout: Layout, columns: Sequence[Column]) -> list[Column]:
+    """The canonical columns out of a layout's columns, by position; the first non-null one of several."""
+
     def pick(positions: tuple[int, ...], name: str) -> Column:
-        columns = [F.col(f"`{headers[i]}`").cast("string") for i in positions]
-        return (F.coalesce(*columns) if columns else F.lit(None).cast("string")).alias(name)
+        chosen = [columns[i] for i in positions]
+        return (F.coalesce(*chosen) if chosen else F.lit(None).cast("string")).alias(name)
 
-    return df.select(
+    return [
         pick(layout.key, "reg_ans"),
         pick(layout.date, "data"),
         pick(layout.description, "descricao"),
         pick(layout.value, "valor"),
-        *keep,
-    )
+    ]
 
 
 def align_frame(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

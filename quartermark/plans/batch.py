@@ -53,13 +53,19 @@ class Target:
         return f"{self.root}/painel"
 
 
-def staged_by_position(register: DataFrame) -> DataFrame:
-    """A register file with all columns in their fixed order, under their fixed names."""
+def staged_register(register: DataFrame) -> DataFrame:
+    """A register under its fixed column names, whatever their order in the files.
+
+    Files with names of their own are taken by position, if they agree on the
+    columns and have as many as there should be.
+    """
     names = [c for c in register.columns if c not in ARRIVAL]
-    if len(names) != len(REGISTER_COLUMNS):
-        raise ValueError(f"register has {len(names)} columns, expected {len(REGISTER_COLUMNS)}")
-    renamed = [F.col(f"`{old}`").alias(new) for old, new in zip(names, REGISTER_COLUMNS)]
-    return register.select(*renamed, *ARRIVAL)
+    known = {n.lower(): n for n in names}
+    if not set(REGISTER_COLUMNS) <= set(known):
+        if len(names) != len(REGISTER_COLUMNS):
+            raise ValueError(f"register has {len(names)} columns, expected {len(REGISTER_COLUMNS)}")
+        known = dict(zip(REGISTER_COLUMNS, names))
+    return register.select(*[F.col(f"`{known[c]}`").alias(c) for c in REGISTER_COLUMNS], *ARRIVAL)
 
 
 def run_batch(
@@ -84,7 +90,7 @@ def run_batch(
     tables.export_csv(largest_first(statistics), target.statistics, compressed=True)
     tables.write_table(keep_largest_state(statistics), f"{target.gold}/por_operadora")
 
-    tables.write_table(typed_register(staged_by_position(register), ARRIVAL), target.register)
+    tables.write_table(typed_register(staged_register(register), ARRIVAL), target.register)
     dimension = tables.read_table(spark, target.register)
     tables.write_table(facts_of(expenses, dimension), target.facts, partitions=("ano", "trimestre"))
     return target

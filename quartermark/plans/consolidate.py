@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quartermark.operators.normalize import consolidated
 from quartermark.schemas import CLAIM_KEYWORDS
-from quartermark.session import written_once
 from quartermark.sources.delimited import LATIN
 from quartermark.sources.raw import RawScan, scan
 
@@ -14,12 +13,9 @@ from quartermark.sources.raw import RawScan, scan
 def write_bronze(
     spark: SparkSession, root: str, encoding: str = LATIN, pattern: str = CLAIM_KEYWORDS
 ) -> tuple[DataFrame, RawScan]:
-    """The aligned, keyword-filtered rows as a written table.
-
-    Later steps read this table more than once; the raw text is parsed once.
-    """
+    """The aligned, keyword-filtered rows, which the scan has written: the raw text is parsed once."""
     files = scan(spark, root, encoding)
-    return written_once(files.bronze(pattern), "bronze"), files
+    return files.bronze(pattern), files
 
 
 def consolidate(spark: SparkSession, root: str, encoding: str = LATIN, pattern: str = CLAIM_KEYWORDS) -> DataFrame:

@@ -197,6 +197,14 @@ WHERE (ano, trimestre) IN (SELECT (ano, trimestre) FROM (
     "partitioned_append": f"""WITH {EXPENSES}
 SELECT "Ano", "Trimestre", COALESCE("ValorDespesas", 0) <= 0 AS "DespesasSuspeitas", COUNT(*) AS linhas,
   CAST(SUM("ValorDespesas") AS DOUBLE) AS valor FROM expenses GROUP BY 1, 2, 3""",
+    "append_rerun": f"""WITH {EXPENSES}
+SELECT "Ano", "Trimestre", COALESCE("ValorDespesas", 0) <= 0 AS "DespesasSuspeitas", COUNT(*) AS linhas,
+  CAST(SUM("ValorDespesas") AS DOUBLE) AS valor FROM expenses GROUP BY 1, 2, 3""",
+    "register_two_loads": """SELECT LPAD(CAST(c_custkey AS VARCHAR), 6, '0') AS registro_operadora,
+  CAST(c_custkey * 7919 AS VARCHAR) AS cnpj, c_name AS razao_social FROM customer
+UNION ALL SELECT LPAD(CAST(s_suppkey * 3 AS VARCHAR), 6, '0'), CAST(s_suppkey * 7919 * 2 AS VARCHAR), s_name
+FROM supplier WHERE s_suppkey * 3 NOT IN (SELECT c_custkey FROM customer)""",
+    "merged_statistics": f"WITH {STATS} SELECT {STATS_COLUMNS} FROM stats",
     "schema_align": """SELECT CAST(o_custkey AS VARCHAR) AS reg_ans,
   CASE WHEN o_orderstatus <> 'P' THEN STRFTIME(o_orderdate, '%Y-%m-%d') END AS data, o_orderpriority AS descricao,
   CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR)

@@ -29,6 +29,7 @@ from quartermark.schemas import (
 )
 from quartermark.session import shared_dir
 from quartermark.sources import archives, pages, tables
+from quartermark.sources.commits import CommittedTable
 from quartermark.sources.delimited import read_register, read_staged
 from quartermark.streaming.ingest import ingest, ingested
 
@@ -95,11 +96,10 @@ def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "zip")
     d.write_archives(d.table(spark, sf_dir, "orders"), root)
-    lines = archives.read_lines(archives.list_members(spark, root))
-    rows = archives.parse_lines(lines, ["reg", "data", "valor", "descricao"])
+    rows, _ = archives.read_members(spark, root, shared_dir(spark, "unpacked"), ["reg", "data", "valor", "descricao"])
     return rows.select(
         text.digits_key(F.col("reg")).alias("reg_key"),
-        F.regexp_replace("member", r"-\d+\.csv$", ".csv").alias("membro"),
+        F.regexp_replace(F.regexp_extract("file", "([^/]+/[^/]+)$", 1), r"-\d+\.csv$", ".csv").alias("membro"),
         F.col("data"),
         F.col("valor").try_cast(MONEY).alias("valor"),
         "descricao",
@@ -269,6 +269,30 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def append_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = d.expenses(spark, sf_dir).withColumn("source_file", F.concat_ws("/", "Ano", "Trimestre"))
+    table = CommittedTable(spark, shared_dir(spark, "committed"), EXPENSE_TABLE, ("Ano", "Trimestre"))
+    # The second run meets some sources again, the third one all of them.
+    for part in (rows.filter("Ano % 2 = 0"), rows, rows):
+        table.append(part)
+    return table.read().groupBy("Ano", "Trimestre", "DespesasSuspeitas").agg(
+        F.count("*").alias("linhas"), F.sum("ValorDespesas").alias("valor")
+    )
+
+
+@query
+def register_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = [
+        part.withColumn("registro_operadora", text.zero_pad(F.col("registro_operadora"), 6))
+        for part in d.register_loads(spark, sf_dir)
+    ]
+    table = CommittedTable(spark, shared_dir(spark, "dimension"), loads[0].schema)
+    for name, part in (("primeira", loads[0]), ("segunda", loads[1]), ("segunda", loads[1])):
+        table.insert_absent(dedup.keep_first(part, ["registro_operadora"], [F.col("cnpj")]), ["registro_operadora"], name)
+    return table.read()
+
+
 # --- normalisation -----------------------------------------------------------
 
 
@@ -506,6 +530,20 @@ def operator_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.ranked_statistics(d.expenses(spark, sf_dir), d.report_register(spark, sf_dir))
 
 
+@query
+def merged_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all quarters from the stored state of the older ones and the newer ones alone."""
+    expenses, register = d.expenses(spark, sf_dir), d.report_register(spark, sf_dir)
+
+    def state(part: DataFrame) -> DataFrame:
+        return aggregates.statistics_state(aggregates.quarterly_sum(aggregates.named_sums(part, register)))
+
+    path = shared_dir(spark, "state")
+    tables.write_table(state(expenses.filter("Ano < 1996")), path)
+    merged = aggregates.merged_state(tables.read_table(spark, path), state(expenses.filter("Ano >= 1996")))
+    return aggregates.statistics_of_state(merged)
+
+
 @query
 def operator_stats_unflagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.operator_statistics(

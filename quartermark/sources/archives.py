@@ -1,4 +1,4 @@
-"""Zip archives: members unpacked to plain files, or as rows of lines.
+"""Zip archives: members unpacked to plain files, which are then read like others.
 
 The archive list and the member list are metadata. Each member is then a unit
 of work of its own and is decompressed as a stream, so memory use does not
@@ -7,7 +7,6 @@ depend on the size of an archive. Nothing passes through the driver.
 
 from __future__ import annotations
 
-import io
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -18,13 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermark.session import written_once
-from quartermark.sources.delimited import LATIN, list_files
+from quartermark.sources.delimited import LATIN, DelimitedScan, list_files
 from quartermark.sources.files import copy_stream, open_stream, resolve
 
 ZIP_FILES = "*.[zZ][iI][pP]"
 MEMBER_SCHEMA = "archive string, member string, size long, error string"
-LINE_SCHEMA = "archive string, member string, line_no long, line string, error string"
-LINES_PER_BATCH = 20_000
+ALL_FILES = "*"
 DAMAGE = (zipfile.BadZipFile, zlib.error, OSError, EOFError, ValueError, RuntimeError)
 TASKS_PER_CORE = 4
 
@@ -43,6 +41,11 @@ def _members(path: str) -> list[tuple]:
 
 def list_members(spark: SparkSession, root: str, pattern: str = ZIP_FILES) -> DataFrame:
     """One row per member; a damaged archive is one row with ``error`` set."""
+    return members_of(list_files(spark, root, pattern))
+
+
+def members_of(archives: DataFrame) -> DataFrame:
+    """The same for listed archives (path)."""
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["archive", "member", "size", "error"]
@@ -51,7 +54,7 @@ def list_members(spark: SparkSession, root: str, pattern: str = ZIP_FILES) -> Da
             frame = pd.DataFrame(rows, columns=columns, dtype="object")
             yield frame.assign(size=frame["size"].astype("Int64"))
 
-    return list_files(spark, root, pattern).mapInPandas(members, MEMBER_SCHEMA)
+    return archives.select("path").mapInPandas(members, MEMBER_SCHEMA)
 
 
 def member_place(root: str, archive: str, member: str) -> str:
@@ -65,8 +68,10 @@ def member_place(root: str, archive: str, member: str) -> str:
     return "/".join([folders[: -len(".zip")], *parts])
 
 
-def unpack(spark: SparkSession, root: str, target: str, pattern: str = ZIP_FILES) -> DataFrame:
-    """Copies every member of all archives below ``root`` to a file below ``target``, once.
+def unpack(
+    spark: SparkSession, root: str, target: str, pattern: str = ZIP_FILES, archives: DataFrame | None = None
+) -> DataFrame:
+    """Copies every member of all archives below ``root``, or of some listed ones, to a file below ``target``, once.
 
     One row per member, with the error of a damaged archive or member. Damaged
     ones leave no file. A member is a unit of work and is copied as a stream;
@@ -87,7 +92,7 @@ def unpack(spark: SparkSession, root: str, target: str, pattern: str = ZIP_FILES
             yield batch.assign(error=pd.Series(errors, index=batch.index, dtype="object"))
 
     # Listed once; the names are read for the good and for the damaged archives.
-    listed = written_once(list_members(spark, root, pattern), "archive-members")
+    listed = written_once(list_members(spark, root, pattern) if archives is None else members_of(archives), "archive-members")
     names = listed.filter("error IS NULL").select("archive", "member")
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     copied = names.repartition(tasks, "archive", "member").mapInPandas(copy, "archive string, member string, error string")
@@ -95,59 +100,23 @@ def unpack(spark: SparkSession, root: str, target: str, pattern: str = ZIP_FILES
     return written_once(copied.unionByName(damaged), "archive-log")
 
 
-def read_lines(members: DataFrame, encoding: str = LATIN) -> DataFrame:
-    """Lines of all members, numbered from 0 within their member.
+def read_members(
+    spark: SparkSession, root: str, target: str, columns: list[str], sep: str = ";", encoding: str = LATIN, pattern: str = ZIP_FILES
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of all whole members, with their place below ``target``, and what was damaged (archive, member, error).
 
-    A member that is damaged inside gives the lines before the damage and one
-    row with ``error``. The shuffle moves member names only; it spreads the
-    members of one large archive over tasks. Its number of partitions is
-    fixed, because adaptive execution would put all these short rows into one
-    task.
+    A member that is damaged inside gives no rows at all.
     """
+    log = unpack(spark, root, target, pattern)
+    if log.filter("error IS NULL").isEmpty():
+        schema = ", ".join(["file string", *(f"`{c}` string" for c in columns)])
+        return spark.createDataFrame([], schema), log.filter("error IS NOT NULL")
 
-    columns = ["archive", "member", "line_no", "line", "error"]
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, member in zip(batch["archive"], batch["member"]):
-                for start, held, error in _numbered(path, member, encoding):
-                    numbered = [(path, member, start + i, line, error) for i, line in enumerate(held)]
-                    yield pd.DataFrame(numbered, columns=columns, dtype="object")
-
-    names = members.filter("error IS NULL").select("archive", "member")
-    tasks = TASKS_PER_CORE * members.sparkSession.sparkContext.defaultParallelism
-    return names.repartition(tasks, "archive", "member").mapInPandas(lines, LINE_SCHEMA)
-
-
-def _numbered(path: str, member: str, encoding: str) -> Iterator[tuple[int, list, str | None]]:
-    """Batches of lines with the number of their first one, and an error row at the end."""
-    start, held = 0, []
-    try:
-        with (
-            open_stream(path) as stream,
-            zipfile.ZipFile(stream) as archive,
-            archive.open(member) as raw,
-        ):
-            for line in io.TextIOWrapper(raw, encoding=encoding):
-                held.append(line.rstrip("\r\n"))
-                if len(held) == LINES_PER_BATCH:
-                    yield start, held, None
-                    start, held = start + len(held), []
-    except DAMAGE as problem:
-        yield start, held, None
-        yield start + len(held), [None], describe(problem)
-        return
-    yield start, held, None
-
-
-def read_errors(members: DataFrame) -> DataFrame:
-    return members.filter("error IS NOT NULL").select("archive", "error")
+    def by_position(names: list[str]) -> tuple[object, str | None]:
+        return None, None if len(names) == len(columns) else "columns"
 
+    def build(kind, fields, overlong):
+        return F.struct(*[f.alias(c) for f, c in zip(fields, columns)], overlong.alias("overlong"))
 
-def parse_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
-    """Delimited lines to text columns; the header line of each member is left out."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv(F.col("line"), schema, {"sep": sep, "escape": '"'})
-    return lines.filter("line_no > 0 AND line <> ''").select("archive", "member", parsed.alias("_r")).select(
-        "archive", "member", "_r.*"
-    )
+    scan = DelimitedScan(spark, list_files(spark, target, ALL_FILES), encoding, [target], by_position, ALL_FILES)
+    return scan.rows(build).drop("block", "arrival"), log.filter("error IS NOT NULL")

@@ -1,42 +1,55 @@
 """Scan of delimited files whose headers, separators and quality differ.
 
-A CSV read binds columns by position to one schema, so files are first
-grouped: a small distributed job looks at the head of each file, and the files
-of each distinct layout are then one ordinary Spark read.
+All files are one text read. A written table tells the separator and header of
+each file; lines join it on the file and are parsed by the rule of their
+layout, one expression for each distinct layout. Only layouts reach the driver,
+so the number of jobs and the size of the plan depend on them and not on the
+number of files. Files in which a line ends inside a quoted field are found by
+the same read; their records then come from :mod:`quartermark.sources.records`.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quartermark.operators.align import Layout, align, append_all, resolve_layout
-from quartermark.schemas import all_text
+from quartermark.operators.align import Layout, picked, resolve_layout
+from quartermark.session import written_once
 from quartermark.sources.files import open_stream
+from quartermark.sources.records import cut_in_field, whole_records
 
 # How much of a file a semicolon is searched in, and the fallback choices.
 SAMPLE_CHARACTERS = 2048
 SEPARATORS = (";", ",", "\t", "|")
 
+# A file whose first line is longer has no header.
+HEADER_BYTES = 16 << 20
+
 TEXT_FILES = "*.{[cC][sS][vV],[tT][xX][tT]}"
 LATIN = "ISO-8859-1"
-HEAD_SCHEMA = "path string, sep string, header string"
+HEAD_SCHEMA = "path string, file string, length long, sep string, header string"
+FILE_COLUMNS = ("path", "file", "length")
+
+
+def file_columns() -> list[Column]:
+    """What a listing knows of a file: its path, that path as rows of the file carry it, and its length."""
+    return [F.col("path"), F.col("_metadata.file_path").alias("file"), F.col("length")]
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = TEXT_FILES) -> DataFrame:
-    """Paths below ``root``, at any depth. Reads no file content."""
+    """Files below ``root``, at any depth. Reads no file content."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select("path")
+        .select(*file_columns())
     )
 
 
@@ -53,31 +66,29 @@ def choose_separator(text: str) -> str:
 def _head(path: str, encoding: str) -> tuple[str | None, str | None]:
     try:
         with open_stream(path) as stream:
-            data = stream.read(SAMPLE_CHARACTERS)
-            while data and b"\n" not in data:
-                more = stream.read(64 * 1024)
-                if not more:
-                    break
-                data += more
+            data = stream.readline(HEADER_BYTES)
+            if len(data) == HEADER_BYTES:
+                return None, None
+            data += stream.read(max(0, SAMPLE_CHARACTERS - len(data)))
     except OSError:
         return None, None
     text = data.decode(encoding, errors="ignore")
-    header = text.splitlines()[0] if text.strip() else None
+    header = re.split("\r\n|\n|\r", text, maxsplit=1)[0] if text.strip() else None
     return choose_separator(text), header
 
 
 def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:
-    """Separator and header line per file; no header for empty or unreadable ones."""
+    """``files`` with separator and header line; no header for empty or unreadable ones."""
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [_head(p, encoding) for p in batch["path"]]
-            yield pd.DataFrame(
-                {"path": batch["path"], "sep": [f[0] for f in found], "header": [f[1] for f in found]},
-                dtype="object",
+            yield batch.assign(
+                sep=pd.Series([f[0] for f in found], index=batch.index, dtype="object"),
+                header=pd.Series([f[1] for f in found], index=batch.index, dtype="object"),
             )
 
-    few = files.select("path").coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
+    few = files.select(*FILE_COLUMNS).coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
     return few.mapInPandas(heads, HEAD_SCHEMA)
 
 
@@ -88,107 +99,117 @@ def header_names(header: str, sep: str) -> list[str]:
     return next(csv.reader([header], delimiter=sep))
 
 
-def header_groups(heads: DataFrame) -> dict[tuple[str | None, str | None], list[str]]:
-    """Files per (separator, header).
-
-    One short row per file reaches the driver: the same list of files that a
-    Spark read keeps in its file index.
-    """
-    groups: dict[tuple[str | None, str | None], list[str]] = {}
-    for row in heads.collect():
-        key = (row["sep"], row["header"]) if row["header"] is not None else (None, None)
-        groups.setdefault(key, []).append(row["path"])
-    return groups
-
-
 def literal_path(path: str) -> str:
     """Keeps brackets and the like in a file name from acting as a pattern."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def read_group(
-    spark: SparkSession, paths: Sequence[str], sep: str, columns: int, encoding: str = LATIN
-) -> DataFrame:
-    """One header group as text columns ``c0, c1, …`` plus ``source_file`` and ``block``.
+def read_lines(spark: SparkSession, roots: Sequence[str], encoding: str, pattern: str = TEXT_FILES) -> DataFrame:
+    """(value, file, block, arrival): all lines below ``roots``, in file order within a block."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return reader.text(list(roots)).select(
+        F.decode(F.col("value").cast("binary"), encoding).alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("arrival"),
+    )
+
+
+def record_fields(record: Column, sep: str, width: int, build: Callable[[list[Column], Column], Column]) -> Column:
+    """``build(fields, overlong)`` over the parsed fields of a record, which is parsed once.
 
-    Files in which a quoted field runs over the end of a line are read whole,
-    all others are split at lines. Records with too many fields are dropped; short lines are filled with
-    nulls. The parser marks both as corrupt, so separators outside quotes are
-    counted. Column pruning must stay off: a pruned parse marks nothing.
+    Short records are filled with nulls; overlong marks those with too many fields. The parser
+    marks both as corrupt, so separators outside quotes are counted only then.
     """
-    several = lines_cut_in_fields(spark, paths, sep, encoding)
-    whole = [p for p in paths if p in several]
-    lines = [p for p in paths if p not in several]
-    parts = [_read(spark, p, sep, columns, encoding, m) for p, m in ((lines, False), (whole, True)) if p]
-    return append_all(parts)
-
-
-def lines_cut_in_fields(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str) -> set[str]:
-    """Files with a line that ends inside a quoted field."""
-    lines = spark.read.option("encoding", encoding).text([literal_path(p) for p in paths])
-    opened = F.col("value").rlike(rf'(?:^|{re.escape(sep)})"(?:[^"]|"")*$')
-    cut = lines.filter(opened).select(F.col("_metadata.file_path").alias("path")).distinct()
-    # The metadata column escapes what a listing shows as it is.
-    found = {r["path"] for r in cut.select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")).collect()}
-    plain = {p.replace("file:///", "file:/") for p in found}
-    return {p for p in paths if p.replace("file:///", "file:/") in plain}
-
-
-def _read(spark: SparkSession, paths: Sequence[str], sep: str, columns: int, encoding: str, multi: bool) -> DataFrame:
-    names = [f"c{i}" for i in range(columns)]
-    schema = all_text(*names).add(T.StructField("_corrupt", T.StringType()))
-    raw = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", True)
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("columnPruning", False)
-        .option("multiLine", multi)
-        .csv([literal_path(p) for p in paths])
-    )
-    # Only a quote at the start of a field opens one.
+    schema = ", ".join([*(f"c{i} string" for i in range(width)), "_corrupt string"])
+    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     mark = re.escape(sep)
-    unquoted = F.regexp_replace(F.col("_corrupt"), rf'(^|{mark})"(?:[^"]|"")*"(?={mark}|\s*$)', "$1")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
-    overlong = F.coalesce(fields > columns, F.lit(False))
-    place = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block")]
-    return raw.filter(~overlong).select(*names, *place)
+
+    def built(r: Column) -> Column:
+        # Only a quote at the start of a field opens one.
+        unquoted = F.regexp_replace(r["_corrupt"], rf'(^|{mark})"[^"]*+(?:""[^"]*+)*+"(?={mark}|\s*$)', "$1")
+        fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
+        return build([r[f"c{i}"] for i in range(width)], F.coalesce(fields > width, F.lit(False)))
+
+    return F.element_at(F.transform(F.array(F.from_csv(record, schema, options)), built), 1)
 
 
 class DelimitedScan:
-    """Header groups of a set of files, resolved once and read lazily."""
-
-    def __init__(self, spark: SparkSession, files: DataFrame, encoding: str = LATIN) -> None:
-        self.spark = spark
-        self.encoding = encoding
-        # Columns are bound by position, so headers that differ only in wording share a read.
-        self.usable: dict[tuple[str, int, Layout], list[str]] = {}
-        self.rejected: list[tuple[str, str | None]] = []
-        for (sep, header), paths in header_groups(read_heads(files, encoding)).items():
-            if header is None:
-                self.rejected += [(p, "unreadable") for p in paths]
-                continue
-            names = header_names(header, sep)
-            layout = resolve_layout(names)
-            if layout.problem:
-                self.rejected += [(p, layout.problem) for p in paths]
-            else:
-                self.usable.setdefault((sep, len(names), layout), []).extend(paths)
-
-    def groups(self) -> list[DataFrame]:
-        """Aligned text rows, one frame per usable layout."""
-        frames = []
-        for (sep, width, layout), paths in self.usable.items():
-            raw = read_group(self.spark, paths, sep, width, self.encoding)
-            frames.append(align(raw, layout, [f"c{i}" for i in range(width)], [F.col("source_file")]))
-        return frames
-
-    def files(self) -> list[tuple[str, str | None]]:
-        """All paths, each with the reason why it cannot be used, if any."""
-        return [*self.rejected, *[(p, None) for paths in self.usable.values() for p in paths]]
+    """Files by layout: resolved once, read lazily.
+
+    ``rule`` turns a header's names into what tells layouts apart, and gives the
+    reason why files with such a header cannot be used. ``roots`` are the folders
+    that hold the files; without them the files are named one by one, for a
+    bounded number of files.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        files: DataFrame,
+        encoding: str = LATIN,
+        roots: Sequence[str] | None = None,
+        rule: Callable[[list[str]], tuple[object, str | None]] | None = None,
+        pattern: str = TEXT_FILES,
+    ) -> None:
+        self.spark, self.encoding, self.pattern = spark, encoding, pattern
+        heads = written_once(read_heads(files, encoding), "layouts")
+        self.roots = list(roots) if roots is not None else [literal_path(r["path"]) for r in heads.select("path").collect()]
+        # Columns are bound by position, so headers that differ only in wording share a layout.
+        self.layouts: dict[tuple[str, int, object], int] = {}
+        rows = []
+        for r in heads.filter("header IS NOT NULL").select("sep", "header").distinct().collect():
+            names = header_names(r["header"], r["sep"])
+            kind, problem = (rule or layout_rule)(names)
+            number = None if problem else self.layouts.setdefault((r["sep"], len(names), kind), len(self.layouts))
+            rows.append((r["sep"], r["header"], number, problem))
+        known = spark.createDataFrame(rows, "sep string, header string, layout int, problem string")
+        unreadable = F.when(F.col("header").isNull(), F.lit("unreadable")).otherwise(F.col("problem"))
+        self.files = heads.join(known, ["sep", "header"], "left").withColumn("problem", unreadable)
+
+    def parse(self, rows: DataFrame, build: Callable, *keep: str) -> DataFrame:
+        """Columns that ``build(layout, fields, overlong)`` gives for each row (value, layout), by the row's layout."""
+        parsed = None
+        for (sep, width, kind), number in self.layouts.items():
+            fields = record_fields(F.col("value"), sep, width, lambda f, o, kind=kind: build(kind, f, o))
+            here = F.col("layout") == number
+            parsed = F.when(here, fields) if parsed is None else parsed.when(here, fields)
+        # A generator keeps filters on its columns above it, so that nothing is parsed twice.
+        return rows.select(*keep, F.inline(F.array(parsed)))
+
+    def rows(self, build: Callable, wanted: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        """Built columns, with file, block and arrival, of all records that are neither overlong nor unwanted."""
+        place = ("file", "block", "arrival")
+        usable = self.files.filter("layout IS NOT NULL")
+        lines = read_lines(self.spark, self.roots, self.encoding, self.pattern).join(usable.select("file", "layout", "header"), "file")
+        lines = lines.filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+        cut = F.lit(False)
+        for sep in {s for s, _, _ in self.layouts}:
+            numbers = [n for (s, _, _), n in self.layouts.items() if s == sep]
+            cut = cut | (F.col("layout").isin(numbers) & F.contains("value", F.lit('"')) & F.col("value").rlike(cut_in_field(sep)))
+        with_flag = self.parse(lines.withColumn("cut", cut), build, *place, "cut")
+        kept = wanted(with_flag.filter("NOT cut AND NOT overlong")).unionByName(with_flag.filter("cut"))
+        first = written_once(kept, "lines")
+        broken = first.filter("cut").select("file").distinct()
+        self.damaged = None
+        if broken.isEmpty():
+            return first.drop("cut", "overlong")
+        again = written_once(
+            whole_records(usable.join(broken, "file").select("path", "file", "length", "sep", "layout"), self.encoding), "records"
+        )
+        self.damaged = again.filter("damaged").select("file", "value")
+        second = self.parse(again.filter("NOT damaged").filter(F.trim("value") != ""), build, *place)
+        second = wanted(second.filter("NOT overlong"))
+        return first.join(broken, "file", "left_anti").drop("cut", "overlong").unionByName(second.drop("overlong"))
+
+
+def layout_rule(names: list[str]) -> tuple[object, str | None]:
+    layout = resolve_layout(names)
+    return layout, layout.problem
+
+
+def aligned_fields(layout: Layout, fields: list[Column], overlong: Column) -> Column:
+    return F.struct(*picked(layout, fields), overlong.alias("overlong"))
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
@@ -207,15 +228,18 @@ def read_register(spark: SparkSession, path: str, encoding: str = LATIN) -> Data
     Columns are matched by name; those a file lacks are null. ``source_file``,
     ``block`` and ``arrival`` order duplicates as they stand in the files.
     """
-    groups = header_groups(read_heads(list_files(spark, path), encoding))
-    frames = []
-    for (sep, header), paths in sorted(groups.items(), key=lambda g: g[1][0]):
-        if header is None:
-            continue
-        names = [n.strip().upper() for n in header_names(header, sep)]
-        raw = read_group(spark, paths, sep, len(names), encoding)
-        columns = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
-        frames.append(raw.select(*columns, "source_file", "block", F.monotonically_increasing_id().alias("arrival")))
-    if not frames:
+
+    def by_name(names: list[str]) -> tuple[object, str | None]:
+        return tuple(n.strip().upper() for n in names), None
+
+    scan = DelimitedScan(spark, list_files(spark, path), encoding, [path], by_name)
+    if not scan.layouts:
         raise FileNotFoundError(f"no register file below {path}")
-    return append_all(frames)
+    every = list(dict.fromkeys(n for _, _, names in scan.layouts for n in names))
+
+    def build(names: tuple[str, ...], fields: list[Column], overlong: Column) -> Column:
+        place = {n: i for i, n in reversed(list(enumerate(names)))}
+        columns = [(fields[place[n]] if n in place else F.lit(None).cast("string")).alias(n) for n in every]
+        return F.struct(*columns, overlong.alias("overlong"))
+
+    return scan.rows(build).withColumnRenamed("file", "source_file")

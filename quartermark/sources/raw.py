@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermark.operators.align import append_all
 from quartermark.operators.normalize import keep_keywords
 from quartermark.schemas import CLAIM_KEYWORDS, all_text
 from quartermark.session import shared_dir
 from quartermark.sources.archives import ZIP_FILES, unpack
-from quartermark.sources.delimited import LATIN, DelimitedScan, list_files
+from quartermark.sources.delimited import LATIN, DelimitedScan, aligned_fields, list_files
 
 RAW_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX]}"
 
@@ -24,48 +25,55 @@ class RawScan:
     """Headers are resolved on creation; rows are read when the result is used."""
 
     def __init__(
-        self, spark: SparkSession, files: DataFrame, encoding: str = LATIN, members: DataFrame | None = None
+        self,
+        spark: SparkSession,
+        files: DataFrame,
+        encoding: str = LATIN,
+        members: DataFrame | None = None,
+        roots: Sequence[str] | None = None,
     ) -> None:
         self.members = members
         is_workbook = F.lower("path").endswith(".xlsx")
         self.spark = spark
-        self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding)
+        self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding, roots)
         self.workbooks = files.filter(is_workbook)
 
     def bronze(self, pattern: str = CLAIM_KEYWORDS) -> DataFrame:
         """Aligned text rows of all usable files that match the keywords."""
-        parts = self.text.groups()
-        if not parts:
+        if not self.text.layouts:
             return self.spark.createDataFrame([], all_text("reg_ans", "data", "descricao", "valor", "source_file"))
-        return keep_keywords(append_all(parts), "descricao", pattern)
+        rows = self.text.rows(aligned_fields, lambda df: keep_keywords(df, "descricao", pattern))
+        return rows.select("reg_ans", "data", "descricao", "valor", F.col("file").alias("source_file"))
 
     def skipped(self, bronze: DataFrame) -> DataFrame:
         """Files that add nothing, and why."""
-        files = self.spark.createDataFrame(self.text.files(), all_text("source_file", "motivo"))
         # Workbooks have no splittable text form; they are named, so that someone exports them.
-        files = files.unionByName(
-            self.workbooks.select(F.col("path").alias("source_file"), F.lit("workbook").alias("motivo"))
-        )
-        hits = bronze.select("source_file").distinct().select(
-            listed_path(F.col("source_file")).alias("source_file")
-        )
+        named = self.text.files.filter("problem IS NOT NULL").select(F.col("path").alias("source_file"), F.col("problem").alias("motivo"))
+        named = named.unionByName(self.workbooks.select(F.col("path").alias("source_file"), F.lit("workbook").alias("motivo")))
         if self.members is not None:
             damaged = self.members.filter("error IS NOT NULL").select(
                 F.concat_ws("!", "archive", "member").alias("source_file"), F.lit("damaged_archive").alias("motivo")
             )
-            files = files.unionByName(damaged)
-        silent = files.filter(F.col("motivo").isNull()).join(hits, "source_file", "left_anti")
-        return files.filter(F.col("motivo").isNotNull()).unionByName(
-            silent.withColumn("motivo", F.lit("no_keyword_match"))
-        )
+            named = named.unionByName(damaged)
+        hits = bronze.select(F.col("source_file").alias("file")).distinct()
+        silent = self.text.files.filter("problem IS NULL").join(hits, "file", "left_anti")
+        return named.unionByName(silent.select(F.col("path").alias("source_file"), F.lit("no_keyword_match").alias("motivo")))
+
+    def damaged_records(self) -> DataFrame:
+        """(source_file, registro): records left out because a quote is not closed; known once the rows were read."""
+        found = getattr(self.text, "damaged", None)
+        if found is None:
+            return self.spark.createDataFrame([], all_text("source_file", "registro"))
+        return found.select(listed_path(F.col("file")).alias("source_file"), F.col("value").alias("registro"))
 
 
 def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> RawScan:
     """Files and members of zip archives below ``root``; members are read like plain files."""
-    files, members = list_files(spark, root, RAW_FILES), None
+    files, members, roots = list_files(spark, root, RAW_FILES), None, [root]
     if not list_files(spark, root, ZIP_FILES).isEmpty():
         target = shared_dir(spark, "unpacked")
         members = unpack(spark, root, target)
         if not members.filter("error IS NULL").isEmpty():
             files = files.unionByName(list_files(spark, target, RAW_FILES))
-    return RawScan(spark, files, encoding, members)
+            roots.append(target)
+    return RawScan(spark, files, encoding, members, roots)

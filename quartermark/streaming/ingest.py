@@ -6,6 +6,11 @@ exactly as in a batch run. Each batch overwrites a folder of its own, so a
 batch that is run again after a failure adds nothing twice. The folders are
 named by checkpoint and batch number, so streams with other checkpoints may
 write to the same target.
+
+Archives that arrive are unpacked into a folder of the batch and their members
+read like files that arrived. What a batch leaves out, and why, is written
+beside its rows: files without usable rows, damaged archives and members, and
+records with a quote that is not closed.
 """
 
 from __future__ import annotations
@@ -13,16 +18,21 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quartermark.operators.normalize import consolidated
-from quartermark.sources.delimited import LATIN
+from quartermark.schemas import all_text
+from quartermark.sources.archives import unpack
+from quartermark.sources.delimited import LATIN, file_columns, list_files
 from quartermark.sources.raw import RAW_FILES, RawScan
 
+LANDED_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX],[zZ][iI][pP]}"
+
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def arriving_files(spark: SparkSession, root: str, pattern: str = RAW_FILES, per_batch: int = 1000) -> DataFrame:
+def arriving_files(spark: SparkSession, root: str, pattern: str = LANDED_FILES, per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
@@ -30,7 +40,7 @@ def arriving_files(spark: SparkSession, root: str, pattern: str = RAW_FILES, per
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", per_batch)
         .load(root)
-        .select("path")
+        .select(*file_columns())
     )
 
 
@@ -44,10 +54,22 @@ def ingest(
     def write_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         place = f"stream={owner}/batch={batch_id}"
+        is_archive = F.lower("path").endswith(".zip")
+        landed, members = files.filter(~is_archive), None
+        if not files.filter(is_archive).isEmpty():
+            # The folder belongs to the batch: run again, it gets the same files.
+            unpacked = f"{target}/unpacked/{place}"
+            members = unpack(session, root, unpacked, archives=files.filter(is_archive))
+            if not members.filter("error IS NULL").isEmpty():
+                landed = landed.unionByName(list_files(session, unpacked, RAW_FILES))
+        found = RawScan(session, landed, encoding, members)
         bronze_path = f"{target}/bronze/{place}"
-        RawScan(session, files, encoding).bronze().write.mode("overwrite").parquet(bronze_path)
-        rows = consolidated(session.read.parquet(bronze_path))
-        rows.write.mode("overwrite").parquet(f"{target}/silver/{place}")
+        found.bronze().write.mode("overwrite").parquet(bronze_path)
+        bronze = session.read.parquet(bronze_path)
+        consolidated(bronze).write.mode("overwrite").parquet(f"{target}/silver/{place}")
+        damaged = found.damaged_records().withColumn("motivo", F.lit("unbalanced_quote"))
+        left_out = found.skipped(bronze).withColumn("registro", F.lit(None).cast("string")).unionByName(damaged)
+        left_out.write.mode("overwrite").parquet(f"{target}/rejects/{place}")
 
     return (
         arriving_files(spark, root, per_batch=per_batch)
@@ -60,3 +82,9 @@ def ingest(
 
 def ingested(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/silver").drop("stream", "batch")
+
+
+def rejected(spark: SparkSession, target: str) -> DataFrame:
+    """(source_file, motivo, registro): files and records that added nothing, once each."""
+    schema = all_text("source_file", "motivo", "registro")
+    return spark.read.schema(schema).parquet(f"{target}/rejects").select(*schema.names)

@@ -103,7 +103,7 @@ def test_headers_that_differ_in_wording_share_a_read(spark, tmp_path, rows):
     put(tmp_path / "2025" / "1T" / "b.csv", " cd_operadora ;NM_CONTA;SALDO_FINAL\n2;despesa com evento;2\n")
     put(tmp_path / "2025" / "1T" / "c.csv", "VALOR;REG_ANS;DESC\n3;3;despesa com evento\n")
     files = scan(spark, str(tmp_path))
-    assert len(files.text.groups()) == 2
+    assert len(files.text.layouts) == 2
     assert rows(files.bronze().select("reg_ans", "valor")) == [("1", "1"), ("2", "2"), ("3", "3")]
 
 
@@ -148,19 +148,9 @@ def test_archives(spark, tmp_path, rows):
         archive.writestr("b.csv", "x;y\n3;c")
         archive.writestr("vazio.csv", "")
     (tmp_path / "ruim.zip").write_bytes(b"not a zip")
-    members = archives.list_members(spark, str(tmp_path))
-    lines = archives.read_lines(members)
-    assert rows(lines.select("member", "line_no", "line")) == sorted(
-        [("sub/a.csv", 0, "x;y"), ("sub/a.csv", 1, "1;ação"), ("sub/a.csv", 2, "2;b"), ("b.csv", 0, "x;y"), ("b.csv", 1, "3;c")]
-    )
-    parsed = archives.parse_lines(lines, ["x", "y"])
-    assert rows(parsed.select("x", "y")) == [("1", "ação"), ("2", "b"), ("3", "c")]
-    errors = archives.read_errors(members).collect()
-    assert len(errors) == 1 and errors[0]["archive"].endswith("ruim.zip")
-
-
-SPACE = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-LINKS = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    found, errors = archives.read_members(spark, str(tmp_path), str(tmp_path / "out"), ["x", "y"])
+    assert rows(found.select("x", "y")) == [("1", "ação"), ("2", "b"), ("3", "c")]
+    assert [r["archive"].rsplit("/", 1)[1] for r in errors.collect()] == ["ruim.zip"]
 
 
 def test_workbooks_are_named_as_skipped(spark, tmp_path):
@@ -172,27 +162,24 @@ def test_workbooks_are_named_as_skipped(spark, tmp_path):
     assert [(r["source_file"].rsplit("/", 1)[1], r["motivo"]) for r in files.skipped(bronze).collect()] == [("a b.XLSX", "workbook")]
 
 
-def test_damage_inside_a_member_is_reported(spark, tmp_path, rows):
-    good = "".join(f"{i};{i * i}\n" for i in range(30_000))
+def test_damaged_members_give_no_rows_and_are_reported(spark, tmp_path, rows):
+    good = "a;b\n" + "".join(f"{i};{i * i}\n" for i in range(30_000))
     with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
         archive.writestr("bad.csv", good)
-        archive.writestr("good.csv", "x\n1\n")
+        archive.writestr("good.csv", "x;y\n1;2\n")
     data = bytearray((tmp_path / "a.zip").read_bytes())
-    middle = 60_000
-    data[middle : middle + 50] = b"\xff" * 50
+    data[60_000:60_050] = b"\xff" * 50
     (tmp_path / "a.zip").write_bytes(data)
-    lines = archives.read_lines(archives.list_members(spark, str(tmp_path))).persist()
-    assert rows(lines.filter("member = 'good.csv'").select("line")) == [("1",), ("x",)]
-    broken = lines.filter("error IS NOT NULL").collect()
-    assert [r["member"] for r in broken] == ["bad.csv"]
-    assert lines.filter("member = 'bad.csv' AND error IS NULL").count() > 0
+    found, errors = archives.read_members(spark, str(tmp_path), str(tmp_path / "out"), ["x", "y"])
+    assert rows(found.select("x", "y")) == [("1", "2")]
+    assert [r["member"] for r in errors.collect()] == ["bad.csv"]
 
 
-def test_archive_batches_keep_counting(spark, tmp_path):
+def test_large_members_stay_in_order(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "big.zip", "w") as archive:
-        archive.writestr("a.csv", "".join(f"{i}\n" for i in range(50_001)))
-    lines = archives.read_lines(archives.list_members(spark, str(tmp_path)))
-    assert lines.filter("cast(line as bigint) = line_no").count() == 50_001
+        archive.writestr("a.csv", "a;b\n" + "".join(f"{i};x\n" for i in range(50_001)))
+    found, _ = archives.read_members(spark, str(tmp_path), str(tmp_path / "out"), ["n", "t"])
+    assert found.count() == 50_001 and found.agg(F.max(F.col("n").cast("int"))).first()[0] == 50_000
 
 
 def test_stream_takes_each_file_once(spark, tmp_path, rows):
@@ -301,3 +288,80 @@ def test_register_files_of_two_layouts(spark, tmp_path, rows):
     put(tmp_path / "b.csv", "UF,RAZAO_SOCIAL,REGISTRO_OPERADORA,CNPJ\nRJ,BETA,8,2\n")
     read = read_register(spark, str(tmp_path)).select("REGISTRO_OPERADORA", "CNPJ", "RAZAO_SOCIAL", "UF")
     assert rows(read) == [("7", "1", "ALFA", "SP"), ("8", "2", "BETA", "RJ")]
+
+
+def test_very_long_quoted_fields(spark, tmp_path, rows):
+    long = "despesa com evento " + "x" * 100_000
+    put(tmp_path / "2025" / "1T" / "a.csv", f'REG_ANS;DESC;VALOR\n1;"{long}";1\n2;"{long} ""q""; z";2\n3;despesa com evento;3\n')
+    put(tmp_path / "2025" / "1T" / "b.csv", f'REG_ANS;DESC;VALOR\n4;"{long}\n{long}";4\n5;"despesa com evento";5\n')
+    files = scan(spark, str(tmp_path))
+    bronze = files.bronze()
+    assert rows(bronze.select("reg_ans", "valor")) == [(str(i), str(i)) for i in range(1, 6)]
+    assert files.damaged_records().count() == 0
+
+
+def test_a_quote_that_is_not_closed_loses_one_record(spark, tmp_path, rows):
+    lines = [f"{i};despesa com evento;{i}" for i in range(1, 23)]
+    lines[6] = '7;"despesa com evento;7'
+    lines[14] = '15;"despesa com\nevento";15'
+    put(tmp_path / "2025" / "1T" / "a.csv", "\n".join(["REG_ANS;DESC;VALOR", *lines, ""]))
+    files = scan(spark, str(tmp_path))
+    bronze = files.bronze()
+    wanted = sorted((str(i), str(i)) for i in range(1, 23) if i not in (7, 15))
+    assert rows(bronze.filter("reg_ans <> '15'").select("reg_ans", "valor")) == wanted
+    assert [tuple(r)[1] for r in files.damaged_records().collect()] == [lines[6]]
+
+
+@pytest.mark.parametrize("size", [9, 40, 1000])
+def test_records_over_block_ends(spark, tmp_path, rows, size):
+    from quartermark.sources.records import whole_records
+
+    lines = [f'{i};"a{i}\nb;""{i}"" \n c";x' if i % 3 else f"{i};plain 5\" y;z" for i in range(60)]
+    put(tmp_path / "a.csv", "\n".join(["h;i;j", *lines]))
+    files = list_files(spark, str(tmp_path)).selectExpr("*", "';' AS sep", "0 AS layout")
+    found = whole_records(files, "latin-1", block_bytes=size)
+    assert rows(found.select("value")) == sorted((x,) for x in lines)
+    assert found.filter("damaged").isEmpty()
+    ordered = [r["value"] for r in found.orderBy("block", "arrival").collect()]
+    assert ordered == lines
+
+
+def test_stream_reads_archives_and_names_rejects(spark, tmp_path, rows):
+    from quartermark.streaming.ingest import rejected
+
+    landing, target, offsets = (str(tmp_path / n) for n in ("landing", "target", "offsets"))
+    header = "REG_ANS;DESC;VALOR\n"
+    put(tmp_path / "landing" / "2025" / "1T" / "a.csv", header + '1;despesa com evento;1\n2;"despesa com evento;2\n')
+    put(tmp_path / "landing" / "2025" / "1T" / "quiet.csv", header + "1;Receita;1\n")
+    put(tmp_path / "landing" / "2025" / "1T" / "book.xlsx", "x")
+    with zipfile.ZipFile(tmp_path / "landing" / "2025" / "2T.zip", "w") as archive:
+        archive.writestr("m.csv", header + "3;despesa com evento;3\n")
+        archive.writestr("n.csv", "X;Y\n3;4\n")
+    ingest(spark, landing, target, offsets).awaitTermination()
+    (tmp_path / "landing" / "2025" / "bad.zip").write_bytes(b"no archive")
+    ingest(spark, landing, target, offsets).awaitTermination()
+    ingest(spark, landing, target, offsets).awaitTermination()
+    assert rows(ingested(spark, target).select("REG_ANS", "Trimestre", "Ano")) == [("1", "1T", 2025), ("3", "2T", 2025)]
+    named = sorted((r["source_file"].rsplit("/", 1)[1].rstrip("!"), r["motivo"]) for r in rejected(spark, target).collect())
+    assert named == [
+        ("a.csv", "unbalanced_quote"),
+        ("bad.zip", "damaged_archive"),
+        ("book.xlsx", "workbook"),
+        ("n.csv", "no_value_column"),
+        ("quiet.csv", "no_keyword_match"),
+    ]
+
+
+def test_register_columns_are_taken_by_name(spark, tmp_path, rows):
+    from quartermark.plans.batch import ARRIVAL, staged_register
+    from quartermark.operators.register import typed_register
+    from quartermark.schemas import REGISTER_COLUMNS
+
+    names = [c.upper() for c in REGISTER_COLUMNS]
+    cells = {c: f"{c} 1" for c in REGISTER_COLUMNS} | {"registro_operadora": "7", "cnpj": "11"}
+    put(tmp_path / "a.csv", ";".join(names[::-1]) + "\n" + ";".join(cells[c] for c in REGISTER_COLUMNS[::-1]) + "\n")
+    put(tmp_path / "b.csv", ";".join(names) + "\n" + ";".join((cells | {"registro_operadora": "8"})[c] for c in REGISTER_COLUMNS) + "\n")
+    typed = typed_register(staged_register(read_register(spark, str(tmp_path))), ARRIVAL)
+    assert rows(typed.select("registro_operadora", "cnpj", "razao_social")) == [
+        ("000007", "00000000000011", "razao_social 1"), ("000008", "00000000000011", "razao_social 1"),
+    ]
