@@ -21,7 +21,7 @@ from quartermark.functions.periods import quarter_label
 from quartermark.operators.align import align_register
 from quartermark.operators.register import keyed_register, typed_register
 from quartermark.schemas import MONEY, REGISTER_COLUMNS
-from quartermark.sources.delimited import LATIN
+from quartermark.sources.delimited import LATIN, UTF8
 from quartermark.sources.files import resolve
 
 # Large enough to make some expenses zero or negative after subtraction.
@@ -226,14 +226,14 @@ def raw_layout(orders: DataFrame, status: str) -> tuple[DataFrame, str, str]:
     return rows.select(*columns, *folders), "\t", "txt"
 
 
-def write_csv_files(rows: DataFrame, path: str, sep: str, ending: str) -> None:
-    """One folder per year and quarter, Latin-1, with a header in every file."""
+def write_csv_files(rows: DataFrame, path: str, sep: str, ending: str, encoding: str = LATIN) -> None:
+    """One folder per year and quarter, with a header in every file."""
     (
         rows.hint("rebalance", F.col("ano"), F.col("trimestre"))
         .write.partitionBy("ano", "trimestre")
         .option("header", True)
         .option("sep", sep)
-        .option("encoding", LATIN)
+        .option("encoding", encoding)
         .option("extension", ending)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -258,6 +258,13 @@ def write_multiline_files(orders: DataFrame, root: str) -> None:
     write_csv_files(rows, f"{root}/P", sep, ending)
 
 
+def write_mixed_files(orders: DataFrame, root: str) -> None:
+    """One layout in UTF-8, the others in Latin-1."""
+    for status in ("O", "F", "P"):
+        rows, sep, ending = raw_layout(orders, status)
+        write_csv_files(rows, f"{root}/{status}", sep, ending, UTF8 if status == "F" else LATIN)
+
+
 def write_raw_files(orders: DataFrame, root: str) -> None:
     for status in ("O", "F", "P"):
         rows, sep, ending = raw_layout(orders, status)

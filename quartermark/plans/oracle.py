@@ -156,6 +156,9 @@ ORACLE = {
     "incremental_ingest": RAW_ROWS,
     "scan_workbooks": f"""SELECT DISTINCT {YEAR} AS ano, {QUARTER} AS trimestre, 'workbook' AS motivo FROM orders""",
     "archive_consolidate": RAW_ROWS,
+    "scan_encodings": """SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'Despesas com Eventos Conhecidos'
+  WHEN '2-HIGH' THEN 'DESPESA COM SINISTRO' ELSE 'Provisão de Eventos / Sinistros' END AS descricao, COUNT(*) AS linhas
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1""",
     "scan_multiline": f"""SELECT {KEY} AS reg_key, {QUARTER} AS "Trimestre", {YEAR} AS "Ano",
   CAST({PRICE} AS DOUBLE) AS "ValorDespesas", {PRICE} <= 0 AS "DespesasSuspeitas"
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
@@ -305,6 +308,11 @@ SELECT COUNT(*) AS qtd_operadoras_acima FROM above""",
     "search_page": f"""WITH {OP} SELECT registro_operadora, cnpj, razao_social, modalidade, uf FROM op
 WHERE razao_social ILIKE '%R#0000001%' OR cnpj ILIKE '%R#0000001%'
 ORDER BY registro_operadora LIMIT 10 OFFSET 10""",
+    "paged_register": f"""WITH {OP} SELECT registro_operadora, cnpj, razao_social, modalidade, uf FROM op
+ORDER BY registro_operadora LIMIT 10
+OFFSET (SELECT GREATEST(0, (CAST(CEIL(COUNT(*) / 10.0) AS BIGINT) // 2 - 1) * 10) FROM customer)""",
+    "search_index": f"""WITH {OP} SELECT registro_operadora, cnpj, razao_social, modalidade, uf FROM op
+WHERE razao_social ILIKE '%er#%1_2%' OR cnpj ILIKE '%er#%1_2%'""",
     "search_count": f"""WITH {OP} SELECT COUNT(*) AS total, CAST(CEIL(COUNT(*) / 10.0) AS BIGINT) AS paginas FROM op
 WHERE razao_social ILIKE '%19%' OR cnpj ILIKE '%19%'""",
     "lookup_identifier": f"""WITH {OP} SELECT registro_operadora, cnpj, razao_social, modalidade, uf FROM op

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from quartermark import datasets as d
 from quartermark.functions import labels, links, periods, text
-from quartermark.operators import aggregates, align, audit, dedup, enrich, normalize, quality, serving
+from quartermark.operators import aggregates, align, audit, dedup, enrich, indexes, normalize, quality, serving
 from quartermark.operators import periods as newest
 from quartermark.operators.register import keyed_register, typed_register
 from quartermark.plans import analytics, batch, load, report
@@ -30,7 +30,7 @@ from quartermark.schemas import (
 from quartermark.session import shared_dir
 from quartermark.sources import archives, pages, tables
 from quartermark.sources.commits import CommittedTable
-from quartermark.sources.delimited import read_register, read_staged
+from quartermark.sources.delimited import BY_FILE, read_register, read_staged
 from quartermark.streaming.ingest import ingest, ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,14 @@ def scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expense_rows(consolidate(spark, root))
 
 
+@query
+def scan_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "raw")
+    d.write_mixed_files(d.table(spark, sf_dir, "orders"), root)
+    bronze, _ = write_bronze(spark, root, BY_FILE)
+    return bronze.groupBy("descricao").agg(F.count("*").alias("linhas"))
+
+
 @query
 def archive_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "zip")
@@ -579,6 +587,21 @@ def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.page(found, 2, 10)
 
 
+@query
+def paged_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "pages")
+    indexes.write_pages(d.register(spark, sf_dir, *SEARCHED), path, 16)
+    middle = indexes.page_count(spark, path).first()["paginas"] // 2
+    return indexes.read_page(spark, path, max(1, middle))
+
+
+@query
+def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register, path = d.register(spark, sf_dir, *SEARCHED), shared_dir(spark, "pieces")
+    indexes.write_search_index(register, path, 16)
+    return indexes.indexed_search(register, spark.read.parquet(path), "er#%1_2")
+
+
 @query
 def search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.search_count(d.register(spark, sf_dir, "registro_operadora", "cnpj", "razao_social"), "19")

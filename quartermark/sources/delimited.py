@@ -33,7 +33,10 @@ HEADER_BYTES = 16 << 20
 
 TEXT_FILES = "*.{[cC][sS][vV],[tT][xX][tT]}"
 LATIN = "ISO-8859-1"
-HEAD_SCHEMA = "path string, file string, length long, sep string, header string"
+UTF8 = "UTF-8"
+# Each file is read as UTF-8 if all of its bytes are valid, else as Latin-1.
+BY_FILE = "by file"
+HEAD_SCHEMA = "path string, file string, length long, sep string, header string, head binary"
 FILE_COLUMNS = ("path", "file", "length")
 
 
@@ -63,18 +66,25 @@ def choose_separator(text: str) -> str:
     return best if counts[best] else ";"
 
 
-def _head(path: str, encoding: str) -> tuple[str | None, str | None]:
+def _head(path: str, encoding: str) -> tuple[str | None, str | None, bytes | None]:
     try:
         with open_stream(path) as stream:
             data = stream.readline(HEADER_BYTES)
             if len(data) == HEADER_BYTES:
-                return None, None
+                return None, None, None
             data += stream.read(max(0, SAMPLE_CHARACTERS - len(data)))
     except OSError:
-        return None, None
+        return None, None, None
+    head = re.split(b"\r\n|\n|\r", data, maxsplit=1)[0]
+    if encoding == BY_FILE:
+        try:
+            head.decode(UTF8)
+            encoding = UTF8
+        except UnicodeDecodeError:
+            encoding = LATIN
     text = data.decode(encoding, errors="ignore")
-    header = re.split("\r\n|\n|\r", text, maxsplit=1)[0] if text.strip() else None
-    return choose_separator(text), header
+    header = head.decode(encoding, errors="ignore") if text.strip() else None
+    return choose_separator(text), header, head
 
 
 def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:
@@ -83,10 +93,8 @@ def read_heads(files: DataFrame, encoding: str = LATIN) -> DataFrame:
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [_head(p, encoding) for p in batch["path"]]
-            yield batch.assign(
-                sep=pd.Series([f[0] for f in found], index=batch.index, dtype="object"),
-                header=pd.Series([f[1] for f in found], index=batch.index, dtype="object"),
-            )
+            columns = {c: pd.Series([f[i] for f in found], index=batch.index, dtype="object") for i, c in enumerate(("sep", "header", "head"))}
+            yield batch.assign(**columns)
 
     few = files.select(*FILE_COLUMNS).coalesce(4 * files.sparkSession.sparkContext.defaultParallelism)
     return few.mapInPandas(heads, HEAD_SCHEMA)
@@ -104,17 +112,23 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def read_lines(spark: SparkSession, roots: Sequence[str], encoding: str, pattern: str = TEXT_FILES) -> DataFrame:
-    """(value, file, block, arrival): all lines below ``roots``, in file order within a block."""
+def read_lines(spark: SparkSession, roots: Sequence[str], pattern: str = TEXT_FILES) -> DataFrame:
+    """(line, file, block, arrival): all lines below ``roots`` as bytes, in file order within a block."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     return reader.text(list(roots)).select(
-        F.decode(F.col("value").cast("binary"), encoding).alias("value"),
+        F.col("value").cast("binary").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("arrival"),
     )
 
 
+def file_encodings(lines: DataFrame) -> DataFrame:
+    """(file, encoding): UTF-8 where every line is valid, else Latin-1. One partial result for each file and task."""
+    valid = F.bool_and(F.is_valid_utf8(F.col("line").cast("string")))
+    return lines.groupBy("file").agg(F.when(valid, F.lit(UTF8)).otherwise(F.lit(LATIN)).alias("encoding"))
+
+
 def record_fields(record: Column, sep: str, width: int, build: Callable[[list[Column], Column], Column]) -> Column:
     """``build(fields, overlong)`` over the parsed fields of a record, which is parsed once.
 
@@ -166,6 +180,11 @@ class DelimitedScan:
         known = spark.createDataFrame(rows, "sep string, header string, layout int, problem string")
         unreadable = F.when(F.col("header").isNull(), F.lit("unreadable")).otherwise(F.col("problem"))
         self.files = heads.join(known, ["sep", "header"], "left").withColumn("problem", unreadable)
+        if encoding == BY_FILE:
+            found = file_encodings(read_lines(spark, self.roots, pattern))
+            self.files = written_once(self.files.join(found, "file", "left"), "encodings")
+        else:
+            self.files = self.files.withColumn("encoding", F.lit(encoding))
 
     def parse(self, rows: DataFrame, build: Callable, *keep: str) -> DataFrame:
         """Columns that ``build(layout, fields, overlong)`` gives for each row (value, layout), by the row's layout."""
@@ -181,8 +200,13 @@ class DelimitedScan:
         """Built columns, with file, block and arrival, of all records that are neither overlong nor unwanted."""
         place = ("file", "block", "arrival")
         usable = self.files.filter("layout IS NOT NULL")
-        lines = read_lines(self.spark, self.roots, self.encoding, self.pattern).join(usable.select("file", "layout", "header"), "file")
-        lines = lines.filter((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+        lines = read_lines(self.spark, self.roots, self.pattern).join(usable.select("file", "layout", "head", "encoding"), "file")
+        lines = lines.filter(F.col("line") != F.col("head"))
+        if self.encoding == BY_FILE:
+            value = F.when(F.col("encoding") == UTF8, F.decode("line", UTF8)).otherwise(F.decode("line", LATIN))
+        else:
+            value = F.decode("line", self.encoding)
+        lines = lines.withColumn("value", value).filter(F.trim("value") != "")
         cut = F.lit(False)
         for sep in {s for s, _, _ in self.layouts}:
             numbers = [n for (s, _, _), n in self.layouts.items() if s == sep]
@@ -195,7 +219,7 @@ class DelimitedScan:
         if broken.isEmpty():
             return first.drop("cut", "overlong")
         again = written_once(
-            whole_records(usable.join(broken, "file").select("path", "file", "length", "sep", "layout"), self.encoding), "records"
+            whole_records(usable.join(broken, "file").select("path", "file", "length", "sep", "layout", "encoding")), "records"
         )
         self.damaged = again.filter("damaged").select("file", "value")
         second = self.parse(again.filter("NOT damaged").filter(F.trim("value") != ""), build, *place)

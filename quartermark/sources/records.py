@@ -108,8 +108,8 @@ class Block:
         self.leaves = 0 <= following < at
 
 
-def whole_records(files: DataFrame, encoding: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, layout, block, arrival, value, damaged) of ``files`` (path, file, length, sep, layout), without headers."""
+def whole_records(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(file, layout, block, arrival, value, damaged) of ``files`` (path, file, length, sep, layout, encoding), without headers."""
     size = F.greatest(F.lit(block_bytes), F.ceil(F.col("length") / MOST_BLOCKS)).cast("long")
     blocks = files.filter("length > 0").withColumn("size", size)
     blocks = blocks.withColumn("start", F.explode(F.expr("sequence(0L, length - 1, size)")))
@@ -146,7 +146,7 @@ def whole_records(files: DataFrame, encoding: str, block_bytes: int = BLOCK_BYTE
                 for number, data in enumerate(block.records(r.inside)):
                     if r.start or number:
                         damaged = block.damaged.match(data) is not None
-                        held.append((r.file, r.layout, r.start, number, data.decode(encoding, errors="replace"), damaged))
+                        held.append((r.file, r.layout, r.start, number, data.decode(r.encoding, errors="replace"), damaged))
                     if len(held) == BATCH:
                         yield pd.DataFrame(held, columns=columns)
                         held = []

@@ -318,8 +318,8 @@ def test_records_over_block_ends(spark, tmp_path, rows, size):
 
     lines = [f'{i};"a{i}\nb;""{i}"" \n c";x' if i % 3 else f"{i};plain 5\" y;z" for i in range(60)]
     put(tmp_path / "a.csv", "\n".join(["h;i;j", *lines]))
-    files = list_files(spark, str(tmp_path)).selectExpr("*", "';' AS sep", "0 AS layout")
-    found = whole_records(files, "latin-1", block_bytes=size)
+    files = list_files(spark, str(tmp_path)).selectExpr("*", "';' AS sep", "0 AS layout", "'ISO-8859-1' AS encoding")
+    found = whole_records(files, block_bytes=size)
     assert rows(found.select("value")) == sorted((x,) for x in lines)
     assert found.filter("damaged").isEmpty()
     ordered = [r["value"] for r in found.orderBy("block", "arrival").collect()]
@@ -365,3 +365,15 @@ def test_register_columns_are_taken_by_name(spark, tmp_path, rows):
     assert rows(typed.select("registro_operadora", "cnpj", "razao_social")) == [
         ("000007", "00000000000011", "razao_social 1"), ("000008", "00000000000011", "razao_social 1"),
     ]
+
+
+def test_encoding_of_each_file(spark, tmp_path, rows):
+    from quartermark.sources.delimited import BY_FILE
+
+    lines = "".join(f"{i};Provisão de Eventos / Sinistros ação;{i}\n" for i in range(1, 4))
+    put(tmp_path / "2025" / "1T" / "a.csv", "REG_ANS;DESCRICAO;VALOR\n" + lines, "utf-8")
+    put(tmp_path / "2025" / "1T" / "b.csv", "REG_ANS;DESCRICAO;VALOR;SITUAÇÃO\n" + lines.replace("ação;", '"ação"\u00ff;'), "latin-1")
+    put(tmp_path / "2025" / "1T" / "c.csv", "REG_ANS;SITUAÇÃO;DESCRICAO;VALOR\n" + '9;x;"Provisão de Eventos / Sinistros\nação";9\n', "utf-8")
+    got = rows(scan(spark, str(tmp_path), BY_FILE).bronze().select("reg_ans", "descricao"))
+    plain, other = "Provisão de Eventos / Sinistros ação", 'Provisão de Eventos / Sinistros "ação"ÿ'
+    assert got == sorted([(str(i), t) for i in (1, 2, 3) for t in (plain, other)] + [("9", "Provisão de Eventos / Sinistros\nação")])
