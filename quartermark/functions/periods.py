@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 PERIOD_FOLDERS = r"[/=](\d{4})/(?:[^/=]++=)?(?:\s|%20)*[tT]?([1-4])[tT]?(?:\d{4})?(?:/|$)"
 
 
-# Year first with dashes or slashes, eight digits, or day first; each may carry a time.
+# Year first with dashes or slashes, eight digits, or day first; each may carry a time, and that a zone.
 DATE_FORMS = (
-    r"^\s*(?:(\d{4})([-/])(\d{1,2})\2(\d{1,2})|(\d{4})(\d{2})(\d{2})|(\d{1,2})/(\d{1,2})/(\d{4}))"
-    r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?\s*$"
+    r"^\s*(?:(\d{4})([-/])(\d{1,2})\2(\d{1,2})|(\d{4})(\d{2})(\d{2})"
+    r"|(\d{1,2})(?:/(?=\d{1,2}/)|-(?=\d{1,2}-))(\d{1,2})[-/](\d{4}))"
+    r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
 )
 
 
 def parse_date(text: Column) -> Column:
-    """Dates with the year first (dashes, slashes or eight digits) or the day first (slashes); else null.
+    """Dates with the year first (dashes, slashes or eight digits) or the day first (dashes, slashes); else null.
+
+    A date with a time and a zone is the day as it is written.
 
     Guessing one format per column would read 01/04 as January. The text is
     brought into ISO order and cast, because a cast returns null for bad text,
@@ -26,7 +29,10 @@ def parse_date(text: Column) -> Column:
     Of the three forms one takes part in a match; the groups of the others are empty.
     """
     ordered = F.regexp_replace(text, DATE_FORMS, "#$1$5$10-$3$6$9-$4$7$8")
-    return F.when(F.startswith(ordered, F.lit("#")), F.substr(ordered, F.lit(2)).try_cast("date"))
+    any_form = F.when(F.startswith(ordered, F.lit("#")), F.substr(ordered, F.lit(2)).try_cast("date"))
+    # The usual form needs no pattern.
+    usual = F.when((F.length(text) == 10) & (F.substring(text, 5, 1) == "-"), text.try_cast("date"))
+    return F.coalesce(usual, any_form)
 
 
 def quarter_label(quarter: Column) -> Column:

@@ -358,6 +358,27 @@ UNION ALL SELECT 'registro_operadora', COUNT(*) FILTER (WHERE registro_operadora
 UNION ALL SELECT 'cnpj', COUNT(*) FILTER (WHERE cnpj IS NULL) FROM staged
 UNION ALL SELECT 'razao_social', COUNT(*) FILTER (WHERE razao_social IS NULL) FROM staged
 UNION ALL SELECT 'complemento', COUNT(*) FILTER (WHERE complemento IS NULL) FROM staged""",
+    "audit_on_write": f"""WITH {STAGED}, flags AS (SELECT *, registro_operadora IS NULL OR cnpj IS NULL
+    OR razao_social IS NULL OR complemento IS NULL AS nulo, LENGTH(registro_operadora) > 6 AS l1, LENGTH(cnpj) > 14 AS l2,
+    LENGTH(bairro) > 50 AS l3, LENGTH(cidade) > 50 AS l4, LENGTH(uf) > 2 AS l5, LENGTH(cep) > 8 AS l6,
+    LENGTH(telefone) > 20 AS l7, COALESCE(LENGTH(fax) > 20, false) AS l8 FROM staged),
+bad AS (SELECT *, nulo OR l1 OR l2 OR l3 OR l4 OR l5 OR l6 OR l7 OR l8 AS ruim FROM flags)
+SELECT 'obrigatoria' AS regra, 'registro_operadora' AS coluna, COUNT(*) FILTER (WHERE registro_operadora IS NULL) AS linhas FROM bad
+UNION ALL SELECT 'obrigatoria', 'cnpj', COUNT(*) FILTER (WHERE cnpj IS NULL) FROM bad
+UNION ALL SELECT 'obrigatoria', 'razao_social', COUNT(*) FILTER (WHERE razao_social IS NULL) FROM bad
+UNION ALL SELECT 'obrigatoria', 'complemento', COUNT(*) FILTER (WHERE complemento IS NULL) FROM bad
+UNION ALL SELECT 'largura', 'registro_operadora', COUNT(*) FILTER (WHERE l1) FROM bad
+UNION ALL SELECT 'largura', 'cnpj', COUNT(*) FILTER (WHERE l2) FROM bad
+UNION ALL SELECT 'largura', 'bairro', COUNT(*) FILTER (WHERE l3) FROM bad
+UNION ALL SELECT 'largura', 'cidade', COUNT(*) FILTER (WHERE l4) FROM bad
+UNION ALL SELECT 'largura', 'uf', COUNT(*) FILTER (WHERE l5) FROM bad
+UNION ALL SELECT 'largura', 'cep', COUNT(*) FILTER (WHERE l6) FROM bad
+UNION ALL SELECT 'largura', 'telefone', COUNT(*) FILTER (WHERE l7) FROM bad
+UNION ALL SELECT 'largura', 'fax', COUNT(*) FILTER (WHERE l8) FROM bad
+UNION ALL SELECT 'rejeitada', '', COUNT(*) FILTER (WHERE ruim) FROM bad
+UNION ALL SELECT 'lida', '', COUNT(*) FROM bad
+UNION ALL SELECT 'gravada', 'validas', COUNT(*) FILTER (WHERE NOT ruim) FROM bad
+UNION ALL SELECT 'gravada', 'invalidas', COUNT(*) FILTER (WHERE ruim) FROM bad""",
     "audit_width": f"""WITH {STAGED}, {FACTS}, widths AS (
   SELECT * FROM (VALUES ('registro_operadora', 6), ('cnpj', 14), ('bairro', 50), ('cidade', 50), ('uf', 2),
     ('cep', 8), ('telefone', 20), ('fax', 20)) AS w(coluna, n)),

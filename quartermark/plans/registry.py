@@ -710,6 +710,15 @@ def audit_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.append_all([counts_by_column(f) for f in found])
 
 
+@query
+def audit_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged, path = d.staged_register(spark, sf_dir), shared_dir(spark, "checked")
+    found = audit.write_checked(staged, path, [*REGISTER_REQUIRED, "complemento"], REGISTER_WIDTHS)
+    kept, left_out = (audit.read_checked(spark, path, staged.schema, v).agg(F.count("*").alias("linhas")) for v in (True, False))
+    name = lambda df, n: df.select(F.lit("gravada").alias("regra"), F.lit(n).alias("coluna"), "linhas")
+    return align.append_all([found, name(kept, "validas"), name(left_out, "invalidas")])
+
+
 def counts_by_column(counts: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "coluna", "linhas")
 

@@ -1,4 +1,4 @@
-"""Appends that run again, later loads into a filled table, merged statistics."""
+"""Appends that run again, later loads into a filled table, checked writes, merged statistics."""
 
 from decimal import Decimal as D
 
@@ -54,3 +54,28 @@ def test_merged_statistics_equal_those_of_all_quarters(spark, rows):
     assert rows(statistics_of_state(merged)) == rows(statistics(quarters))
     nothing = statistics_state(quarters.filter("q > 100"))
     assert rows(statistics_of_state(merged_state(nothing, merged))) == rows(statistics(quarters))
+
+
+def test_checks_are_counted_while_rows_are_written(spark, tmp_path, rows):
+    from quartermark.operators.audit import read_checked, write_checked
+
+    values = [("a", "xx"), (None, "x"), ("b", "xxxx"), (None, "xxxxx"), ("c", None)]
+    table = spark.createDataFrame(values, "k string, t string")
+    found = write_checked(table, str(tmp_path / "t"), ["k"], {"t": 3})
+    assert rows(found) == [("largura", "t", 2), ("lida", "", 5), ("obrigatoria", "k", 2), ("rejeitada", "", 3)]
+    assert rows(read_checked(spark, str(tmp_path / "t"), table.schema)) == [("a", "xx"), ("c", None)]
+    assert rows(read_checked(spark, str(tmp_path / "t"), table.schema, False)) == [("b", "xxxx"), (None, "x"), (None, "xxxxx")]
+    empty = write_checked(table.filter("false"), str(tmp_path / "e"), ["k"], {})
+    assert rows(empty) == [("lida", "", 0), ("obrigatoria", "k", 0), ("rejeitada", "", 0)]
+
+
+def test_more_date_forms(spark):
+    from quartermark.functions.periods import parse_date
+
+    forms = {
+        "2024-03-05": "2024-03-05", "05-03-2024": "2024-03-05", "5/3/2024": "2024-03-05", "05-03/2024": None,
+        "2024-03-05T10:11:12Z": "2024-03-05", "2024-03-05 10:11:12.5-03:00": "2024-03-05", "05/03/2024 10:11+0300": "2024-03-05",
+        "2024-13-05": None, "31-02-2024": None, "2024": None, "2024-03": None, " 2024-3-5": "2024-03-05", "20240305": "2024-03-05", "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in forms], "t string").select("t", parse_date(F.col("t")).cast("string").alias("d"))
+    assert {r["t"]: r["d"] for r in df.collect()} == forms
