@@ -170,3 +170,18 @@ def test_links_inside_groups(spark, block):
     found = jaccard_trees.link_counts(frame(spark, rows), block=block).collect()
     assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
     assert jaccard_trees.links(frame(spark, rows), block=block).count() == 10
+
+
+def test_traversal_prunes_node_pairs():
+    """Ties that share a tree: dual traversal leaves less than half of all pairs of leaves."""
+    random = np.random.default_rng(4)
+    sets = []
+    for size in random.integers(40, 900, 64):
+        base = np.unique(random.integers(0, 1 << 63, size).astype(np.uint64))
+        sets += [np.unique(np.concatenate([base[k:], random.integers(0, 1 << 63, k).astype(np.uint64)])) for k in range(8)]
+    tree = jaccard_trees.Tree(sets)
+    visited = len(tree.leaf_pairs(85)[0])
+    leaves = len(tree.levels[0][1])
+    assert visited < 0.5 * leaves * (leaves + 1) / 2
+    groups = {frozenset(p) for p in jaccard_trees.linked(sets)}
+    assert len(groups) == 64 * 7
