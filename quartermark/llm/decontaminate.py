@@ -8,10 +8,13 @@ document shingle that equals it gives one candidate start, which is kept if
 the window lies within the document (length and position) and all its words
 agree in order.
 
-Documents never shuffle: each task joins its rows with a block of the
-benchmark. A block is bounded (``BLOCK_WORDS`` benchmark words, 8 bytes each
-in every task); a larger benchmark makes more blocks, each a further step over the same rows in the
-same task, so no row is paired with another.
+Documents never shuffle, and the benchmark does not pass through the driver.
+Tasks cut it into blocks of about ``BLOCK_WORDS`` words (long items are cut
+into pieces that overlap by a window) and write each block as sorted arrays in
+the shared folder. Two passes over the documents follow, however many blocks
+there are: one counts the shingles, one marks the windows. A task walks each
+slice of its rows along the blocks and keeps ``OPEN_BLOCKS`` of them open,
+memory-mapped where the folder is mounted.
 
 Defined results: null and blank texts have no words, are never hit and give
 no windows. Items with a null id still mark words, but are not listed. Items
@@ -22,76 +25,91 @@ Columns other than the key and the text are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartermark.llm import shared
+from quartermark.llm.files import Writer, array_at
 from quartermark.llm.words import LETTER_WORDS_LOWER, Words, binary, covered, keep_rows, shingles, slices, tidy
+from quartermark.session import shared_dir, written_once
 
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WORDS = 2_000_000
+PIECE_WINDOWS = 50_000
+OPEN_BLOCKS = 4
+FLUSH_PLACES = 1_000_000
 
-ITEM_SCHEMA = "item string, n_words long, words binary"
+PIECES = "item string, n_words long, words binary"
 
 
-def item_words(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """Word hashes of every item that has words."""
+def item_pieces(
+    benchmark: DataFrame, window: int = WINDOW, key: str = "item_id", text: str = "text", windows: int = PIECE_WINDOWS
+) -> DataFrame:
+    """Word hashes of every item that has words; consecutive pieces of an item share all but one word of a window."""
 
     @tidy
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 found = Words(binary(part.column("text")).to_pylist(), LETTER_WORDS_LOWER)
-                hashes = found.hashes()
-                keep = np.flatnonzero(found.counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("item").take(pa.array(keep)),
-                        pa.array(found.counts[keep], pa.int64()),
-                        pa.array([hashes[found.first[i] : found.last[i]].tobytes() for i in keep], pa.binary()),
-                    ],
-                    ["item", "n_words", "words"],
-                )
+                hashes, items = found.hashes(), part.column("item").to_pylist()
+                for i in np.flatnonzero(found.counts):
+                    first, last = found.first[i], found.last[i]
+                    for start in range(first, max(first + 1, last - window + 1), windows):
+                        words = hashes[start : min(last, start + windows + window - 1)]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([items[i]], pa.string()),
+                                pa.array([len(words)], pa.int64()),
+                                pa.array([words.tobytes()], pa.binary()),
+                            ],
+                            ["item", "n_words", "words"],
+                        )
 
     chosen = benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(run, ITEM_SCHEMA).distinct()
+    return chosen.mapInArrow(run, PIECES).distinct()
 
 
 class Block:
-    """Windows of one bounded block of items, by size; sent to every task."""
+    """Windows of one bounded block of item pieces, by size."""
 
-    def __init__(self, rows, window: int, shingle: int):
-        self.items = [r["item"] for r in rows]
-        sizes = np.array([r["n_words"] for r in rows], np.int64)
-        self.words = np.frombuffer(b"".join(r["words"] for r in rows), np.uint64)
+    def __init__(self, sizes: np.ndarray, words: np.ndarray, window: int, shingle: int):
+        self.words = words
         first = np.cumsum(sizes) - sizes
         n = np.maximum(sizes - window, 0) + 1
-        self.owner = np.repeat(np.arange(len(rows)), n)
+        self.owner = np.repeat(np.arange(len(sizes)), n)
         self.start = np.repeat(first, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
         self.size = np.minimum(np.repeat(sizes, n), window)
         self.shingle = np.minimum(self.size, shingle)
 
-    def tokens(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """By shingle size: window numbers and the shingles of each, in columns."""
-        out = {}
+    def tokens(self):
+        """Shingle size, window numbers and the shingles of each, in columns."""
         for size, words in sorted({(int(a), int(b)) for a, b in zip(self.shingle, self.size)}):
             chosen = np.flatnonzero((self.shingle == size) & (self.size == words))
             every = shingles(self.words, size)
-            grid = every[self.start[chosen][:, None] + np.arange(words - size + 1)]
-            out[(size, words)] = (chosen, grid)
-        return out
+            yield size, chosen, every[self.start[chosen][:, None] + np.arange(words - size + 1)]
 
-    def rarest(self, counts: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def keys(self) -> dict[int, np.ndarray]:
+        """By shingle size: the distinct shingles of all windows."""
+        found: dict[int, list] = {}
+        for size, _, grid in self.tokens():
+            found.setdefault(size, []).append(np.unique(grid))
+        return {size: np.unique(np.concatenate(parts)) for size, parts in found.items()}
+
+    def rarest(self, counts: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, tuple[np.ndarray, ...]]:
         """By shingle size: sorted prefix shingles, their windows and places in them."""
         found: dict[int, list] = {}
-        for (size, _), (chosen, grid) in self.tokens().items():
-            known = np.array(sorted(counts), np.uint64)
-            often = np.array([counts[int(k)] for k in known], np.int64)
-            at = np.minimum(np.searchsorted(known, grid), max(len(known) - 1, 0))
-            rarity = np.where(known[at] == grid, often[at], 0) if len(known) else np.zeros(grid.shape, np.int64)
+        for size, chosen, grid in self.tokens():
+            known, often = counts.get(size, (np.empty(0, np.uint64), np.empty(0, np.int64)))
+            rarity = np.zeros(grid.shape, np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, grid), len(known) - 1)
+                rarity = np.where(known[at] == grid, often[at], 0)
             place = rarity.argmin(axis=1)
             found.setdefault(size, []).append((grid[np.arange(len(grid)), place], chosen, place))
         out = {}
@@ -121,41 +139,202 @@ class Filter:
         return maybe[self.keys[np.minimum(at, len(self.keys) - 1)] == values[maybe]]
 
 
-def shingle_counts(docs: DataFrame, keys: dict[int, np.ndarray], text: str) -> dict[int, int]:
-    """How often each of the given shingles occurs in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
+class StoredKeys:
+    """The shingles of one written block, by size."""
+
+    def __init__(self, folder: str, number: int, sizes: int):
+        named = {size: array_at(f"{folder}/keys{size}-{number:05d}", "<u8") for size in range(1, sizes + 1)}
+        self.filters = {size: Filter(keys) for size, keys in named.items() if len(keys)}
+
+
+class StoredBlock:
+    """One written block: words, windows, items and, by shingle size, the prefixes with their filters."""
+
+    def __init__(self, folder: str, number: int, sizes: int):
+        def column(name: str, kind: str) -> np.ndarray:
+            return array_at(f"{folder}/{name}-{number:05d}", kind)
+
+        self.words = column("words", "<u8")
+        self.start, self.size, self.owner = (column(name, "<i4") for name in ("start", "size", "owner"))
+        self.items = json.loads(column("items", "u1").tobytes() or b"[]")
+        self.prefixes, self.filters = {}, {}
+        for size in range(1, sizes + 1):
+            keys = column(f"prefix{size}", "<u8")
+            if len(keys):
+                self.prefixes[size] = (keys, column(f"window{size}", "<i4"), column(f"place{size}", "<i4"))
+                self.filters[size] = Filter(np.unique(keys))
+
+
+class Blocks:
+    """The written blocks, one after another; the first ``OPEN_BLOCKS`` stay open in a task."""
+
+    def __init__(self, folder: str, n: int, sizes: int, kind=StoredBlock):
+        self.folder, self.n, self.sizes, self.kind = folder, n, sizes, kind
+        self.open: dict[int, object] = {}
+
+    def __iter__(self):
+        for number in range(self.n):
+            block = self.open.get(number) or self.kind(self.folder, number, self.sizes)
+            if number < OPEN_BLOCKS:
+                self.open[number] = block
+            yield block
+
+
+def _write(folder: str, name: str, number: int, values: np.ndarray) -> None:
+    out = Writer(folder, f"{name}-{number:05d}")
+    out.write(values.tobytes())
+    out.close()
+
+
+def _by_block(batches):
+    """Packed values of each block, by kind."""
+    found: dict[int, dict[int, list]] = {}
+    for batch in batches:
+        for b, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "blob"))):
+            found.setdefault(b, {}).setdefault(kind, []).append(shared.unpack(blob))
+    return found.items()
+
+
+def _block_of(parts: list[dict], window: int, shingle: int) -> tuple[Block, list]:
+    c = shared.joined(parts)
+    items = [item for p in parts for item in json.loads(p["items"])]
+    return Block(c["sizes"], c["words"], window, shingle), items
+
+
+def packed_pieces(pieces: DataFrame, n: int) -> DataFrame:
+    """Item pieces as packed rows of their block, kind 0."""
 
     @tidy
     def run(batches):
-        filters = {size: Filter(k) for size, k in shared.value.items()}
-        totals = {size: np.zeros(len(k), np.int64) for size, k in shared.value.items()}
+        for batch in batches:
+            sizes = batch.column("n_words").to_numpy()
+            words, items = batch.column("words").to_pylist(), batch.column("item").to_pylist()
+            block = batch.column("block").to_numpy()
+            for b, rows in shared.dealt(block, n):
+                blob = shared.pack(
+                    sizes=sizes[rows],
+                    words=np.frombuffer(b"".join(words[i] for i in rows), np.uint64),
+                    items=json.dumps([items[i] for i in rows]).encode(),
+                )
+                yield shared.packed_batch([(b, 0, blob)])
+
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(n)).cast("int").alias("block")
+    return pieces.select("*", block).mapInArrow(run, shared.PACKED)
+
+
+def shingle_counts(docs: DataFrame, folder: str, n: int, sizes: int, text: str) -> DataFrame:
+    """How often the shingles of each block occur in all documents, as packed rows of the block; the kind is the size."""
+
+    @tidy
+    def count(batches):
+        blocks = Blocks(folder, n, sizes, StoredKeys)
+        waiting: dict[tuple[int, int], list] = {}
+        places = 0
+
+        def rows():
+            for (number, size), parts in waiting.items():
+                shingle, often = np.unique(np.concatenate(parts), return_counts=True)
+                same = [np.full(len(shingle), x, np.int32) for x in (number, size)]
+                columns = [*map(pa.array, same), pa.array(shingle.view(np.int64)), pa.array(often.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "size", "shingle", "n"])
+
         for batch in batches:
             for part in slices(batch, "text"):
                 found = Words(binary(part.column("text")).to_pylist(), LETTER_WORDS_LOWER)
                 hashes, room = found.hashes(), found.room()
-                for size, kept in filters.items():
-                    values = shingles(hashes, size)
-                    at = kept.places(values)
-                    at = at[room[at] >= size]
-                    np.add.at(totals[size], np.searchsorted(kept.keys, values[at]), 1)
-        for size, total in totals.items():
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shared.value[size][seen].view(np.int64)), pa.array(total[seen])], ["shingle", "n"]
-            )
+                values = {size: shingles(hashes, size) for size in range(1, sizes + 1)}
+                for number, block in enumerate(blocks):
+                    for size, kept in block.filters.items():
+                        at = kept.places(values[size])
+                        at = at[room[at] >= size]
+                        if len(at):
+                            waiting.setdefault((number, size), []).append(values[size][at])
+                            places += len(at)
+                if places >= FLUSH_PLACES:
+                    yield from rows()
+                    waiting, places = {}, 0
+        yield from rows()
+
+    @tidy
+    def packed(batches):
+        for batch in batches:
+            block, size, shingle, often = (batch.column(c).to_numpy() for c in ("block", "size", "shingle", "n"))
+            for b, at in shared.dealt(block, n):
+                for s in np.unique(size[at]):
+                    rows = at[size[at] == s]
+                    blob = shared.pack(shingle=shingle[rows].view(np.uint64), n=often[rows])
+                    yield shared.packed_batch([(b, int(s), blob)])
+
+    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        count, "block int, size int, shingle long, n long"
+    )
+    return found.groupBy("block", "size", "shingle").agg(F.sum("n").alias("n")).mapInArrow(packed, shared.PACKED)
 
-    rows = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "shingle long, n long")
-    # At most one row for each shingle of the block.
-    return {r["shingle"] % (1 << 64): r["n"] for r in rows.groupBy("shingle").agg(F.sum("n").alias("n")).collect()}
 
+def write_blocks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    block_words: int = BLOCK_WORDS,
+) -> tuple[str, int]:
+    """Writes the benchmark in blocks with the rarest shingle of each window; the folder and the number of blocks."""
+    folder = shared_dir(docs.sparkSession, "benchmark-blocks")
+    pieces = written_once(item_pieces(benchmark, window), "benchmark-pieces")
+    total = pieces.agg(F.sum("n_words").alias("n")).first()["n"] or 0
+    n = -(-total // block_words)
+    if not n:
+        return folder, 0
+    rows = written_once(packed_pieces(pieces, n), "benchmark-packed")
+    sizes = min(window, shingle)
+
+    @tidy
+    def keys(batches):
+        for number, kinds in _by_block(batches):
+            found = _block_of(kinds[0], window, shingle)[0].keys()
+            for size in range(1, sizes + 1):
+                _write(folder, f"keys{size}", number, found.get(size, np.empty(0, np.uint64)))
+            yield shared.packed_batch([(number, 0, b"")])
+
+    @tidy
+    def blocks(batches):
+        for number, kinds in _by_block(batches):
+            block, items = _block_of(kinds.pop(0), window, shingle)
+            counts = {}
+            for size, parts in kinds.items():
+                c = shared.joined(parts)
+                order = np.argsort(c["shingle"])
+                counts[size] = (c["shingle"][order], c["n"][order])
+            prefixes = block.rarest(counts)
+            for size in range(1, sizes + 1):
+                columns = prefixes.get(size, (np.empty(0, np.uint64), np.empty(0), np.empty(0)))
+                for name, values, kind in zip(("prefix", "window", "place"), columns, ("<u8", "<i4", "<i4")):
+                    _write(folder, f"{name}{size}", number, values.astype(kind))
+            for name in ("start", "size", "owner"):
+                _write(folder, name, number, getattr(block, name).astype("<i4"))
+            _write(folder, "items", number, np.frombuffer(json.dumps(items).encode(), np.uint8))
+            _write(folder, "words", number, block.words)
+            yield shared.packed_batch([(number, 0, b"")])
+
+    # Blocks that no piece falls into are written too, empty.
+    missing = docs.sparkSession.range(n).selectExpr("CAST(id AS INT) AS bucket", "0 AS kind").withColumn(
+        "blob", F.lit(shared.pack(sizes=np.empty(0, np.int64), words=np.empty(0, np.uint64), items=b"[]"))
+    )
+    rows = rows.unionByName(missing)
+    shared.exchange(rows, n).mapInArrow(keys, shared.PACKED).agg(F.count("bucket")).first()
+    counted = shingle_counts(docs, folder, n, sizes, text)
+    shared.exchange(rows.unionByName(counted), n).mapInArrow(blocks, shared.PACKED).agg(F.count("bucket")).first()
+    return folder, n
 
-def contained(found: Words, hashes: np.ndarray, block: Block, prefixes, filters) -> tuple[np.ndarray, np.ndarray]:
+
+def contained(found: Words, hashes: np.ndarray, block: StoredBlock) -> tuple[np.ndarray, np.ndarray]:
     """Starts of contained windows among the words of several texts, and the window numbers."""
     room, texts_first = found.room(), np.repeat(found.first, found.counts)
     starts, windows = [], []
-    for size, (keys, chosen, place) in prefixes.items():
+    for size, (keys, chosen, place) in block.prefixes.items():
         values = shingles(hashes, size)
-        at = filters[size].places(values)
+        at = block.filters[size].places(values)
         low, high = np.searchsorted(keys, values[at], "left"), np.searchsorted(keys, values[at], "right")
         n = high - low
         # Copies of one window within the benchmark are few runs of equal keys.
@@ -189,82 +368,36 @@ def mark_hits(
     """Per document row: key, word count, a byte per word (1: hit) and the items whose windows occur."""
     chosen = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, hits binary, items array<string>"
-    out = chosen.withColumns(
-        {
-            "n_words": F.lit(None).cast("long"),
-            "hits": F.lit(None).cast("binary"),
-            "items": F.lit(None).cast("array<string>"),
-        }
-    )
-    shared = benchmark_blocks(docs, benchmark, text, window, shingle, block_words)
-    for number, block in enumerate(shared):
-        last = number == len(shared) - 1
-        out = out.mapInArrow(_marker(block, last), schema if last else f"{schema}, text string")
-    return out
-
-
-def benchmark_blocks(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    text: str = "text",
-    window: int = WINDOW,
-    shingle: int = SHINGLE,
-    block_words: int = BLOCK_WORDS,
-) -> list:
-    """The benchmark in bounded blocks, each with the rarest shingle of its windows, as broadcasts."""
-    items = item_words(benchmark)
-    total = items.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-total // block_words))
-    shared = []
-    for number in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == number).collect()
-        block = Block(rows, window, shingle) if rows else None
-        prefixes = {}
-        if block is not None:
-            keys: dict[int, list] = {}
-            for (size, _), (_, grid) in block.tokens().items():
-                keys.setdefault(size, []).append(grid.ravel())
-            counts = shingle_counts(docs, {s: np.unique(np.concatenate(k)) for s, k in keys.items()}, text)
-            prefixes = block.rarest(counts)
-        shared.append(docs.sparkSession.sparkContext.broadcast((block, prefixes)))
-    return shared
-
+    folder, n = write_blocks(docs, benchmark, text, window, shingle, block_words)
+    sizes = min(window, shingle)
 
-def _marker(shared, last: bool):
     @tidy
     def run(batches):
-        block, prefixes = shared.value
-        filters = {size: Filter(np.unique(keys)) for size, (keys, _, _) in prefixes.items()}
+        blocks = Blocks(folder, n, sizes)
         for batch in batches:
             for part in slices(batch, "text"):
                 found = Words(binary(part.column("text")).to_pylist(), LETTER_WORDS_LOWER)
+                hashes = found.hashes()
                 hit = np.zeros(len(found.starts), bool)
-                listed = part.column("items").to_pylist()
-                listed = [set(x or ()) for x in listed]
-                if block is not None and len(found.starts):
-                    start, window = contained(found, found.hashes(), block, prefixes, filters)
-                    hit = covered(start, block.size[window], len(found.starts))
+                listed: list[set] = [set() for _ in range(part.num_rows)]
+                for block in blocks if len(found.starts) else ():
+                    start, number = contained(found, hashes, block)
+                    hit |= covered(start, block.size[number], len(found.starts))
                     texts = np.searchsorted(found.last, start, "right")
-                    pairs = np.unique(np.stack([texts, block.owner[window]], axis=1), axis=0)
+                    pairs = np.unique(np.stack([texts, block.owner[number]], axis=1), axis=0)
                     for t, item in pairs.tolist():
                         if block.items[item] is not None:
                             listed[t].add(block.items[item])
-                earlier = part.column("hits").to_pylist()
-                for t, mask in enumerate(earlier):
-                    if mask:
-                        hit[found.first[t] : found.last[t]] |= np.frombuffer(mask, bool)
-                columns = {
-                    "doc_id": part.column("doc_id"),
-                    "n_words": pa.array(found.counts, pa.int64()),
-                    "hits": pa.array([hit[a:b].tobytes() for a, b in zip(found.first, found.last)], pa.binary()),
-                    "items": pa.array([sorted(x) for x in listed], pa.list_(pa.string())),
-                }
-                if not last:
-                    columns["text"] = part.column("text")
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return run
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "n_words": pa.array(found.counts, pa.int64()),
+                        "hits": pa.array([hit[a:b].tobytes() for a, b in zip(found.first, found.last)], pa.binary()),
+                        "items": pa.array([sorted(x) for x in listed], pa.list_(pa.string())),
+                    }
+                )
+
+    return chosen.mapInArrow(run, f"doc_id {kind}, n_words long, hits binary, items array<string>")
 
 
 def hit_report(marked: DataFrame) -> DataFrame:
@@ -294,23 +427,24 @@ def hit_report(marked: DataFrame) -> DataFrame:
     return marked.select("doc_id", "n_words", "hits", "items").mapInArrow(run, schema)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", block_words: int = BLOCK_WORDS
+) -> DataFrame:
     """``docs`` without the rows in which an item window occurs; columns unchanged."""
+    folder, n = write_blocks(docs, benchmark, text, block_words=block_words)
 
-    def masks(shared):
-        block, prefixes = shared.value
-        filters = {size: Filter(np.unique(keys)) for size, (keys, _, _) in prefixes.items()}
+    def masks():
+        blocks = Blocks(folder, n, min(WINDOW, SHINGLE))
 
         def clean(texts):
             found = Words(texts, LETTER_WORDS_LOWER)
             kept = np.ones(len(texts), bool)
-            if block is not None and len(found.starts):
-                start, _ = contained(found, found.hashes(), block, prefixes, filters)
+            hashes = found.hashes()
+            for block in blocks if len(found.starts) else ():
+                start, _ = contained(found, hashes, block)
                 kept[np.searchsorted(found.last, start, "right")] = False
             return kept
 
         return clean
 
-    for shared in benchmark_blocks(docs, benchmark, text):
-        docs = keep_rows(docs, text, lambda shared=shared: masks(shared))
-    return docs
+    return keep_rows(docs, text, masks)

@@ -253,3 +253,24 @@ def test_language_model_of_pairs(spark, odd):
 
 def test_all_numbers_are_registered():
     assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 14))
+
+
+def test_decontamination_in_blocks(spark, odd):
+    """Several blocks, more than a task keeps open, and items cut into pieces give the rows of one block."""
+    from quartermark.llm import decontaminate
+
+    folder, docs = odd
+    documents, benchmark = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = decontaminate.hit_report(decontaminate.mark_hits(documents, benchmark, block_words=3))
+    wanted = brute.decontamination(docs, items(spark, folder))
+    same([tuple(r) for r in whole.collect()], wanted)
+    kept = decontaminate.clean_documents(documents, benchmark, block_words=3)
+    clean = Counter(row[0] for row in wanted if not row[5])
+    assert Counter(r.doc_id for r in kept.collect()) == clean
+    pieces = decontaminate.item_pieces(benchmark, window=4, windows=2).collect()
+    joined = defaultdict(set)
+    for r in pieces:
+        words = np.frombuffer(r.words, np.uint64).tolist()
+        assert len(words) == r.n_words <= 5
+        joined[r.item] |= {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
+    assert len(joined["1"]) == 9 and len(joined["2"]) == 1 and "4" not in joined
