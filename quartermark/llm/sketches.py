@@ -14,6 +14,8 @@ row gives one row; a single row is its own next row. Only key and text are read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,19 +75,59 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.lower(F.hex(x)), BITS // 4, "0")), "")
 
 
-def range_bounds(rows: DataFrame, key: str, n: int) -> list:
-    """At most ``n`` - 1 ascending bounds that split the keys about evenly.
+def range_bounds(rows: DataFrame, key: str, n: int) -> tuple[list, int]:
+    """``n`` - 1 ascending bounds that split the keys about evenly, and into how many ranges rows without a key go.
 
-    Quantiles of hashed groups first, then quantiles of those, so no task merges
-    the summaries of all others. Bounds decide how even the ranges are, not what
-    is found in them.
+    Rows are dealt to groups in turn; quantiles of each group first, then
+    quantiles of those, so no task merges the summaries of all others. A bound
+    that comes several times is a key with that share of the rows. Bounds
+    decide how even the ranges are, not what is found in them.
     """
     fine = [i / FINE for i in range(FINE + 1)]
-    group = F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("g")
-    quantiles = rows.groupBy(group).agg(F.percentile_approx(key, fine, 2 * FINE).alias("q"))
+    group = F.pmod(F.monotonically_increasing_id(), F.lit(GROUPS)).alias("g")
+    quantiles = rows.groupBy(group).agg(
+        F.percentile_approx(key, fine, 2 * FINE).alias("q"), F.count(F.lit(1)).alias("n"), F.count(key).alias("filled")
+    )
     shares = [i / n for i in range(1, n)] or [0.5]
-    found = quantiles.select(F.explode("q").alias("q")).agg(F.percentile_approx("q", shares, 100 * n).alias("b"))
-    return sorted(set(found.first()["b"] or []))
+    listed = quantiles.select(F.explode_outer("q").alias("q")).agg(F.percentile_approx("q", shares, 100 * n).alias("b"))
+    total, filled = quantiles.agg(F.sum("n"), F.sum("filled")).first()
+    return sorted(listed.first()["b"] or []), max(1, round(n * (1 - (filled or 0) / total)) if total else 1)
+
+
+def range_of(key: Column, tie: Column, bounds: list, late: int) -> Column:
+    """The number of a row's range, ascending by key and tie; rows without a key come last.
+
+    A key that fills several ranges is cut evenly by the tie, a hash over all
+    64-bit values. The search is one fold over the steps of a binary search, so
+    the plan holds the bounds as one array, however many they are.
+    """
+    keys = sorted(set(bounds))
+    repeats = Counter(bounds)
+    slices = [repeats[k] if repeats[k] > 1 else 0 for k in keys]
+    offsets = [0]
+    for m in slices:
+        offsets.append(offsets[-1] + 1 + m)
+
+    def slice_of(m) -> Column:
+        share = tie.cast("double") / F.lit(2.0**64) + F.lit(0.5)
+        return F.least(F.floor(share * m).cast("int"), m - 1)
+
+    without = F.lit(offsets[-1] + 1) + slice_of(F.lit(late))
+    if not keys:
+        return F.when(key.isNull(), without).otherwise(F.lit(0))
+    listed = F.lit(keys)
+    steps = F.lit([1 << i for i in reversed(range(len(keys).bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(listed, at + step - 1) < key, at + step).otherwise(at))
+
+    if not any(slices):
+        return F.when(key.isNull(), without).otherwise(below)
+
+    def place(i: Column) -> Column:
+        own = F.get(F.lit(slices), i)
+        cut = (F.get(listed, i) == key) & (own > 0)
+        return F.get(F.lit(offsets), i) + F.when(cut, slice_of(own) + 1).otherwise(0)
+
+    return F.when(key.isNull(), without).otherwise(F.get(F.transform(F.array(below), place), 0))
 
 
 def with_next(rows: DataFrame, key: str, carried: list[str], prepare=lambda df: df) -> DataFrame:
@@ -94,22 +136,17 @@ def with_next(rows: DataFrame, key: str, carried: list[str], prepare=lambda df:
 
     Rows are dealt to ranges of the key. Each range also gets the first row of
     the next one, so the following row is found within a range: one shuffle,
-    and no task that holds more than one range. Rows of equal key share a range.
+    and no task that holds more than a few ranges. A key that fills several ranges,
+    or rows without one, are spread by a hash of the text; rows that are equal in both share a range.
     """
     # Several ranges for each partition, so that partitions come out even.
-    bounds = range_bounds(rows, key, 4 * partitions(rows))
-    low = F.lit(0)
-    # Binary search for the range, written out as nested conditions.
-
-    def search(a: int, b: int) -> Column:
-        if a == b:
-            return F.lit(a)
-        middle = (a + b) // 2
-        return F.when(F.col(key) <= F.lit(bounds[middle]), search(a, middle)).otherwise(search(middle + 1, b))
-
-    part = F.when(F.col(key).isNull(), F.lit(len(bounds))).otherwise(search(0, len(bounds)) if bounds else low)
+    bounds, late = range_bounds(rows, key, 4 * partitions(rows))
+    tie = F.xxhash64("text")
     placed = rows.select(
-        "*", part.cast("int").alias("part"), F.xxhash64("text").alias("tie"), F.col(key).isNull().alias("late")
+        "*",
+        range_of(F.col(key), tie, bounds, late).cast("int").alias("part"),
+        tie.alias("tie"),
+        F.col(key).isNull().alias("late"),
     )
     order = ["late", key, "tie"]
     firsts = placed.groupBy("part").agg(F.min(F.struct(*order)).alias("first"))

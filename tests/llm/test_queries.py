@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -274,3 +275,108 @@ def test_decontamination_in_blocks(spark, odd):
         assert len(words) == r.n_words <= 5
         joined[r.item] |= {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
     assert len(joined["1"]) == 9 and len(joined["2"]) == 1 and "4" not in joined
+
+
+def test_fingerprints_likeness(spark, odd):
+    """Exact below the sketch size, near the true share above it."""
+    folder, docs = odd
+    texts = dict(docs)
+    ordered = [t or "" for _, t in sorted(docs, key=lambda d: d[0])]
+    keys = sorted(k for k, _ in docs)
+
+    def likeness(a, b):
+        one, two = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in (brute_words(a), brute_words(b)))
+        return (len(one & two) / len(one | two) if one | two else 1.0), len(one | two)
+
+    seen = 0
+    for r in QUERIES["op5_fingerprints"](spark, folder).collect():
+        if r.doc_id == 1010:  # its copies follow one another
+            continue
+        text, following = texts[r.doc_id] or "", ordered[(keys.index(r.doc_id) + 1) % len(keys)]
+        n = len(text) // 4
+        for value, other in ((r.near_edited, text[: len(text) - n] + following[:n]), (r.near_next, following)):
+            wanted, size = likeness(text, other)
+            assert abs(value - wanted) < (1e-9 if size <= 128 else 0.2), (r.doc_id, value, wanted)
+            seen += size > 128
+    assert seen
+
+
+def brute_words(text):
+    return [w for w in re.split("[ \\t-\\r]+", text) if w]
+
+
+@pytest.mark.parametrize("hot", ["CAST(NULL AS BIGINT)", "7L"])
+def test_fingerprint_ranges_are_even(spark, hot):
+    from pyspark.sql import functions as F
+
+    from quartermark.llm import sketches
+
+    rows = spark.range(0, 4000, 1, 4).selectExpr(f"IF(id % 3 < 2, {hot}, id) AS doc_id", "CONCAT('text ', id) AS text")
+    bounds, late = sketches.range_bounds(rows, "doc_id", 32)
+    tie = F.xxhash64("text")
+    placed = rows.select("*", sketches.range_of(F.col("doc_id"), tie, bounds, late).alias("part"), tie.alias("tie")).collect()
+    assert max(Counter(r.part for r in placed).values()) < 4 * 4000 / 32
+    ordered = sorted(placed, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.tie))
+    assert [r.part for r in ordered] == sorted(r.part for r in placed)
+    wanted = {r.text: n.text for r, n in zip(ordered, ordered[1:] + ordered[:1])}
+    got_next = sketches.with_next(rows, "doc_id", ["text"]).collect()
+    assert len(got_next) == 4000 and {r.text: r.next_text for r in got_next} == wanted
+
+
+def test_fingerprint_plan_holds_the_bounds_once(spark):
+    from pyspark.sql import functions as F
+
+    from quartermark.llm import sketches
+
+    rows = spark.range(10).selectExpr("id AS doc_id", "'a' AS text")
+
+    def length(n):
+        column = sketches.range_of(F.col("doc_id"), F.xxhash64("text"), list(range(n)), 1)
+        return len(rows.select(column)._jdf.queryExecution().analyzed().toString())
+
+    assert length(4000) < length(40) + 4000 * 8
+
+
+def test_licence_expressions():
+    import random
+    import time
+
+    from quartermark.llm import licences
+
+    pick = random.Random(5)
+
+    def tree(depth):
+        if depth == 0 or pick.random() < 0.2:
+            return pick.choice(["MIT", "GPL-2.0-only", "Apache-2.0", "X11", ("with", "GPL-2.0-only", "Bison-exception")])
+        return (pick.choice(["and", "or"]), tree(depth - 1), tree(depth - 1))
+
+    def text(node, above=0):
+        if isinstance(node, str):
+            return node
+        rank = licences.PRECEDENCE[node[0]]
+        inner = f"{text(node[1], rank)} {node[0].upper()} {text(node[2], rank + 1)}"
+        return f"({inner})" if rank < above or pick.random() < 0.3 else inner
+
+    def value(node):
+        if isinstance(node, str):
+            return {node.lower()}, licences.evaluate([node])[1]
+        (left, a), (right, b) = value(node[1]), value(node[2])
+        if node[0] == "with":
+            return {f"{min(left)} with {min(right)}"}, a
+        return left | right, max(a, b) if node[0] == "or" else min(a, b)
+
+    for _ in range(300):
+        node = tree(5)
+        assert licences.evaluate(licences.postfix(text(node))) == value(node)
+    # Of a broken expression the longest valid beginning counts.
+    assert licences.postfix("MIT OR X11 AND (GPL") == ["MIT", "X11", "or"]
+    assert licences.postfix("MIT)") == ["MIT"] and licences.postfix("OR MIT") is None and licences.postfix("(MIT") is None
+    begun = time.time()
+    for long in (
+        " OR ".join(f"L{i}" for i in range(100_000)),
+        "(" * 100_000 + "MIT" + ")" * 100_000,
+        " WITH ".join(["a"] * 100_000),
+        f"({' OR '.join(f'A{i}' for i in range(5_000))}) WITH ({' OR '.join(f'B{i}' for i in range(5_000))})",
+    ):
+        assert licences.evaluate(licences.postfix(long))[0]
+    assert time.time() - begun < 20
