@@ -57,31 +57,40 @@ def postfix(expression: str) -> list[str] | None:
     """Shunting-yard: the expression's longest valid beginning in postfix order, or None."""
     out: list[str] = []
     stack: list[str] = []
-    best = None
+    # Outside parentheses at most one operator of each precedence waits, and ``out`` only grows:
+    # a valid beginning is its length and those few operators.
+    best: tuple[int, list[str]] = (0, [])
+    depth = 0
     operand = True  # what may come next
     at = 0
+
+    def longest() -> list[str] | None:
+        return out[: best[0]] + best[1] or None
+
     while True:
         while at < len(expression) and expression[at] in " \t":
             at += 1
         found = TOKEN.match(expression, at)
-        if not operand and "(" not in stack:
-            best = out + stack[::-1]
+        if not operand and not depth:
+            best = (len(out), stack[::-1])
         if not found:
-            return best
+            return longest()
         token, at = found.group(), found.end()
         if token == "(":
             if not operand:
-                return best
+                return longest()
             stack.append(token)
+            depth += 1
         elif token == ")":
-            if operand or "(" not in stack:
-                return best
+            if operand or not depth:
+                return longest()
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
+            depth -= 1
         elif token.lower() in PRECEDENCE:
             if operand:
-                return best
+                return longest()
             operator = token.lower()
             while stack and stack[-1] != "(" and PRECEDENCE[stack[-1]] >= PRECEDENCE[operator]:
                 out.append(stack.pop())
@@ -89,13 +98,16 @@ def postfix(expression: str) -> list[str] | None:
             operand = True
         else:
             if not operand:
-                return best
+                return longest()
             out.append(token)
             operand = False
 
 
 def evaluate(rpn: list[str]) -> tuple[set[str], float]:
-    """Labels of all licences named, and the value of the expression."""
+    """Labels of all licences named, and the value of the expression.
+
+    ``with`` joins one licence and one exception to one label; elsewhere it names both sides.
+    """
     stack: list[tuple[set[str], float]] = []
     for token in rpn:
         if token not in PRECEDENCE:
@@ -104,10 +116,13 @@ def evaluate(rpn: list[str]) -> tuple[set[str], float]:
             stack.append(({name}, FREEDOM.get(family, 0.5)))
             continue
         (right, b), (left, a) = stack.pop(), stack.pop()
-        if token == "with":
-            stack.append(({f"{x} with {y}" for x in left for y in right}, a))
+        if token == "with" and len(left) == len(right) == 1 and not any(" " in x for x in left | right):
+            names = {f"{min(left)} with {min(right)}"}
         else:
-            stack.append((left | right, max(a, b) if token == "or" else min(a, b)))
+            # The smaller side joins the larger, so long expressions cost no more than their length.
+            names, few = (left, right) if len(left) >= len(right) else (right, left)
+            names |= few
+        stack.append((names, a if token == "with" else max(a, b) if token == "or" else min(a, b)))
     return stack[0]
 
 
