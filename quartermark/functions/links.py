@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,28 +16,42 @@ ANCHOR = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 # File endings that are downloaded, and entries that are skipped.
 FILE_ENDINGS = ("zip", "csv", "pdf", "rar")
 SKIPPED_ENTRIES = ("../", "./", "")
-ENTITIES = (
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&#47;", "/"),
-    ("&#x2F;", "/"),
-    ("&#x2f;", "/"),
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&#38;", "&"),
-    ("&amp;", "&"),
-)
+
+# A character reference, or text without one; a lone ampersand is text.
+PIECE = r"(?s)&#[0-9]{1,9};|&#[xX][0-9a-fA-F]{1,7};|&[A-Za-z][A-Za-z0-9]*;|&|[^&]+"
+# Code points 128 to 159 mean what Windows-1252 has there.
+WINDOWS = {code: bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(128, 160)}
+
+
+def named_references() -> Column:
+    """Characters by reference, as ``&name;``, from the standard library's table of HTML 5."""
+    names = [(f"&{name}", text) for name, text in html5.items() if name.endswith(";")]
+    return F.from_json(F.lit(json.dumps(dict(names))), "map<string,string>")
+
+
+def character(code: Column) -> Column:
+    """The character of a code point; the replacement character if there is none."""
+    windows = F.element_at(F.array(*(F.lit(WINDOWS[c]) for c in sorted(WINDOWS))), (code - 127).cast("int"))
+    usable = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(code.between(128, 159), windows).when(usable, plain).otherwise(F.lit("\ufffd"))
 
 
 def unescape(text: Column) -> Column:
-    """Entities that occur in addresses. ``&amp;`` comes last so that ``&amp;lt;`` is decoded only once."""
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Text with its character references decoded once; unknown names and unfinished ones stay as they are."""
+
+    def decoded(piece: Column) -> Column:
+        number = F.regexp_extract(piece, r"^&#([0-9]+);$", 1).cast("long")
+        digits = F.conv(F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10).cast("long")
+        return (
+            F.when(piece.rlike("^&#[0-9]"), character(number))
+            .when(piece.rlike("^&#[xX]"), character(digits))
+            .when(F.startswith(piece, F.lit("&")), F.coalesce(F.try_element_at(named_references(), piece), piece))
+            .otherwise(piece)
+        )
+
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
 def unquoted(target: Column) -> Column:

@@ -12,8 +12,11 @@ from quartermark.schemas import CLAIM_KEYWORDS, all_text
 from quartermark.session import shared_dir
 from quartermark.sources.archives import ZIP_FILES, unpack
 from quartermark.sources.delimited import LATIN, DelimitedScan, aligned_fields, list_files
+from quartermark.sources.empty import empty_files
 
 RAW_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX]}"
+RAW_ENDINGS = (".csv", ".txt", ".xlsx")
+LANDED_ENDINGS = (*RAW_ENDINGS, ".zip")
 
 
 def listed_path(path: Column) -> Column:
@@ -21,6 +24,10 @@ def listed_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def empty_rows(empty: DataFrame) -> DataFrame:
+    return empty.select(F.col("path").alias("source_file"), F.lit("empty_file").alias("motivo"))
+
+
 class RawScan:
     """Headers are resolved on creation; rows are read when the result is used."""
 
@@ -31,8 +38,9 @@ class RawScan:
         encoding: str = LATIN,
         members: DataFrame | None = None,
         roots: Sequence[str] | None = None,
+        empty: DataFrame | None = None,
     ) -> None:
-        self.members = members
+        self.members, self.empty = members, empty
         is_workbook = F.lower("path").endswith(".xlsx")
         self.spark = spark
         self.text = DelimitedScan(spark, files.filter(~is_workbook), encoding, roots)
@@ -55,6 +63,8 @@ class RawScan:
                 F.concat_ws("!", "archive", "member").alias("source_file"), F.lit("damaged_archive").alias("motivo")
             )
             named = named.unionByName(damaged)
+        if self.empty is not None:
+            named = named.unionByName(empty_rows(self.empty))
         hits = bronze.select(F.col("source_file").alias("file")).distinct()
         silent = self.text.files.filter("problem IS NULL").join(hits, "file", "left_anti")
         return named.unionByName(silent.select(F.col("path").alias("source_file"), F.lit("no_keyword_match").alias("motivo")))
@@ -70,10 +80,12 @@ class RawScan:
 def scan(spark: SparkSession, root: str, encoding: str = LATIN) -> RawScan:
     """Files and members of zip archives below ``root``; members are read like plain files."""
     files, members, roots = list_files(spark, root, RAW_FILES), None, [root]
+    empty = empty_files(spark, root, LANDED_ENDINGS)
     if not list_files(spark, root, ZIP_FILES).isEmpty():
         target = shared_dir(spark, "unpacked")
         members = unpack(spark, root, target)
         if not members.filter("error IS NULL").isEmpty():
             files = files.unionByName(list_files(spark, target, RAW_FILES))
             roots.append(target)
-    return RawScan(spark, files, encoding, members, roots)
+            empty = empty.unionByName(empty_files(spark, target, RAW_ENDINGS))
+    return RawScan(spark, files, encoding, members, roots, empty)

@@ -9,8 +9,10 @@ write to the same target.
 
 Archives that arrive are unpacked into a folder of the batch and their members
 read like files that arrived. What a batch leaves out, and why, is written
-beside its rows: files without usable rows, damaged archives and members, and
-records with a quote that is not closed.
+beside its rows: files without usable rows or without a byte, damaged archives
+and members, and records with a quote that is not closed. Files without a byte
+are never rows of a batch, so each batch lists the folder for them and writes
+those that no earlier batch of its stream has written.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quartermark.operators.normalize import consolidated
-from quartermark.schemas import all_text
 from quartermark.sources.archives import unpack
 from quartermark.sources.delimited import LATIN, file_columns, list_files
-from quartermark.sources.raw import RAW_FILES, RawScan
+from quartermark.sources.empty import empty_files
+from quartermark.sources.raw import LANDED_ENDINGS, RAW_ENDINGS, RAW_FILES, RawScan, empty_rows
 
 LANDED_FILES = "*.{[cC][sS][vV],[tT][xX][tT],[xX][lL][sS][xX],[zZ][iI][pP]}"
 
+REJECT = "source_file string, motivo string, registro string"
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -55,14 +58,15 @@ def ingest(
         session = files.sparkSession
         place = f"stream={owner}/batch={batch_id}"
         is_archive = F.lower("path").endswith(".zip")
-        landed, members = files.filter(~is_archive), None
+        landed, members, empty = files.filter(~is_archive), None, None
         if not files.filter(is_archive).isEmpty():
             # The folder belongs to the batch: run again, it gets the same files.
             unpacked = f"{target}/unpacked/{place}"
             members = unpack(session, root, unpacked, archives=files.filter(is_archive))
             if not members.filter("error IS NULL").isEmpty():
                 landed = landed.unionByName(list_files(session, unpacked, RAW_FILES))
-        found = RawScan(session, landed, encoding, members)
+                empty = empty_files(session, unpacked, RAW_ENDINGS)
+        found = RawScan(session, landed, encoding, members, empty=empty)
         bronze_path = f"{target}/bronze/{place}"
         found.bronze().write.mode("overwrite").parquet(bronze_path)
         bronze = session.read.parquet(bronze_path)
@@ -70,6 +74,11 @@ def ingest(
         damaged = found.damaged_records().withColumn("motivo", F.lit("unbalanced_quote"))
         left_out = found.skipped(bronze).withColumn("registro", F.lit(None).cast("string")).unionByName(damaged)
         left_out.write.mode("overwrite").parquet(f"{target}/rejects/{place}")
+        # Read after the batch's own rows are there, so that the folder exists; the batch itself does not count.
+        earlier = session.read.schema(f"{REJECT}, stream string, batch long").parquet(f"{target}/rejects")
+        known = earlier.filter((F.col("stream") == owner) & (F.col("batch") < batch_id) & (F.col("motivo") == "empty_file"))
+        new = empty_rows(empty_files(session, root, LANDED_ENDINGS)).join(known, "source_file", "left_anti")
+        new.withColumn("registro", F.lit(None).cast("string")).write.mode("append").parquet(f"{target}/rejects/{place}")
 
     return (
         arriving_files(spark, root, per_batch=per_batch)
@@ -86,5 +95,4 @@ def ingested(spark: SparkSession, target: str) -> DataFrame:
 
 def rejected(spark: SparkSession, target: str) -> DataFrame:
     """(source_file, motivo, registro): files and records that added nothing, once each."""
-    schema = all_text("source_file", "motivo", "registro")
-    return spark.read.schema(schema).parquet(f"{target}/rejects").select(*schema.names)
+    return spark.read.schema(REJECT).parquet(f"{target}/rejects").select("source_file", "motivo", "registro")

@@ -1,3 +1,4 @@
+import html
 from decimal import Decimal
 
 import pytest
@@ -156,3 +157,13 @@ def test_rows_without_a_quarter_belong_to_no_period(spark):
     rows = [(2024, "1T"), (2024, "2T"), (2025, None), (None, "3T"), (2025, "1T")]
     df = spark.createDataFrame(rows, "ano int, trimestre string")
     assert sorted(tuple(r) for r in latest_only(df, 2).collect()) == [(2024, "2T"), (2025, "1T")]
+
+
+def test_character_references(spark):
+    cells = [
+        "a&amp;b", "&amp;lt;", "&eacute;&ccedil;&atilde;o.csv", "&#231;&#xE7;&#XE7;", "&#128;&#x80;&#129;", "&#0;&#xD800;&#x110000;",
+        "&nada;&", "&amp", "&fjlig;", "&#x1F600;", "", None, "sem", "&#999999999;", "a\n&lt;b", "&;&#;&#x;",
+    ]
+    got = values(spark, cells, links.unescape)
+    named = {"&nada;&", "&amp"}  # a reference needs its semicolon
+    assert got == [c if c in named or c is None else html.unescape(c) for c in cells]

@@ -47,6 +47,9 @@ def raw(tmp_path):
     put(root / "2025" / "3" / "no_key.csv", "DESC;VALOR\ndespesa com evento;2\n")
     put(root / "2025" / "3" / "qui+et ç.csv", "REG_ANS;DESC;VALOR\n1;Receita;2\n")
     put(root / "2025" / "3" / "empty.csv", " \n")
+    put(root / "2025" / "3" / "nothing ç.CSV", "")
+    put(root / "2025" / "3" / "nothing.md", "")
+    put(root / "2025" / "_tmp" / "hidden.csv", "")
     return root
 
 
@@ -90,6 +93,7 @@ def test_skipped_files(spark, raw):
         "no_key.csv": "no_key_column",
         "qui+et ç.csv": "no_keyword_match",
         "empty.csv": "unreadable",
+        "nothing ç.CSV": "empty_file",
     }
 
 
@@ -337,7 +341,10 @@ def test_stream_reads_archives_and_names_rejects(spark, tmp_path, rows):
     with zipfile.ZipFile(tmp_path / "landing" / "2025" / "2T.zip", "w") as archive:
         archive.writestr("m.csv", header + "3;despesa com evento;3\n")
         archive.writestr("n.csv", "X;Y\n3;4\n")
+        archive.writestr("void.csv", "")
+    put(tmp_path / "landing" / "2025" / "zero.csv", "")
     ingest(spark, landing, target, offsets).awaitTermination()
+    put(tmp_path / "landing" / "nil.txt", "")
     (tmp_path / "landing" / "2025" / "bad.zip").write_bytes(b"no archive")
     ingest(spark, landing, target, offsets).awaitTermination()
     ingest(spark, landing, target, offsets).awaitTermination()
@@ -348,7 +355,10 @@ def test_stream_reads_archives_and_names_rejects(spark, tmp_path, rows):
         ("bad.zip", "damaged_archive"),
         ("book.xlsx", "workbook"),
         ("n.csv", "no_value_column"),
+        ("nil.txt", "empty_file"),
         ("quiet.csv", "no_keyword_match"),
+        ("void.csv", "empty_file"),
+        ("zero.csv", "empty_file"),
     ]
 
 
