@@ -5,10 +5,12 @@ also starts in a document with a smaller id. Only runs of windows whose anchor
 occurs elsewhere are looked at (:mod:`quartermark.llm.shared`). They are dealt
 to shards by anchor. Each shard builds an FM-index of its distinct texts: the
 Burrows-Wheeler transform as a wavelet matrix of packed bit vectors with
-counts per 64 bits. The texts then stream against it: backward search gives
-for each place the longest string ending there, up to a window, that the shard
-holds at another place as well (the matching statistics). Places that reach a
-window report their interval, whose smallest document id decides. An anchor
+counts per 64 bits, and the texts' document ids in suffix order as another one.
+Texts and suffix array are not part of it. The texts then stream against it:
+backward search gives for each place the longest string ending there, up to a
+window, that the shard holds at another place as well (the matching
+statistics). Places that reach a window report their interval; the smallest
+document id in it, found by one descent of the second matrix, decides. An anchor
 too frequent for one shard has several; windows they keep are merged by two
 hashes.
 
@@ -63,7 +65,7 @@ def word_runs(texts: list[bytes], window: int = WINDOW) -> dict:
 
 
 class WaveletMatrix:
-    """Rank queries on a sequence of integers, one packed bit vector for each bit."""
+    """A sequence of integers as one packed bit vector for each bit, with counts per 64 bits."""
 
     def __init__(self, values: np.ndarray):
         self.n = len(values)
@@ -79,49 +81,68 @@ class WaveletMatrix:
             self.counts.append((np.cumsum(ones) - ones).astype(np.int32))
             self.zeros.append(self.n - int(ones.sum()))
             values = np.concatenate([values[bit == 0], values[bit == 1]])
-        every = np.arange(1 << self.bits)
-        self.base = self._descend(every, np.zeros(len(every), np.int64))
 
-    def _descend(self, symbols: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    def ones(self, level: int, upto: np.ndarray) -> np.ndarray:
+        """How many bits of a level are set before each place."""
+        word = upto >> 6
+        below = (np.uint64(1) << (upto & 63).astype(np.uint64)) - np.uint64(1)
+        return self.counts[level][word] + np.bitwise_count(self.words[level][word] & below)
+
+    def descend(self, symbols: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """Where the occurrences of each symbol before each place end, in the order of the last level."""
         at = upto
         for level in range(self.bits):
-            word = at >> 6
-            below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.counts[level][word] + np.bitwise_count(self.words[level][word] & below)
+            ones = self.ones(level, at)
             bit = (symbols >> (self.bits - 1 - level)) & 1
             at = np.where(bit == 1, self.zeros[level] + ones, at - ones)
         return at
 
-    def rank(self, symbols: np.ndarray, upto: np.ndarray) -> np.ndarray:
-        """How often each symbol occurs before each place."""
-        return self._descend(symbols, upto) - self.base[symbols]
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest value in each interval; intervals are not empty."""
+        value = np.zeros(len(low), np.int64)
+        for level in range(self.bits):
+            before, upto = self.ones(level, low), self.ones(level, high)
+            one = high - upto == low - before  # no value with a 0 here is left
+            low = np.where(one, self.zeros[level] + before, low - before)
+            high = np.where(one, self.zeros[level] + upto, high - upto)
+            value = (value << 1) | one
+        return value
 
 
 class Index:
-    """FM-index of separate texts of word numbers (1 or more)."""
+    """FM-index of separate texts of word numbers (1 or more), each text with a mark (0 or more).
+
+    Kept are the Burrows-Wheeler transform and the marks in suffix order, both as
+    wavelet matrices, and one number for each symbol. Neither the texts nor the
+    suffix array are.
+    """
 
-    def __init__(self, numbers: np.ndarray, sizes: np.ndarray):
-        self.text, self.first, self.ends = with_sentinels(numbers, sizes)
-        self.order, _ = suffix_array(self.text, self.first, self.ends)
-        self.transform = WaveletMatrix(self.text[self.order - 1])
-        counts = np.bincount(self.text)
-        self.smaller = np.cumsum(counts) - counts
+    def __init__(self, numbers: np.ndarray, sizes: np.ndarray, marks: np.ndarray):
+        text, first, ends = with_sentinels(numbers, sizes)
+        order, _ = suffix_array(text, first, ends)
+        self.n = len(text)
+        self.transform = WaveletMatrix(text[order - 1])
+        counts = np.bincount(text)
+        # A step back goes to the symbol's first suffix, plus its occurrences before the place.
+        every = np.arange(len(counts))
+        self.shift = np.cumsum(counts) - counts - self.transform.descend(every, np.zeros(len(every), np.int64))
+        self.marks = WaveletMatrix(np.repeat(marks, sizes + 1)[order])
 
-    def statistics(self, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search for the windows at some places of the text itself.
+    def statistics(self, numbers: np.ndarray, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Backward search for the windows at some places of a stream of the index's own texts.
 
         Gives the length of the longest end of each window that occurs elsewhere
         too, and for those of full length their interval (else an empty one).
         """
         length = np.zeros(len(places), np.int64)
-        low, high = np.zeros(len(places), np.int64), np.full(len(places), len(self.text), np.int64)
+        low, high = np.zeros(len(places), np.int64), np.full(len(places), self.n, np.int64)
         live = np.arange(len(places))
         a, b = low.copy(), high.copy()
         for k in range(window - 1, -1, -1):
-            symbol = self.text[places[live] + k]
-            ranks = self.transform.rank(np.concatenate([symbol, symbol]), np.concatenate([a, b]))
-            base = self.smaller[symbol]
-            a, b = base + ranks[: len(live)], base + ranks[len(live) :]
+            symbol = numbers[places[live] + k]
+            reached = self.transform.descend(np.concatenate([symbol, symbol]), np.concatenate([a, b]))
+            shift = self.shift[symbol]
+            a, b = shift + reached[: len(live)], shift + reached[len(live) :]
             more = b - a > 1  # one place alone is the window itself
             live, a, b = live[more], a[more], b[more]
             length[live] += 1
@@ -143,20 +164,19 @@ def smallest(shard: dict, window: int = WINDOW):
     found = Words(list(number), BLANK_WORDS)
     hashes = found.hashes()
     _, numbers = np.unique(hashes, return_inverse=True)
-    index = Index(numbers.astype(np.int64) + 1, found.counts)
+    numbers = numbers.astype(np.int64) + 1
+    levels, marks = np.unique(least, return_inverse=True)
+    index = Index(numbers, found.counts, marks)
     n = found.counts - window + 1
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     string = np.repeat(np.arange(len(n)), n)
-    length, low, high = index.statistics(np.repeat(index.first, n) + inside, window)
+    where = np.repeat(found.first, n) + inside
+    length, low, high = index.statistics(numbers, where, window)
     value = least[string]
     full = np.flatnonzero(length == window)
     if len(full):
-        owner = np.repeat(np.arange(len(n)), found.counts + 1)
-        ranks = np.append(least[owner[index.order]], np.iinfo(np.int64).max)
         start, one, back = np.unique(low[full], return_index=True, return_inverse=True)
-        edges = np.stack([start, high[full][one]], axis=1).ravel()
-        value[full] = np.minimum.reduceat(ranks, edges)[0::2][back]
-    where = np.repeat(found.first, n) + inside
+        value[full] = levels[index.marks.least(start, high[full][one])][back]
     h1, h2 = (shingles(h, window)[where] for h in (hashes, mix(hashes ^ np.uint64(0xA24BAED4963EE407))))
     # Every segment has the windows of its text.
     edges = np.append(np.cumsum(n) - n, len(string))

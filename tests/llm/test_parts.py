@@ -35,13 +35,35 @@ def test_backward_search():
     rng = np.random.default_rng(5)
     sizes = np.array([40, 7, 60])
     numbers = rng.integers(1, 4, sizes.sum())
-    index = fm_dedup.Index(numbers, sizes)
-    places = np.array([f + i for f, s in zip(index.first, sizes) for i in range(s - 4)])
-    length, low, high = index.statistics(places, 5)
-    windows = [tuple(index.text[p : p + 5]) for p in places]
+    marks = np.array([4, 0, 2])
+    index = fm_dedup.Index(numbers, sizes, marks)
+    first = np.cumsum(sizes) - sizes
+    places = np.array([f + i for f, s in zip(first, sizes) for i in range(s - 4)])
+    owner = np.repeat(marks, sizes - 4)
+    length, low, high = index.statistics(numbers, places, 5)
+    windows = [tuple(numbers[p : p + 5]) for p in places]
     for w, n, a, b in zip(windows, length, low, high):
         assert (n == 5) == (windows.count(w) > 1)
         assert b - a == (windows.count(w) if n == 5 else 0)
+        if n == 5:
+            assert index.marks.least(np.array([a]), np.array([b]))[0] == min(o for v, o in zip(windows, owner) if v == w)
+
+
+def test_index_keeps_no_text_and_no_suffix_array():
+    rng = np.random.default_rng(6)
+    sizes = np.full(200, 500)
+    index = fm_dedup.Index(rng.integers(1, 256, sizes.sum()), sizes, np.arange(200))
+    held = sum(a.nbytes for m in (index.transform, index.marks) for a in (*m.words, *m.counts)) + index.shift.nbytes
+    assert held < 4 * index.n  # eight bits of symbol and eight of mark, and half as much for counts
+
+
+def test_least_value_of_intervals():
+    rng = np.random.default_rng(8)
+    values = rng.integers(0, 37, 300)
+    low = rng.integers(0, 299, 500)
+    high = low + 1 + rng.integers(0, 300, 500) % (300 - low)
+    got = fm_dedup.WaveletMatrix(values).least(low, high)
+    assert got.tolist() == [values[a:b].min() for a, b in zip(low, high)]
 
 
 @pytest.mark.parametrize("hot", [1, 3])
