@@ -16,7 +16,10 @@ pair; a pair met once has one, so only the others are told to each other.
 
 Scoring maps the files into memory and looks a slice of text up at once, in
 sorted order. Nothing is pruned: the model grows with the corpus, and workers
-read the pages they need.
+read the pages they need. They keep a bounded number of files open; of storage
+that is not mounted they read the files of one range after another and keep
+``READ_BYTES`` of them for each table. More than ``LARGEST_VOCABULARY``
+different tokens, or 2^32 pairs or triples in one range, raise an error.
 
 P(w|uv) = max(c(uvw) - D(c), 0) / c(uv) + g(uv) P(w|v), where P(w|v) and P(w)
 have the same form over continuation counts and end in a uniform share for each
@@ -66,17 +69,30 @@ def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
-def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sum of their counts."""
+def counted(keys: np.ndarray, counts: np.ndarray | None = None, home: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys and the sum of their counts; with ``home``, keys are told apart and sorted within their home."""
     order = np.argsort(keys, kind="stable")
+    if home is not None:
+        order = order[np.argsort(home[order], kind="stable")]
     keys = keys[order]
-    new = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    edge = np.diff(keys, prepend=~keys[:1]) != 0
+    if home is not None:
+        home = home[order]
+        edge[1:] |= home[1:] != home[:-1]
+    new = np.flatnonzero(edge)
     if counts is None:
-        return keys[new], np.diff(np.append(new, len(keys)))
-    return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
+        sums = np.diff(np.append(new, len(keys)))
+    else:
+        sums = np.add.reduceat(counts[order], new) if len(new) else counts[:0]
+    return (keys[new], sums) if home is None else (keys[new], sums, home[new])
 
 
 SMALL = "small"
+# What a worker keeps open of each table: mapped files, and bytes of files that it had to read.
+OPEN_FILES = 2048
+READ_BYTES = 64 << 20
+# Word numbers have 32 bits, and the start context is one of them.
+LARGEST_VOCABULARY = (1 << 32) - 2
 
 
 class Ranges:
@@ -86,15 +102,26 @@ class Ranges:
         self.folder, self.sizes, self.kinds = folder, sizes, kinds
         self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.open: dict = {}
+        self.read = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"open": {}}
+        return self.__dict__ | {"open": {}, "read": 0}
 
     def column(self, number: int, name: str) -> np.ndarray:
-        if (number, name) not in self.open:
+        found = self.open.get((number, name))
+        if found is None:
             kind = "<u1" if self.kinds.get(name) == SMALL else self.kinds.get(name, "<u8")
-            self.open[number, name] = array_at(f"{self.folder}/{name}-{number:05d}", kind)
-        return self.open[number, name]
+            found = array_at(f"{self.folder}/{name}-{number:05d}", kind)
+            self.read += self.held(found)
+            # Ranges are visited in order, so the oldest is the one that is needed last.
+            while self.open and (len(self.open) >= OPEN_FILES or self.read > READ_BYTES):
+                self.read -= self.held(self.open.pop(next(iter(self.open))))
+            self.open[number, name] = found
+        return found
+
+    @staticmethod
+    def held(values: np.ndarray) -> int:
+        return 0 if isinstance(values, np.memmap) else values.nbytes
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each sorted key among all keys, or -1."""
@@ -334,19 +361,22 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     folder = shared_dir(spark, "model")
 
     def summed(held, home, columns):
-        keys, counts = counted(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-        return shared.packed_batch(
-            [(b, 0, shared.pack(**columns(keys[at], b), count=counts[at].astype(np.uint32))) for b, at in shared.dealt(home(keys), n)]
-        )
+        keys, counts, *homes = counted(*(np.concatenate(part) for part in zip(*held)))
+        dealt = shared.dealt(homes[0] if homes else home(keys), n)
+        return shared.packed_batch([(b, 0, shared.pack(**columns(keys[at], b), count=counts[at].astype(np.uint32))) for b, at in dealt])
+
+    def counting(keys_of, home=None, columns=lambda keys, b: {"key": keys}):
+        """A task that counts the keys of its slices and sends them to their ranges.
 
-    def counting(keys_of, home, columns=lambda keys, b: {"key": keys}):
-        """A task that counts the keys of its slices and sends them to their ranges."""
+        Without ``home``, ``keys_of`` gives keys that hold within a range, and the range of each.
+        """
 
         def run(batches):
             held, size = [], 0
             for batch in batches:
                 for part in slices(batch, "text", SLICE_BYTES):
-                    held.append(counted(keys_of(binary(part.column("text")).to_pylist())))
+                    found = keys_of(binary(part.column("text")).to_pylist())
+                    held.append(counted(found) if home else counted(found[0], home=found[1]))
                     size += len(held[-1][0])
                     if size >= COUNTED:
                         yield summed(held, home, columns)
@@ -372,6 +402,8 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     sizes = [found[i]["size"] if i in found else 0 for i in range(n)]
     words = Ranges(f"{folder}/words", sizes, {"key": "<u8", "count": "<u8"})
     vocabulary, tokens = sum(sizes), sum(r["total"] for r in found.values())
+    if vocabulary > LARGEST_VOCABULARY:
+        raise OverflowError(f"{vocabulary} different tokens; word numbers have 32 bits")
 
     def numbers_of(texts_):
         """Word numbers, the number before each (the start context before first words), and where texts begin."""
@@ -433,8 +465,9 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
         found = run(counted_pairs, keep_pairs)
         pairs = Ranges(f"{folder}/pairs", [found[i]["size"] if i in found else 0 for i in range(n)], pair_columns)
         base = np.uint64(max(vocabulary, 1))
-        if int(pairs.first[-1]) * vocabulary >= 1 << 64:
-            raise OverflowError("pairs and words do not fit into one number")
+        if max(pairs.sizes) >= 1 << 32:
+            raise OverflowError("2^32 pairs or more in one range; use more shuffle partitions")
+        small_number = np.uint16 if n <= 1 << 16 else np.int64  # sorted in one pass
 
         def triples_of(texts_):
             word, left, begin = numbers_of(texts_)
@@ -443,7 +476,10 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
             inside = np.ones(len(word), bool)
             inside[begin] = False
             at = np.flatnonzero(inside)
-            return place[at - 1].astype(np.uint64) * base + word[at].astype(np.uint64)
+            number = pair_range(place[at - 1])
+            # A pair's place within its range and a word always fit into one number.
+            here = (place[at - 1] - pairs.first[number]).astype(np.uint64)
+            return here * base + word[at].astype(np.uint64), number.astype(small_number)
 
         def pair_range(places):
             return np.searchsorted(pairs.first, places.astype(np.int64), "right") - 1
@@ -453,7 +489,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
             return np.diff(places.astype(np.int64), prepend=pairs.first[b])
 
         def triple_columns(keys, b):
-            return {"step": steps(keys // base, b), "word": (keys % base).astype(np.uint32)}
+            return {"step": np.diff((keys // base).astype(np.int64), prepend=0), "word": (keys % base).astype(np.uint32)}
 
         def parts_of(batches):
             """All parts of each range; every range has one, if only an empty one."""
@@ -471,7 +507,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
                 keys, counts = counted(c["key"], c["count"].astype(np.int64))
                 at, word = (keys // base).astype(np.int64), keys % base
                 if len(keys) >= 1 << 32:
-                    raise OverflowError("more than 2^32 triples in one range; use more shuffle partitions")
+                    raise OverflowError("2^32 triples or more in one range; use more shuffle partitions")
                 saved(f"{folder}/triples", number, word=word.astype(np.uint32))
                 saved_small(f"{folder}/triples", number, count=counts)
                 size = pairs.sizes[number]
@@ -490,7 +526,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
                         rows_out.append((b, 0, shared.pack(step=steps(place[rows_of], b), before=before[rows_of])))
                 yield shared.packed_batch(rows_out)
 
-        counted_triples = rows.mapInArrow(counting(triples_of, lambda keys: pair_range(keys // base), triple_columns), shared.PACKED)
+        counted_triples = rows.mapInArrow(counting(triples_of, columns=triple_columns), shared.PACKED)
         told = written_once(shared.exchange(counted_triples.unionByName(every), n).mapInArrow(keep_triples, shared.PACKED), "middles")
         triple_sizes = [0] * n
         for r in told.filter("kind = 9").select("blob").collect():  # one short row for each range
