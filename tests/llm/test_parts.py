@@ -2,11 +2,12 @@
 
 import functools
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from quartermark.llm import fm_dedup, jaccard_trees, kneser_ney, licences, packing, shared, sketches, suffix_dedup, warc
+from quartermark.llm import fm_dedup, jaccard_trees, kneser_ney, licences, packing, quality_mil, shared, sketches, suffix_dedup, warc
 from quartermark.llm.queries import public_tokenizer
 from quartermark.llm.suffix_arrays import common_prefixes, suffix_array, with_sentinels
 from tests.llm import brute
@@ -207,3 +208,73 @@ def test_traversal_prunes_node_pairs():
     assert visited < 0.5 * leaves * (leaves + 1) / 2
     groups = {frozenset(p) for p in jaccard_trees.linked(sets)}
     assert len(groups) == 64 * 7
+
+
+def test_tables_keep_a_bounded_number_of_files(tmp_path, monkeypatch):
+    keys = np.sort(np.random.default_rng(4).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
+    home = kneser_ney.range_of(keys, 7)
+    sizes = np.bincount(home, minlength=7).tolist()
+    for r in range(7):
+        keys[home == r].tofile(tmp_path / f"key-{r:05d}")
+        keys[home == r].tofile(tmp_path / f"count-{r:05d}")
+    table = kneser_ney.Ranges(str(tmp_path), sizes, {"key": "<u8", "count": "<u8"})
+    wanted = np.sort(np.concatenate([keys, keys[::3] + np.uint64(1)]))
+    place = table.find(wanted)
+    assert len(table.open) == 7
+    monkeypatch.setattr(kneser_ney, "OPEN_FILES", 2)
+    few = kneser_ney.Ranges(str(tmp_path), sizes, table.kinds)
+    for _ in range(2):
+        assert (few.find(wanted) == place).all() and len(few.open) == 2
+        assert (few.take("count", place[place >= 0]) == keys).all() and len(few.open) == 2
+    # Files that had to be read count by their bytes.
+    monkeypatch.setattr(kneser_ney, "READ_BYTES", 8 * max(sizes))
+    monkeypatch.setattr(kneser_ney, "array_at", lambda uri, kind: np.fromfile(uri, kind))
+    few = kneser_ney.Ranges(str(tmp_path), sizes, table.kinds)
+    assert (few.find(wanted) == place).all()
+    assert few.read == sum(a.nbytes for a in few.open.values()) <= 8 * max(sizes)
+
+
+def test_counting_within_homes():
+    keys = np.array([5, 1, 5, 5, 1, 7], np.uint64)
+    home = np.array([1, 0, 0, 1, 1, 0])
+    got = kneser_ney.counted(keys, home=home)
+    assert [g.tolist() for g in got] == [[1, 5, 7, 1, 5], [1, 1, 1, 1, 2], [0, 0, 0, 1, 1]]
+    again = kneser_ney.counted(np.tile(got[0], 2), np.tile(got[1], 2), np.tile(got[2], 2))
+    assert [g.tolist() for g in again] == [[1, 5, 7, 1, 5], [2, 2, 2, 2, 4], [0, 0, 0, 1, 1]]
+    assert [len(g) for g in kneser_ney.counted(keys[:0], home=home[:0])] == [0, 0, 0]
+
+
+def test_gradients_agree_with_differences():
+    rng = np.random.default_rng(12)
+    counts = np.array([1, 4, 2, 7])
+    x, y = rng.normal(size=(counts.sum(), quality_mil.N_FEATURES)), np.array([1.0, 0.0, 0.0, 1.0])
+    network = quality_mil.Network()
+
+    def loss():
+        score = network.forward(x, counts)[0]
+        return -np.mean(y * np.log(score) + (1 - y) * np.log(1 - score))
+
+    for name, found in network.gradients(x, counts, y).items():
+        weights = network.weights[name].reshape(-1)
+        for i in rng.choice(weights.size, min(6, weights.size), replace=False):
+            kept = weights[i]
+            weights[i] = kept + 1e-6
+            above = loss()
+            weights[i] = kept - 1e-6
+            below = loss()
+            weights[i] = kept
+            assert found.reshape(-1)[i] == pytest.approx((above - below) / 2e-6, rel=1e-4, abs=1e-8), name
+
+
+def test_training_sample_is_bounded_in_passages(spark, monkeypatch):
+    texts = [(i, "word " * (64 * (500 if i % 10 == 3 else 2))) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id int, quality int")
+    bags = []
+    monkeypatch.setattr(quality_mil.Network, "fit", lambda self, found, y: bags.append((found, y)) or self)
+    quality_mil.train(docs, labels, passages=40)
+    quality_mil.train(docs, labels)
+    trained = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60))
+    (few, y), (every, _) = bags
+    assert len(few) == len(y) == 20 and all(len(b) == 2 for b in few)
+    assert len(every) == trained
