@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quartermark.operators.normalize import keep_keywords
 from quartermark.schemas import CLAIM_KEYWORDS, all_text
-from quartermark.session import shared_dir
+from quartermark.session import shared_dir, written_once
 from quartermark.sources.archives import ZIP_FILES, unpack
 from quartermark.sources.delimited import LATIN, DelimitedScan, aligned_fields, list_files
 from quartermark.sources.empty import empty_files
@@ -64,7 +64,8 @@ class RawScan:
             )
             named = named.unionByName(damaged)
         if self.empty is not None:
-            named = named.unionByName(empty_rows(self.empty))
+            # Folders are listed once, however often the result is read.
+            named = named.unionByName(written_once(empty_rows(self.empty), "empty-files"))
         hits = bronze.select(F.col("source_file").alias("file")).distinct()
         silent = self.text.files.filter("problem IS NULL").join(hits, "file", "left_anti")
         return named.unionByName(silent.select(F.col("path").alias("source_file"), F.lit("no_keyword_match").alias("motivo")))
