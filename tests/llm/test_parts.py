@@ -2,6 +2,7 @@
 
 import functools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -32,6 +33,19 @@ def test_suffix_arrays():
             assert prefix[a] == k
 
 
+def test_common_prefixes_of_long_strings():
+    rng = np.random.default_rng(7)
+    sizes = np.array([200_000, 0, 70, 200_000])
+    symbols = rng.integers(1, 5, sizes.sum())
+    symbols[-150_000:] = symbols[:150_000]
+    text, first, ends = with_sentinels(symbols, sizes)
+    order, rank = suffix_array(text, first, ends)
+    begun = time.process_time()
+    prefix = common_prefixes(text, first, ends, order, rank)
+    assert time.process_time() - begun < 4  # one step for each place of the longest string takes more than twice that
+    for place in rng.integers(0, 130_000, 20) + first[3] + 50_000:
+        assert prefix[place] == ends[3] - place or prefix[order[rank[place] + 1]] == ends[3] - place
+
 def test_backward_search():
     rng = np.random.default_rng(5)
     sizes = np.array([40, 7, 60])
