@@ -69,12 +69,44 @@ def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the place of each value among them; for values that repeat often."""
+    table = pa.array(values).dictionary_encode()
+    found = table.dictionary.to_numpy()
+    order = np.argsort(found)
+    code = np.empty(len(order), np.int64)
+    code[order] = np.arange(len(order))
+    return found[order], code[table.indices.to_numpy()]
+
+
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of at least 0, sorted, and the row of each."""
+    width = len(values).bit_length()
+    if int(values.max(initial=0)).bit_length() + width > 63:
+        order = np.argsort(values, kind="stable")
+        return values[order], order
+    # One value for both sorts faster than an order of rows.
+    both = (values << width) | np.arange(len(values))
+    both.sort()
+    return both >> width, both & ((1 << width) - 1)
+
+
 def counted(keys: np.ndarray, counts: np.ndarray | None = None, home: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys and the sum of their counts; with ``home``, keys are told apart and sorted within their home."""
-    order = np.argsort(keys, kind="stable")
+    if home is not None and len(keys):
+        width = int(keys.max()).bit_length()
+        if width + int(home.max()).bit_length() <= 64:  # home and key fit into one value
+            both, sums = counted((home.astype(np.uint64) << np.uint64(width)) | keys.astype(np.uint64), counts)
+            inside = np.uint64((1 << width) - 1)
+            return (both & inside).astype(keys.dtype), sums, (both >> np.uint64(width)).astype(home.dtype)
     if home is not None:
-        order = order[np.argsort(home[order], kind="stable")]
-    keys = keys[order]
+        order = np.lexsort((keys, home))
+        keys = keys[order]
+    elif counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys = keys[order]
     edge = np.diff(keys, prepend=~keys[:1]) != 0
     if home is not None:
         home = home[order]
@@ -111,7 +143,7 @@ class Ranges:
         found = self.open.get((number, name))
         if found is None:
             kind = "<u1" if self.kinds.get(name) == SMALL else self.kinds.get(name, "<u8")
-            found = array_at(f"{self.folder}/{name}-{number:05d}", kind)
+            found = array_at(f"{self.folder}/{name}-{number:05d}", kind).view(np.ndarray)  # plain, for short lookups
             self.read += self.held(found)
             # Ranges are visited in order, so the oldest is the one that is needed last.
             while self.open and (len(self.open) >= OPEN_FILES or self.read > READ_BYTES):
@@ -121,7 +153,7 @@ class Ranges:
 
     @staticmethod
     def held(values: np.ndarray) -> int:
-        return 0 if isinstance(values, np.memmap) else values.nbytes
+        return 0 if isinstance(values.base, np.memmap) else values.nbytes
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each sorted key among all keys, or -1."""
@@ -190,17 +222,20 @@ class Followers:
             at = places[a:b] - self.pairs.first[r]
             low, end = begin[at].astype(np.int64), begin[at + 1].astype(np.int64)
             kinds[a:b] = end - low
-            high, wanted = end.copy(), words[a:b]
-            live = np.flatnonzero(low < high)
-            while len(live):
-                middle = (low[live] + high[live]) >> 1
-                less = column[middle] < wanted[live]
-                low[live[less]] = middle[less] + 1
-                high[live[~less]] = middle[~less]
-                live = live[low[live] < high[live]]
-            hit = np.flatnonzero(low < end)
-            hit = hit[column[low[hit]] == wanted[hit]]
-            times[a:b][hit] = self.words.small(r, "count", low[hit])
+            spot = np.full(len(at), -1, np.int64)
+            row = np.flatnonzero(low < end)
+            low, high, wanted = low[row], end[row], words[a:b][row].astype(column.dtype)
+            while len(row):
+                middle = (low + high) >> 1
+                met = column[middle]
+                hit = met == wanted
+                spot[row[hit]] = middle[hit]
+                less = met < wanted
+                low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
+                live = np.flatnonzero((low < high) & ~hit)
+                row, low, high, wanted = row[live], low[live], high[live], wanted[live]
+            hit = np.flatnonzero(spot >= 0)
+            times[a:b][hit] = self.words.small(r, "count", spot[hit])
         return kinds, times
 
 
@@ -226,17 +261,19 @@ class Model:
 
     def score(self, hashes: np.ndarray, sizes: np.ndarray):
         """For each text: known tokens, base score and log10 probability."""
-        keys, code = np.unique(hashes, return_inverse=True)
+        keys, code = distinct(hashes)
         place = self.words.find(keys)
-        order = np.argsort(place, kind="stable")
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        in_order = place[order]
-        count = self.words.take("count", in_order)[back].astype(np.float64)
-        at = self.about
-        before = at.take("before", in_order)[back]
-        total = at.take("total", in_order)[back].astype(np.float64)
-        lost = sum(d * at.take(c, in_order)[back] for d, c in zip(self.pair_discounts[1:], ("n1", "n2", "n3")))
+        met = np.flatnonzero(place >= 0)  # places ascend with the hashes
+
+        def of_words(table: Ranges, name: str) -> np.ndarray:
+            out = np.zeros(len(place), np.int64)
+            out[met] = table.take(name, place[met])
+            return out
+
+        count = of_words(self.words, "count").astype(np.float64)
+        before = of_words(self.about, "before")
+        total = of_words(self.about, "total").astype(np.float64)
+        lost = sum(d * of_words(self.about, c) for d, c in zip(self.pair_discounts[1:], ("n1", "n2", "n3")))
         uniform = 1.0 / (self.vocabulary + 1)
         low = self.discounted(before, self.word_discounts) / max(self.kinds, 1) + self.rest * uniform
         word = place[code]
@@ -251,20 +288,20 @@ class Model:
         context_lost = lost[left_code.clip(0, len(total) - 1)]
         context[first], context_lost[first] = start_total, start_lost
         known = (left >= 0) & (word >= 0)
-        pair = np.zeros(len(word), np.int64)
+        pair = np.zeros(len(word))
         pair_place = np.full(len(word), -1, np.int64)
         if known.any():
             wanted, pair_code = np.unique(pair_keys(left[known], word[known]), return_inverse=True)
             found = self.pairs.find(wanted)
             times = np.zeros(len(wanted), np.int64)
             times[found >= 0] = self.pairs.take("before" if self.followers else "count", found[found >= 0])
-            pair[known] = times[pair_code]
+            pair[known] = self.discounted(times, self.pair_discounts)[pair_code]
             pair_place[known] = found[pair_code]
         seen = context > 0
         safe = np.where(seen, context, 1.0)
         chance = np.where(
             seen,
-            self.discounted(pair, self.pair_discounts) / safe + context_lost / safe * low[code],
+            pair / safe + context_lost / safe * low[code],
             low[code],
         )
         if self.followers:
@@ -281,9 +318,9 @@ class Model:
         context = np.full(len(word), -1, np.int64)
         context[1:] = pair_place[:-1]
         context[first] = -1
-        order = np.argsort(context, kind="stable")
-        order = order[np.searchsorted(context[order], 0) :]
-        place = context[order]
+        after = np.flatnonzero(context >= 0)
+        place, order = in_order(context[after])
+        order = after[order]
         kinds, times = self.followers.find(place, word[order])
         few = [self.pairs.take(c, place) for c in ("n1", "n2")]
         lost = sum(d * n for d, n in zip(self.triple_discounts[1:], (*few, kinds - few[0] - few[1])))
@@ -408,7 +445,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     def numbers_of(texts_):
         """Word numbers, the number before each (the start context before first words), and where texts begin."""
         hashes, lengths = token_hashes(texts_)
-        keys, code = np.unique(hashes, return_inverse=True)
+        keys, code = distinct(hashes)
         word = words.find(keys)[code]
         begin = np.cumsum(lengths) - lengths
         left = np.empty(len(word), np.int64)
@@ -464,7 +501,8 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     else:
         found = run(counted_pairs, keep_pairs)
         pairs = Ranges(f"{folder}/pairs", [found[i]["size"] if i in found else 0 for i in range(n)], pair_columns)
-        base = np.uint64(max(vocabulary, 1))
+        word_bits = np.uint64(max(vocabulary.bit_length(), 1))
+        word_mask = (np.uint64(1) << word_bits) - np.uint64(1)
         if max(pairs.sizes) >= 1 << 32:
             raise OverflowError("2^32 pairs or more in one range; use more shuffle partitions")
         small_number = np.uint16 if n <= 1 << 16 else np.int64  # sorted in one pass
@@ -472,14 +510,14 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
         def triples_of(texts_):
             word, left, begin = numbers_of(texts_)
             keys, code = np.unique(pair_keys(left, word), return_inverse=True)
-            place = pairs.find(keys)[code]
+            home = range_of(keys, n)
+            # A pair's place within its range and a word always fit into one number.
+            here = (pairs.find(keys) - pairs.first[home]).astype(np.uint64) << word_bits
             inside = np.ones(len(word), bool)
             inside[begin] = False
             at = np.flatnonzero(inside)
-            number = pair_range(place[at - 1])
-            # A pair's place within its range and a word always fit into one number.
-            here = (place[at - 1] - pairs.first[number]).astype(np.uint64)
-            return here * base + word[at].astype(np.uint64), number.astype(small_number)
+            context = code[at - 1]
+            return here[context] | word[at].astype(np.uint64), home.astype(small_number)[context]
 
         def pair_range(places):
             return np.searchsorted(pairs.first, places.astype(np.int64), "right") - 1
@@ -489,7 +527,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
             return np.diff(places.astype(np.int64), prepend=pairs.first[b])
 
         def triple_columns(keys, b):
-            return {"step": np.diff((keys // base).astype(np.int64), prepend=0), "word": (keys % base).astype(np.uint32)}
+            return {"step": np.diff((keys >> word_bits).astype(np.int64), prepend=0), "word": (keys & word_mask).astype(np.uint32)}
 
         def parts_of(batches):
             """All parts of each range; every range has one, if only an empty one."""
@@ -502,16 +540,16 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
         def keep_triples(batches):
             for number, parts in parts_of(batches):
                 for c in parts:
-                    c["key"] = np.cumsum(c.pop("step")).astype(np.uint64) * base + c.pop("word")
+                    c["key"] = (np.cumsum(c.pop("step")).astype(np.uint64) << word_bits) | c.pop("word")
                 c = shared.joined(parts) or {"key": np.empty(0, np.uint64), "count": np.empty(0, np.int64)}
                 keys, counts = counted(c["key"], c["count"].astype(np.int64))
-                at, word = (keys // base).astype(np.int64), keys % base
+                at, word = (keys >> word_bits).astype(np.int64), keys & word_mask
                 if len(keys) >= 1 << 32:
                     raise OverflowError("2^32 triples or more in one range; use more shuffle partitions")
                 saved(f"{folder}/triples", number, word=word.astype(np.uint32))
                 saved_small(f"{folder}/triples", number, count=counts)
                 size = pairs.sizes[number]
-                saved(f"{folder}/pairs", number, begin=np.searchsorted(at, np.arange(size + 1)).astype(np.uint32))
+                saved(f"{folder}/pairs", number, begin=np.concatenate([[0], np.cumsum(np.bincount(at, minlength=size))]).astype(np.uint32))
                 few = {f"n{k}": np.bincount(at[counts == k], minlength=size) for k in (1, 2)}
                 saved_small(f"{folder}/pairs", number, **few)
                 rows_out = [(0, 9, shared.pack(number=np.array([number]), size=np.array([len(keys)]), tally=np.array(tally(counts))))]

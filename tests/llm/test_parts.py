@@ -258,6 +258,36 @@ def test_counting_within_homes():
     assert [len(g) for g in kneser_ney.counted(keys[:0], home=home[:0])] == [0, 0, 0]
 
 
+def test_counting_sorts_values_where_they_fit(monkeypatch):
+    rng = np.random.default_rng(8)
+    for largest in (9, 1 << 40, (1 << 64) - 1):
+        keys = rng.integers(0, largest, 300, dtype=np.uint64)
+        keys = np.concatenate([keys, keys[:100]])
+        home = rng.integers(0, 5, 400).astype(np.uint16)
+        counts = rng.integers(1, 9, 400)
+        found, sums, homes = kneser_ney.counted(keys, counts, home)
+        expected = {}
+        for h, k, c in zip(home.tolist(), keys.tolist(), counts.tolist()):
+            expected[h, k] = expected.get((h, k), 0) + c
+        assert dict(zip(zip(homes.tolist(), found.tolist()), sums.tolist())) == expected
+        assert list(zip(homes.tolist(), found.tolist())) == sorted(expected) and found.dtype == np.uint64
+        for values in (home.astype(np.int64), (keys >> np.uint64(2)).astype(np.int64)):
+            in_order, row = kneser_ney.in_order(values)
+            assert (values[row] == in_order).all() and (row == np.argsort(values, kind="stable")).all()
+        known, code = kneser_ney.distinct(keys)
+        assert (known == np.unique(keys)).all() and (known[code] == keys).all()
+    few = keys >> np.uint64(30)
+    plain, within = kneser_ney.counted(few), kneser_ney.counted(few, home=home)
+
+    def refuse(*_, **__):
+        raise AssertionError("an order of rows takes several times as long to sort as values")
+
+    monkeypatch.setattr(np, "argsort", refuse)
+    monkeypatch.setattr(np, "lexsort", refuse)
+    assert all((a == b).all() for a, b in zip(plain, kneser_ney.counted(few)))
+    assert all((a == b).all() for a, b in zip(within, kneser_ney.counted(few, home=home)))
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(12)
     counts = np.array([1, 4, 2, 7])
